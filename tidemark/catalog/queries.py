@@ -7,6 +7,7 @@ as doubles rounded to four digits, so that results compare across engines.
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,7 +62,7 @@ _landed: dict[tuple[str, str], str] = {}
 def _lake(spark: SparkSession, sf_dir: str) -> str:
     """Root of the raw tables power and weather, landed from the feeds' messages."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _landed:
+    if key not in _landed or not _still_there(spark, _landed[key]):
         root = new_folder(spark, "lake")
         power, weather = _feeds(spark, sf_dir)
         power_rows = streaming.land(sources.encode(power), POWER_WITH_ID)
@@ -72,6 +73,16 @@ def _lake(spark: SparkSession, sf_dir: str) -> str:
     return _landed[key]
 
 
+def _still_there(spark: SparkSession, lake: str) -> bool:
+    """Whether nobody has cleared the shared folder meanwhile."""
+    try:
+        for feed, schema in (("power", POWER_SCHEMA), ("weather", WEATHER_SCHEMA)):
+            sources.read_raw(spark, f"{lake}/{feed}", schema)
+    except AnalysisException:
+        return False
+    return True
+
+
 def _with_outages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     lake = _lake(spark, sf_dir)
     power = sources.read_raw(spark, f"{lake}/power", POWER_SCHEMA)
@@ -218,7 +229,7 @@ def _named(columns: dict[str, Column]) -> list[Column]:
 
 def reserve_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = feeds.power_messages(feeds.events(spark, sf_dir))
-    return shown(ops.reserve_alerts(sources.decode(messages, POWER_SCHEMA)))
+    return shown(ops.reserve_alerts(sources.decode_once(messages, POWER_SCHEMA)))
 
 
 def dedup_power(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.timekeys import date_parts, event_hour
+from tidemark.operators.columns import computed_once
 from tidemark.operators.dedup import dedup
 from tidemark.schemas import (
     DAY_COLUMNS,
@@ -13,34 +14,36 @@ from tidemark.schemas import (
     WEATHER_TIME_FORMAT,
 )
 
-NULL_HOUR_SALTS = 64
-
 
 def hour_bucket(readings: DataFrame, pattern: str) -> DataFrame:
-    """Add the hour of each reading; NULL where the event time is unreadable."""
-    return readings.withColumn(HOUR_COLUMN, event_hour(F.col("base_datetime"), pattern))
+    """Add the hour of each reading; NULL where the event time is unreadable.
 
+    The hour is fixed here: a join on it adds a filter for hours that are not
+    NULL, which would otherwise sink below the dedup and parse every raw row.
+    """
+    hour = event_hour(F.col("base_datetime"), pattern)
+    return computed_once(readings, {HOUR_COLUMN: hour}, *readings.columns)
 
-def hourly_join(
-    power: DataFrame, weather: DataFrame, null_salts: int = NULL_HOUR_SALTS
-) -> DataFrame:
+
+def hourly_join(power: DataFrame, weather: DataFrame) -> DataFrame:
     """Left join of deduplicated readings on the hour, row by row.
 
     A readable hour holds at most 3600 power and 60 weather event times, but
     any number of unreadable times share the NULL hour. Those match nothing, so
-    they are salted apart rather than sent to one task.
+    each gets a key of its own instead of all going to one task: an hour is an
+    even number of microseconds, the others get odd ones.
     """
-    hours = hour_bucket(power, POWER_TIME_FORMAT)
-    salt = F.when(
-        F.col(HOUR_COLUMN).isNull(), F.pmod(F.xxhash64("base_datetime"), F.lit(null_salts))
-    ).otherwise(F.lit(0).cast("long"))
-    left = hours.withColumn("_salt", salt)
+    micros = F.unix_micros(HOUR_COLUMN)
+    unreadable = F.shiftleft(F.xxhash64("base_datetime"), 1).bitwiseOR(F.lit(1).cast("long"))
+    left = hour_bucket(power, POWER_TIME_FORMAT).withColumn(
+        "_hour_key", F.coalesce(micros, unreadable)
+    )
     right = (
         hour_bucket(weather, WEATHER_TIME_FORMAT)
-        .drop("base_datetime")
-        .withColumn("_salt", F.lit(0).cast("long"))
+        .withColumn("_hour_key", micros)
+        .drop("base_datetime", HOUR_COLUMN)
     )
-    return left.join(right, [HOUR_COLUMN, "_salt"], "left_outer").drop("_salt")
+    return left.join(right, "_hour_key", "left_outer").drop("_hour_key")
 
 
 def _summarise(power: DataFrame, weather: DataFrame, keys: list[str]) -> DataFrame:
@@ -101,9 +104,11 @@ def summarise_days(
         keys,
     )
     if require_both:
-        # Partition columns only: no data column is read for this side.
+        # Partition columns only: no data column is read for this side. A semi
+        # join would say the same, but it is pushed down to the raw rows, where
+        # it may shuffle them all by day; an inner join stays with the hours.
         weather_days = weather.select(*DAY_COLUMNS).distinct()
-        summary = summary.join(weather_days, DAY_COLUMNS, "left_semi")
+        summary = summary.join(weather_days, DAY_COLUMNS)
     return summary.withColumn("year", F.col("year").try_cast("int")).select(
         SUMMARY_SCHEMA.names
     )

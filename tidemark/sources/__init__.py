@@ -6,12 +6,19 @@ from tidemark.sources.json_responses import (
 from tidemark.sources.lake import read_days, read_raw, read_summary, write_days
 from tidemark.sources.messages import file_messages, kafka_messages, publish
 from tidemark.sources.responses import accepted, reject_report, rejected
-from tidemark.sources.wire import decode, decode_with_corrupt, encode, quarantine_split
+from tidemark.sources.wire import (
+    decode,
+    decode_once,
+    decode_with_corrupt,
+    encode,
+    quarantine_split,
+)
 from tidemark.sources.xml_responses import parse_power
 
 __all__ = [
     "accepted",
     "decode",
+    "decode_once",
     "decode_with_corrupt",
     "encode",
     "file_messages",

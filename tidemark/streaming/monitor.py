@@ -5,7 +5,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.alerts import RESERVE_THRESHOLD_MW, reserve_alerts
 from tidemark.schemas import POWER_SCHEMA
-from tidemark.sources.wire import decode, encode
+from tidemark.sources.wire import decode_once, encode
 
 
 def start_monitor(
@@ -23,7 +23,7 @@ def start_monitor(
     (``parquet`` with a path) or a topic (``kafka``) takes any number. Without
     a checkpoint the query forgets its place when it ends.
     """
-    alerts = reserve_alerts(decode(messages, POWER_SCHEMA), threshold)
+    alerts = reserve_alerts(decode_once(messages, POWER_SCHEMA), threshold)
     rows = encode(alerts) if sink == "kafka" else alerts
     writer = rows.writeStream.outputMode("append").format(sink).options(**(options or {}))
     if checkpoint:
