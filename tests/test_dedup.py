@@ -1,0 +1,78 @@
+import random
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from helpers import plan, power, rows, weather
+from tidemark.operators import dedup
+
+READINGS = [
+    ("a", 1.0, 10.0, 5), ("a", 2.0, 20.0, 3), ("a", None, 30.0, 4),
+    ("b", 4.0, None, 9), ("b", None, 4.0, 8),
+    (None, 1.0, 1.0, 1), (None, 2.0, 2.0, 2),
+    ("c", float("nan"), 7.0, 7), ("c", float("nan"), 7.0, 7),
+    ("d", 1.0, 2.0, None), ("d", 3.0, 4.0, 6),
+]
+
+
+def test_lowest_id_survives(spark):
+    found = rows(dedup(power(spark, *READINGS, id_column=True), tie_break="id"))
+    assert found == sorted(
+        [
+            ("a", 2.0, 20.0, 3), ("b", None, 4.0, 8), (None, 1.0, 1.0, 1),
+            ("c", "NaN", 7.0, 7), ("d", 3.0, 4.0, 6),
+        ],
+        key=repr,
+    )
+
+
+def test_a_row_without_any_id_is_still_whole(spark):
+    found = rows(dedup(power(spark, ("a", 1.0, 2.0, None), id_column=True), tie_break="id"))
+    assert found == [("a", 1.0, 2.0, None)]
+
+
+@pytest.mark.parametrize("tasks", [1, 3, 16])
+def test_same_whole_survivor_however_rows_are_spread(spark, tasks):
+    readings = [r[:3] for r in READINGS]
+    reference = rows(dedup(power(spark, *readings).coalesce(1)))
+    random.Random(tasks).shuffle(readings)
+    found = rows(dedup(power(spark, *readings * 3).repartition(tasks)))
+    assert found == reference
+    given_rows = set(rows(power(spark, *readings)))
+    assert set(found) <= given_rows
+    assert len(found) == len({r[0] for r in readings})
+
+
+def test_rows_differing_only_in_where_null_stands(spark):
+    first, second = ("a", 5.0, None), ("a", None, 5.0)
+    found = {tuple(rows(dedup(power(spark, *pair).coalesce(1)))) for pair in ((first, second), (second, first))}
+    assert len(found) == 1
+
+
+def test_only_a_key(spark):
+    keys = spark.createDataFrame([("a",), ("a",), (None,)], "base_datetime string")
+    assert rows(dedup(keys)) == sorted([("a",), (None,)], key=repr)
+
+
+def test_combines_before_the_shuffle_without_sorting(spark):
+    text = plan(dedup(weather(spark, ("a", 1, 1.0, 1.0))), "simple")
+    assert "partial_min_by" in text and "HashAggregate" in text
+    assert "Sort" not in text and "Window" not in text and "Python" not in text
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(
+        st.tuples(st.sampled_from(["a", "b", None]), st.sampled_from([1.0, 2.0, None])),
+        min_size=1,
+        max_size=12,
+    )
+)
+def test_against_brute_force(spark, pairs):
+    readings = [(key, value, float(i), i) for i, (key, value) in enumerate(pairs)]
+    expected = {}
+    for reading in readings:
+        expected.setdefault(reading[0], reading)
+    found = rows(dedup(power(spark, *readings, id_column=True), tie_break="id"))
+    assert found == sorted(expected.values(), key=repr)

@@ -1,0 +1,52 @@
+"""Every registered query against its SQL, on the smallest tables."""
+
+import importlib.util
+import math
+from pathlib import Path
+
+import duckdb
+import pytest
+
+TABLES = Path("/root/testdata/sf0.001")
+ENTRY = Path(__file__).resolve().parent.parent / "__spark_entry__.py"
+
+spec = importlib.util.spec_from_file_location("__spark_entry__", ENTRY)
+entry = importlib.util.module_from_spec(spec)
+spec.loader.exec_module(entry)
+
+
+def plain(row):
+    return tuple(None if isinstance(v, float) and math.isnan(v) else v for v in row)
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for table in TABLES.glob("*.parquet"):
+        connection.sql(f"CREATE VIEW {table.stem} AS SELECT * FROM '{table}'")
+    return connection
+
+
+def test_every_query_has_sql():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+def test_flagship(spark):
+    assert entry.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query_equals_sql(spark, duck, name):
+    found = entry.queries()[name](spark, str(TABLES))
+    columns = sorted(found.columns)
+    sql = entry.oracle_sql()[name]
+    assert sorted(duck.sql(sql).columns) == columns
+    expected = duck.sql(f"SELECT {', '.join(columns)} FROM ({sql})").fetchall()
+    rows = [plain(r) for r in found.select(columns).collect()]
+    assert sorted(rows, key=repr) == sorted(map(plain, expected), key=repr)
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_no_python_in_plans(spark, name):
+    plan = entry.queries()[name](spark, str(TABLES))._jdf.queryExecution().executedPlan()
+    assert "Python" not in plan.toString() and "Pandas" not in plan.toString()

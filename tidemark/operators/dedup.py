@@ -13,7 +13,7 @@ def dedup(
 
     The survivor has the lowest ``tie_break`` (a whole-number column without
     repeats within a key; rows that lack it come last), or without one the
-    lowest hash of the row. It is an aggregate, not a window: each task first
+    lowest hash of the columns given. It is an aggregate, not a window: each task first
     reduces its own rows to one per key, so a key that holds a third of the
     table sends one row per task through the shuffle, and nothing is sorted.
     Rows with a NULL key count as one key.
