@@ -1,0 +1,88 @@
+import datetime as dt
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import power, rows, weather
+from tidemark.functions import date_parts
+from tidemark.jobs import ingest, monitor, publish, summarise
+from tidemark.sources import read_summary, write_days
+
+
+@pytest.fixture
+def lake(spark, folder):
+    p = power(spark, ("20240105100000", 1.0, 10.0), ("20240106100000", 3.0, 30.0))
+    w = weather(spark, ("202401051000", 0, 0.5, -3.0))
+    for name, frame in (("power", p), ("weather", w)):
+        write_days(frame.withColumns(date_parts(F.col("base_datetime"))), f"{folder}/raw/{name}")
+    return folder
+
+
+def test_summarise_a_day_and_a_range(spark, lake, capsys):
+    where = ["--lake", f"{lake}/raw", "--warehouse", f"{lake}/summary"]
+    summarise.main([*where, "--run-date", "2024-01-06"])
+    first = rows(read_summary(spark, f"{lake}/summary"))
+    assert [r[0] for r in first] == [dt.datetime(2024, 1, 5, 10)]
+    assert capsys.readouterr().out == ""
+    summarise.main([*where, "--start", "2024-01-01", "--end", "2024-01-31"])
+    assert rows(read_summary(spark, f"{lake}/summary")) == first
+    assert capsys.readouterr().out == "2024-01-06: no weather readings\n"
+    summarise.main([*where, "--start", "2024-01-01", "--end", "2024-01-31", "--without-weather"])
+    assert len(rows(read_summary(spark, f"{lake}/summary"))) == 2
+
+
+def test_the_default_day_is_yesterday():
+    args = summarise.arguments(["--lake", "l", "--warehouse", "w"])
+    yesterday = dt.date.today() - dt.timedelta(days=1)
+    assert summarise.days(args) == (yesterday, yesterday)
+
+
+@pytest.mark.parametrize(
+    "extra", [["--start", "2024-01-01"], ["--run-date", "2024-01-01", "--start", "2024-01-01", "--end", "2024-01-02"]]
+)
+def test_a_range_needs_both_ends_and_no_run_date(extra):
+    with pytest.raises(SystemExit):
+        summarise.arguments(["--lake", "l", "--warehouse", "w", *extra])
+
+
+def test_publish_splits_responses(spark):
+    good = (
+        "<r><header><resultCode>00</resultCode></header><body><items><item>"
+        "<baseDatetime>20240105100000</baseDatetime><currPwrTot>1.5</currPwrTot>"
+        "</item></items></body></r>"
+    )
+    responses = spark.createDataFrame(
+        [(dt.datetime(2024, 1, 5, 10), good), (dt.datetime(2024, 1, 5, 11), "junk")],
+        "fetched_at timestamp, payload string",
+    )
+    messages, rejects = publish.split(responses, "power", "north")
+    sent = messages.collect()
+    assert [bytes(r.key) for r in sent] == [b"north"]
+    assert json.loads(bytes(sent[0].value)) == {
+        "base_datetime": "20240105100000",
+        "current_demand_mw": 1.5,
+        "reserve_power_mw": 0.0,
+    }
+    assert [(r.fetched_at.hour, r.reject_reason, r.excerpt) for r in rejects.collect()] == [
+        (11, "malformed", "junk")
+    ]
+
+
+def test_ingest_defaults():
+    args = ingest.arguments(
+        ["--servers", "s", "--power-topic", "p", "--weather-topic", "w", "--lake", "l", "--checkpoints", "c"]
+    )
+    assert args.starting_offsets == "earliest" and args.every is None
+
+
+def test_monitor_sinks():
+    base = ["--servers", "s", "--topic", "t"]
+    assert monitor.sink(monitor.arguments(base)) == ("console", {})
+    assert monitor.arguments(base).threshold == 5500
+    to_topic = monitor.arguments([*base, "--alert-topic", "a", "--checkpoint", "c"])
+    assert monitor.sink(to_topic) == ("kafka", {"kafka.bootstrap.servers": "s", "topic": "a"})
+    to_table = monitor.arguments([*base, "--alert-table", "x", "--checkpoint", "c"])
+    assert monitor.sink(to_table) == ("parquet", {"path": "x"})
+    with pytest.raises(SystemExit):
+        monitor.arguments([*base, "--alert-table", "x"])

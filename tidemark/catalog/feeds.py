@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.schemas import POWER_TIME_FORMAT, WEATHER_TIME_FORMAT
 
 ID = "event_id"
+FILES_PER_BATCH = 5000
 IS_POWER = "event_type <> 'view'"
 IS_WEATHER = "event_type = 'view'"
 
@@ -22,8 +23,10 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same table as a stream of its files."""
     # The braces make a single file and a folder of files alike readable.
-    schema = events(spark, sf_dir).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{{events.parquet}}")
+    reader = spark.readStream.schema(events(spark, sf_dir).schema)
+    # A bounded batch keeps what a failure repeats small; all files are read.
+    reader = reader.option("maxFilesPerTrigger", FILES_PER_BATCH)
+    return reader.parquet(f"{sf_dir}/{{events.parquet}}")
 
 
 def _power_time() -> Column:
@@ -56,7 +59,7 @@ def _temperature() -> Column:
 
 def _with_kind(source: DataFrame) -> DataFrame:
     """Add the number in props, 0 to 99, that picks the kind of damage."""
-    return source.withColumn("kind", F.regexp_extract("props", r"(\d+)", 1).cast("int"))
+    return source.withColumn("kind", F.regexp_extract("props", r"(\d+)", 1).try_cast("int"))
 
 
 def power_feed(source: DataFrame) -> DataFrame:

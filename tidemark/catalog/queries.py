@@ -162,7 +162,7 @@ def encode_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _damaged_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event times of both feeds, some cut short, some missing, some not times."""
     source = feeds.events(spark, sf_dir).withColumn(
-        "kind", F.regexp_extract("props", r"(\d+)", 1).cast("int")
+        "kind", F.regexp_extract("props", r"(\d+)", 1).try_cast("int")
     )
     power = F.date_format("ts", POWER_TIME_FORMAT)
     weather = F.date_format("ts", "yyyyMMddHH'00'")
