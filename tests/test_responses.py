@@ -49,6 +49,9 @@ POWER_ACCEPTED = [
     (xml(item() + "<item><baseDatetime>x</baseDatetime></item>"), (TIME, 60000.5, 5400.0)),
     (xml("<item><currPwrTot>1</currPwrTot></item>"), (None, 1.0, 0.0)),
     (xml("<item/>"), (None, 0.0, 0.0)),
+    (f"<r><resultCode>00</resultCode>{item()}</r>", (TIME, 60000.5, 5400.0)),
+    (f"<r><resultCode>00</resultCode><items>{item()}</items></r>", (TIME, 60000.5, 5400.0)),
+    (f"<r><body><resultCode>00</resultCode>{item()}</body></r>", (TIME, 60000.5, 5400.0)),
     (xml(item(), code="<resultCode>00</resultCode><resultCode>30</resultCode>"), (TIME, 60000.5, 5400.0)),
 ]
 

@@ -8,7 +8,7 @@ kind of damage occurs in proportion to the table.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.schemas import POWER_TIME_FORMAT, WEATHER_TIME_FORMAT
+from tidemark.schemas import POWER_TIME_FORMAT
 
 ID = "event_id"
 FILES_PER_BATCH = 5000

@@ -8,23 +8,31 @@ from tidemark.operators.columns import computed_once
 from tidemark.sources.responses import API_ERROR, BAD_VALUE, MALFORMED, NO_ITEM, report
 
 # Element names, and the code of a good response.
-RESPONSE_SCHEMA = """
-    header struct<resultCode: array<string>, resultMsg: array<string>>,
-    body struct<items: struct<item: array<struct<
-        baseDatetime: array<string>,
-        currPwrTot: array<string>,
-        suppReservePwr: array<string>>>>>,
-    _corrupt_record string
-"""
+STATUS = "resultCode: array<string>, resultMsg: array<string>"
+ITEM = """array<struct<baseDatetime: array<string>,
+    currPwrTot: array<string>, suppReservePwr: array<string>>>"""
+RESPONSE_SCHEMA = f"""struct<
+    header: struct<{STATUS}>,
+    body: struct<{STATUS}, items: struct<item: {ITEM}>, item: {ITEM}>,
+    items: struct<item: {ITEM}>, item: {ITEM}, {STATUS},
+    _corrupt_record: string>"""
+# Where the status and the items may stand, the usual place first.
+STATUS_PLACES = ["header", "body"]
+ITEM_PLACES = ["body.items.item", "body.item", "items.item", "item"]
 RESULT_OK = "00"
 
 # Texts count as they stand, blanks included.
 XML_OPTIONS = {"ignoreSurroundingSpaces": "false", "columnNameOfCorruptRecord": "_corrupt_record"}
 
 
-def _first(texts: Column) -> Column:
-    """Text of the first such element; NULL where there is none."""
-    return F.try_element_at(texts, F.lit(1))
+def _first(elements: Column) -> Column:
+    """The first such element; NULL where there is none."""
+    return F.try_element_at(elements, F.lit(1))
+
+
+def _status(name: str) -> Column:
+    places = [f"_doc.{place}.{name}" for place in STATUS_PLACES] + [f"_doc.{name}"]
+    return F.coalesce(*[_first(F.col(place)) for place in places])
 
 
 def _blank(text: Column) -> Column:
@@ -48,9 +56,9 @@ def parse_power(
     doc = F.from_xml(F.col(payload), RESPONSE_SCHEMA, XML_OPTIONS)
     found = responses.withColumn("_doc", doc).withColumns(
         {
-            "_code": _first(F.col("_doc.header.resultCode")),
-            "_msg": _first(F.col("_doc.header.resultMsg")),
-            "_item": F.try_element_at(F.col("_doc.body.items.item"), F.lit(1)),
+            "_code": _status("resultCode"),
+            "_msg": _status("resultMsg"),
+            "_item": F.coalesce(*[_first(F.col(f"_doc.{place}")) for place in ITEM_PLACES]),
         }
     )
     demand = _first(F.col("_item.currPwrTot"))
