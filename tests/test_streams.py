@@ -113,12 +113,13 @@ def test_kafka_options():
         "kafka.bootstrap.servers": "host:9092",
         "subscribe": "power",
     }
-    assert kafka_options("h", "t", "earliest", False, 1000) == {
+    assert kafka_options("h", "t", "earliest", False, 1000, 64) == {
         "kafka.bootstrap.servers": "h",
         "subscribe": "t",
         "startingOffsets": "earliest",
         "failOnDataLoss": "false",
         "maxOffsetsPerTrigger": "1000",
+        "minPartitions": "64",
     }
 
 

@@ -22,6 +22,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--starting-offsets", default="earliest")
     parser.add_argument("--every", help="trigger interval, such as '10 minutes'")
     parser.add_argument("--max-offsets", type=int, help="messages per batch and topic")
+    parser.add_argument("--min-partitions", type=int, help="tasks per batch, at least")
     parser.add_argument("--accept-data-loss", action="store_true")
     return parser.parse_args(argv)
 
@@ -41,6 +42,7 @@ def main(argv: list[str] | None = None) -> None:
             starting_offsets=args.starting_offsets,
             fail_on_data_loss=False if args.accept_data_loss else None,
             max_offsets_per_trigger=args.max_offsets,
+            min_partitions=args.min_partitions,
         )
         queries.append(
             start_ingest(

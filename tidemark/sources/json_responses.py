@@ -16,18 +16,21 @@ from tidemark.sources.responses import (
 
 # Field names, observation categories, and the word a rain text
 # holds when there was none.
-RESPONSE_SCHEMA = """
-    response struct<
-        header: struct<resultCode: string, resultMsg: string>,
-        body: struct<items: map<string, string>>>,
-    _corrupt_record string
-"""
 ITEMS_SCHEMA = "array<struct<category: string, obsrValue: string>>"
+STATUS = "header: struct<resultCode: string, resultMsg: string>"
+RESPONSE_SCHEMA = f"""struct<
+    response: struct<{STATUS}, body: struct<items: struct<item: {ITEMS_SCHEMA}>>>,
+    _corrupt_record: string>"""
 TEMPERATURE = "T1H"
 RAIN = "RN1"
 RAIN_KIND = "PTY"
 NO_RAIN = "강수"
 
+KNOWN = [TEMPERATURE, RAIN, RAIN_KIND]
+
+# The same response with its items under whatever names they have.
+LOOSE_SCHEMA = "struct<response: struct<body: struct<items: map<string, string>>>>"
+
 JSON_OPTIONS = {"columnNameOfCorruptRecord": "_corrupt_record"}
 
 
@@ -48,21 +51,28 @@ def _unreadable(category: Column, text: Column) -> Column:
 def _opened(responses: DataFrame, payload: str) -> DataFrame:
     """Add the observations of each response and, where it has none, why.
 
-    ``items`` is read as a map first: an empty one means no data, while one
-    whose list is empty is a reading without figures.
+    One parse serves every response that holds a list. Only the others are
+    looked at again: empty ``items`` mean no data, ``items`` without a list a
+    reading without figures, and a list that is none a bad value.
     """
     doc = F.from_json(F.col(payload), RESPONSE_SCHEMA, JSON_OPTIONS)
     found = responses.withColumn("_doc", doc).withColumns(
-        {"_header": F.col("_doc.response.header"), "_items": F.col("_doc.response.body.items")}
+        {"_header": F.col("_doc.response.header"), "_list": F.col("_doc.response.body.items.item")}
+    )
+    has_list = F.col("_list").isNotNull()
+    loose = F.from_json(F.col(payload), LOOSE_SCHEMA)["response"]["body"]["items"]
+    found = found.withColumn("_items", F.when(~has_list, loose))
+    item_text = F.col("_items")["item"]
+    found = found.withColumn(
+        "_observations",
+        F.when(has_list, F.col("_list"))
+        .when(~F.map_contains_key(F.col("_items"), F.lit("item")), F.from_json(F.lit("[]"), ITEMS_SCHEMA))
+        .when(item_text.startswith("["), F.from_json(item_text, ITEMS_SCHEMA)),
     )
-    items_text = F.col("_items")["item"]
-    is_listed = F.map_contains_key(F.col("_items"), F.lit("item"))
-    list_text = F.when(is_listed, F.when(items_text.startswith("["), items_text)).otherwise("[]")
-    found = found.withColumn("_observations", F.from_json(list_text, ITEMS_SCHEMA))
     damaged = F.col("_doc").isNull() | (
         F.col("_doc.response").isNull() & F.col("_doc._corrupt_record").isNotNull()
     )
-    empty = F.coalesce(F.size("_items"), F.lit(0)) < 1
+    empty = ~has_list & (F.coalesce(F.size("_items"), F.lit(0)) < 1)
     no_list = F.col("_observations").isNull() | F.exists("_observations", lambda o: o.isNull())
     structure = (
         F.when(damaged, MALFORMED)
@@ -82,19 +92,42 @@ def parse_weather(
     listed twice the last counts. A value that cannot be read, wherever it
     stands in the list, rejects the response as a whole.
     """
-    opened = _opened(responses, payload)
 
     def last(category: str) -> Column:
-        of_kind = F.filter("_observations", lambda o: o["category"] == category)
-        return F.try_element_at(of_kind, F.lit(-1))["obsrValue"]
+        of_kind = F.filter("_known", lambda o: o["category"] == category)
+        return F.try_element_at(of_kind, F.lit(-1))
 
-    bad = F.exists("_observations", lambda o: _unreadable(o["category"], o["obsrValue"]))
+    known = F.filter("_observations", lambda o: o["category"].isin(KNOWN))
+    opened = _opened(responses, payload).withColumn("_known", known)
+    opened = opened.withColumns(
+        {"_last_t": last(TEMPERATURE), "_last_r": last(RAIN), "_last_k": last(RAIN_KIND)}
+    )
+    opened = opened.withColumns(
+        {
+            "_degrees": real_value(F.col("_last_t.obsrValue")),
+            "_rain": _rain(F.col("_last_r.obsrValue")),
+            "_kind_ok": integer_accepted(F.col("_last_k.obsrValue")),
+            "_kind": integer_value(F.col("_last_k.obsrValue")),
+        }
+    )
+    listed = [F.col(name).isNotNull() for name in ("_last_t", "_last_r", "_last_k")]
+    n_listed = sum((present.cast("int") for present in listed), F.lit(0))
+    bad = (
+        (listed[0] & F.col("_degrees").isNull())
+        | (listed[1] & F.col("_rain").isNull())
+        | (listed[2] & ~F.col("_kind_ok"))
+        # Only a category listed twice has values besides the last.
+        | (
+            (F.size("_known") > n_listed)
+            & F.exists("_known", lambda o: _unreadable(o["category"], o["obsrValue"]))
+        )
+    )
     opened = opened.withColumn("_reason", F.coalesce(F.col("_structure"), F.when(bad, BAD_VALUE)))
     reading = {
         "base_datetime": publish_slot(F.col(fetched_at))["base_datetime"],
-        "rainfall_type": integer_value(last(RAIN_KIND)),
-        "rainfall_mm": _rain(last(RAIN)),
-        "temperature_c": real_value(last(TEMPERATURE)),
+        "rainfall_type": F.col("_kind"),
+        "rainfall_mm": F.col("_rain"),
+        "temperature_c": F.col("_degrees"),
     }
     why = report(
         F.col("_reason"), F.col("_header.resultCode"), F.col("_header.resultMsg"), F.col(payload)

@@ -15,8 +15,13 @@ def kafka_options(
     starting_offsets: str | None = None,
     fail_on_data_loss: bool | None = None,
     max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> dict[str, str]:
-    """Reader options; what is left out keeps Spark's default (latest offsets)."""
+    """Reader options; what is left out keeps Spark's default (latest offsets).
+
+    One task reads each topic partition, so a partition that holds much of the
+    topic is slow; ``min_partitions`` above their number splits large ones.
+    """
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic}
     if starting_offsets is not None:
         options["startingOffsets"] = starting_offsets
@@ -24,6 +29,8 @@ def kafka_options(
         options["failOnDataLoss"] = str(fail_on_data_loss).lower()
     if max_offsets_per_trigger is not None:
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions is not None:
+        options["minPartitions"] = str(min_partitions)
     return options
 
 
