@@ -158,7 +158,10 @@ def power_responses(source: DataFrame) -> DataFrame:
         .otherwise(item)
     )
     header = (
-        F.when(kind.between(5, 9), F.lit("<resultCode>30</resultCode><resultMsg>KEY ERROR</resultMsg>"))
+        F.when(
+            kind.between(5, 9),
+            F.lit("<resultCode>30</resultCode><resultMsg>KEY ERROR</resultMsg>"),
+        )
         .when(kind.between(10, 12), F.lit("<resultMsg>NO CODE</resultMsg>"))
         .otherwise(F.lit("<resultCode>00</resultCode><resultMsg>OK</resultMsg>"))
     )
@@ -178,7 +181,9 @@ def weather_responses(source: DataFrame) -> DataFrame:
     def observation(category: str, value: Column) -> Column:
         return F.format_string(f'{{"category":"{category}","obsrValue":"%s"}}', value)
 
-    rain = F.when(_rain_kind() == 0, F.lit("강수없음")).otherwise(F.format_string("%.3f", _rain()))
+    rain = F.when(_rain_kind() == 0, F.lit("강수없음")).otherwise(
+        F.format_string("%.3f", _rain())
+    )
     rain = F.when(kind.between(9, 10), F.lit("1mm 미만")).otherwise(rain)
     rain_kind = F.when(kind.between(11, 12), F.lit("0.5")).otherwise(
         F.format_string("%d", _rain_kind())
@@ -202,7 +207,10 @@ def weather_responses(source: DataFrame) -> DataFrame:
         '"body":{"items":{"item":[%s]}}}}',
         listed,
     )
-    no_data = '{"response":{"header":{"resultCode":"03","resultMsg":"NO DATA"},"body":{"items":""}}}'
+    no_data = (
+        '{"response":{"header":{"resultCode":"03","resultMsg":"NO DATA"},'
+        '"body":{"items":""}}}'
+    )
     payload = (
         F.when(kind < 3, F.lit("<html>gateway</html>"))
         .when(kind < 5, F.lit(no_data))

@@ -127,11 +127,11 @@ def api_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     power = sources.parse_power(feeds.power_responses(source))
     weather = sources.parse_weather(feeds.weather_responses(source))
     kept = ["feed", "reject_reason", "result_code", "result_msg", "excerpt"]
-    rejects = (
-        sources.rejected(power.withColumn("feed", F.lit("power")), "feed")
-        .select(kept)
-        .unionAll(sources.rejected(weather.withColumn("feed", F.lit("weather")), "feed").select(kept))
-    )
+    parts = [
+        sources.rejected(parsed.withColumn("feed", F.lit(feed)), "feed").select(kept)
+        for feed, parsed in (("power", power), ("weather", weather))
+    ]
+    rejects = parts[0].unionAll(parts[1])
     return rejects.groupBy(*kept).agg(F.count("*").alias("n"))
 
 
@@ -184,7 +184,8 @@ def date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def date_parts_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     power, _ = _feeds(spark, sf_dir)
     time = fn.event_time(F.col("base_datetime"), POWER_TIME_FORMAT)
-    return power.select(ID, time.alias("time")).select(ID, *_named(fn.calendar_parts(F.col("time"))))
+    times = power.select(ID, time.alias("time"))
+    return times.select(ID, *_named(fn.calendar_parts(F.col("time"))))
 
 
 def hour_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:

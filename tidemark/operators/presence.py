@@ -11,15 +11,17 @@ def day_presence(power: DataFrame, weather: DataFrame) -> DataFrame:
 
     Only partition columns are read, and each task sends one row per day.
     """
-    marked = (
-        power.select(*DAY_COLUMNS, F.lit(True).alias("has_power"), F.lit(False).alias("has_weather"))
-    ).unionAll(
-        weather.select(*DAY_COLUMNS, F.lit(False).alias("has_power"), F.lit(True).alias("has_weather"))
+    yes, no = F.lit(True), F.lit(False)
+    marked = power.select(*DAY_COLUMNS, yes.alias("has_power"), no.alias("has_weather")).unionAll(
+        weather.select(*DAY_COLUMNS, no.alias("has_power"), yes.alias("has_weather"))
     )
     return (
         marked.dropna(subset=DAY_COLUMNS)
         .groupBy(*DAY_COLUMNS)
-        .agg(F.bool_or("has_power").alias("has_power"), F.bool_or("has_weather").alias("has_weather"))
+        .agg(
+            F.bool_or("has_power").alias("has_power"),
+            F.bool_or("has_weather").alias("has_weather"),
+        )
     )
 
 

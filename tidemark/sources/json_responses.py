@@ -63,10 +63,11 @@ def _opened(responses: DataFrame, payload: str) -> DataFrame:
     loose = F.from_json(F.col(payload), LOOSE_SCHEMA)["response"]["body"]["items"]
     found = found.withColumn("_items", F.when(~has_list, loose))
     item_text = F.col("_items")["item"]
+    no_item = ~F.map_contains_key(F.col("_items"), F.lit("item"))
     found = found.withColumn(
         "_observations",
         F.when(has_list, F.col("_list"))
-        .when(~F.map_contains_key(F.col("_items"), F.lit("item")), F.from_json(F.lit("[]"), ITEMS_SCHEMA))
+        .when(no_item, F.from_json(F.lit("[]"), ITEMS_SCHEMA))
         .when(item_text.startswith("["), F.from_json(item_text, ITEMS_SCHEMA)),
     )
     damaged = F.col("_doc").isNull() | (
