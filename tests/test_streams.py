@@ -1,8 +1,10 @@
+import glob
 import json
 
 import pytest
 from pyspark.errors.exceptions.captured import StreamingQueryException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from helpers import power, rows
 from tidemark.schemas import POWER_SCHEMA, WEATHER_SCHEMA
@@ -62,6 +64,47 @@ def test_ingest_plan_is_map_only(spark, folder):
     assert "Exchange" not in text and "Python" not in text and "StateStore" not in text
 
 
+@pytest.mark.parametrize("gather", [False, True])
+def test_a_backlog_in_no_order_is_gathered_by_day_on_request(spark, folder, gather):
+    day = F.lpad((F.col("id") % 3 + 1).cast("string"), 2, "0")
+    text = F.format_string(
+        '{"base_datetime":"202401%s100000","current_demand_mw":%d,"reserve_power_mw":1}', day, "id"
+    )
+    spark.range(0, 600, 1, 6).select(text.alias("value")).write.json(f"{folder}/wire")
+    start_ingest(
+        file_messages(spark, f"{folder}/wire").repartition(6), POWER_SCHEMA, f"{folder}/raw",
+        f"{folder}/checkpoint", ONCE, gather_days=gather,
+    ).awaitTermination()
+    table = read_raw(spark, f"{folder}/raw", POWER_SCHEMA)
+    assert rows(table.groupBy("day").count()) == [("01", 200), ("02", 200), ("03", 200)]
+    files = len(glob.glob(f"{folder}/raw/*/*/*/*.parquet"))
+    assert files == 3 if gather else files > 3
+
+
+def test_a_hot_day_of_a_backlog_is_split(spark, folder):
+    wide = F.concat(*[F.sha2(F.concat("id", F.lit(str(i))), 512) for i in range(6)])
+    schema = StructType([StructField("base_datetime", StringType())])
+    text = F.format_string('{"base_datetime":"20240105%s"}', wide)
+    spark.range(0, 30000, 1, 8).select(text.alias("value")).write.json(f"{folder}/wire")
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2MB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1MB",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        start_ingest(
+            file_messages(spark, f"{folder}/wire"), schema, f"{folder}/raw",
+            f"{folder}/checkpoint", ONCE, gather_days=True,
+        ).awaitTermination()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert read_raw(spark, f"{folder}/raw", schema).count() == 30000
+    assert len(glob.glob(f"{folder}/raw/*/*/*/*.parquet")) > 2
+
+
 def test_monitor_sends_alerts_only(spark, folder):
     arrive(spark, folder, FIRST, SECOND, DAMAGED)
     query = start_monitor(

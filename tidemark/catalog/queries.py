@@ -10,6 +10,8 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tidemark import functions as fn
 from tidemark import operators as ops
@@ -296,14 +298,20 @@ def summary_write_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(sources.read_summary(spark, table))
 
 
-# Streams
+# Streams: the tables come as one backlog, in whatever order their files are
 
 
-def _ingested(spark: SparkSession, messages: DataFrame, schema, label: str, runs: int = 1) -> str:
+def _ingest(messages: DataFrame, schema: StructType, path: str, checkpoint: str) -> StreamingQuery:
+    return streaming.start_ingest(
+        messages, schema, path, checkpoint, ONCE, gather_days=True
+    )
+
+
+def _ingested(spark: SparkSession, messages: DataFrame, schema: StructType, label: str, runs: int = 1) -> str:
     """Root of a raw table after streaming all messages into it."""
     path, checkpoint = new_folder(spark, label), new_folder(spark, f"{label}-checkpoint")
     for _ in range(runs):
-        streaming.start_ingest(messages, schema, path, checkpoint, ONCE).awaitTermination()
+        _ingest(messages, schema, path, checkpoint).awaitTermination()
     return path
 
 
@@ -335,7 +343,7 @@ def ingest_both(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("weather", feeds.weather_messages(source), WEATHER_SCHEMA),
     ]
     running = [
-        streaming.start_ingest(messages, schema, f"{root}/{feed}", f"{checkpoint}/{feed}", ONCE)
+        _ingest(messages, schema, f"{root}/{feed}", f"{checkpoint}/{feed}")
         for feed, messages, schema in parts
     ]
     for query in running:
@@ -367,11 +375,9 @@ def late_day_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     def arrive(feed: str, readings: DataFrame) -> None:
         sources.encode(readings).write.mode("append").parquet(f"{wire}/{feed}")
 
-    def ingest(feed: str, schema) -> None:
+    def ingest(feed: str, schema: StructType) -> None:
         messages = spark.readStream.schema("value binary").parquet(f"{wire}/{feed}")
-        streaming.start_ingest(
-            messages, schema, f"{root}/{feed}", f"{checkpoint}/{feed}", ONCE
-        ).awaitTermination()
+        _ingest(messages, schema, f"{root}/{feed}", f"{checkpoint}/{feed}").awaitTermination()
 
     def summarise() -> None:
         summary = plans.summary_range(spark, root, None, None, tie_break=ID)

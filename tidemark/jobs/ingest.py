@@ -23,6 +23,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--every", help="trigger interval, such as '10 minutes'")
     parser.add_argument("--max-offsets", type=int, help="messages per batch and topic")
     parser.add_argument("--min-partitions", type=int, help="tasks per batch, at least")
+    parser.add_argument(
+        "--gather-days", action="store_true", help="for a backlog that is in no order of time"
+    )
     parser.add_argument("--accept-data-loss", action="store_true")
     return parser.parse_args(argv)
 
@@ -52,6 +55,7 @@ def main(argv: list[str] | None = None) -> None:
                 checkpoint=f"{args.checkpoints}/{feed}",
                 trigger={"processingTime": args.every} if args.every else None,
                 name=f"ingest-{feed}",
+                gather_days=args.gather_days,
             )
         )
     run_until_any_ends(spark, queries)

@@ -22,17 +22,24 @@ def start_ingest(
     checkpoint: str,
     trigger: dict | None = None,
     name: str | None = None,
+    gather_days: bool = False,
 ) -> StreamingQuery:
     """Append a stream of messages to a raw table, each exactly once.
 
-    Map-only: no shuffle, no state. Restarted with its checkpoint the query
-    goes on where it stopped. Each batch writes a file per task and day, so a
-    ``processingTime`` trigger of minutes keeps files large. Late rows go to
-    their own day.
+    Restarted with its checkpoint the query goes on where it stopped. Late rows
+    go to their own day. There is no state.
+
+    Messages mostly arrive in order of time, so a task holds few days; it writes
+    a file for each, without a shuffle, and a ``processingTime`` trigger of
+    minutes keeps the files large. A backlog in no order would make tasks times
+    days of them: ``gather_days`` then brings the rows of a day together first,
+    and splits a day that holds far more than others.
     """
+    rows = land(messages, message)
+    if gather_days:
+        rows = rows.hint("rebalance", *DAY_COLUMNS)
     writer = (
-        land(messages, message)
-        .writeStream.format("parquet")
+        rows.writeStream.format("parquet")
         .outputMode("append")
         .partitionBy(*DAY_COLUMNS)
         .option("path", path)
