@@ -7,29 +7,33 @@ LAST = 2**63 - 1
 
 
 def dedup(
-    readings: DataFrame, key: str = "base_datetime", tie_break: str | None = None
+    readings: DataFrame,
+    key: str = "base_datetime",
+    tie_break: str | None = None,
+    carry: list[str] | None = None,
 ) -> DataFrame:
     """Keep one whole row per key, the same one on every run.
 
     The survivor has the lowest ``tie_break`` (a whole-number column without
     repeats within a key; rows that lack it come last), or without one the
-    lowest hash of the columns given. It is an aggregate, not a window: each task first
-    reduces its own rows to one per key, so a key that holds a third of the
-    table sends one row per task through the shuffle, and nothing is sorted.
-    Rows with a NULL key count as one key.
+    lowest hash of the columns carried, which are all unless ``carry`` names
+    some. It is an aggregate, not a window: each task first reduces its own
+    rows to one per key, so a key that holds a third of the table sends one row
+    per task through the shuffle, and nothing is sorted. Rows with a NULL key
+    count as one key.
     """
-    columns = readings.columns
+    columns = readings.columns if carry is None else [key, *carry]
     carried = [c for c in columns if c != key]
     if not carried:
-        return readings.distinct()
+        return readings.select(key).distinct()
     if tie_break is None:
         # A hash skips NULLs, so say where they are.
         rank = F.xxhash64(*[part for c in carried for part in (F.col(c), F.col(c).isNull())])
     else:
         rank = F.coalesce(F.col(tie_break).cast("long"), F.lit(LAST))
-    ranked = readings.withColumn("_rank", rank)
-    return (
-        ranked.groupBy(key)
+    survivors = (
+        readings.withColumn("_rank", rank)
+        .groupBy(key)
         .agg(*[F.min_by(c, "_rank").alias(c) for c in carried])
-        .select(*columns)
     )
+    return survivors if columns[0] == key else survivors.select(*columns)

@@ -22,7 +22,7 @@ def hour_bucket(readings: DataFrame, pattern: str) -> DataFrame:
     NULL, which would otherwise sink below the dedup and parse every raw row.
     """
     hour = event_hour(F.col("base_datetime"), pattern)
-    return computed_once(readings, {HOUR_COLUMN: hour}, *readings.columns)
+    return computed_once(readings, {HOUR_COLUMN: hour}, "*")
 
 
 def hourly_join(power: DataFrame, weather: DataFrame) -> DataFrame:
@@ -122,8 +122,7 @@ _MEASURES = {
 
 def _readings(raw: DataFrame, feed: str, tie_break: str | None) -> DataFrame:
     """Deduplicated event times with the measures the summary needs."""
-    extra = [tie_break] if tie_break else []
-    return dedup(raw.select("base_datetime", *_MEASURES[feed], *extra), tie_break=tie_break)
+    return dedup(raw, tie_break=tie_break, carry=_MEASURES[feed])
 
 
 def temp_demand_corr(summary: DataFrame) -> DataFrame:
