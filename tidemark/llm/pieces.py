@@ -26,13 +26,14 @@ def class_table() -> np.ndarray:
     With single bytes as its only tokens and a class as its pattern, the library
     encodes exactly the characters of that class.
     """
-    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF)
+    points = np.concatenate([np.arange(0xD800), np.arange(0xE000, 0x110000)])
+    every = points.astype("<u4").tobytes().decode("utf-32-le")
     single = {bytes([b]): b for b in range(256)}
     table = np.full(0x110000, OTHER, np.uint8)
     for kind, pattern in ((LETTER, r"\p{L}"), (NUMBER, r"\p{N}"), (SPACE, r"\s")):
         library = tiktoken.Encoding("class", pat_str=pattern, mergeable_ranks=single, special_tokens={})
         members = bytes(library.encode_ordinary(every)).decode()
-        table[np.fromiter(map(ord, members), np.int64)] = kind
+        table[np.frombuffer(members.encode("utf-32-le"), "<u4")] = kind
     return table
 
 
@@ -124,18 +125,19 @@ class PieceIds:
         distinct = pieces.dictionary.to_pylist()
         if len(self._known) + len(distinct) > self._most:
             self._clear()
-        new = [p for p in distinct if p not in self._known]
+        found = list(map(self._known.get, distinct))
+        new = [p for p, at in zip(distinct, found, strict=True) if at is None]
         if new:
             ids, sizes = self._encode(new)
             self._known.update(zip(new, range(len(self._known), len(self._known) + len(new)), strict=True))
             self._ids = np.concatenate([self._ids, ids])
             self._starts = np.concatenate([self._starts, self._starts[-1] + np.cumsum(sizes)])
-        place = np.fromiter((self._known[p] for p in distinct), np.int64, len(distinct))
+            found = list(map(self._known.__getitem__, distinct))
+        place = np.array(found, np.int64)
         which = place[pieces.indices.to_numpy(zero_copy_only=False)]
         starts, sizes = self._starts[which], self._starts[which + 1] - self._starts[which]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        gather = np.arange(total) + np.repeat(starts - ends + sizes, sizes)
-        before = np.concatenate([[0], ends])
+        before = np.concatenate([[0], np.cumsum(sizes)])
+        gather = np.repeat((starts - before[:-1]).astype(np.int32), sizes)
+        gather += np.arange(before[-1], dtype=np.int32)
         edges = np.concatenate([[0], np.cumsum(counts)])
         return self._ids[gather], np.diff(before[edges])

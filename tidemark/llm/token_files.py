@@ -10,7 +10,8 @@ part; where a part stands among all ids is the prefix sum of the parts before.
 import json
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cache, lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,12 +30,22 @@ MANIFEST = "path string, part int, n_docs long, n_null_docs long, n_tokens long,
 INDEX = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
+@cache
+def byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if it is
+    printable Latin-1, else the next character from U+0100 on."""
+    shown = {b: chr(b) for b in [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]}
+    others = (b for b in range(256) if b not in shown)
+    return shown | {b: chr(0x100 + i) for i, b in enumerate(others)}
+
+
 class LibraryEncoder:
     """Ids of texts by the tokenizers library, without added special tokens.
 
     Where the tokenizer is a plain byte-level BPE its ids are those of its
-    pieces, so each different piece is encoded once. Texts that hold an added
-    token's string, and all texts of any other tokenizer, go to the library whole.
+    pieces, so the library's model encodes each different piece once. Texts that
+    hold an added token's string, and all texts of any other tokenizer, go to the
+    library whole.
     """
 
     def __init__(self, content: bytes):
@@ -50,13 +61,14 @@ class LibraryEncoder:
             and not config["model"].get("dropout")
         )
         self._added = [t["content"] for t in config.get("added_tokens", [])]
-        self._pieces = PieceIds(self._encode_pieces, 1 << 20)
+        self._pieces = PieceIds(self._encode_pieces)
         self.width = 2 if self._library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
 
     def _encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        found = self._whole([p.decode() for p in pieces])
+        tokenize, shown = self._library.model.tokenize, byte_characters()
+        found = [[t.id for t in tokenize(p.decode("latin-1").translate(shown))] for p in pieces]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum())), sizes
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self._library.encode_batch_fast(texts, add_special_tokens=False)]
