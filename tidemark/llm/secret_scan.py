@@ -181,6 +181,10 @@ def scan(
     return findings(versions, ledger, rules)
 
 
+def _of_kind(kind: str):
+    return lambda span: span["kind"] == kind
+
+
 def scan_report(docs: DataFrame, ledger_path: str | None = None) -> DataFrame:
     """doc_id, matches of each base kind, digest of the base spans, and all spans as text."""
     found = scan(docs, ledger_path)
@@ -188,7 +192,7 @@ def scan_report(docs: DataFrame, ledger_path: str | None = None) -> DataFrame:
         ",", F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
     )
     counts = [
-        F.size(F.filter("spans", lambda s, kind=rule.kind: s["kind"] == kind)).cast("long").alias(f"n_{rule.kind}")
+        F.size(F.filter("spans", _of_kind(rule.kind))).cast("long").alias(f"n_{rule.kind}")
         for rule in BASE_RULES
     ]
     return found.select(
