@@ -82,10 +82,17 @@ def test_power_readings(spark):
 def test_power_rejects(spark):
     parsed = parse_power(responses(spark, *[p for p, _ in POWER_REJECTED]))
     assert accepted(parsed).count() == 0
-    found = rows(rejected(parsed, "id").drop("excerpt"))
+    found = rows(rejected(parsed, "id").drop("excerpt", "payload"))
     assert found == sorted([(i, *e) for i, (_, e) in enumerate(POWER_REJECTED)], key=repr)
 
 
+def test_rejected_payloads_stay_whole(spark):
+    long = ["<html>" + str(i) + "x" * 300 for i in range(3)] + [xml(""), xml(item(demand="<currPwrTot>n/a</currPwrTot>"))]
+    kept = rejected(parse_power(responses(spark, *long)), "id", "fetched_at").select("id", "payload")
+    assert rows(kept) == list(enumerate(long))
+    assert "payload" not in accepted(parse_power(responses(spark, xml(item())))).columns
+
+
 def test_blank_power_as_null(spark):
     blank = xml(item(reserve="<suppReservePwr></suppReservePwr>"))
     parsed = accepted(parse_power(responses(spark, blank), blank_as_null=True))
@@ -171,7 +178,7 @@ def test_weather_readings(spark):
 def test_weather_rejects(spark):
     parsed = parse_weather(responses(spark, *[p for p, _ in WEATHER_REJECTED]))
     assert accepted(parsed).count() == 0
-    found = rows(rejected(parsed, "id").drop("excerpt"))
+    found = rows(rejected(parsed, "id").drop("excerpt", "payload"))
     assert found == sorted([(i, *e) for i, (_, e) in enumerate(WEATHER_REJECTED)], key=repr)
 
 
@@ -190,7 +197,8 @@ def test_reject_report_counts(spark):
         responses(spark, "a", "b", xml("", code="<resultCode>30</resultCode>"), xml(item()))
     ).withColumn("feed", F.lit("power"))
     assert rows(reject_report(parsed, "feed")) == sorted(
-        [("power", "malformed", None, None, 2), ("power", "api_error", "30", "OK", 1)], key=repr
+        [("power", "malformed", None, None, "a", 2), ("power", "api_error", "30", "OK", None, 1)],
+        key=repr,
     )
 
 

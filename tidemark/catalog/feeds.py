@@ -20,12 +20,14 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events_stream(
+    spark: SparkSession, sf_dir: str, files_per_batch: int = FILES_PER_BATCH
+) -> DataFrame:
     """The same table as a stream of its files."""
     # The braces make a single file and a folder of files alike readable.
     reader = spark.readStream.schema(events(spark, sf_dir).schema)
     # A bounded batch keeps what a failure repeats small; all files are read.
-    reader = reader.option("maxFilesPerTrigger", FILES_PER_BATCH)
+    reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(f"{sf_dir}/{{events.parquet}}")
 
 
@@ -57,7 +59,7 @@ def _temperature() -> Column:
     return -10 + F.col("value") / 10
 
 
-def _with_kind(source: DataFrame) -> DataFrame:
+def with_kind(source: DataFrame) -> DataFrame:
     """Add the number in props, 0 to 99, that picks the kind of damage."""
     return source.withColumn("kind", F.regexp_extract("props", r"(\d+)", 1).try_cast("int"))
 
@@ -107,7 +109,7 @@ def power_messages(source: DataFrame, *keep: str) -> DataFrame:
         .when(kind == 17, F.format_string("[%s]", whole))
         .otherwise(whole)
     )
-    return _with_kind(source.filter(IS_POWER)).select(*keep, text.cast("binary").alias("value"))
+    return with_kind(source.filter(IS_POWER)).select(*keep, text.cast("binary").alias("value"))
 
 
 def weather_messages(source: DataFrame, *keep: str) -> DataFrame:
@@ -132,7 +134,7 @@ def weather_messages(source: DataFrame, *keep: str) -> DataFrame:
         .when(kind < 5, F.format_string('{"base_datetime":"%s"}', time))
         .otherwise(whole)
     )
-    return _with_kind(source.filter(IS_WEATHER)).select(*keep, text.cast("binary").alias("value"))
+    return with_kind(source.filter(IS_WEATHER)).select(*keep, text.cast("binary").alias("value"))
 
 
 def power_responses(source: DataFrame) -> DataFrame:
@@ -165,11 +167,25 @@ def power_responses(source: DataFrame) -> DataFrame:
         .when(kind.between(10, 12), F.lit("<resultMsg>NO CODE</resultMsg>"))
         .otherwise(F.lit("<resultCode>00</resultCode><resultMsg>OK</resultMsg>"))
     )
-    whole = F.format_string(
-        "<response><header>%s</header><body><items>%s</items></body></response>", header, items
+    usual = "<response><header>%s</header><body><items>%s</items></body></response>"
+    deeper = (
+        "<response><envelope><header>%s</header></envelope>"
+        "<body><wrap><items>%s</items></wrap></body></response>"
+    )
+    whole = F.when(kind.between(34, 37), F.format_string(deeper, header, items)).otherwise(
+        F.format_string(usual, header, items)
     )
-    payload = F.when(kind < 5, F.lit("<response><header>")).otherwise(whole)
-    return _with_kind(source.filter(IS_POWER)).select(
+    gateway = F.concat(
+        F.format_string("<html><title>gateway %d</title><p>", ID), F.repeat(F.lit("no reply "), 40)
+    )
+    payload = (
+        F.when(kind < 2, gateway)
+        .when(kind == 2, F.concat(whole, F.lit("junk")))
+        .when(kind == 3, F.concat(whole, whole))
+        .when(kind == 4, F.lit("<response><header>"))
+        .otherwise(whole)
+    )
+    return with_kind(source.filter(IS_POWER)).select(
         ID, F.col("ts").alias("fetched_at"), payload.alias("payload")
     )
 
@@ -178,8 +194,12 @@ def weather_responses(source: DataFrame) -> DataFrame:
     """Raw JSON responses, one per weather reading, some of them errors."""
     kind = F.col("kind")
 
-    def observation(category: str, value: Column) -> Column:
-        return F.format_string(f'{{"category":"{category}","obsrValue":"%s"}}', value)
+    def observation(category: str, value: Column, bare: Column | None = None) -> Column:
+        quoted = F.format_string(f'{{"category":"{category}","obsrValue":"%s"}}', value)
+        if bare is None:
+            return quoted
+        unquoted = F.format_string(f'{{"category":"{category}","obsrValue":%s}}', bare)
+        return F.when(kind == 15, unquoted).otherwise(quoted)
 
     rain = F.when(_rain_kind() == 0, F.lit("강수없음")).otherwise(
         F.format_string("%.3f", _rain())
@@ -188,7 +208,7 @@ def weather_responses(source: DataFrame) -> DataFrame:
     rain_kind = F.when(kind.between(11, 12), F.lit("0.5")).otherwise(
         F.format_string("%d", _rain_kind())
     )
-    degrees = observation("T1H", F.format_string("%.3f", _temperature()))
+    degrees = observation("T1H", F.format_string("%.3f", _temperature()), F.lit("true"))
     degrees = (
         F.when(kind.between(7, 8), F.concat_ws(",", observation("T1H", F.lit("99.9")), degrees))
         .when(kind == 13, observation("WSD", F.lit("2.4")))
@@ -196,7 +216,7 @@ def weather_responses(source: DataFrame) -> DataFrame:
     )
     listed = F.concat_ws(
         ",",
-        observation("PTY", rain_kind),
+        observation("PTY", rain_kind, F.lit("0.5")),
         observation("REH", F.lit("55")),
         observation("RN1", rain),
         degrees,
@@ -211,12 +231,16 @@ def weather_responses(source: DataFrame) -> DataFrame:
         '{"response":{"header":{"resultCode":"03","resultMsg":"NO DATA"},'
         '"body":{"items":""}}}'
     )
+    gateway = F.concat(
+        F.format_string("<html>gateway %d</html>", ID), F.repeat(F.lit("no reply "), 40)
+    )
     payload = (
-        F.when(kind < 3, F.lit("<html>gateway</html>"))
+        F.when(kind < 2, gateway)
+        .when(kind == 2, F.concat(whole, F.lit('{"x":1}')))
         .when(kind < 5, F.lit(no_data))
         .when(kind == 14, F.lit('{"x":1}'))
         .otherwise(whole)
     )
-    return _with_kind(source.filter(IS_WEATHER)).select(
+    return with_kind(source.filter(IS_WEATHER)).select(
         ID, F.col("ts").alias("fetched_at"), payload.alias("payload")
     )

@@ -107,21 +107,86 @@ SLOT = "date_trunc('hour', ts - INTERVAL 10 MINUTE)"
 
 READ_WEATHER = f"""{FEEDS}, readings AS (
   SELECT event_id, strftime({SLOT}, '%Y%m%d%H%M') AS base_datetime,
-         CASE WHEN kind IN (5, 6) THEN NULL ELSE rainfall_type END AS rainfall_type,
+         CASE WHEN kind IN (5, 6) THEN NULL WHEN kind = 15 THEN 0 ELSE rainfall_type END
+           AS rainfall_type,
          CASE WHEN kind IN (5, 6) THEN NULL ELSE rainfall_mm END AS rainfall_mm,
-         CASE WHEN kind IN (5, 6, 13) THEN NULL ELSE temperature_c END AS temperature_c
+         CASE WHEN kind IN (5, 6, 13) THEN NULL WHEN kind = 15 THEN 1 ELSE temperature_c END
+           AS temperature_c
   FROM weather WHERE kind >= 5 AND kind NOT IN (9, 10, 11, 12, 14)
 )"""
 
+# The raw responses as texts, and why those that give no reading are rejected.
+REJECTS = f"""
+WITH power_parts AS (
+  SELECT event_id, ts, {KIND} AS kind,
+         '<item><baseDatetime>' || {POWER_TIME} || '</baseDatetime><currPwrTot>'
+           || CASE WHEN kind BETWEEN 30 AND 33 THEN 'n/a' ELSE printf('%.2f', 60000 + 50 * value) END
+           || '</currPwrTot>'
+           || CASE WHEN kind BETWEEN 21 AND 25 THEN '<suppReservePwr></suppReservePwr>'
+                WHEN kind BETWEEN 26 AND 29 THEN ''
+                ELSE printf('<suppReservePwr>%.2f</suppReservePwr>', 5000 + 10 * value) END
+           || '</item>' AS item,
+         CASE WHEN kind BETWEEN 5 AND 9
+                THEN '<resultCode>30</resultCode><resultMsg>KEY ERROR</resultMsg>'
+              WHEN kind BETWEEN 10 AND 12 THEN '<resultMsg>NO CODE</resultMsg>'
+              ELSE '<resultCode>00</resultCode><resultMsg>OK</resultMsg>' END AS header
+  FROM events WHERE event_type <> 'view'
+), power_whole AS (
+  SELECT *, '<response><header>' || header || '</header><body><items>'
+         || CASE WHEN kind BETWEEN 13 AND 16 THEN '' ELSE item END
+         || '</items></body></response>' AS whole
+  FROM power_parts
+), weather_parts AS (
+  SELECT event_id, ts, {KIND} AS kind,
+         '{{"category":"PTY","obsrValue":"'
+           || CASE WHEN kind BETWEEN 11 AND 12 THEN '0.5' ELSE CAST(user_id % 4 AS VARCHAR) END
+           || '"}},{{"category":"REH","obsrValue":"55"}},{{"category":"RN1","obsrValue":"'
+           || CASE WHEN kind BETWEEN 9 AND 10 THEN '1mm 미만' WHEN user_id % 4 = 0 THEN '강수없음'
+                ELSE printf('%.3f', value / 10) END
+           || '"}},{{"category":"T1H","obsrValue":"' || printf('%.3f', -10 + value / 10) || '"}}'
+           AS listed
+  FROM events WHERE event_type = 'view'
+), weather_whole AS (
+  SELECT *, '{{"response":{{"header":{{"resultCode":"00","resultMsg":"OK"}},'
+         || '"body":{{"items":{{"item":[' || listed || ']}}}}}}}}' AS whole
+  FROM weather_parts
+), rejects AS (
+  SELECT 'power' AS feed, event_id, ts,
+         CASE WHEN kind < 5 THEN 'malformed' WHEN kind < 13 THEN 'api_error'
+              WHEN kind < 17 THEN 'no_item' WHEN kind BETWEEN 30 AND 33 THEN 'bad_value'
+         END AS reject_reason,
+         CASE WHEN kind BETWEEN 5 AND 9 THEN '30' END AS result_code,
+         CASE WHEN kind BETWEEN 5 AND 9 THEN 'KEY ERROR' WHEN kind BETWEEN 10 AND 12 THEN 'NO CODE'
+         END AS result_msg,
+         CASE WHEN kind < 2 THEN '<html><title>gateway ' || event_id || '</title><p>'
+                || repeat('no reply ', 40)
+              WHEN kind = 2 THEN whole || 'junk' WHEN kind = 3 THEN whole || whole
+              WHEN kind = 4 THEN '<response><header>' ELSE whole END AS payload
+  FROM power_whole
+  UNION ALL
+  SELECT 'weather' AS feed, event_id, ts,
+         CASE WHEN kind < 3 THEN 'malformed' WHEN kind < 5 THEN 'api_error'
+              WHEN kind BETWEEN 9 AND 12 THEN 'bad_value' WHEN kind = 14 THEN 'unknown_structure'
+         END AS reject_reason,
+         CASE WHEN kind BETWEEN 3 AND 4 THEN '03' END AS result_code,
+         CASE WHEN kind BETWEEN 3 AND 4 THEN 'NO DATA' END AS result_msg,
+         CASE WHEN kind < 2 THEN '<html>gateway ' || event_id || '</html>' || repeat('no reply ', 40)
+              WHEN kind = 2 THEN whole || '{{"x":1}}'
+              WHEN kind < 5 THEN '{{"response":{{"header":{{"resultCode":"03","resultMsg":"NO DATA"}},'
+                || '"body":{{"items":""}}}}}}'
+              WHEN kind = 14 THEN '{{"x":1}}' ELSE whole END AS payload
+  FROM weather_whole
+)"""
+
 DAYS = f"""{FEEDS}, days AS (
   SELECT substr(base_datetime, 1, 4) AS year, substr(base_datetime, 5, 2) AS month,
          substr(base_datetime, 7, 2) AS day,
          bool_or(feed = 'power') AS has_power, bool_or(feed = 'weather') AS has_weather
-  FROM (SELECT 'power' AS feed, base_datetime FROM power
-        WHERE substr(base_datetime, 7, 2) NOT IN ('07', '14', '21', '28')
+  FROM (SELECT CASE WHEN substr(base_datetime, 7, 2) IN ('07', '14', '21', '28')
+                 THEN 'weather' ELSE 'power' END AS feed, base_datetime FROM power
         UNION ALL
-        SELECT 'weather' AS feed, base_datetime FROM weather
-        WHERE substr(base_datetime, 7, 2) NOT IN ('05', '10', '15', '20', '25', '30'))
+        SELECT CASE WHEN substr(base_datetime, 7, 2) IN ('05', '10', '15', '20', '25', '30')
+                 THEN 'power' ELSE 'weather' END AS feed, base_datetime FROM weather)
   GROUP BY 1, 2, 3
 )"""
 
@@ -142,28 +207,14 @@ SELECT event_id, {POWER_SHOWN} FROM readings""",
     "weather_from_json": f"""{READ_WEATHER}
 SELECT event_id, base_datetime, {WEATHER_MEASURES} FROM readings""",
     "weather_pivot": f"{READ_WEATHER} SELECT event_id, {WEATHER_MEASURES} FROM readings",
-    "api_rejects": f"""{FEEDS}, rejects AS (
-  SELECT 'power' AS feed,
-         CASE WHEN kind < 5 THEN 'malformed' WHEN kind < 13 THEN 'api_error'
-              WHEN kind < 17 THEN 'no_item' WHEN kind BETWEEN 30 AND 33 THEN 'bad_value'
-         END AS reject_reason,
-         CASE WHEN kind BETWEEN 5 AND 9 THEN '30' END AS result_code,
-         CASE WHEN kind BETWEEN 5 AND 9 THEN 'KEY ERROR' WHEN kind BETWEEN 10 AND 12 THEN 'NO CODE'
-         END AS result_msg,
-         CASE WHEN kind < 5 THEN '<response><header>' END AS excerpt
-  FROM power
-  UNION ALL
-  SELECT 'weather' AS feed,
-         CASE WHEN kind < 3 THEN 'malformed' WHEN kind < 5 THEN 'api_error'
-              WHEN kind BETWEEN 9 AND 12 THEN 'bad_value' WHEN kind = 14 THEN 'unknown_structure'
-         END AS reject_reason,
-         CASE WHEN kind BETWEEN 3 AND 4 THEN '03' END AS result_code,
-         CASE WHEN kind BETWEEN 3 AND 4 THEN 'NO DATA' END AS result_msg,
-         CASE WHEN kind < 3 THEN '<html>gateway</html>' END AS excerpt
-  FROM weather
-)
-SELECT feed, reject_reason, result_code, result_msg, excerpt, count(*) AS n
+    "api_rejects": f"""{REJECTS}
+SELECT feed, reject_reason, result_code, result_msg,
+       min(CASE WHEN reject_reason = 'malformed' THEN substr(payload, 1, 200) END) AS excerpt,
+       count(*) AS n
 FROM rejects WHERE reject_reason IS NOT NULL GROUP BY ALL""",
+    "rejected_payloads": f"""{REJECTS}
+SELECT feed, event_id, strftime(ts, {SHOWN_TIME}) AS fetched_at, reject_reason, payload
+FROM rejects WHERE reject_reason IS NOT NULL""",
     "decode_power": f"{DECODED_POWER} SELECT {POWER_SHOWN} FROM decoded",
     "decode_weather": f"{DECODED_WEATHER} SELECT base_datetime, {WEATHER_MEASURES} FROM decoded",
     "encode_wire": f"""{FEEDS}

@@ -86,12 +86,15 @@ def _still_there(spark: SparkSession, lake: str) -> bool:
 
 
 def _with_outages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Both raw tables' days, where on some days all rows are one feed's."""
     lake = _lake(spark, sf_dir)
-    power = sources.read_raw(spark, f"{lake}/power", POWER_SCHEMA)
-    weather = sources.read_raw(spark, f"{lake}/weather", WEATHER_SCHEMA)
+    power = sources.read_raw(spark, f"{lake}/power", POWER_SCHEMA).select(*DAY_COLUMNS)
+    weather = sources.read_raw(spark, f"{lake}/weather", WEATHER_SCHEMA).select(*DAY_COLUMNS)
+    no_power = F.coalesce(F.col("day").isin(POWER_OUTAGE_DAYS), F.lit(False))
+    no_weather = F.coalesce(F.col("day").isin(WEATHER_OUTAGE_DAYS), F.lit(False))
     return (
-        power.filter(~F.col("day").isin(POWER_OUTAGE_DAYS)),
-        weather.filter(~F.col("day").isin(WEATHER_OUTAGE_DAYS)),
+        power.filter(~no_power).unionByName(weather.filter(no_weather)),
+        weather.filter(~no_weather).unionByName(power.filter(no_power)),
     )
 
 
@@ -123,18 +126,24 @@ def weather_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(sources.pivot_observations(items, ID))
 
 
-def api_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rejected responses of both feeds, counted per reason and text shown."""
+def _all_parsed(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     source = feeds.events(spark, sf_dir)
     power = sources.parse_power(feeds.power_responses(source))
     weather = sources.parse_weather(feeds.weather_responses(source))
-    kept = ["feed", "reject_reason", "result_code", "result_msg", "excerpt"]
-    parts = [
-        sources.rejected(parsed.withColumn("feed", F.lit(feed)), "feed").select(kept)
-        for feed, parsed in (("power", power), ("weather", weather))
-    ]
-    rejects = parts[0].unionAll(parts[1])
-    return rejects.groupBy(*kept).agg(F.count("*").alias("n"))
+    return [power.withColumn("feed", F.lit("power")), weather.withColumn("feed", F.lit("weather"))]
+
+
+def api_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected responses of both feeds, counted per reason, code and message."""
+    power, weather = (sources.reject_report(p, "feed") for p in _all_parsed(spark, sf_dir))
+    return power.unionAll(weather)
+
+
+def rejected_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rejected response of both feeds with its whole payload."""
+    kept = ["feed", ID, "fetched_at"]
+    power, weather = (sources.rejected(p, *kept) for p in _all_parsed(spark, sf_dir))
+    return shown(power.unionAll(weather).select(*kept, "reject_reason", "payload"))
 
 
 # Wire
@@ -163,9 +172,7 @@ def encode_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _damaged_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event times of both feeds, some cut short, some missing, some not times."""
-    source = feeds.events(spark, sf_dir).withColumn(
-        "kind", F.regexp_extract("props", r"(\d+)", 1).try_cast("int")
-    )
+    source = feeds.with_kind(feeds.events(spark, sf_dir))
     power = F.date_format("ts", POWER_TIME_FORMAT)
     weather = F.date_format("ts", "yyyyMMddHH'00'")
     whole = F.when(F.col("event_type") == "view", weather).otherwise(power)
@@ -404,6 +411,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         weather_from_json,
         weather_pivot,
         api_rejects,
+        rejected_payloads,
         decode_power,
         decode_weather,
         encode_wire,

@@ -11,16 +11,16 @@ from tidemark.sources.responses import (
     BAD_VALUE,
     MALFORMED,
     UNKNOWN_STRUCTURE,
+    kept_columns,
     report,
 )
 
 # Field names, observation categories, and the word a rain text
 # holds when there was none.
-ITEMS_SCHEMA = "array<struct<category: string, obsrValue: string>>"
+ITEMS_SCHEMA = "array<struct<category: string, obsrValue: variant>>"
 STATUS = "header: struct<resultCode: string, resultMsg: string>"
-RESPONSE_SCHEMA = f"""struct<
-    response: struct<{STATUS}, body: struct<items: struct<item: {ITEMS_SCHEMA}>>>,
-    _corrupt_record: string>"""
+RESPONSE_SCHEMA = f"""array<struct<
+    response: struct<{STATUS}, body: struct<items: struct<item: {ITEMS_SCHEMA}>>>>>"""
 TEMPERATURE = "T1H"
 RAIN = "RN1"
 RAIN_KIND = "PTY"
@@ -29,21 +29,48 @@ NO_RAIN = "강수"
 KNOWN = [TEMPERATURE, RAIN, RAIN_KIND]
 
 # The same response with its items under whatever names they have.
-LOOSE_SCHEMA = "struct<response: struct<body: struct<items: map<string, string>>>>"
+LOOSE_SCHEMA = "struct<response: struct<body: struct<items: map<string, variant>>>>"
 
-JSON_OPTIONS = {"columnNameOfCorruptRecord": "_corrupt_record"}
 
+class _Value:
+    """An observation's value: a text is read by its characters, a bare number or truth value
+    (1 or 0) as it is, anything else not at all."""
 
-def _rain(text: Column) -> Column:
-    return F.when(text.contains(NO_RAIN), F.lit(0.0).cast("float")).otherwise(real_value(text))
+    def __init__(self, value: Column):
+        kind = F.schema_of_variant(value)
+        self._is_text = kind == "STRING"
+        self._is_number = kind.rlike("^(BIGINT|DECIMAL|DOUBLE|BOOLEAN)")
+        self._text = F.try_variant_get(value, "$", "string")
+        self._number = F.try_variant_get(value, "$", "double")
 
+    def real(self) -> Column:
+        bare = F.when(self._is_number, self._number.cast("float"))
+        return F.when(self._is_text, real_value(self._text)).otherwise(bare)
 
-def _unreadable(category: Column, text: Column) -> Column:
+    def rain(self) -> Column:
+        """No rain wherever the value, even a list, shows the word for it."""
+        return F.when(self._text.contains(NO_RAIN), F.lit(0.0).cast("float")).otherwise(self.real())
+
+    def is_whole(self) -> Column:
+        """Whether an integer can be had of it; a bare number loses its fraction."""
+        finite = F.coalesce(F.abs(self._number) < float("inf"), F.lit(False))
+        return F.when(self._is_text, integer_accepted(self._text)).otherwise(
+            F.coalesce(self._is_number, F.lit(False)) & finite
+        )
+
+    def whole(self) -> Column:
+        fits = (self._number > -(2.0**31) - 1) & (self._number < 2.0**31)
+        bare = F.when(self._is_number & fits, F.signum(self._number) * F.floor(F.abs(self._number)))
+        return F.when(self._is_text, integer_value(self._text)).otherwise(bare.try_cast("int"))
+
+
+def _unreadable(category: Column, value: Column) -> Column:
     """Whether an observation of a known category has no usable value."""
+    read = _Value(value)
     return F.coalesce(
-        ((category == TEMPERATURE) & real_value(text).isNull())
-        | ((category == RAIN) & _rain(text).isNull())
-        | ((category == RAIN_KIND) & ~integer_accepted(text)),
+        ((category == TEMPERATURE) & read.real().isNull())
+        | ((category == RAIN) & read.rain().isNull())
+        | ((category == RAIN_KIND) & ~read.is_whole()),
         F.lit(False),
     )
 
@@ -55,24 +82,28 @@ def _opened(responses: DataFrame, payload: str) -> DataFrame:
     looked at again: empty ``items`` mean no data, ``items`` without a list a
     reading without figures, and a list that is none a bad value.
     """
-    doc = F.from_json(F.col(payload), RESPONSE_SCHEMA, JSON_OPTIONS)
-    found = responses.withColumn("_doc", doc).withColumns(
+    # As a list of one, so that anything after the document makes it unreadable.
+    docs = F.from_json(F.concat(F.lit("["), F.col(payload), F.lit("]")), RESPONSE_SCHEMA)
+    found = responses.withColumn("_docs", docs).withColumn(
+        "_doc", F.when(F.size("_docs") == 1, F.get("_docs", F.lit(0)))
+    )
+    found = found.withColumns(
         {"_header": F.col("_doc.response.header"), "_list": F.col("_doc.response.body.items.item")}
     )
     has_list = F.col("_list").isNotNull()
     loose = F.from_json(F.col(payload), LOOSE_SCHEMA)["response"]["body"]["items"]
     found = found.withColumn("_items", F.when(~has_list, loose))
-    item_text = F.col("_items")["item"]
-    no_item = ~F.map_contains_key(F.col("_items"), F.lit("item"))
+    item = F.col("_items")["item"]
+    item_kind, item_text = F.schema_of_variant(item), F.try_variant_get(item, "$", "string")
+    nothing = (item_kind == "OBJECT<>") | ((item_kind == "STRING") & (item_text == ""))
+    no_item = ~F.map_contains_key(F.col("_items"), F.lit("item")) | nothing
     found = found.withColumn(
         "_observations",
         F.when(has_list, F.col("_list"))
         .when(no_item, F.from_json(F.lit("[]"), ITEMS_SCHEMA))
-        .when(item_text.startswith("["), F.from_json(item_text, ITEMS_SCHEMA)),
-    )
-    damaged = F.col("_doc").isNull() | (
-        F.col("_doc.response").isNull() & F.col("_doc._corrupt_record").isNotNull()
+        .when(item_kind.startswith("ARRAY"), F.from_json(item_text, ITEMS_SCHEMA)),
     )
+    damaged = F.col("_doc").isNull()
     empty = ~has_list & (F.coalesce(F.size("_items"), F.lit(0)) < 1)
     no_list = F.col("_observations").isNull() | F.exists("_observations", lambda o: o.isNull())
     structure = (
@@ -105,10 +136,10 @@ def parse_weather(
     )
     opened = opened.withColumns(
         {
-            "_degrees": real_value(F.col("_last_t.obsrValue")),
-            "_rain": _rain(F.col("_last_r.obsrValue")),
-            "_kind_ok": integer_accepted(F.col("_last_k.obsrValue")),
-            "_kind": integer_value(F.col("_last_k.obsrValue")),
+            "_degrees": _Value(F.col("_last_t.obsrValue")).real(),
+            "_rain": _Value(F.col("_last_r.obsrValue")).rain(),
+            "_kind_ok": _Value(F.col("_last_k.obsrValue")).is_whole(),
+            "_kind": _Value(F.col("_last_k.obsrValue")).whole(),
         }
     )
     listed = [F.col(name).isNotNull() for name in ("_last_t", "_last_r", "_last_k")]
@@ -133,9 +164,7 @@ def parse_weather(
     why = report(
         F.col("_reason"), F.col("_header.resultCode"), F.col("_header.resultMsg"), F.col(payload)
     )
-    return computed_once(
-        opened, {**reading, **why}, *[c for c in responses.columns if c != payload]
-    )
+    return computed_once(opened, {**reading, **why}, *kept_columns(responses, payload))
 
 
 def observation_items(responses: DataFrame, *by: str, payload: str = "payload") -> DataFrame:
@@ -165,15 +194,15 @@ def pivot_observations(items: DataFrame, *by: str) -> DataFrame:
     Same rules as ``parse_weather``, which needs no shuffle and suits
     responses that still hold their list.
     """
-    text = F.col("obsr_value")
+    value = _Value(F.col("obsr_value"))
     read = items.select(
         *by,
         "pos",
         "category",
-        _unreadable(F.col("category"), text).alias("_bad"),
-        F.when(F.col("category") == RAIN_KIND, integer_value(text)).alias("_kind"),
-        F.when(F.col("category") == RAIN, _rain(text)).alias("_rain"),
-        F.when(F.col("category") == TEMPERATURE, real_value(text)).alias("_degrees"),
+        _unreadable(F.col("category"), F.col("obsr_value")).alias("_bad"),
+        F.when(F.col("category") == RAIN_KIND, value.whole()).alias("_kind"),
+        F.when(F.col("category") == RAIN, value.rain()).alias("_rain"),
+        F.when(F.col("category") == TEMPERATURE, value.real()).alias("_degrees"),
     )
 
     def last(value: str, category: str) -> Column:

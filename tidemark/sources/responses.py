@@ -19,31 +19,45 @@ REPORT_COLUMNS = ["reject_reason", "result_code", "result_msg"]
 EXCERPT_LENGTH = 200
 
 
+PAYLOAD = "payload"
+
+
+def kept_columns(responses: DataFrame, payload: str) -> list[str]:
+    """What a parsed response keeps as it was; its payload is kept apart, if it is rejected."""
+    return [c for c in responses.columns if c not in (payload, PAYLOAD)]
+
+
 def report(
     reason: Column, code: Column, message: Column, payload: Column
 ) -> dict[str, Column]:
-    """Columns that say why; code and message only for errors the source reports."""
+    """Columns that say why; code and message only for errors the source reports.
+
+    The payload of a rejected response is kept whole, so that it can be looked
+    into and parsed again; the excerpt is only for display.
+    """
     told = reason == API_ERROR
     return {
         "reject_reason": reason,
         "result_code": F.when(told, code),
         "result_msg": F.when(told, message),
         "excerpt": F.when(reason == MALFORMED, F.substring(payload, 1, EXCERPT_LENGTH)),
+        PAYLOAD: F.when(reason.isNotNull(), payload),
     }
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
     """Responses that gave a reading."""
     kept = parsed.filter(F.col("reject_reason").isNull())
-    return kept.drop("excerpt", *REPORT_COLUMNS)
+    return kept.drop("excerpt", PAYLOAD, *REPORT_COLUMNS)
 
 
 def rejected(parsed: DataFrame, *keep: str) -> DataFrame:
-    """Responses that gave none, with the reason and the columns to keep."""
+    """Responses that gave none: the columns to keep, the reason, an excerpt and the whole payload."""
     dropped = parsed.filter(F.col("reject_reason").isNotNull())
-    return dropped.select(*keep, *REPORT_COLUMNS, "excerpt")
+    return dropped.select(*keep, *REPORT_COLUMNS, "excerpt", PAYLOAD)
 
 
 def reject_report(parsed: DataFrame, *by: str) -> DataFrame:
-    """How many responses were rejected for what."""
-    return rejected(parsed, *by).groupBy(*by, *REPORT_COLUMNS).agg(F.count("*").alias("n"))
+    """How many responses were rejected for what, with one excerpt of each kind."""
+    kinds = rejected(parsed, *by).groupBy(*by, *REPORT_COLUMNS)
+    return kinds.agg(F.min("excerpt").alias("excerpt"), F.count("*").alias("n"))

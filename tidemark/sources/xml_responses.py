@@ -1,28 +1,44 @@
-"""Power readings from raw XML responses."""
+"""Power readings from raw XML responses.
+
+The status and the item count wherever they stand below the root, the first of
+each in document order. A payload must be one whole document: its root is
+renamed and put beside copies of the first such elements, so one parse holds
+the whole document to be well-formed and gives the elements' texts.
+"""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import real_value
 from tidemark.operators.columns import computed_once
-from tidemark.sources.responses import API_ERROR, BAD_VALUE, MALFORMED, NO_ITEM, report
+from tidemark.sources.responses import (
+    API_ERROR,
+    BAD_VALUE,
+    MALFORMED,
+    NO_ITEM,
+    kept_columns,
+    report,
+)
 
 # Element names, and the code of a good response.
-STATUS = "resultCode: array<string>, resultMsg: array<string>"
-ITEM = """array<struct<baseDatetime: array<string>,
-    currPwrTot: array<string>, suppReservePwr: array<string>>>"""
-RESPONSE_SCHEMA = f"""struct<
-    header: struct<{STATUS}>,
-    body: struct<{STATUS}, items: struct<item: {ITEM}>, item: {ITEM}>,
-    items: struct<item: {ITEM}>, item: {ITEM}, {STATUS},
-    _corrupt_record: string>"""
-# Where the status and the items may stand, the usual place first.
-STATUS_PLACES = ["header", "body"]
-ITEM_PLACES = ["body.items.item", "body.item", "items.item", "item"]
+STATUS = ["resultCode", "resultMsg"]
+ITEM = "item"
+FIGURES = "baseDatetime: array<string>, currPwrTot: array<string>, suppReservePwr: array<string>"
 RESULT_OK = "00"
 
+CORRUPT = "_corrupt_record"
+RESPONSE_SCHEMA = f"""struct<resultCode: array<string>, resultMsg: array<string>,
+    item: array<struct<{FIGURES}>>, {CORRUPT}: string>"""
+
 # Texts count as they stand, blanks included.
-XML_OPTIONS = {"ignoreSurroundingSpaces": "false", "columnNameOfCorruptRecord": "_corrupt_record"}
+XML_OPTIONS = {"ignoreSurroundingSpaces": "false", "columnNameOfCorruptRecord": CORRUPT}
+
+MISC = r"(?:\s|<!--.*?-->|<\?.*?\?>)*+"
+PROLOG = rf"(?s)^(?:<\?xml\s.*?\?>)?{MISC}(?:<!DOCTYPE[^>\[]*>{MISC})?"
+ATTRIBUTES = r"""(?:\s(?:[^<>"']|"[^"]*"|'[^']*')*?)?"""
+# The root: its name, and all from there to its end tag, the last one of that name.
+ROOT = rf"{PROLOG}<([^\s/>!?]+)((?:[\s>].*)?)</\1\s*>{MISC}$"
+EMPTY_ROOT = rf"{PROLOG}<[^\s/>!?]+{ATTRIBUTES}/>{MISC}$"
 
 
 def _first(elements: Column) -> Column:
@@ -30,9 +46,20 @@ def _first(elements: Column) -> Column:
     return F.try_element_at(elements, F.lit(1))
 
 
-def _status(name: str) -> Column:
-    places = [f"_doc.{place}.{name}" for place in STATUS_PLACES] + [f"_doc.{name}"]
-    return F.coalesce(*[_first(F.col(place)) for place in places])
+def _first_element(text: Column, name: str) -> Column:
+    """Source of the first element of that name, start tag to end tag; empty if there is none."""
+    pattern = rf"(?s)<{name}{ATTRIBUTES}(?:/>|>.*?</{name}\s*>)"
+    return F.regexp_extract(text, pattern, 0)
+
+
+def _one_document(payload: Column) -> Column:
+    """The document below a root of our own, then its first status and item; NULL unless the
+    payload is one document with nothing but comments around it."""
+    inner = F.regexp_extract(payload, ROOT, 2)
+    content = F.regexp_replace(inner, r"(?s)<!--.*?-->", "")
+    copies = [_first_element(content, name) for name in (*STATUS, ITEM)]
+    whole = F.concat(F.lit("<all><document"), inner, F.lit("</document>"), *copies, F.lit("</all>"))
+    return F.when(payload.rlike(ROOT), whole).when(payload.rlike(EMPTY_ROOT), F.lit("<all/>"))
 
 
 def _blank(text: Column) -> Column:
@@ -47,25 +74,25 @@ def _number(text: Column) -> Column:
 def parse_power(
     responses: DataFrame, payload: str = "payload", blank_as_null: bool = False
 ) -> DataFrame:
-    """Add the reading of each response, or the reason it has none.
+    """Add the reading of each response, or the reason it has none and its payload.
 
     Only the first item counts. A blank or missing figure reads as zero, which
     then looks like an alert, unless ``blank_as_null`` is set; a figure that is
     no number rejects the response as a whole.
     """
-    doc = F.from_xml(F.col(payload), RESPONSE_SCHEMA, XML_OPTIONS)
+    doc = F.from_xml(_one_document(F.col(payload)), RESPONSE_SCHEMA, XML_OPTIONS)
     found = responses.withColumn("_doc", doc).withColumns(
         {
-            "_code": _status("resultCode"),
-            "_msg": _status("resultMsg"),
-            "_item": F.coalesce(*[_first(F.col(f"_doc.{place}")) for place in ITEM_PLACES]),
+            "_code": _first(F.col("_doc.resultCode")),
+            "_msg": _first(F.col("_doc.resultMsg")),
+            "_item": _first(F.col("_doc.item")),
         }
     )
     demand = _first(F.col("_item.currPwrTot"))
     reserve = _first(F.col("_item.suppReservePwr"))
     found = found.withColumns({"_demand": _number(demand), "_reserve": _number(reserve)})
     reason = (
-        F.when(F.col("_doc").isNull() | F.col("_doc._corrupt_record").isNotNull(), MALFORMED)
+        F.when(F.col("_doc").isNull() | F.col(f"_doc.{CORRUPT}").isNotNull(), MALFORMED)
         .when(F.coalesce(F.col("_code"), F.lit("")) != RESULT_OK, API_ERROR)
         .when(F.col("_item").isNull(), NO_ITEM)
         .when(F.col("_demand").isNull() | F.col("_reserve").isNull(), BAD_VALUE)
@@ -81,6 +108,4 @@ def parse_power(
     }
     found = found.withColumn("_reason", reason)
     why = report(F.col("_reason"), F.col("_code"), F.col("_msg"), F.col(payload))
-    return computed_once(
-        found, {**reading, **why}, *[c for c in responses.columns if c != payload]
-    )
+    return computed_once(found, {**reading, **why}, *kept_columns(responses, payload))
