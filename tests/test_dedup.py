@@ -3,8 +3,10 @@ import random
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from helpers import plan, power, rows, weather
+from tidemark.functions import date_parts
 from tidemark.operators import dedup
 
 READINGS = [
@@ -44,6 +46,30 @@ def test_same_whole_survivor_however_rows_are_spread(spark, tasks):
     assert len(found) == len({r[0] for r in readings})
 
 
+@pytest.mark.parametrize("tasks", [1, 3, 7])
+@pytest.mark.parametrize("shared_id", [None, 5])
+def test_same_survivor_without_ids_or_with_one_for_all(spark, tasks, shared_id):
+    readings = [("a", float(i), float(i % 7), shared_id) for i in range(200)]
+    first = rows(dedup(power(spark, *readings, id_column=True), tie_break="id"))
+    random.Random(tasks).shuffle(readings)
+    again = power(spark, *readings, id_column=True).repartition(tasks)
+    assert rows(dedup(again, tie_break="id")) == first and first[0] in readings
+
+
+@pytest.mark.parametrize("low", [-(2**63), -5, 0, 2**63 - 2])
+def test_ids_order_before_hashes(spark, low):
+    readings = [("a", float(i), 0.0, low + 1) for i in range(50)] + [("a", -1.0, 0.0, low)]
+    assert rows(dedup(power(spark, *readings, id_column=True), tie_break="id")) == [("a", -1.0, 0.0, low)]
+
+
+def test_day_columns_join_the_key(spark):
+    raw = weather(spark, ("202401051000", 1, 1.0, 1.0), ("202401051000", 2, 2.0, 2.0), (None, 1, 1.0, 1.0), id_column=False)
+    raw = raw.withColumns(date_parts(F.col("base_datetime")))
+    found = dedup(raw)
+    assert found.columns == raw.columns and found.count() == 2
+    assert "Sort" not in plan(found, "simple")
+
+
 def test_rows_differing_only_in_where_null_stands(spark):
     first, second = ("a", 5.0, None), ("a", None, 5.0)
     found = {tuple(rows(dedup(power(spark, *pair).coalesce(1)))) for pair in ((first, second), (second, first))}

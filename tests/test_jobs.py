@@ -8,6 +8,7 @@ from helpers import power, rows, weather
 from tidemark.functions import date_parts
 from tidemark.jobs import ingest, monitor, publish, summarise
 from tidemark.sources import read_summary, write_days
+from tidemark.streaming import start_publish, to_folder
 
 
 @pytest.fixture
@@ -20,7 +21,7 @@ def lake(spark, folder):
 
 
 def test_summarise_a_day_and_a_range(spark, lake, capsys):
-    where = ["--lake", f"{lake}/raw", "--warehouse", f"{lake}/summary"]
+    where = ["--lake", f"{lake}/raw", "--warehouse", f"{lake}/summary", "--time-zone", "UTC"]
     summarise.main([*where, "--run-date", "2024-01-06"])
     first = rows(read_summary(spark, f"{lake}/summary"))
     assert [r[0] for r in first] == [dt.datetime(2024, 1, 5, 10)]
@@ -30,43 +31,74 @@ def test_summarise_a_day_and_a_range(spark, lake, capsys):
     assert capsys.readouterr().out == "2024-01-06: no weather readings\n"
     summarise.main([*where, "--start", "2024-01-01", "--end", "2024-01-31", "--without-weather"])
     assert len(rows(read_summary(spark, f"{lake}/summary"))) == 2
+    assert capsys.readouterr().out == ""
 
 
 def test_the_default_day_is_yesterday():
-    args = summarise.arguments(["--lake", "l", "--warehouse", "w"])
+    args = summarise.arguments(["--lake", "l", "--warehouse", "w", "--time-zone", "UTC"])
     yesterday = dt.date.today() - dt.timedelta(days=1)
     assert summarise.days(args) == (yesterday, yesterday)
 
 
 @pytest.mark.parametrize(
-    "extra", [["--start", "2024-01-01"], ["--run-date", "2024-01-01", "--start", "2024-01-01", "--end", "2024-01-02"]]
+    "extra",
+    [["--start", "2024-01-01"], ["--mode", "overwrite"], ["--mode", "overwrite", "--run-date", "2024-01-01"], ["--run-date", "2024-01-01", "--start", "2024-01-01", "--end", "2024-01-02"]]
 )
 def test_a_range_needs_both_ends_and_no_run_date(extra):
     with pytest.raises(SystemExit):
-        summarise.arguments(["--lake", "l", "--warehouse", "w", *extra])
+        summarise.arguments(["--lake", "l", "--warehouse", "w", "--time-zone", "UTC", *extra])
 
 
-def test_publish_splits_responses(spark):
-    good = (
-        "<r><header><resultCode>00</resultCode></header><body><items><item>"
-        "<baseDatetime>20240105100000</baseDatetime><currPwrTot>1.5</currPwrTot>"
-        "</item></items></body></r>"
-    )
-    responses = spark.createDataFrame(
-        [(dt.datetime(2024, 1, 5, 10), good), (dt.datetime(2024, 1, 5, 11), "junk")],
-        "fetched_at timestamp, payload string",
-    )
-    messages, rejects = publish.split(responses, "power", "north")
-    sent = messages.collect()
+GOOD = (
+    "<r><header><resultCode>00</resultCode></header><body><items><item>"
+    "<baseDatetime>20240105100000</baseDatetime><currPwrTot>1.5</currPwrTot>"
+    "</item></items></body></r>"
+)
+
+
+def test_publish_sends_each_response_once(spark, folder):
+    def arrive(*payloads):
+        rows_ = [(dt.datetime(2024, 1, 5, 10 + i), p) for i, p in enumerate(payloads)]
+        spark.createDataFrame(rows_, publish.RESPONSES).write.mode("append").parquet(f"{folder}/raw")
+
+    def run():
+        args = publish.arguments([*PUBLISH, "--responses", f"{folder}/raw", "--checkpoint", f"{folder}/cp"])
+        parse, schema = publish.parser_of(args)
+        start_publish(
+            spark.readStream.schema(publish.RESPONSES).parquet(f"{folder}/raw"),
+            parse, schema, to_folder(f"{folder}/out"), f"{folder}/cp", F.lit("north"),
+            f"{folder}/rejects", {"availableNow": True},
+        ).awaitTermination()
+        sent = spark.read.schema("key binary, value binary").parquet(f"{folder}/out").collect()
+        aside = spark.read.schema(REJECTED).parquet(f"{folder}/rejects").collect()
+        return sent, sorted((r.fetched_at.hour, r.reject_reason, r.excerpt, r.payload) for r in aside)
+
+    long = "junk" * 100
+    arrive(GOOD, long)
+    sent, aside = run()
     assert [bytes(r.key) for r in sent] == [b"north"]
     assert json.loads(bytes(sent[0].value)) == {
         "base_datetime": "20240105100000",
         "current_demand_mw": 1.5,
         "reserve_power_mw": 0.0,
     }
-    assert [(r.fetched_at.hour, r.reject_reason, r.excerpt) for r in rejects.collect()] == [
-        (11, "malformed", "junk")
-    ]
+    assert aside == [(11, "malformed", long[:200], long)]
+    assert run() == (sent, aside)
+    arrive(GOOD)
+    assert len(run()[0]) == 2 and run()[1] == aside
+
+
+PUBLISH = ["--feed", "power", "--servers", "s", "--topic", "t", "--time-zone", "UTC"]
+REJECTED = "fetched_at timestamp, reject_reason string, excerpt string, payload string"
+
+
+def test_publish_options(spark):
+    where = ["--responses", "r", "--checkpoint", "c"]
+    parse, _ = publish.parser_of(publish.arguments([*PUBLISH, *where, "--blank-as-null"]))
+    frame = spark.createDataFrame([(dt.datetime(2024, 1, 5), GOOD)], publish.RESPONSES)
+    assert parse(frame).first().reserve_power_mw is None
+    with pytest.raises(SystemExit):
+        publish.arguments([*PUBLISH, "--responses", "r"])
 
 
 def test_ingest_defaults():
@@ -76,6 +108,11 @@ def test_ingest_defaults():
     assert args.starting_offsets == "earliest" and args.every is None
 
 
+def test_monitor_bounds():
+    args = monitor.arguments(["--servers", "s", "--topic", "t", "--max-offsets", "9", "--every", "1 minute"])
+    assert args.max_offsets == 9 and args.every == "1 minute" and not args.accept_data_loss
+
+
 def test_monitor_sinks():
     base = ["--servers", "s", "--topic", "t"]
     assert monitor.sink(monitor.arguments(base)) == ("console", {})

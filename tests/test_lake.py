@@ -1,5 +1,7 @@
 import datetime as dt
 import glob
+import os
+import time
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -8,9 +10,16 @@ from pyspark.sql import functions as F
 from helpers import plan, power, rows, weather
 from tidemark.functions import date_parts
 from tidemark.operators import day_presence, days_skipped, days_with_both
-from tidemark.plans import daily_summary, full_scan_summary, summary_range, write_daily_summary
+from tidemark.plans import (
+    daily_summary,
+    full_scan_summary,
+    summary_range,
+    write_changed_days,
+    write_daily_summary,
+    write_range,
+)
 from tidemark.schemas import DAY_COLUMNS, POWER_SCHEMA, WEATHER_SCHEMA, raw_schema
-from tidemark.sources import read_days, read_raw, read_summary, write_days
+from tidemark.sources import last_change, read_days, read_raw, read_summary, write_days
 
 DAY = dt.date(2024, 1, 5)
 
@@ -115,6 +124,49 @@ def test_writing_a_day_again_changes_nothing(spark, lake, folder):
         write_daily_summary(spark, lake, table, dt.date(2024, 1, 6), mode="merge")
 
 
+def test_a_withdrawn_day_goes(spark, lake, folder):
+    table = f"{folder}/warehouse"
+    write_range(spark, lake, table, None, None)
+    write_range(spark, lake, table, None, None, mode="append")
+    weather_table = read_raw(spark, f"{lake}/weather", WEATHER_SCHEMA)
+    left = spark.createDataFrame(weather_table.filter("day <> '06'").collect(), weather_table.schema)
+    write_days(left, f"{lake}/weather", "overwrite")
+    write_range(spark, lake, table, dt.date(2024, 1, 7), dt.date(2024, 1, 31))
+    assert {r[7] for r in rows(read_summary(spark, table))} == {"05", "06"}
+    write_range(spark, lake, table, DAY, dt.date(2024, 1, 6))
+    assert [r[7] for r in rows(read_summary(spark, table))] == ["05"]
+    write_range(spark, f"{folder}", table, dt.date(2030, 1, 1), None)
+    assert [r[7] for r in rows(read_summary(spark, table))] == ["05"]
+
+
+def test_only_changed_days_are_written_again(spark, lake, folder):
+    table = f"{folder}/warehouse"
+
+    def files():
+        return {f: os.path.getmtime(f) for f in glob.glob(f"{table.removeprefix('file:')}/*/*/*/*.parquet")}
+
+    write_range(spark, lake, table, None, None)
+    before = files()
+    schemas = {"power": POWER_SCHEMA, "weather": WEATHER_SCHEMA}
+    since = {feed: last_change(spark, f"{lake}/{feed}", schema) for feed, schema in schemas.items()}
+    assert write_changed_days(spark, lake, table, since) == [] and files() == before
+    time.sleep(0.05)
+    late = raw(power(spark, ("20240106113000", 99.0, 1.0), ("20240109113000", 1.0, 1.0)))
+    write_days(late, f"{lake}/power", "append")
+    changed = write_changed_days(spark, lake, table, since)
+    assert changed == [dt.date(2024, 1, 6), dt.date(2024, 1, 9)]
+    after = files()
+    assert {f: t for f, t in before.items() if "day=05" in f} == {f: t for f, t in after.items() if "day=05" in f}
+    assert not {f for f in before if "day=06" in f} & set(after)
+    assert rows(read_summary(spark, table)) == rows(summary_range(spark, lake, None, None))
+    assert write_changed_days(spark, lake, f"{folder}/other", {}) == [dt.date(2024, 1, d) for d in (5, 6, 7, 8, 9)]
+
+
+def test_year_bounds_are_plain(spark, lake):
+    text = plan(read_days(spark, f"{lake}/power", POWER_SCHEMA, DAY, dt.date(2024, 1, 6)))
+    assert "(year#" in text and ">= 2024" in text and "<= 2024" in text
+
+
 def test_a_day_holding_most_rows_is_split(spark, folder):
     """The rebalance gives a hot day several files instead of one task."""
     wide = F.concat(*[F.sha2(F.concat("id", F.lit(str(i))), 512) for i in range(6)])

@@ -71,7 +71,7 @@ DAY_PARTS = """substr(base_datetime, 1, 4) AS year, substr(base_datetime, 5, 2)
   substr(base_datetime, 7, 2) AS day"""
 
 DECODED_POWER = f"""{FEEDS}, decoded AS (
-  SELECT CASE WHEN kind < 6 OR kind IN (12, 13, 16, 17) THEN NULL ELSE base_datetime END
+  SELECT kind, CASE WHEN kind < 6 OR kind IN (12, 13, 16, 17) THEN NULL ELSE base_datetime END
            AS base_datetime,
          CASE WHEN kind < 8 OR kind IN (12, 13, 17) THEN NULL ELSE current_demand_mw END
            AS current_demand_mw,
@@ -262,6 +262,16 @@ SELECT event_id, concat(E'\n    :red_circle: **Task Failed** :red_circle:',
 FROM events""",
     "reserve_alerts": ALERTS,
     "dedup_power": f"{DEDUP} SELECT event_id, {POWER_SHOWN} FROM p",
+    "dedup_power_no_id": f"""{FEEDS}, told AS (
+  SELECT base_datetime, CASE WHEN event_id % 3 <> 0 THEN event_id END AS event_id,
+         CASE WHEN event_id % 3 = 0 THEN CAST(60000 AS FLOAT) ELSE current_demand_mw END
+           AS current_demand_mw,
+         CASE WHEN event_id % 3 = 0 THEN CAST(5000 AS FLOAT) ELSE reserve_power_mw END
+           AS reserve_power_mw
+  FROM power
+)
+SELECT event_id, {POWER_SHOWN} FROM told
+QUALIFY row_number() OVER (PARTITION BY base_datetime ORDER BY event_id NULLS LAST) = 1""",
     "dedup_weather": f"{DEDUP} SELECT event_id, base_datetime, {WEATHER_MEASURES} FROM w",
     "hourly_join": f"""{JOINED}
 SELECT strftime(hour_timestamp, {SHOWN_TIME}) AS hour_timestamp, {POWER_SHOWN},
@@ -277,6 +287,8 @@ SELECT year, month, day, CASE WHEN has_power THEN 'weather' ELSE 'power' END AS
 FROM days WHERE has_power <> has_weather""",
     "daily_summary": f"{DAILY} AND CAST(hour_timestamp AS DATE) = DATE '2024-01-15'",
     "summary_range": f"""{DAILY}
+AND CAST(hour_timestamp AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-21'""",
+    "summary_overwrite": f"""{DAILY}
 AND CAST(hour_timestamp AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-21'""",
     "full_scan_summary": f"{SUMMARY} SELECT {SUMMARY_SHOWN} FROM summary",
     "summary_write_roundtrip": DAILY,
@@ -292,6 +304,35 @@ SELECT base_datetime, {WEATHER_MEASURES}, {DAY_PARTS} FROM decoded""",
   SELECT 'weather' AS feed, {DAY_PARTS} FROM decoded_weather
 )
 SELECT feed, year, month, day, count(*) AS n FROM both_feeds GROUP BY ALL""",
+    "ingest_quarantine": f"""{DECODED_POWER}, texts AS (
+  SELECT {KIND} AS kind, 60000 + 50 * value AS demand, 5000 + 10 * value AS reserve,
+         {POWER_TIME} AS time,
+         '{{"base_datetime":"' || {POWER_TIME} || '",' || printf(
+           '"current_demand_mw":%.2f,"reserve_power_mw":%.2f', 60000 + 50 * value, 5000 + 10 * value
+         ) || '}}' AS whole
+  FROM events WHERE event_type <> 'view'
+)
+SELECT base_datetime, {_double('current_demand_mw')}, {_double('reserve_power_mw')},
+       CAST(NULL AS VARCHAR) AS text
+FROM decoded WHERE kind >= 6 AND kind NOT IN (8, 9, 17)
+UNION ALL
+SELECT NULL, NULL, NULL,
+       CASE WHEN kind < 3 THEN 'not json' WHEN kind < 6 THEN substr(whole, 1, 25)
+            WHEN kind < 10 THEN printf(
+              '{{"base_datetime":"%s","current_demand_mw":%.2f,"reserve_power_mw":"%.2f"}}',
+              time, demand, reserve)
+            ELSE '[' || whole || ']' END
+FROM texts WHERE kind < 6 OR kind IN (8, 9, 17)""",
+    "publish_stream": f"""{REJECTS}, read_power AS (
+  SELECT '{{"base_datetime":"' || {POWER_TIME} || '","current_demand_mw":'
+         || CAST(CAST(60000 + 50 * value AS FLOAT) AS VARCHAR) || ',"reserve_power_mw":'
+         || CAST(CAST(CASE WHEN {KIND} BETWEEN 21 AND 29 THEN 0 ELSE 5000 + 10 * value END AS FLOAT)
+              AS VARCHAR) || '}}' AS text
+  FROM events WHERE event_type <> 'view' AND {KIND} >= 17 AND {KIND} NOT BETWEEN 30 AND 33
+)
+SELECT 'message' AS kind, text FROM read_power
+UNION ALL
+SELECT reject_reason, payload FROM rejects WHERE feed = 'power' AND reject_reason IS NOT NULL""",
     "stream_alerts": ALERTS,
     "late_day_rerun": DAILY,
 }

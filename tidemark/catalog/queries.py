@@ -26,7 +26,7 @@ from tidemark.schemas import (
     WEATHER_TIME_FORMAT,
     with_id,
 )
-from tidemark.session import new_folder
+from tidemark.session import new_folder, remove_folder
 
 RUN_DATE = dt.date(2024, 1, 16)
 RANGE_START, RANGE_END = dt.date(2024, 1, 8), dt.date(2024, 1, 21)
@@ -57,22 +57,42 @@ def _feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return feeds.power_feed(source), feeds.weather_feed(source)
 
 
-# The raw tables, landed once per application and folder of tables.
-_landed: dict[tuple[str, str], str] = {}
+# The raw tables last landed from a folder of tables, and the files they came from.
+_landed: dict[tuple[str, str], tuple[list[tuple], str]] = {}
+
+
+def _files(source: DataFrame) -> list[tuple]:
+    """Name, length and time of change of each file of a table."""
+    listed = []
+    context = source.sparkSession.sparkContext
+    for name in sorted(source.inputFiles()):
+        path = context._jvm.org.apache.hadoop.fs.Path(context._jvm.java.net.URI(name))
+        status = path.getFileSystem(context._jsc.hadoopConfiguration()).getFileStatus(path)
+        listed.append((name, status.getLen(), status.getModificationTime()))
+    return listed
 
 
 def _lake(spark: SparkSession, sf_dir: str) -> str:
-    """Root of the raw tables power and weather, landed from the feeds' messages."""
+    """Root of the raw tables power and weather, landed from the feeds' messages.
+
+    Landed once for the files as they are: after any change of them the tables
+    are landed anew and the earlier ones removed.
+    """
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _landed or not _still_there(spark, _landed[key]):
-        root = new_folder(spark, "lake")
-        power, weather = _feeds(spark, sf_dir)
-        power_rows = streaming.land(sources.encode(power), POWER_WITH_ID)
-        weather_rows = streaming.land(sources.encode(weather), WEATHER_WITH_ID)
-        sources.write_days(power_rows, f"{root}/power")
-        sources.write_days(weather_rows, f"{root}/weather")
-        _landed[key] = root
-    return _landed[key]
+    files = _files(feeds.events(spark, sf_dir))
+    before = _landed.get(key)
+    if before and before[0] == files and _still_there(spark, before[1]):
+        return before[1]
+    root = new_folder(spark, "lake")
+    power, weather = _feeds(spark, sf_dir)
+    power_rows = streaming.land(sources.encode(power), POWER_WITH_ID)
+    weather_rows = streaming.land(sources.encode(weather), WEATHER_WITH_ID)
+    sources.write_days(power_rows, f"{root}/power")
+    sources.write_days(weather_rows, f"{root}/weather")
+    _landed[key] = (files, root)
+    if before:
+        remove_folder(spark, before[1])
+    return root
 
 
 def _still_there(spark: SparkSession, lake: str) -> bool:
@@ -246,6 +266,20 @@ def dedup_power(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(ops.dedup(_feeds(spark, sf_dir)[0], tie_break=ID))
 
 
+def dedup_power_no_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some readings lack their id; those of one time are alike but for where they stand."""
+    power, _ = _feeds(spark, sf_dir)
+    lost = F.col(ID) % 3 == 0
+    told = power.withColumns(
+        {
+            "current_demand_mw": F.when(lost, F.lit(60000.0).cast("float")).otherwise(F.col("current_demand_mw")),
+            "reserve_power_mw": F.when(lost, F.lit(5000.0).cast("float")).otherwise(F.col("reserve_power_mw")),
+            ID: F.when(~lost, F.col(ID)),
+        }
+    )
+    return shown(ops.dedup(told, tie_break=ID))
+
+
 def dedup_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(ops.dedup(_feeds(spark, sf_dir)[1], tie_break=ID))
 
@@ -297,28 +331,47 @@ def full_scan_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def summary_write_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every day summarised into a table, one of them again, and the table read back."""
+    """Every day summarised into a table that holds a day no longer there, then one day again."""
     lake, table = _lake(spark, sf_dir), new_folder(spark, "warehouse")
     everything = plans.summary_range(spark, lake, None, None, tie_break=ID)
-    sources.write_days(everything, table)
+    withdrawn = {"year": F.lit(2023), "month": F.lit("12"), "day": F.lit("31")}
+    sources.write_days(everything.withColumns(withdrawn), table)
+    plans.write_range(spark, lake, table, None, None, tie_break=ID)
     plans.write_daily_summary(spark, lake, table, RUN_DATE, tie_break=ID)
     return shown(sources.read_summary(spark, table))
 
 
+def summary_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of every day, overwritten by a range of days."""
+    lake, table = _lake(spark, sf_dir), new_folder(spark, "warehouse")
+    plans.write_range(spark, lake, table, None, None, tie_break=ID)
+    plans.write_range(spark, lake, table, RANGE_START, RANGE_END, "overwrite", tie_break=ID)
+    return shown(sources.read_summary(spark, table))
+
+
 # Streams: the tables come as one backlog, in whatever order their files are
 
 
-def _ingest(messages: DataFrame, schema: StructType, path: str, checkpoint: str) -> StreamingQuery:
+def _ingest(
+    messages: DataFrame, schema: StructType, path: str, checkpoint: str, gather_days: bool = True
+) -> StreamingQuery:
     return streaming.start_ingest(
-        messages, schema, path, checkpoint, ONCE, gather_days=True
+        messages, schema, path, checkpoint, ONCE, gather_days=gather_days
     )
 
 
-def _ingested(spark: SparkSession, messages: DataFrame, schema: StructType, label: str, runs: int = 1) -> str:
+def _ingested(
+    spark: SparkSession,
+    messages: DataFrame,
+    schema: StructType,
+    label: str,
+    runs: int = 1,
+    gather_days: bool = True,
+) -> str:
     """Root of a raw table after streaming all messages into it."""
     path, checkpoint = new_folder(spark, label), new_folder(spark, f"{label}-checkpoint")
     for _ in range(runs):
-        _ingest(messages, schema, path, checkpoint).awaitTermination()
+        _ingest(messages, schema, path, checkpoint, gather_days).awaitTermination()
     return path
 
 
@@ -329,8 +382,9 @@ def ingest_power_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_weather_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without a shuffle: each task writes the days it holds."""
     messages = feeds.weather_messages(feeds.events_stream(spark, sf_dir))
-    path = _ingested(spark, messages, WEATHER_SCHEMA, "weather")
+    path = _ingested(spark, messages, WEATHER_SCHEMA, "weather", gather_days=False)
     return shown(sources.read_raw(spark, path, WEATHER_SCHEMA))
 
 
@@ -373,8 +427,47 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(spark.read.schema(POWER_SCHEMA).parquet(path))
 
 
+def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Power messages: readings of those that fit, and the texts of those that don't."""
+    messages = feeds.power_messages(feeds.events_stream(spark, sf_dir))
+    path, aside = new_folder(spark, "fitting"), new_folder(spark, "quarantine")
+    checkpoint = new_folder(spark, "quarantine-checkpoint")
+    running = [
+        streaming.start_ingest(
+            messages, POWER_SCHEMA, path, f"{checkpoint}/fitting", ONCE, fitting_only=True
+        ),
+        streaming.start_quarantine(messages, POWER_SCHEMA, aside, f"{checkpoint}/aside", ONCE),
+    ]
+    for query in running:
+        query.awaitTermination()
+    readings = shown(sources.read_raw(spark, path, POWER_SCHEMA).drop(*DAY_COLUMNS))
+    return readings.unionByName(spark.read.schema("text string").parquet(aside), True)
+
+
+def publish_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw power responses streamed into messages and rejects, twice; the second run adds nothing."""
+    raw, out = new_folder(spark, "responses"), new_folder(spark, "published")
+    feeds.power_responses(feeds.events(spark, sf_dir)).drop(ID).write.parquet(raw)
+    for _ in range(2):
+        streaming.start_publish(
+            spark.readStream.schema("fetched_at timestamp, payload string").parquet(raw),
+            sources.parse_power,
+            POWER_SCHEMA,
+            streaming.to_folder(f"{out}/messages"),
+            f"{out}/checkpoint",
+            key=F.lit("power"),
+            rejects=f"{out}/rejects",
+            trigger=ONCE,
+        ).awaitTermination()
+    sent = spark.read.schema("key binary, value binary").parquet(f"{out}/messages")
+    rejects = spark.read.schema("reject_reason string, payload string").parquet(f"{out}/rejects")
+    return sent.select(
+        F.lit("message").alias("kind"), F.col("value").cast("string").alias("text")
+    ).unionAll(rejects.select("reject_reason", "payload"))
+
+
 def late_day_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Days summarised, then again after late power readings (the errors) came in."""
+    """Days summarised, then those again that late power readings (the errors) came in for."""
     source = feeds.events(spark, sf_dir)
     wire, root = new_folder(spark, "wire"), new_folder(spark, "late")
     checkpoint, table = new_folder(spark, "late-checkpoint"), new_folder(spark, "late-warehouse")
@@ -386,19 +479,19 @@ def late_day_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
         messages = spark.readStream.schema("value binary").parquet(f"{wire}/{feed}")
         _ingest(messages, schema, f"{root}/{feed}", f"{checkpoint}/{feed}").awaitTermination()
 
-    def summarise() -> None:
-        summary = plans.summary_range(spark, root, None, None, tie_break=ID)
-        sources.write_days(summary, table)
-
     late = F.col("event_type") == "error"
     arrive("weather", feeds.weather_feed(source))
     arrive("power", feeds.power_feed(source.filter(~late)))
     ingest("weather", WEATHER_WITH_ID)
     ingest("power", POWER_WITH_ID)
-    summarise()
+    plans.write_range(spark, root, table, None, None, tie_break=ID)
+    since = {
+        "power": sources.last_change(spark, f"{root}/power", POWER_SCHEMA),
+        "weather": sources.last_change(spark, f"{root}/weather", WEATHER_SCHEMA),
+    }
     arrive("power", feeds.power_feed(source.filter(late)))
     ingest("power", POWER_WITH_ID)
-    summarise()
+    plans.write_changed_days(spark, root, table, since, tie_break=ID)
     return shown(sources.read_summary(spark, table))
 
 
@@ -424,6 +517,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         alert_message,
         reserve_alerts,
         dedup_power,
+        dedup_power_no_id,
         dedup_weather,
         hourly_join,
         temp_demand_corr,
@@ -433,10 +527,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         summary_range,
         full_scan_summary,
         summary_write_roundtrip,
+        summary_overwrite,
         ingest_power_lake,
         ingest_weather_lake,
         ingest_restart,
         ingest_both,
+        ingest_quarantine,
+        publish_stream,
         stream_alerts,
         late_day_rerun,
     )

@@ -20,6 +20,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--alert-topic", help="send alerts here instead of the console")
     parser.add_argument("--alert-table", help="append alerts to this Parquet folder instead")
     parser.add_argument("--checkpoint", help="needed with a topic or table")
+    parser.add_argument("--every", help="trigger interval, such as '1 minute'")
+    parser.add_argument("--max-offsets", type=int, help="messages per batch")
+    parser.add_argument("--min-partitions", type=int, help="tasks per batch, at least")
+    parser.add_argument("--accept-data-loss", action="store_true")
     args = parser.parse_args(argv)
     if (args.alert_topic or args.alert_table) and not args.checkpoint:
         parser.error("a topic or table needs --checkpoint")
@@ -37,9 +41,17 @@ def sink(args: argparse.Namespace) -> tuple[str, dict[str, str]]:
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
     spark = SparkSession.builder.appName("tidemark-monitor").getOrCreate()
-    messages = kafka_messages(spark, args.servers, args.topic)
+    messages = kafka_messages(
+        spark,
+        args.servers,
+        args.topic,
+        fail_on_data_loss=False if args.accept_data_loss else None,
+        max_offsets_per_trigger=args.max_offsets,
+        min_partitions=args.min_partitions,
+    )
     name, options = sink(args)
-    query = start_monitor(messages, args.threshold, name, options, args.checkpoint)
+    trigger = {"processingTime": args.every} if args.every else None
+    query = start_monitor(messages, args.threshold, name, options, args.checkpoint, trigger)
     run_until_any_ends(spark, [query])
 
 

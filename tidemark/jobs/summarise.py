@@ -9,9 +9,9 @@ import datetime as dt
 from pyspark.sql import SparkSession
 
 from tidemark.operators import days_skipped
-from tidemark.plans import summary_range
+from tidemark.plans import write_range
 from tidemark.schemas import POWER_SCHEMA, WEATHER_SCHEMA
-from tidemark.sources import read_days, write_days
+from tidemark.sources import read_days
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -25,6 +25,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     )
     parser.add_argument("--start", type=dt.date.fromisoformat, help="first day of a range")
     parser.add_argument("--end", type=dt.date.fromisoformat, help="last day of a range")
+    parser.add_argument("--time-zone", required=True, help="zone of the readings' wall clock")
     parser.add_argument("--mode", choices=["replace", "append", "overwrite"], default="replace")
     parser.add_argument(
         "--without-weather", action="store_true", help="keep days that lack weather"
@@ -32,6 +33,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     args = parser.parse_args(argv)
     if bool(args.start) != bool(args.end) or (args.start and args.run_date):
         parser.error("give --run-date, or both --start and --end")
+    if args.mode == "overwrite" and not args.start:
+        parser.error("overwrite replaces the whole table: give --start and --end")
     return args
 
 
@@ -46,15 +49,16 @@ def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
     start, end = days(args)
     spark = SparkSession.builder.appName("tidemark-summarise").getOrCreate()
-    summary = summary_range(
-        spark, args.lake, start, end, require_both=not args.without_weather
+    spark.conf.set("spark.sql.session.timeZone", args.time_zone)
+    write_range(
+        spark, args.lake, args.warehouse, start, end, args.mode, require_both=not args.without_weather
     )
-    write_days(summary, args.warehouse, args.mode)
     power = read_days(spark, f"{args.lake}/power", POWER_SCHEMA, start, end)
     weather = read_days(spark, f"{args.lake}/weather", WEATHER_SCHEMA, start, end)
     # One row per day at most.
     for day in days_skipped(power, weather).collect():
-        print(f"{day.year}-{day.month}-{day.day}: no {day.missing_feed} readings")
+        if not (args.without_weather and day.missing_feed == "weather"):
+            print(f"{day.year}-{day.month}-{day.day}: no {day.missing_feed} readings")
 
 
 if __name__ == "__main__":

@@ -1,9 +1,12 @@
 """One reading per event time."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.schemas import DAY_COLUMNS
+
 LAST = 2**63 - 1
+HASH_BITS = 62
 
 
 def dedup(
@@ -14,26 +17,41 @@ def dedup(
 ) -> DataFrame:
     """Keep one whole row per key, the same one on every run.
 
-    The survivor has the lowest ``tie_break`` (a whole-number column without
-    repeats within a key; rows that lack it come last), or without one the
-    lowest hash of the columns carried, which are all unless ``carry`` names
-    some. It is an aggregate, not a window: each task first reduces its own
-    rows to one per key, so a key that holds a third of the table sends one row
-    per task through the shuffle, and nothing is sorted. Rows with a NULL key
-    count as one key.
+    The survivor has the lowest ``tie_break`` (a whole-number column; rows that
+    lack it come last) and among equals, or without such a column, the lowest
+    hash of the columns carried, which are all unless ``carry`` names some. It
+    is an aggregate, not a window: each task first reduces its own rows to one
+    per key, so a key that holds a third of the table sends one row per task
+    through the shuffle. Rows with a NULL key count as one key.
+
+    Nothing is sorted as long as what is carried are numbers. The day columns
+    of a raw table are parts of its event time, so they join the key instead of
+    being carried; any other text makes the aggregate sort its rows, twice, so
+    name in ``carry`` what is needed.
     """
     columns = readings.columns if carry is None else [key, *carry]
-    carried = [c for c in columns if c != key]
+    keys = [key, *(c for c in columns if c in DAY_COLUMNS and key == "base_datetime")]
+    carried = [c for c in columns if c not in keys]
     if not carried:
-        return readings.select(key).distinct()
-    if tie_break is None:
-        # A hash skips NULLs, so say where they are.
-        rank = F.xxhash64(*[part for c in carried for part in (F.col(c), F.col(c).isNull())])
-    else:
-        rank = F.coalesce(F.col(tie_break).cast("long"), F.lit(LAST))
+        return readings.select(*columns).distinct()
+    # A hash skips NULLs, so say where they are.
+    told = [part for c in carried if c != tie_break for part in (F.col(c), F.col(c).isNull())]
+    rank = F.xxhash64(*told) if told else F.lit(0).cast("long")
+    if tie_break is not None:
+        rank = _before(F.coalesce(F.col(tie_break).cast("long"), F.lit(LAST)), rank)
     survivors = (
         readings.withColumn("_rank", rank)
-        .groupBy(key)
+        .groupBy(*keys)
         .agg(*[F.min_by(c, "_rank").alias(c) for c in carried])
     )
-    return survivors if columns[0] == key else survivors.select(*columns)
+    return survivors if survivors.columns == columns else survivors.select(*columns)
+
+
+def _before(first: Column, second: Column) -> Column:
+    """A number that orders by the first long and then by the second's lower bits.
+
+    It has a fixed width, unlike a struct, which would make the aggregate sort.
+    """
+    low = second.bitwiseAND(F.lit((1 << HASH_BITS) - 1))
+    high = first.cast("decimal(19,0)") * F.lit(1 << HASH_BITS).cast("decimal(19,0)")
+    return (high + low.cast("decimal(19,0)")).cast("decimal(38,0)")

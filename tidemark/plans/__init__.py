@@ -2,7 +2,16 @@ from tidemark.plans.summary import (
     daily_summary,
     full_scan_summary,
     summary_range,
+    write_changed_days,
     write_daily_summary,
+    write_range,
 )
 
-__all__ = ["daily_summary", "full_scan_summary", "summary_range", "write_daily_summary"]
+__all__ = [
+    "daily_summary",
+    "full_scan_summary",
+    "summary_range",
+    "write_changed_days",
+    "write_daily_summary",
+    "write_range",
+]

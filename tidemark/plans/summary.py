@@ -3,11 +3,12 @@
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.operators.hourly import hourly_summary, summarise_days
-from tidemark.schemas import POWER_SCHEMA, WEATHER_SCHEMA, with_id
-from tidemark.sources.lake import read_days, read_raw, write_days
+from tidemark.schemas import DAY_COLUMNS, POWER_SCHEMA, WEATHER_SCHEMA, with_id
+from tidemark.sources.lake import days_since, read_days, read_raw, within, write_days
 
 
 def summary_range(
@@ -37,6 +38,25 @@ def daily_summary(
     return summary_range(spark, lake, day, day, require_both, tie_break)
 
 
+def write_range(
+    spark: SparkSession,
+    lake: str,
+    warehouse: str,
+    start: dt.date | None,
+    end: dt.date | None,
+    mode: str = "replace",
+    require_both: bool = True,
+    tie_break: str | None = None,
+) -> None:
+    """Summarise every day of the range into the warehouse table.
+
+    In mode ``replace`` the table then holds of the range what the raw tables give:
+    a day that no longer gives any rows is removed.
+    """
+    summary = summary_range(spark, lake, start, end, require_both, tie_break)
+    write_days(summary, warehouse, mode, within(start, end))
+
+
 def write_daily_summary(
     spark: SparkSession,
     lake: str,
@@ -47,8 +67,47 @@ def write_daily_summary(
     tie_break: str | None = None,
 ) -> None:
     """Summarise the day before the run date into the warehouse table."""
-    summary = daily_summary(spark, lake, run_date, require_both, tie_break)
-    write_days(summary, warehouse, mode)
+    day = run_date - dt.timedelta(days=1)
+    write_range(spark, lake, warehouse, day, day, mode, require_both, tie_break)
+
+
+def write_changed_days(
+    spark: SparkSession,
+    lake: str,
+    warehouse: str,
+    since: dict[str, dt.datetime | None],
+    require_both: bool = True,
+    tie_break: str | None = None,
+) -> list[dt.date]:
+    """Summarise again the days that either raw table got files for after a time; those days.
+
+    ``since`` has a time for each feed, as ``last_change`` gave it before; None
+    takes all days. Only the folders of the days are read and written.
+    """
+    schemas = dict(zip(("power", "weather"), _schemas(tie_break), strict=True))
+    always = dt.datetime(1, 1, 2)
+    changed = {
+        day
+        for feed, schema in schemas.items()
+        for day in days_since(spark, f"{lake}/{feed}", schema, since.get(feed) or always)
+    }
+    if not changed:
+        return []
+    chosen = F.struct(*DAY_COLUMNS).isin([F.struct(*map(F.lit, day)) for day in sorted(changed)])
+    power, weather = (
+        read_raw(spark, f"{lake}/{feed}", schema).filter(chosen) for feed, schema in schemas.items()
+    )
+    days = {day for day in map(_date, changed) if day is not None}
+    summary = summarise_days(power, weather, tie_break, require_both)
+    write_days(summary, warehouse, stands_for=days.__contains__)
+    return sorted(days)
+
+
+def _date(parts: tuple[str, ...]) -> dt.date | None:
+    try:
+        return dt.date(*map(int, parts))
+    except ValueError:
+        return None
 
 
 def full_scan_summary(

@@ -7,11 +7,14 @@ import uuid
 from pyspark.sql import SparkSession
 
 _own_folders: dict[str, str] = {}
+_made: set[str] = set()
 
 
-def local_session(cpus: int | str = "*", app_name: str = "tidemark") -> SparkSession:
+def local_session(
+    cpus: int | str = "*", app_name: str = "tidemark", options: dict[str, str] | None = None
+) -> SparkSession:
     """Session for one machine. On a cluster use the session spark-submit gives."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app_name)
         .config("spark.sql.shuffle.partitions", "8")
@@ -19,8 +22,8 @@ def local_session(cpus: int | str = "*", app_name: str = "tidemark") -> SparkSes
         .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    return builder.config(map=options or {}).getOrCreate()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -36,6 +39,31 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folders[context.applicationId]
 
 
+def _application_folder(spark: SparkSession) -> str:
+    """Folder below the shared one for this application; gone when its driver ends."""
+    context = spark.sparkContext
+    path = f"{shared_folder(spark)}/tidemark/{context.applicationId}"
+    if path not in _made:
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        system = place.getFileSystem(context._jsc.hadoopConfiguration())
+        system.mkdirs(place)
+        system.deleteOnExit(place)
+        _made.add(path)
+    return path
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
-    """Path of a folder no other run uses; Spark creates it when it writes."""
-    return f"{shared_folder(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    """Path of a folder no other run uses; Spark creates it when it writes.
+
+    It lasts as long as the application: what is to stay belongs elsewhere.
+    """
+    return f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``new_folder`` named, if it is there."""
+    if not path.startswith(_application_folder(spark) + "/"):
+        raise ValueError(f"not a folder of this application: {path}")
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.delete(place, True)

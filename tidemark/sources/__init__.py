@@ -3,7 +3,15 @@ from tidemark.sources.json_responses import (
     parse_weather,
     pivot_observations,
 )
-from tidemark.sources.lake import read_days, read_raw, read_summary, write_days
+from tidemark.sources.lake import (
+    days_since,
+    last_change,
+    read_days,
+    read_raw,
+    read_summary,
+    within,
+    write_days,
+)
 from tidemark.sources.messages import file_messages, kafka_messages, publish
 from tidemark.sources.responses import accepted, reject_report, rejected
 from tidemark.sources.wire import (
@@ -17,12 +25,14 @@ from tidemark.sources.xml_responses import parse_power
 
 __all__ = [
     "accepted",
+    "days_since",
     "decode",
     "decode_once",
     "decode_with_corrupt",
     "encode",
     "file_messages",
     "kafka_messages",
+    "last_change",
     "observation_items",
     "parse_power",
     "parse_weather",
@@ -34,5 +44,6 @@ __all__ = [
     "read_summary",
     "reject_report",
     "rejected",
+    "within",
     "write_days",
 ]

@@ -6,6 +6,7 @@ columns and, below a streaming sink, see files of batches never committed.
 """
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,13 +22,19 @@ def within_days(start: dt.date | None, end: dt.date | None) -> Column:
         year, month, day = start.strftime("%Y %m %d").split()
         return (F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day)
     bounds = date.isNotNull()
+    # The plain bounds on the year, zero-padded text, also serve a metastore.
     if start is not None:
-        bounds = bounds & (date >= F.lit(start))
+        bounds = bounds & (F.col("year") >= start.strftime("%Y")) & (date >= F.lit(start))
     if end is not None:
-        bounds = bounds & (date <= F.lit(end))
+        bounds = bounds & (F.col("year") <= end.strftime("%Y")) & (date <= F.lit(end))
     return bounds
 
 
+def within(start: dt.date | None, end: dt.date | None) -> Callable[[dt.date], bool]:
+    """Whether a day belongs to the range, both ends included."""
+    return lambda day: (start is None or day >= start) and (end is None or day <= end)
+
+
 def read_raw(spark: SparkSession, root: str, message: StructType) -> DataFrame:
     """A raw table as a whole, undated rows included."""
     return spark.read.schema(raw_schema(message)).parquet(root)
@@ -49,16 +56,68 @@ def read_summary(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(SUMMARY_SCHEMA).parquet(root)
 
 
-def write_days(frame: DataFrame, root: str, mode: str = "replace") -> None:
+def days_since(spark: SparkSession, root: str, message: StructType, since: dt.datetime) -> list[tuple]:
+    """The days of a raw table, as their column values, that got files after a point in time.
+
+    Times are those the store gives files; no data column is read. At most one
+    row per day comes to the driver.
+    """
+    changed = F.col("_metadata.file_modification_time") > F.lit(since)
+    days = read_raw(spark, root, message).filter(changed).select(*DAY_COLUMNS).distinct()
+    return sorted(tuple(r) for r in days.dropna().collect())
+
+
+def last_change(spark: SparkSession, root: str, message: StructType) -> dt.datetime | None:
+    """When the newest file of a raw table was written; None if it has none."""
+    newest = F.max("_metadata.file_modification_time").alias("newest")
+    return read_raw(spark, root, message).agg(newest).first()["newest"]
+
+
+def _day_files(spark: SparkSession, root: str) -> dict[dt.date, tuple[str, frozenset[str]]]:
+    """Folder and file names of each dated day of a table; empty if there is no table."""
+    context = spark.sparkContext
+    hadoop = context._jvm.org.apache.hadoop.fs
+    pattern = hadoop.Path(f"{root}/year=*/month=*/day=*")
+    system = pattern.getFileSystem(context._jsc.hadoopConfiguration())
+    found = {}
+    for status in system.globStatus(pattern) or []:
+        folder = status.getPath()
+        parts = [part.split("=")[1] for part in folder.toString().split("/")[-3:]]
+        try:
+            day = dt.date(*map(int, parts))
+        except ValueError:
+            continue
+        names = frozenset(f.getPath().getName() for f in system.listStatus(folder))
+        found[day] = (folder.toString(), names)
+    return found
+
+
+def _drop_days(spark: SparkSession, folders: list[str]) -> None:
+    context = spark.sparkContext
+    for folder in folders:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def write_days(
+    frame: DataFrame,
+    root: str,
+    mode: str = "replace",
+    stands_for: Callable[[dt.date], bool] | None = None,
+) -> None:
     """Write a frame that has the day columns.
 
     ``replace`` overwrites exactly the days the frame holds, so writing a day
-    again changes nothing; the frame must hold such days whole. ``append`` adds
-    rows, ``overwrite`` replaces the table.
+    again changes nothing; the frame must hold such days whole. With
+    ``stands_for`` the frame is also all there is of the days it is true of:
+    those of them that the table holds and the frame doesn't are removed.
+    ``append`` adds rows, ``overwrite`` replaces the table.
 
     The rebalance gathers each day into few files and splits a day that holds
     far more rows than others, which hashing on the day would send to one task.
     """
+    spark = frame.sparkSession
+    before = _day_files(spark, root) if mode == "replace" and stands_for else {}
     writer = frame.hint("rebalance", *DAY_COLUMNS).write.partitionBy(*DAY_COLUMNS)
     if mode == "replace":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -69,3 +128,8 @@ def write_days(frame: DataFrame, root: str, mode: str = "replace") -> None:
     else:
         raise ValueError(f"unknown mode: {mode}")
     writer.parquet(root)
+    if before:
+        after = _day_files(spark, root)
+        # A day that was written has new files; one with its old files got no rows.
+        kept = [day for day in before if stands_for(day) and after.get(day) == before[day]]
+        _drop_days(spark, [before[day][0] for day in kept])
