@@ -72,16 +72,16 @@ def _files(source: DataFrame) -> list[tuple]:
     return listed
 
 
-def _lake(spark: SparkSession, sf_dir: str) -> str:
+def _lake(spark: SparkSession, sf_dir: str, anew: bool = False) -> str:
     """Root of the raw tables power and weather, landed from the feeds' messages.
 
-    Landed once for the files as they are: after any change of them the tables
-    are landed anew and the earlier ones removed.
+    Landed once for the files as they are: after any change of them, or when
+    asked to, the tables are landed anew and the earlier ones removed.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
     files = _files(feeds.events(spark, sf_dir))
     before = _landed.get(key)
-    if before and before[0] == files and _still_there(spark, before[1]):
+    if before and not anew and before[0] == files and _still_there(spark, before[1]):
         return before[1]
     root = new_folder(spark, "lake")
     power, weather = _feeds(spark, sf_dir)
@@ -95,6 +95,11 @@ def _lake(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+def land_feeds(spark: SparkSession, sf_dir: str) -> None:
+    """Land the raw tables that seven queries read, whatever was landed before."""
+    _lake(spark, sf_dir, anew=True)
+
+
 def _still_there(spark: SparkSession, lake: str) -> bool:
     """Whether nobody has cleared the shared folder meanwhile."""
     try:

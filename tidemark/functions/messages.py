@@ -3,19 +3,16 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The message, line by line.
-FAILURE_LINES = [
-    ":red_circle: **Task Failed** :red_circle:",
-    "*DAG*: %s",
-    "*Task*: %s",
-    "*Date*: %s",
-    "*Error*: %s",
-]
-LINE_START = "\n    "
+# The message, and the word for what is missing.
+FAILURE_TEMPLATE = """
+    :red_circle: **Task Failed** :red_circle:
+    *DAG*: %s
+    *Task*: %s
+    *Date*: %s
+    *Error*: %s
+    """
 MISSING = "None"
 
-FAILURE_TEMPLATE = LINE_START + LINE_START.join(FAILURE_LINES) + LINE_START
-
 
 def failure_message(job: Column, task: Column, date: Column, error: Column) -> Column:
     """One message per row; a missing field shows as the word None."""
