@@ -27,6 +27,23 @@ def whole_text(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
+def same_row(docs: DataFrame, id_column: str, text_column: str) -> tuple[DataFrame, Column]:
+    """Rows as (row, row_id, row_content), and the condition that a verdict (id, content) is on one.
+
+    The content is a hash of the text: it tells rows apart that share an id or lack one.
+    """
+    rows = docs.select(
+        F.struct("*").alias("row"),
+        F.col(id_column).alias("row_id"),
+        content(text_column).alias("row_content"),
+    )
+    return rows, F.col("row_id").eqNullSafe(F.col("id")) & (F.col("row_content") == F.col("content"))
+
+
+def content(text_column: str) -> Column:
+    return F.xxhash64(whole_text(text_column))
+
+
 def fold(column: str, folds: int) -> Column:
     """crc32 of the id's text, modulo folds; 0 for a null id."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % folds, F.lit(0))

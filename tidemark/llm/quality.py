@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fold, record_batch, slices, written
+from tidemark.llm.common import content, fold, record_batch, same_row, slices, written
 
 FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.3
@@ -87,17 +87,24 @@ def statistics(data: bytes) -> list[float]:
 
 
 def document_statistics(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Written table, a row per row: id and x, the statistics of its whole text (null as empty)."""
+    """Written table, a row per row: id, content (a hash of the text) and x, the statistics of the
+    whole text (null as empty)."""
     kind = dict(docs.dtypes)[id_column]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 1):
             x = [statistics(t or b"") for t in part.column(1).cast(pa.binary()).to_pylist()]
-            schema = pa.schema([part.schema.field(0).with_name("id"), ("x", pa.list_(pa.float64()))])
-            yield record_batch(schema, part.column(0), x)
+            schema = pa.schema(
+                [part.schema.field(0), part.schema.field(2), ("x", pa.list_(pa.float64()))]
+            )
+            yield record_batch(schema, part.column(0), part.column(2), x)
 
-    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    return written(rows.mapInArrow(run, f"id {kind}, x array<double>"), "document-statistics")
+    rows = docs.select(
+        F.col(id_column).alias("id"), F.col(text_column).alias("text"), content(text_column).alias("content")
+    )
+    return written(
+        rows.mapInArrow(run, f"id {kind}, content long, x array<double>"), "document-statistics"
+    )
 
 
 @dataclass(frozen=True)
@@ -169,7 +176,8 @@ def train(
     """Fit on every labelled row whose fold is not the one held out.
 
     Labels other than 0 and 1 count as none. A row repeated in the labels counts
-    once, a document with both labels once for each. Spark sums up; the driver
+    once, a document with both labels once for each; documents that repeat an id
+    each count. Spark sums up; the driver
     gets one row for each class and entry of the class's moments.
     """
     marked = (
@@ -211,20 +219,35 @@ def score_documents(
     The score depends on the whole text alone; null is scored like an empty text.
     Rows without an id are never held out and never trained on.
     """
+    scored = _scored(docs, labels, threshold, folds, held_out, id_column, text_column, label_column)
+    return scored.drop("content").withColumnRenamed("id", id_column)
+
+
+def _scored(
+    docs: DataFrame,
+    labels: DataFrame,
+    threshold: float = THRESHOLD,
+    folds: int = FOLDS,
+    held_out: int = HELD_OUT,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    label_column: str = "quality",
+) -> DataFrame:
     features = document_statistics(docs, id_column, text_column)
     model = train(features, labels, id_column, label_column, folds, held_out)
     kind = dict(docs.dtypes)[id_column]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = batch.column(1).flatten().to_numpy().reshape(-1, len(STATISTICS))
+            x = batch.column(2).flatten().to_numpy().reshape(-1, len(STATISTICS))
             scores = np.full(len(x), model) if isinstance(model, float) else model.scores(x)
-            schema = pa.schema([batch.schema.field(0), ("score", pa.float64())])
-            yield record_batch(schema, batch.column(0), scores)
+            schema = pa.schema([batch.schema.field(0), batch.schema.field(1), ("score", pa.float64())])
+            yield record_batch(schema, batch.column(0), batch.column(1), scores)
 
-    scored = features.mapInArrow(run, f"id {kind}, score double")
+    scored = features.mapInArrow(run, f"id {kind}, content long, score double")
     return scored.select(
-        F.col("id").alias(id_column),
+        "id",
+        "content",
         (F.col("id").isNotNull() & (fold("id", folds) == held_out)).alias("held_out"),
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
@@ -232,9 +255,8 @@ def score_documents(
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The documents predicted good, with all their columns. Rows that repeat an id are judged
-    by their own texts; those of one id that differ in verdict all stay."""
-    scored = score_documents(docs, labels, id_column=id_column, text_column=text_column)
-    good = scored.filter("predicted = 1").select(F.col(id_column).alias("id")).distinct()
-    rows = docs.select(F.struct("*").alias("row"), F.col(id_column).alias("here"))
-    return rows.join(good, F.col("here").eqNullSafe(F.col("id")), "left_semi").select("row.*")
+    """The documents predicted good, with all their columns, each row by its own text."""
+    scored = _scored(docs, labels, id_column=id_column, text_column=text_column)
+    good = scored.filter("predicted = 1").select("id", "content").distinct()
+    rows, same = same_row(docs, id_column, text_column)
+    return rows.join(good, same, "left_semi").select("row.*")
