@@ -16,6 +16,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -28,11 +29,22 @@ from tidemark.llm.pieces import PieceIds
 PART_BYTES = 16 << 20
 MANIFEST = "path string, part int, n_docs long, n_null_docs long, n_tokens long, width int"
 INDEX = "doc_id long, start long, n_tokens long, ids_crc32 long"
+_MANIFEST = pa.schema(
+    [
+        ("path", pa.string()),
+        ("part", pa.int32()),
+        ("n_docs", pa.int64()),
+        ("n_null_docs", pa.int64()),
+        ("n_tokens", pa.int64()),
+        ("width", pa.int32()),
+    ]
+)
+_INDEX = pa.schema([(c.split()[0], pa.int64()) for c in INDEX.split(",")])
 
 
 @cache
 def byte_characters() -> dict[int, str]:
-    """The character that stands for each byte in a byte-level vocabulary: itself if it is
+    """The character that stands for each byte in a byte-level vocabulary: itself if it is
     printable Latin-1, else the next character from U+0100 on."""
     shown = {b: chr(b) for b in [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]}
     others = (b for b in range(256) if b not in shown)
@@ -119,11 +131,10 @@ def write_tokens(
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), whole_text(text_column).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // part_bytes))
-    ordered = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id")
+    # The hash lets rows without an id, or with one id, spread over several parts.
+    ordered = rows.repartitionByRange(parts, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
         encoder = _encoder(content.value)
         kind = np.dtype(f"<u{encoder.width}")
         if end_id >= 1 << (8 * encoder.width):
@@ -148,20 +159,7 @@ def write_tokens(
             with files.create(stem + suffix) as out:
                 out.write(np.concatenate(arrays).astype("<i8").tobytes())
         row = (stem, TaskContext.get().partitionId(), written_docs, nulls, total, encoder.width)
-        yield pa.RecordBatch.from_pydict(
-            dict(zip(("path", "part", "n_docs", "n_null_docs", "n_tokens", "width"), ([x] for x in row), strict=True))
-        ).cast(
-            pa.schema(
-                [
-                    ("path", pa.string()),
-                    ("part", pa.int32()),
-                    ("n_docs", pa.int64()),
-                    ("n_null_docs", pa.int64()),
-                    ("n_tokens", pa.int64()),
-                    ("width", pa.int32()),
-                ]
-            )
-        )
+        yield record_batch(_MANIFEST, *([value] for value in row))
 
     return written(ordered.mapInArrow(write, MANIFEST), "token-manifest")
 
@@ -174,7 +172,6 @@ def read_index(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     """
     order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     based = manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(order), F.lit(0)))
-    schema = pa.schema([(c.split()[0], pa.int64()) for c in INDEX.split(",")])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,7 +188,7 @@ def read_index(spark: SparkSession, manifest: DataFrame) -> DataFrame:
                         own = np.frombuffer(source.read_buffer((end - start) * width), f"<u{width}")
                         sums.append(zlib.crc32(own.astype("<u4").tobytes()))
                 docs = pa.array(names, mask=np.arange(len(names)) < row["n_null_docs"])
-                yield record_batch(schema, docs, row["base"] + offsets[:-1], np.diff(offsets), sums)
+                yield record_batch(_INDEX, docs, row["base"] + offsets[:-1], np.diff(offsets), sums)
 
     count = max(1, manifest.count())
     return based.repartition(count).mapInArrow(read, INDEX)
