@@ -1,0 +1,113 @@
+import math
+
+import duckdb
+import numpy as np
+import pytest
+
+from tidemark.llm import ann
+
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def brute(rows, k, every):
+    """Ids and scores of the nearest by the definition, rows that repeat an id as the nearest of them."""
+    usable = [
+        (i, np.array(v, np.float32).astype(float))
+        for i, v in rows
+        if i is not None and v and not any(x is None or not math.isfinite(x) for x in v) and any(v)
+    ]
+    out = {}
+    for q, a in usable:
+        if q % every == 0:
+            best = {}
+            for i, b in usable:
+                if i != q:
+                    best[i] = max(best.get(i, -np.inf), float((a * b).sum()))
+            out[q] = sorted(((-s, i) for i, s in best.items()))[:k]
+    return out
+
+
+def found(frame, **options):
+    out = {}
+    for r in ann.nearest(frame, **options).collect():
+        out.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    return {q: sorted(rows) for q, rows in out.items()}
+
+
+def same(got, want):
+    assert got.keys() == {q for q, rows in want.items() if rows}
+    for q, rows in got.items():
+        assert [r for r, _, _ in rows] == list(range(1, len(rows) + 1))
+        assert [i for _, i, _ in rows] == [i for _, i in want[q]]
+        assert [s for _, _, s in rows] == pytest.approx([-s for s, _ in want[q]], abs=1e-12)
+
+
+def vectors(n, d=8, seed=1):
+    rng = np.random.default_rng(seed)
+    return [(i, rng.normal(size=d).tolist()) for i in range(n)]
+
+
+@pytest.mark.parametrize("options", [{}, {"block_rows": 37, "query_block_rows": 3}, {"k": 5, "query_every": 7}])
+def test_small_tables_are_searched_exactly(spark, options):
+    rows = vectors(300)
+    same(
+        found(spark.createDataFrame(rows, SCHEMA), **options),
+        brute(rows, options.get("k", 20), options.get("query_every", 20)),
+    )
+
+
+def test_odd_rows_ties_and_repeats(spark):
+    rows = vectors(50) + [(100 + i, [1.0] * 8) for i in range(60)] + [(i, [2.0] * 8) for i in (100, 120, 140)]
+    rows += [(200, None), (220, []), (240, [0.0] * 8), (260, [1.0, None] * 4), (280, [float("nan")] * 8)]
+    rows += [(300, [float("inf")] * 8), (320, [1.0] * 7), (None, [1.0] * 8)]
+    frame = spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA + ", score int, part string")
+    same_rows = [r for r in rows if r[0] != 320]
+    got = found(frame)
+    for q in (0, 20, 40):
+        want = brute(same_rows, 20, 20)[q]
+        assert [(i, s) for _, i, s in got[q]] == [(i, pytest.approx(-s)) for s, i in want]
+    assert {200, 220, 240, 260, 280, 300, 320}.isdisjoint(got)
+    assert [i for _, i, _ in got[140]][:2] == [100, 120]
+
+
+def test_fewer_candidates_than_asked(spark):
+    rows = vectors(7)
+    got = found(spark.createDataFrame(rows, SCHEMA))
+    same(got, brute(rows, 20, 20))
+    assert len(got[0]) == 6
+    assert found(spark.createDataFrame([], SCHEMA)) == {}
+    assert found(spark.createDataFrame(rows[:1], SCHEMA)) == {}
+
+
+def test_parts_are_balanced_and_cut_few_links():
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(8, 16)) * 3
+    points = np.concatenate([c + rng.normal(size=(100, 16)) * 0.3 for c in centres])
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    graph = ann.neighbour_graph(points, 8)
+    part = ann.balanced_parts(graph, 8)
+    assert np.bincount(part).min() >= 94 and np.bincount(part).max() <= 106
+    assert (part[graph] == part[:, None]).mean() > 0.9
+
+
+def test_recall_with_parts(spark):
+    rows = duckdb.sql("SELECT vec_id, embedding FROM '/root/testdata/sf0.1/embeddings.parquet'").fetchall()
+    rows += [(i + 100_000, v) for i, v in vectors(1500, 64)] + [(i, rows[0][1]) for i in range(200_001, 200_900)]
+    options = {"parts": 8, "least_parted": 100, "sample_rows": 2000, "block_rows": 400}
+    got = found(spark.createDataFrame(rows, SCHEMA), **options)
+    want = brute(rows, 20, 20)
+    assert got.keys() == want.keys()
+    share = np.mean([len({i for _, i, _ in got[q]} & {i for _, i in want[q]}) / 20 for q in want])
+    assert share >= 0.9
+    exact = {(q, i): s for q, near in want.items() for s, i in near}
+    for q, near in got.items():
+        assert [(-s, i) for _, i, s in near] == sorted((-s, i) for _, i, s in near)
+        assert all(-exact[q, i] == pytest.approx(s, abs=1e-12) for _, i, s in near if (q, i) in exact)
+
+
+def test_a_learned_router_beats_chance():
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(16, 16)) * 2
+    sample = np.concatenate([c + rng.normal(size=(128, 16)) * 0.3 for c in centres])
+    router = ann.train_router(sample, 8)
+    assert router.parts == 8 and router.probes <= 4

@@ -1,0 +1,74 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import exact_dedup
+
+
+def weak(text):
+    """A hash that makes different texts of one length collide."""
+    return F.length(text).cast("string").cast("binary")
+
+
+def marked(frame):
+    return {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in frame.collect()}
+
+
+@pytest.mark.parametrize("hashed", [exact_dedup.content_hash, weak])
+@pytest.mark.parametrize(("keep", "stays"), [("smallest", 1), ("largest", 4)])
+def test_groups(docs, hashed, keep, stays):
+    table = docs((1, "aa"), (2, "bb"), (3, "aa"), (4, "aa"), (5, None), (6, ""), (7, "ab "), (8, "ab"))
+    found = marked(exact_dedup.mark_copies(table, keep, hashed=hashed))
+    assert {i: found[i] for i in (1, 3, 4)} == {i: (stays, 3, i == stays) for i in (1, 3, 4)}
+    empty = 5 if keep == "smallest" else 6
+    assert found[5] == (empty, 2, empty == 5) and found[6] == (empty, 2, empty == 6)
+    assert [found[i] for i in (2, 7, 8)] == [(i, 1, True) for i in (2, 7, 8)]
+    kept = {r.doc_id for r in exact_dedup.drop_copies(table, keep, hashed=hashed).collect()}
+    assert kept == {i for i, row in found.items() if row[2]}
+
+
+def test_text_hash(docs):
+    row = exact_dedup.mark_copies(docs((1, "é"))).first()
+    assert row.text_sha256 == "4a99557e4033c3539de2eb65472017cad5f9557f7a0625a09f1c3f6e2ba69c4c"
+
+
+@pytest.mark.parametrize("hashed", [exact_dedup.content_hash, weak])
+def test_repeated_rows_count_and_one_stays(docs, hashed):
+    table = docs((1, "a"), (1, "a"), (1, "b"), (2, "a"))
+    found = exact_dedup.mark_copies(table, hashed=hashed).collect()
+    assert sorted((r.doc_id, r.group_size, r.kept) for r in found) == [
+        (1, 1, True),
+        (1, 3, True),
+        (1, 3, True),
+        (2, 3, False),
+    ]
+    kept = exact_dedup.drop_copies(table, hashed=hashed).collect()
+    assert sorted(tuple(r) for r in kept) == [(1, "a"), (1, "b")]
+
+
+def test_null_ids(docs):
+    table = docs((None, "a"), (3, "a"), (None, "b"), (None, "b"))
+    found = {(r.doc_id, r.keep_id, r.kept) for r in exact_dedup.mark_copies(table).collect()}
+    assert found == {(None, 3, False), (3, 3, True), (None, None, True)}
+
+
+def test_empty_table_and_clashing_columns(spark, docs):
+    assert exact_dedup.mark_copies(docs()).count() == 0
+    assert exact_dedup.drop_copies(docs()).count() == 0
+    table = spark.createDataFrame(
+        [(1, "a", "x", 7, True), (2, "a", "y", 8, False)],
+        "doc_id long, text string, hash string, keep_id int, kept boolean",
+    )
+    assert [tuple(r) for r in exact_dedup.drop_copies(table).collect()] == [(1, "a", "x", 7, True)]
+    assert exact_dedup.mark_copies(table).columns == [
+        "doc_id",
+        "keep_id",
+        "group_size",
+        "kept",
+        "text_sha256",
+    ]
+
+
+def test_many_copies_reach_the_shuffle_once_per_task(spark):
+    table = spark.range(20000).select(F.col("id").alias("doc_id"), F.lit("x" * 500).alias("text"))
+    row = exact_dedup.mark_copies(table).groupBy("keep_id", "group_size").count().collect()
+    assert [tuple(r) for r in row] == [(0, 20000, 20000)]
