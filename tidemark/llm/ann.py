@@ -14,26 +14,25 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from tidemark.llm.common import record_batch, written
 
 NEIGHBOURS = 20
 QUERY_EVERY = 20
 SAMPLE_ROWS = 8192
-PART_ROWS = 2048
+PARTS = 32
 LEAST_PARTED = 4096
-ROWS_PER_PART_IN_SAMPLE = 256
 GRAPH_DEGREE = 16
 TARGET_RECALL = 0.96
-BLOCK_ROWS = 8192
+BLOCK_ROWS = 1 << 15
 QUERY_BLOCK_ROWS = 2048
+CELLS = 1 << 21
 SEED = 7
 
 
-def neighbour_graph(vectors: np.ndarray, degree: int, step: int = 512) -> np.ndarray:
+def neighbour_graph(vectors: np.ndarray, degree: int, step: int = 128) -> np.ndarray:
     """Rows of each row's nearest others by inner product, in blocks."""
     degree = min(degree, len(vectors) - 1)
     found = []
@@ -166,10 +165,13 @@ def train_router(
     rank = np.empty_like(logits, dtype=np.int64)
     np.put_along_axis(rank, np.argsort(-logits, axis=1), np.arange(parts)[None, :], 1)
     asked = np.arange(0, len(sample), max(1, len(sample) // 1024))
-    similar = sample[asked] @ sample.T
-    similar[np.arange(len(asked)), asked] = -np.inf
-    nearest = np.argpartition(-similar, k - 1, axis=1)[:, :k]
-    needed = np.take_along_axis(rank[asked], home[nearest], 1)
+    needed = []
+    for some in np.array_split(asked, max(1, len(asked) // 128)):
+        similar = sample[some] @ sample.T
+        similar[np.arange(len(some)), some] = -np.inf
+        nearest = np.argpartition(-similar, k - 1, axis=1)[:, :k]
+        needed.append(np.take_along_axis(rank[some], home[nearest], 1))
+    needed = np.concatenate(needed)
     recall = np.array([(needed < p).mean() for p in range(1, parts + 1)])
     probes = int(np.argmax(recall >= target_recall)) + 1
     return Router(router.hidden, router.hidden_bias, router.out, router.out_bias, probes)
@@ -201,7 +203,7 @@ def nearest(
     k: int = NEIGHBOURS,
     query_every: int = QUERY_EVERY,
     sample_rows: int = SAMPLE_ROWS,
-    part_rows: int = PART_ROWS,
+    parts: int = PARTS,
     least_parted: int = LEAST_PARTED,
     target_recall: float = TARGET_RECALL,
     block_rows: int = BLOCK_ROWS,
@@ -223,12 +225,11 @@ def nearest(
     vectors = usable_vectors(table, id_column, vector_column)
     sample_frame = vectors.orderBy(F.xxhash64("id", F.lit(SEED)), "id").limit(sample_rows)
     counted = vectors.count()
-    sample = np.array([r["v"] for r in sample_frame.select("v").collect()], np.float64)
-    if not len(sample):
+    if not counted:
         return table.sparkSession.createDataFrame([], RESULT)
-    d = sample.shape[1]
-    parts = min(-(-counted // part_rows), max(1, len(sample) // ROWS_PER_PART_IN_SAMPLE))
-    router = train_router(sample, parts if counted >= least_parted else 1, k, target_recall)
+    chosen = sample_frame.select("v").toArrow()["v"].combine_chunks()
+    d = len(chosen[0])
+    router = train_router(_matrix(chosen, d), parts if counted >= least_parted else 1, k, target_recall)
     shared = table.sparkSession.sparkContext.broadcast(router)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,10 +288,11 @@ def _ranked(k: int, d: int):
         if rows.num_rows and queries.num_rows:
             ids, asked = rows["id"].to_numpy(), queries["id"].to_numpy()
             held, wanted = (_matrix(t["v"].combine_chunks(), d) for t in (rows, queries))
-            for start in range(0, len(asked), 256):
-                some = wanted[start : start + 256]
+            step = max(1, CELLS // len(ids))
+            for start in range(0, len(asked), step):
+                some = wanted[start : start + step]
                 near = some @ held.T
-                for query, vector, scores in zip(asked[start : start + 256], some, near, strict=True):
+                for query, vector, scores in zip(asked[start : start + step], some, near, strict=True):
                     out.append(_best(k, query, vector, scores, ids, held))
         columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [[], [], []]
         return pa.table(
