@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import written
+from tidemark.session import new_folder, remove_folder
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -20,10 +20,11 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v")))
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(
-        edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u", "u"))).first()
-    )
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour at most, and that has none."""
+    ends = edges.select("u", F.lit(1).alias("below")).unionAll(edges.select("v", F.lit(0)))
+    nodes = ends.groupBy("u").agg(F.sum("below").alias("below"), F.count("*").alias("links"))
+    return nodes.filter("below > 1 OR below = 1 AND links > 1").isEmpty()
 
 
 def component_roots(edges: DataFrame) -> DataFrame:
@@ -33,14 +34,20 @@ def component_roots(edges: DataFrame) -> DataFrame:
     Each round is written to the shared folder and takes a few shuffles of the
     links that remain; rounds grow with the logarithm of the number of nodes.
     The least neighbour is found by a partial aggregate and joined back, so a
-    node with very many neighbours is spread over tasks.
+    node with very many neighbours is spread over tasks. The table of a round
+    goes when that of the next is there.
     """
+    spark = edges.sparkSession
+
+    def table(links: DataFrame) -> tuple[DataFrame, str]:
+        path = new_folder(spark, "links")
+        links.write.parquet(path)
+        return spark.read.schema("u long, v long").parquet(path), path
+
     down = edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    links = written(down.distinct(), "links")
-    before = _state(links)
-    while True:
-        links = written(_small_star(_large_star(links).distinct()).distinct(), "links")
-        after = _state(links)
-        if after == before:
-            return links.select("u", F.col("v").alias("root"))
-        before = after
+    links, path = table(down.distinct())
+    while not _are_stars(links):
+        old = path
+        links, path = table(_small_star(_large_star(links)).distinct())
+        remove_folder(spark, old)
+    return links.select("u", F.col("v").alias("root"))

@@ -14,7 +14,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import content, fold, record_batch, same_row, slices, written
+from tidemark.llm.common import (
+    BLOCK_BYTES,
+    content,
+    fold,
+    record_batch,
+    same_row,
+    slices,
+    word_blocks,
+    written,
+)
 
 FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.3
@@ -62,11 +71,17 @@ STATISTICS = (
 def statistics(data: bytes) -> list[float]:
     """The transformed statistics of a text in UTF-8: logarithms of sizes, roots of shares, entropy
     of the bytes, and how many words and lines are different."""
-    histogram = np.bincount(np.frombuffer(data, np.uint8), minlength=256)
+    histogram = np.zeros(256, np.int64)
+    for start in range(0, len(data), BLOCK_BYTES):
+        block = np.frombuffer(data[start : start + BLOCK_BYTES], np.uint8)
+        histogram += np.bincount(block, minlength=256)
     size = max(1, len(data))
     upper, lower, digit, blank, stop, wide, symbol = (histogram @ _MATRIX / size).tolist()
-    words, lines = data.split(), data.split(b"\n")
-    n, different = len(words), len(set(words))
+    n, vocabulary = 0, set()
+    for words in word_blocks(data):
+        n += len(words)
+        vocabulary.update(words)
+    different, lines = len(vocabulary), data.split(b"\n")
     shares = histogram[histogram > 0] / size
     return [
         np.log1p(len(data)),

@@ -10,7 +10,6 @@ each nearby codeword of each of the eight words, and only fingerprints that
 share a key are compared, by all their bits.
 """
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +18,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import record_batch, slices, written
+from tidemark.llm.common import (
+    BLOCK_BYTES,
+    content,
+    record_batch,
+    same_row,
+    slices,
+    word_blocks,
+    written,
+)
 from tidemark.llm.components import component_roots
 from tidemark.llm.golay import LENGTH, nearby_codewords
 
@@ -27,26 +34,12 @@ SHINGLE_WORDS = 3
 MAX_DISTANCE = 3
 SEED = 42
 SEGMENTS, SEGMENT_BITS = 4, 16
-BLOCK_BYTES = 1 << 20
 BLOCK_ROWS = 1 << 14
 
-_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 _KEYS = pa.schema([("key", pa.int64()), ("fp", pa.int64())])
 _LINKS = pa.schema([("key", pa.int64()), ("block", pa.int64()), ("u", pa.int64()), ("v", pa.int64())])
 
 
-def _blocks(data: bytes, size: int) -> Iterator[list[bytes]]:
-    """The words of a text, a block at a time, cut at blanks."""
-    start = 0
-    while start < len(data):
-        end = min(start + size, len(data))
-        if end < len(data):
-            blank = _BLANK.search(data, end)
-            end = blank.start() if blank else len(data)
-        yield data[start:end].split()
-        start = end
-
-
 def fingerprint(text: str | None, words: int = SHINGLE_WORDS, block: int = BLOCK_BYTES) -> int:
     """64-bit SimHash of a text's word shingles, repeats included; 0 if it has no word.
 
@@ -56,7 +49,7 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS, block: int = BLOCK
     """
     digest, join = xxhash.xxh64_intdigest, b" ".join
     ones, total, carried = np.zeros(64, np.int64), 0, []
-    for found in _blocks((text or "").encode().lower(), block):
+    for found in word_blocks((text or "").encode().lower(), block):
         held = carried + found
         shingles = zip(*(held[i:] for i in range(words)), strict=False)
         hashes = np.array([digest(join(s), SEED) for s in shingles], "<u8")
@@ -72,17 +65,20 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS, block: int = BLOCK
 def fingerprints(
     docs: DataFrame, words: int = SHINGLE_WORDS, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """Written table, a row per row: id and fp, the fingerprint as a signed long. Null is empty."""
+    """Written table, a row per row: id, content (a hash of the text) and fp, the fingerprint as a
+    signed long. Null is empty."""
     kind = dict(docs.dtypes)[id_column]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 1):
             found = np.array([fingerprint(t, words) for t in part.column(1).to_pylist()], np.uint64)
-            schema = pa.schema([part.schema.field(0).with_name("id"), ("fp", pa.int64())])
-            yield record_batch(schema, part.column(0), found.view(np.int64))
+            schema = pa.schema([part.schema.field(0), part.schema.field(2), ("fp", pa.int64())])
+            yield record_batch(schema, part.column(0), part.column(2), found.view(np.int64))
 
-    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    return written(rows.mapInArrow(run, f"id {kind}, fp long"), "fingerprints")
+    rows = docs.select(
+        F.col(id_column).alias("id"), F.col(text_column).alias("text"), content(text_column).alias("content")
+    )
+    return written(rows.mapInArrow(run, f"id {kind}, content long, fp long"), "fingerprints")
 
 
 def golay_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -106,21 +102,20 @@ def golay_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(keys), np.concatenate(owners)
 
 
-def forest(values: np.ndarray, most: int = MAX_DISTANCE) -> tuple[list[int], list[int]]:
-    """Links that connect whatever differs in at most ``most`` bits, one fewer than the members
-    of each connected part; the values are distinct and unsigned."""
-    u, v, left = [], [], values
+def stars(values: np.ndarray, most: int = MAX_DISTANCE) -> tuple[list[int], list[int]]:
+    """Members and the least of each part that differences of at most ``most`` bits connect; the
+    values are distinct, ascending and unsigned."""
+    members, centres, left = [], [], values
     while len(left) > 1:
-        reached, left = [left[0]], left[1:]
+        centre, reached, left = int(left[0]), [left[0]], left[1:]
         while reached and len(left):
-            seed = reached.pop()
-            near = np.bitwise_count(left ^ seed) <= most
+            near = np.bitwise_count(left ^ reached.pop()) <= most
             if near.any():
                 found, left = left[near], left[~near]
-                u += [int(seed)] * len(found)
-                v += found.tolist()
+                members += found.tolist()
+                centres += [centre] * len(found)
                 reached.extend(found)
-    return u, v
+    return members, centres
 
 
 def _signed(values) -> np.ndarray:
@@ -137,7 +132,7 @@ class _Groups:
     def _close_block(self, last: bool) -> pa.RecordBatch | None:
         """Link the block at hand; a group of several blocks also hands on its rows."""
         values = np.unique(np.concatenate(self._held).view(np.uint64))
-        u, v = forest(values, self._most) if len(values) > 1 else ([], [])
+        u, v = stars(values, self._most)
         out = [(np.full(len(u), -1), np.full(len(u), -1), _signed(u), _signed(v))]
         if not last or self._block:
             n = len(values)
@@ -187,12 +182,12 @@ def _within_keys(most: int, rows: int):
 
 
 def near_links(prints: DataFrame, most: int = MAX_DISTANCE, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Links (u, v) that connect every two fingerprints of column fp which differ in at most
-    ``most`` (up to 3) bits, and no others; written.
+    """Links (u, v) whose components are those of all pairs of fingerprints (column fp) that differ
+    in at most ``most`` (up to 3) bits; written.
 
     Different fingerprints that share a key are compared in blocks of
-    ``block_rows``; a group yields one link fewer than its members, never all
-    pairs. A larger group's blocks are then compared two by two, each pair of
+    ``block_rows``; what turns out connected is linked to its least member, so a
+    group yields fewer links than it has members, never all pairs. A larger group's blocks are then compared two by two, each pair of
     blocks in a task of its own.
     """
     if most > MAX_DISTANCE:
@@ -206,7 +201,10 @@ def near_links(prints: DataFrame, most: int = MAX_DISTANCE, block_rows: int = BL
                 yield record_batch(_KEYS, keys, fps[owners])
 
     links_ddl = "key long, block long, u long, v long"
-    keys = prints.select("fp").distinct().mapInArrow(to_keys, "key long, fp long")
+    # Keys are some forty times the fingerprints, so their tasks must not be merged to few.
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = prints.select("fp").distinct().repartition(tasks)
+    keys = distinct.mapInArrow(to_keys, "key long, fp long")
     grouped = keys.repartition("key").sortWithinPartitions("key")
     found = written(grouped.mapInArrow(_within_keys(most, block_rows), links_ddl), "near-links")
     links = found.filter("key = -1").select("u", "v")
@@ -226,7 +224,7 @@ def near_links(prints: DataFrame, most: int = MAX_DISTANCE, block_rows: int = BL
 
 def _pair_table(most: int):
     def run(table: pa.Table) -> pa.Table:
-        u, v = forest(np.unique(table["u"].to_numpy().view(np.uint64)), most)
+        u, v = stars(np.unique(table["u"].to_numpy().view(np.uint64)), most)
         return pa.table({"u": _signed(u), "v": _signed(v)})
 
     return run
@@ -275,14 +273,10 @@ def drop_near(
 ) -> DataFrame:
     """The documents that stay, one of each component (that of the smallest id), with all columns.
 
-    Rows that repeat the id that stays all do; where no document of a component
-    has an id, all stay.
+    Rows that repeat the id and text that stay all do; where no document of a
+    component has an id, all stay.
     """
-    groups = near_groups(docs, words, most, id_column=id_column, text_column=text_column)
-    stays = (
-        groups.filter(F.col(id_column).eqNullSafe(F.col("component_id")))
-        .select(F.col(id_column).alias("id"))
-        .distinct()
-    )
-    rows = docs.select(F.struct("*").alias("row"), F.col(id_column).alias("id_here"))
-    return rows.join(stays, F.col("id_here").eqNullSafe(F.col("id")), "left_semi").select("row.*")
+    labelled = _labelled(fingerprints(docs, words, id_column, text_column), most, BLOCK_ROWS)
+    stays = labelled.filter("id <=> component_id").select("id", "content").distinct()
+    rows, same = same_row(docs, id_column, text_column)
+    return rows.join(stays, same, "left_semi").select("row.*")
