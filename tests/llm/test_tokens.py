@@ -11,7 +11,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from tidemark.llm import bpe, files, token_files
+from tidemark.llm import bpe, files, pieces, token_files
 from tidemark.llm.pieces import PieceIds
 from tidemark.session import new_folder
 
@@ -57,6 +57,20 @@ def test_forgetting_pieces_changes_nothing(library, vocabulary):
         assert ids.tolist() == library.encode_ordinary(text or "")
 
 
+@pytest.mark.parametrize("text", ["a" * 70000, "abcabd" * 3000, "é漢" * 4000, "=-" * 5000, "x" * 4097, "zq" * 2048])
+def test_long_pieces(library, vocabulary, text):
+    ids, _ = PieceIds(vocabulary.encode_pieces).ids(pa.array([text]))
+    assert ids.tolist() == library.encode_ordinary(text)
+
+
+def test_long_texts_are_cut_where_pieces_end(library, vocabulary, monkeypatch):
+    monkeypatch.setattr(pieces, "LONG_BYTES", 50)
+    texts = [*odd_texts(300), "It's the words ' and  more\n\n words we'll see " * 50]
+    ids, counts = PieceIds(vocabulary.encode_pieces).ids(pa.array(texts, pa.string()))
+    assert ids.tolist() == [i for t in texts for i in library.encode_ordinary(t or "")]
+    assert len(counts) == len(texts)
+
+
 def test_pair_table_with_crowded_slots():
     rng = np.random.default_rng(1)
     pairs = np.unique(rng.integers(0, 1 << 40, 5000, dtype=np.uint64))

@@ -10,6 +10,7 @@ import base64
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,7 @@ from tidemark.llm.pieces import PieceIds
 NO_RANK = np.uint32(0xFFFFFFFF)
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 CELLS = 1 << 20
+LONG_PIECE = 1 << 12
 DIGESTS = pa.schema(
     [
         ("n_tokens", pa.int64()),
@@ -90,12 +92,15 @@ class Vocabulary:
 
         A piece that is a token is that token; the others go through the
         matrices, one for lengths up to 8, 16, 32 and so on, in blocks of
-        bounded size.
+        bounded size. Rounds cost a row its length each, so pieces of more than
+        ``LONG_PIECE`` bytes are merged with a heap instead.
         """
         known = [self.ranks.get(p, -1) for p in pieces]
         single = np.array(known, np.int64)
         rest = np.flatnonzero(single < 0)
         lengths = np.array([len(pieces[i]) for i in rest], np.int64)
+        long = {int(i): self._merge_long(pieces[i]) for i in rest[lengths > LONG_PIECE]}
+        rest, lengths = rest[lengths <= LONG_PIECE], lengths[lengths <= LONG_PIECE]
         width = np.maximum(8, 1 << np.ceil(np.log2(np.maximum(lengths, 1))).astype(np.int64))
         sizes = np.ones(len(pieces), np.int64)
         parts: list[tuple[np.ndarray, np.ndarray]] = []
@@ -107,6 +112,9 @@ class Vocabulary:
                 ids, counts = self._merge([pieces[i] for i in block], int(w))
                 sizes[block] = counts
                 parts.append((block, ids))
+        for i, ids in long.items():
+            sizes[i] = len(ids)
+            parts.append((np.array([i]), np.array(ids, np.uint32)))
         starts = np.cumsum(sizes) - sizes
         out = np.zeros(int(sizes.sum()), np.uint32)
         whole = np.flatnonzero(single >= 0)
@@ -152,6 +160,32 @@ class Vocabulary:
                 rank[r, left[r]] = self._pairs.ranks(ids[r, left[r]], ids[r, left[r] + 1])
         return done_ids[np.arange(width) < counts[:, None]], counts
 
+    def _merge_long(self, piece: bytes) -> list[int]:
+        """The same merges for one piece, the next one always on top of a heap."""
+        ids = self._bytes[np.frombuffer(piece, np.uint8)].tolist()
+        after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
+        waiting: list[tuple[int, int, int, int]] = []
+
+        def consider(left: int, right: int) -> None:
+            if left >= 0 and right < len(ids):
+                rank = self.ranks.get(self.tokens[ids[left]] + self.tokens[ids[right]])
+                if rank is not None:
+                    heappush(waiting, (rank, left, ids[left], ids[right]))
+
+        for left in range(len(ids) - 1):
+            consider(left, left + 1)
+        while waiting:
+            rank, left, own, other = heappop(waiting)
+            right = after[left]
+            if ids[left] != own or right >= len(ids) or ids[right] != other:
+                continue
+            ids[left], ids[right], after[left] = rank, -1, after[right]
+            if after[left] < len(ids):
+                before[after[left]] = left
+            consider(before[left], left)
+            consider(left, after[left])
+        return [i for i in ids if i >= 0]
+
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes that the ids stand for."""
         return b"".join(map(self.tokens.__getitem__, ids.tolist()))

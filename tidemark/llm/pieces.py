@@ -9,6 +9,8 @@ pattern's rules for the blank before a run and for contractions. The pieces
 tile the text, so they are an Arrow array over the batch's own bytes.
 """
 
+import re
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
@@ -17,6 +19,8 @@ import pyarrow.compute as pc
 import tiktoken
 
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
+LONG_BYTES = 8 << 20
+_CUT = re.compile("[a-zA-Z] [a-zA-Z]")
 
 
 @cache
@@ -103,6 +107,17 @@ def pieces_of(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
     return array.dictionary_encode(), np.diff(edges)
 
 
+def stretches(text: str, size: int) -> Iterator[str]:
+    """The text cut before blanks between two letters, where every piece ends, into stretches of
+    about ``size`` characters."""
+    start = 0
+    while len(text) - start > size and (cut := _CUT.search(text, start + size)):
+        yield text[start : cut.start() + 1]
+        start = cut.start() + 1
+    if start < len(text):
+        yield text[start:]
+
+
 class PieceIds:
     """Ids of pieces, remembered from batch to batch up to ``most`` of them.
 
@@ -120,7 +135,21 @@ class PieceIds:
         self._starts = np.zeros(1, np.int64)
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all the texts end to end, and the number of ids of each text."""
+        """Ids of all the texts end to end, and the number of ids of each text.
+
+        A very long text is taken in stretches, cut where no piece crosses.
+        """
+        lengths = pc.binary_length(texts).fill_null(0)
+        if not len(texts) or pc.max(lengths).as_py() <= LONG_BYTES:
+            return self._ids_of(texts)
+        parts, counts = [], []
+        for text in texts:
+            found = [self._ids_of(pa.array([s]))[0] for s in stretches(text.as_py() or "", LONG_BYTES)]
+            parts += found
+            counts.append(sum(map(len, found)))
+        return np.concatenate([np.zeros(0, np.uint32), *parts]), np.array(counts, np.int64)
+
+    def _ids_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         pieces, counts = pieces_of(texts)
         distinct = pieces.dictionary.to_pylist()
         if len(self._known) + len(distinct) > self._most:
