@@ -39,7 +39,8 @@ class Rule:
         ]
 
 
-# The base rules, in the order in which equal starts are listed.
+# The base rules, in the order in which equal starts are listed. The last asks
+# for its length at once: a shorter run of hex digits holds no match either way.
 BASE_RULES = (
     Rule(
         "assign",
@@ -50,7 +51,7 @@ BASE_RULES = (
         any_case=True,
     ),
     Rule("access", 1, r"AKIA[A-Z0-9]+", 16),
-    Rule("hex", 1, r"[0-9a-f]+", 32),
+    Rule("hex", 1, r"[0-9a-f]{32,}", 32),
 )
 
 LEDGER = "blob binary, kind string, version int, spans array<struct<start:int,end:int>>"
