@@ -178,6 +178,25 @@ def fit(
     return Discriminant(centre, scale, tuple(means), tuple(factors), tuple(constants))
 
 
+_MOMENTS = pa.schema([("label", pa.int32()), ("place", pa.int32()), ("value", pa.float64())])
+
+
+def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Count, sum of x and sum of x x' of each label in a task's rows, entry by entry."""
+    p = len(STATISTICS)
+    table = np.zeros((2, 1 + p + p * p))
+    for batch in batches:
+        labels = batch.column(0).to_numpy()
+        x = batch.column(1).flatten().to_numpy().reshape(-1, p)
+        for label in (0, 1):
+            own = x[labels == label]
+            table[label] += np.concatenate([[len(own)], own.sum(axis=0), (own.T @ own).ravel()])
+    places = np.arange(table.shape[1])
+    for label in (0, 1):
+        if table[label, 0]:
+            yield record_batch(_MOMENTS, np.full(len(places), label), places, table[label])
+
+
 def train(
     features: DataFrame,
     labels: DataFrame,
@@ -192,8 +211,8 @@ def train(
 
     Labels other than 0 and 1 count as none. A row repeated in the labels counts
     once, a document with both labels once for each; documents that repeat an id
-    each count. Spark sums up; the driver
-    gets one row for each class and entry of the class's moments.
+    each count. Each task sums up its own rows; the driver gets one row for each
+    class and entry of the class's moments.
     """
     marked = (
         labels.filter(F.col(label_column).isin(0, 1) & (fold(id_column, folds) != held_out))
@@ -201,13 +220,8 @@ def train(
         .distinct()
     )
     rows = features.join(marked, "id").select("label", "x")
-    moments = F.concat(
-        F.array(F.lit(1.0)),
-        F.col("x"),
-        F.flatten(F.transform("x", lambda a: F.transform("x", lambda b: a * b))),
-    )
     summed = (
-        rows.select("label", F.posexplode(moments).alias("place", "value"))
+        rows.mapInArrow(_moments, "label int, place int, value double")
         .groupBy("label", "place")
         .agg(F.sum("value").alias("value"))
         .collect()
