@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import record_batch, written
@@ -220,7 +220,9 @@ def nearest(
     non-finite component take no part, nor do rows without an id. Tables of fewer
     than ``least_parted`` rows are one part, which makes the search exact.
     The model is fitted on ``sample_rows`` rows at most, those of the least hashes;
-    the index holds every row.
+    the index holds every row. The rows of a part meet only the queries sent to it,
+    block by block; more ``parts``, with a larger sample, suit larger tables whose
+    vectors have neighbourhoods.
     """
     vectors = usable_vectors(table, id_column, vector_column)
     sample_frame = vectors.orderBy(F.xxhash64("id", F.lit(SEED)), "id").limit(sample_rows)
@@ -242,7 +244,6 @@ def nearest(
     element = dict(table.dtypes)[vector_column]
     index = written(vectors.mapInArrow(place, f"id long, v {element}, part int"), "ann-index")
     sizes = {r["part"]: r["count"] for r in index.groupBy("part").count().collect()}
-    blocks = {p: -(-n // block_rows) for p, n in sizes.items()}
     held = np.array([sizes.get(p, 0) for p in range(router.parts)])
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,14 +260,17 @@ def nearest(
 
     queries = index.filter(F.col("id") % query_every == 0).select("id", "v")
     routed = queries.mapInArrow(route, f"id long, v {element}, part int")
-    query_blocks = max(1, -(-(-(-counted // query_every)) // query_block_rows))
-    per_part = F.create_map(*[F.lit(x) for pair in blocks.items() for x in pair])
-    row_side = index.withColumn("block", F.pmod(F.xxhash64("id"), per_part[F.col("part")]).cast("int")).withColumn(
-        "query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))
+    asked = {r["part"]: r["count"] for r in routed.groupBy("part").count().collect()}
+    row_blocks = _per_part({p: -(-n // block_rows) for p, n in sizes.items()})
+    query_blocks = _per_part({p: -(-asked.get(p, 0) // query_block_rows) for p in sizes})
+    row_side = (
+        index.filter(query_blocks > 0)
+        .withColumn("block", F.pmod(F.xxhash64("id"), row_blocks).cast("int"))
+        .withColumn("query_block", F.explode(F.sequence(F.lit(0), query_blocks - 1)))
     )
     query_side = routed.withColumn(
-        "query_block", F.pmod(F.xxhash64("id", F.lit(SEED)), F.lit(query_blocks)).cast("int")
-    ).withColumn("block", F.explode(F.sequence(F.lit(0), per_part[F.col("part")] - 1)))
+        "query_block", F.pmod(F.xxhash64("id", F.lit(SEED)), query_blocks).cast("int")
+    ).withColumn("block", F.explode(F.sequence(F.lit(0), row_blocks - 1)))
     keys = ["part", "block", "query_block"]
     found = (
         row_side.groupBy(keys)
@@ -279,6 +283,11 @@ def nearest(
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
+def _per_part(counts: dict[int, int]) -> Column:
+    """The count of the row's part; parts are few."""
+    return F.create_map(*[F.lit(x) for pair in counts.items() for x in pair])[F.col("part")]
+
+
 def _ranked(k: int, d: int):
     """The k nearest rows of a block for each query of a block, scores summed the same way for
     equal vectors so that ties are ties."""
