@@ -200,17 +200,12 @@ def weigh_bits(codes: Codes, margins: DataFrame) -> Codes:
     if not codes.words.shape[1]:
         return codes
     right = np.full(codes.words.shape, 0.5)
-    rows = (
-        margins.filter("lang IS NOT NULL AND lettered")
-        .select("lang", F.posexplode(F.transform("m", lambda x: (x > 0).cast("double"))).alias("bit", "one"))
-        .groupBy("lang", "bit")
-        .agg(F.avg("one").alias("one"))
-        .collect()
-    )
+    ones = [F.avg((F.col("m")[b] > 0).cast("double")).alias(f"b{b}") for b in range(codes.words.shape[1])]
+    rows = margins.filter("lang IS NOT NULL AND lettered").groupBy("lang").agg(*ones).collect()
     place = {lang: i for i, lang in enumerate(codes.languages)}
     for row in rows:
-        i, bit = place[row["lang"]], row["bit"]
-        right[i, bit] = row["one"] if codes.words[i, bit] else 1 - row["one"]
+        i, share = place[row["lang"]], np.array(row[1:])
+        right[i] = np.where(codes.words[i] == 1, share, 1 - share)
     weights = np.maximum(right, 1e-3)
     return Codes(codes.languages, codes.words, codes.odds, weights / weights.sum(axis=1, keepdims=True))
 
