@@ -10,7 +10,12 @@ from helpers import power, rows
 from tidemark.schemas import POWER_SCHEMA, WEATHER_SCHEMA
 from tidemark.sources import encode, file_messages, kafka_messages, read_days, read_raw
 from tidemark.sources.messages import kafka_options
-from tidemark.streaming import run_until_any_ends, start_ingest, start_monitor
+from tidemark.streaming import (
+    run_until_any_ends,
+    start_ingest,
+    start_monitor,
+    start_quarantine,
+)
 
 ONCE = {"availableNow": True}
 FIRST = '{"base_datetime":"20240105100000","current_demand_mw":1.0,"reserve_power_mw":5400.0}'
@@ -46,6 +51,24 @@ def test_ingest_restart_and_growth(spark, folder):
     assert rows(ingest(spark, folder)) == sorted([*landed, landed[0]], key=repr)
 
 
+def test_quarantine_and_readings_share_all_messages(spark, folder):
+    wrong = FIRST.replace("1.0", '"x"')
+    arrive(spark, folder, FIRST, DAMAGED, wrong, f"[{FIRST}]", "", SECOND)
+    messages = file_messages(spark, f"{folder}/wire")
+    for _ in range(2):
+        start_ingest(
+            messages, POWER_SCHEMA, f"{folder}/raw", f"{folder}/a", ONCE, fitting_only=True
+        ).awaitTermination()
+        start_quarantine(
+            messages, POWER_SCHEMA, f"{folder}/aside", f"{folder}/b", ONCE
+        ).awaitTermination()
+    readings = rows(read_raw(spark, f"{folder}/raw", POWER_SCHEMA).select(POWER_SCHEMA.names))
+    aside = [r.text for r in spark.read.parquet(f"{folder}/aside").collect()]
+    assert sorted(aside) == sorted([DAMAGED, wrong, f"[{FIRST}]"])
+    landed = [("20240105100000", 1.0, 5400.0), ("20240106100000", 2.0, 5600.0), (None,) * 3]
+    assert readings == sorted(landed, key=repr)
+
+
 def test_files_of_uncommitted_batches_are_not_read(spark, folder):
     arrive(spark, folder, FIRST)
     ingest(spark, folder)
