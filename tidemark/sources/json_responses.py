@@ -32,16 +32,25 @@ KNOWN = [TEMPERATURE, RAIN, RAIN_KIND]
 LOOSE_SCHEMA = "struct<response: struct<body: struct<items: map<string, variant>>>>"
 
 
+def _opened_value(value: Column) -> Column:
+    """Kind, text and number of a bare or quoted value, each taken from it once."""
+    return F.struct(
+        F.schema_of_variant(value).alias("kind"),
+        F.try_variant_get(value, "$", "string").alias("text"),
+        F.try_variant_get(value, "$", "double").alias("number"),
+    )
+
+
 class _Value:
-    """An observation's value: a text is read by its characters, a bare number or truth value
-    (1 or 0) as it is, anything else not at all."""
+    """An observation's opened value: a text is read by its characters, a bare number or truth
+    value (1 or 0) as it is, anything else not at all."""
 
-    def __init__(self, value: Column):
-        kind = F.schema_of_variant(value)
+    def __init__(self, opened: Column):
+        kind = opened["kind"]
         self._is_text = kind == "STRING"
         self._is_number = kind.rlike("^(BIGINT|DECIMAL|DOUBLE|BOOLEAN)")
-        self._text = F.try_variant_get(value, "$", "string")
-        self._number = F.try_variant_get(value, "$", "double")
+        self._text = opened["text"]
+        self._number = opened["number"]
 
     def real(self) -> Column:
         bare = F.when(self._is_number, self._number.cast("float"))
@@ -65,7 +74,7 @@ class _Value:
 
 
 def _unreadable(category: Column, value: Column) -> Column:
-    """Whether an observation of a known category has no usable value."""
+    """Whether an observation of a known category has no usable (opened) value."""
     read = _Value(value)
     return F.coalesce(
         ((category == TEMPERATURE) & read.real().isNull())
@@ -134,12 +143,15 @@ def parse_weather(
     opened = opened.withColumns(
         {"_last_t": last(TEMPERATURE), "_last_r": last(RAIN), "_last_k": last(RAIN_KIND)}
     )
+    opened = opened.withColumns(
+        {f"_value_{n}": _opened_value(F.col(f"_last_{n}.obsrValue")) for n in ("t", "r", "k")}
+    )
     opened = opened.withColumns(
         {
-            "_degrees": _Value(F.col("_last_t.obsrValue")).real(),
-            "_rain": _Value(F.col("_last_r.obsrValue")).rain(),
-            "_kind_ok": _Value(F.col("_last_k.obsrValue")).is_whole(),
-            "_kind": _Value(F.col("_last_k.obsrValue")).whole(),
+            "_degrees": _Value(F.col("_value_t")).real(),
+            "_rain": _Value(F.col("_value_r")).rain(),
+            "_kind_ok": _Value(F.col("_value_k")).is_whole(),
+            "_kind": _Value(F.col("_value_k")).whole(),
         }
     )
     listed = [F.col(name).isNotNull() for name in ("_last_t", "_last_r", "_last_k")]
@@ -151,7 +163,7 @@ def parse_weather(
         # Only a category listed twice has values besides the last.
         | (
             (F.size("_known") > n_listed)
-            & F.exists("_known", lambda o: _unreadable(o["category"], o["obsrValue"]))
+            & F.exists("_known", lambda o: _unreadable(o["category"], _opened_value(o["obsrValue"])))
         )
     )
     opened = opened.withColumn("_reason", F.coalesce(F.col("_structure"), F.when(bad, BAD_VALUE)))
@@ -194,12 +206,12 @@ def pivot_observations(items: DataFrame, *by: str) -> DataFrame:
     Same rules as ``parse_weather``, which needs no shuffle and suits
     responses that still hold their list.
     """
-    value = _Value(F.col("obsr_value"))
-    read = items.select(
+    value = _Value(F.col("_value"))
+    read = items.withColumn("_value", _opened_value(F.col("obsr_value"))).select(
         *by,
         "pos",
         "category",
-        _unreadable(F.col("category"), F.col("obsr_value")).alias("_bad"),
+        _unreadable(F.col("category"), F.col("_value")).alias("_bad"),
         F.when(F.col("category") == RAIN_KIND, value.whole()).alias("_kind"),
         F.when(F.col("category") == RAIN, value.rain()).alias("_rain"),
         F.when(F.col("category") == TEMPERATURE, value.real()).alias("_degrees"),

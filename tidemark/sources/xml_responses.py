@@ -37,7 +37,7 @@ MISC = r"(?:\s|<!--.*?-->|<\?.*?\?>)*+"
 PROLOG = rf"(?s)^(?:<\?xml\s.*?\?>)?{MISC}(?:<!DOCTYPE[^>\[]*>{MISC})?"
 ATTRIBUTES = r"""(?:\s(?:[^<>"']|"[^"]*"|'[^']*')*?)?"""
 # The root: its name, and all from there to its end tag, the last one of that name.
-ROOT = rf"{PROLOG}<([^\s/>!?]+)((?:[\s>].*)?)</\1\s*>{MISC}$"
+ROOT = rf"{PROLOG}<([^\s/>!?]+)([\s>].*)</\1\s*>{MISC}$"
 EMPTY_ROOT = rf"{PROLOG}<[^\s/>!?]+{ATTRIBUTES}/>{MISC}$"
 
 
@@ -52,14 +52,23 @@ def _first_element(text: Column, name: str) -> Column:
     return F.regexp_extract(text, pattern, 0)
 
 
-def _one_document(payload: Column) -> Column:
-    """The document below a root of our own, then its first status and item; NULL unless the
-    payload is one document with nothing but comments around it."""
-    inner = F.regexp_extract(payload, ROOT, 2)
-    content = F.regexp_replace(inner, r"(?s)<!--.*?-->", "")
-    copies = [_first_element(content, name) for name in (*STATUS, ITEM)]
+def _one_document(responses: DataFrame, payload: str) -> DataFrame:
+    """Add _whole: the document below a root of our own, then its first status and item; NULL
+    unless the payload is one document with nothing but comments around it.
+
+    The steps are columns of their own, so that each is computed once.
+    """
+    inner = F.col("_inner")
+    cleared = F.regexp_replace(inner, r"(?s)<!--.*?-->", "")
+    copies = [_first_element(F.col("_content"), name) for name in (*STATUS, ITEM)]
     whole = F.concat(F.lit("<all><document"), inner, F.lit("</document>"), *copies, F.lit("</all>"))
-    return F.when(payload.rlike(ROOT), whole).when(payload.rlike(EMPTY_ROOT), F.lit("<all/>"))
+    # What a match leaves of the root is never empty.
+    found = responses.withColumn("_inner", F.regexp_extract(payload, ROOT, 2))
+    found = found.withColumn("_content", F.when(inner.contains("<!--"), cleared).otherwise(inner))
+    return found.withColumn(
+        "_whole",
+        F.when(inner != "", whole).when(F.col(payload).rlike(EMPTY_ROOT), F.lit("<all/>")),
+    )
 
 
 def _blank(text: Column) -> Column:
@@ -80,8 +89,8 @@ def parse_power(
     then looks like an alert, unless ``blank_as_null`` is set; a figure that is
     no number rejects the response as a whole.
     """
-    doc = F.from_xml(_one_document(F.col(payload)), RESPONSE_SCHEMA, XML_OPTIONS)
-    found = responses.withColumn("_doc", doc).withColumns(
+    doc = F.from_xml(F.col("_whole"), RESPONSE_SCHEMA, XML_OPTIONS)
+    found = _one_document(responses, payload).withColumn("_doc", doc).withColumns(
         {
             "_code": _first(F.col("_doc.resultCode")),
             "_msg": _first(F.col("_doc.resultMsg")),
