@@ -70,6 +70,28 @@ def test_odd_rows_ties_and_repeats(spark):
     assert [i for _, i, _ in got[140]][:2] == [100, 120]
 
 
+@pytest.mark.parametrize("options", [{}, {"block_rows": 37, "query_block_rows": 3}])
+def test_ids_repeated_often_leave_room_for_others(spark, options):
+    rng = np.random.default_rng(6)
+    rows = vectors(250)
+    near = np.array(rows[20][1])
+    rows += [(i, v) for i, v in rows if i % 20 and i % 4] * 2
+    rows += [(7, (near * 3 + rng.normal(size=8) * 0.01).tolist()) for _ in range(1000)]
+    rows += [(9, (near * 4).tolist())] * 1000
+    same(found(spark.createDataFrame(rows, SCHEMA), **options), brute(rows, 20, 20))
+
+
+def test_parts_full_of_few_ids_do_not_end_the_search(spark):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(30, 8)) * 3
+    rows = [(i, (centres[i] + rng.normal(size=8) * 0.1).tolist()) for i in range(1, 30) for _ in range(1 if i == 20 else 40)]
+    options = {"parts": 8, "least_parted": 100, "target_recall": 0.05, "block_rows": 100}
+    got = found(spark.createDataFrame(rows, SCHEMA), **options)
+    assert [len(got[q]) for q in got] == [20]
+    exact = {i: -s for s, i in brute(rows, 28, 20)[20]}
+    assert all(s == pytest.approx(exact[i], abs=1e-12) for _, i, s in got[20])
+
+
 def test_fewer_candidates_than_asked(spark):
     rows = vectors(7)
     got = found(spark.createDataFrame(rows, SCHEMA))

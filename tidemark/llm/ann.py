@@ -216,7 +216,7 @@ def nearest(
     Queries are the rows whose id is divisible by ``query_every``; candidates are
     all rows with another id. Ties go to the smaller id; a query with fewer
     candidates gets all of them. Rows that repeat an id count as one, as near as the
-    nearest of them. Vectors null, zero, of an unusual length or with a null or
+    nearest of them, however many they are. Vectors null, zero, of an unusual length or with a null or
     non-finite component take no part, nor do rows without an id. Tables of fewer
     than ``least_parted`` rows are one part, which makes the search exact.
     The model is fitted on ``sample_rows`` rows at most, those of the least hashes;
@@ -225,10 +225,16 @@ def nearest(
     vectors have neighbourhoods.
     """
     vectors = usable_vectors(table, id_column, vector_column)
-    sample_frame = vectors.orderBy(F.xxhash64("id", F.lit(SEED)), "id").limit(sample_rows)
-    counted = vectors.count()
+    counted, n_ids = vectors.groupBy("id").count().agg(F.sum("count"), F.count("*")).first()
     if not counted:
         return table.sparkSession.createDataFrame([], RESULT)
+    once_each = vectors
+    if n_ids < counted:
+        # Rows that repeat id and vector are one, and the sample takes an id once.
+        vectors = written(vectors.distinct(), "ann-vectors")
+        counted = vectors.count()
+        once_each = vectors.groupBy("id").agg(F.min("v").alias("v"))
+    sample_frame = once_each.orderBy(F.xxhash64("id", F.lit(SEED)), "id").limit(sample_rows)
     chosen = sample_frame.select("v").toArrow()["v"].combine_chunks()
     d = len(chosen[0])
     router = train_router(_matrix(chosen, d), parts if counted >= least_parted else 1, k, target_recall)
@@ -244,7 +250,10 @@ def nearest(
     element = dict(table.dtypes)[vector_column]
     index = written(vectors.mapInArrow(place, f"id long, v {element}, part int"), "ann-index")
     sizes = {r["part"]: r["count"] for r in index.groupBy("part").count().collect()}
-    held = np.array([sizes.get(p, 0) for p in range(router.parts)])
+    # Ids that lie in one part alone, so that those of several parts add up to different ids.
+    spread = index.groupBy("id").agg(F.min("part").alias("part"), F.max("part").alias("last"))
+    lone = {r["part"]: r["count"] for r in spread.filter("part = last").groupBy("part").count().collect()}
+    filled, held = (np.array([n.get(p, 0) for p in range(router.parts)]) for n in (sizes, lone))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -253,7 +262,7 @@ def nearest(
             order = np.argsort(-shared.value.logits(_matrix(batch.column(1), d)), axis=1, kind="stable")
             before = np.cumsum(held[order], axis=1) - held[order]
             wanted = (np.arange(order.shape[1]) < shared.value.probes) | (before < k + 1)
-            rows, ranks = np.nonzero(wanted & (held[order] > 0))
+            rows, ranks = np.nonzero(wanted & (filled[order] > 0))
             schema = pa.schema([*batch.schema, ("part", pa.int32())])
             chosen = batch.take(pa.array(rows))
             yield record_batch(schema, *chosen.columns, order[rows, ranks])
@@ -265,11 +274,11 @@ def nearest(
     query_blocks = _per_part({p: -(-asked.get(p, 0) // query_block_rows) for p in sizes})
     row_side = (
         index.filter(query_blocks > 0)
-        .withColumn("block", F.pmod(F.xxhash64("id"), row_blocks).cast("int"))
+        .withColumn("block", F.pmod(F.xxhash64("id", "v"), row_blocks).cast("int"))
         .withColumn("query_block", F.explode(F.sequence(F.lit(0), query_blocks - 1)))
     )
     query_side = routed.withColumn(
-        "query_block", F.pmod(F.xxhash64("id", F.lit(SEED)), query_blocks).cast("int")
+        "query_block", F.pmod(F.xxhash64("id", "v", F.lit(SEED)), query_blocks).cast("int")
     ).withColumn("block", F.explode(F.sequence(F.lit(0), row_blocks - 1)))
     keys = ["part", "block", "query_block"]
     found = (
@@ -289,20 +298,22 @@ def _per_part(counts: dict[int, int]) -> Column:
 
 
 def _ranked(k: int, d: int):
-    """The k nearest rows of a block for each query of a block, scores summed the same way for
+    """The k nearest ids of a block for each query of a block, scores summed the same way for
     equal vectors so that ties are ties."""
 
     def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
         out: list[tuple[np.ndarray, ...]] = []
         if rows.num_rows and queries.num_rows:
+            rows = rows.sort_by("id")
             ids, asked = rows["id"].to_numpy(), queries["id"].to_numpy()
+            names, starts, owner = np.unique(ids, return_index=True, return_inverse=True)
             held, wanted = (_matrix(t["v"].combine_chunks(), d) for t in (rows, queries))
             step = max(1, CELLS // len(ids))
             for start in range(0, len(asked), step):
                 some = wanted[start : start + step]
                 near = some @ held.T
                 for query, vector, scores in zip(asked[start : start + step], some, near, strict=True):
-                    out.append(_best(k, query, vector, scores, ids, held))
+                    out.append(_best(k, query, vector, scores, names, starts, owner, held))
         columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [[], [], []]
         return pa.table(
             {
@@ -315,17 +326,22 @@ def _ranked(k: int, d: int):
     return run
 
 
-def _best(k: int, query, vector, scores, ids, held) -> tuple[np.ndarray, ...]:
-    scores = np.where(ids == query, -np.inf, scores)
-    own = int((ids == query).sum())
-    wanted = min(2 * k, len(scores) - own)  # more than k: the same id may come twice
+def _best(k: int, query, vector, scores, names, starts, owner, held) -> tuple[np.ndarray, ...]:
+    """Rows come in the order of their ids: names[owner], each from its start."""
+    best = np.maximum.reduceat(scores, starts) if len(names) < len(scores) else scores
+    best = np.where(names == query, -np.inf, best)
+    wanted = min(k, len(names) - int((names == query).sum()))
     if wanted <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-    least = np.partition(scores, len(scores) - wanted)[len(scores) - wanted]
-    slack = 1e-9 * max(1.0, abs(least))
-    near = np.flatnonzero((scores >= least - slack) & (ids != query))
+    least = np.partition(best, len(best) - wanted)[len(best) - wanted]
+    # Of each id that may be among the k, the rows that may be its nearest.
+    floor = np.maximum(best, least)
+    floor -= 1e-9 * np.maximum(1.0, np.abs(floor))
+    floor[names == query] = np.inf
+    near = np.flatnonzero(scores >= floor[owner])
     exact = (held[near] * vector).sum(axis=1)
-    order = np.lexsort((ids[near], -exact))
-    _, first = np.unique(ids[near][order], return_index=True)
+    ids = names[owner[near]]
+    order = np.lexsort((ids, -exact))
+    _, first = np.unique(ids[order], return_index=True)
     chosen = order[np.sort(first)[:k]]
-    return np.full(len(chosen), query), ids[near][chosen], exact[chosen]
+    return np.full(len(chosen), query), ids[chosen], exact[chosen]
