@@ -40,10 +40,11 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps of each SimHash component the document with the smallest id.
 
     Texts without a word, null or not, have one fingerprint and so one component.
-    Rows that repeat id and text stay or go together. Where no document of a
-    component has an id all stay.
+    Of texts that share the smallest id, and where no document of a component has
+    an id, the text of the least hash stays. Of rows that repeat id and text one
+    stays.
     """
-    return simhash.drop_near(docs)
+    return simhash.drop_near(docs, repeats=False)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

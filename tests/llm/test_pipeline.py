@@ -80,6 +80,19 @@ def test_odd_documents(spark):
         assert stage(spark, empty, labels).count() == 0
 
 
+def test_near_copies_without_an_id_or_with_one_id(spark):
+    texts = [f"{'w ' * 3000}{end}" for end in ("one", "two", "three")]
+    others = ["ab cd ef gh", "AB cd ef gh", "ab cd EF gh"]
+    rows = [(None, t, "k") for t in texts] + [(5, t, "k") for t in others]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score string")
+    single = corpus_pipeline.exact_copies(spark, docs, FOLDER)
+    assert single.count() == 6
+    left = corpus_pipeline.near_copies(spark, single, FOLDER).collect()
+    assert sorted((r.doc_id or 0, r.text in texts) for r in left) == [(0, True), (5, False)]
+    again = corpus_pipeline.near_copies(spark, docs.unionByName(docs), FOLDER).collect()
+    assert sorted(map(repr, again)) == sorted(map(repr, left))
+
+
 def test_scores_are_not_all_alike(run_stages, spark):
     before = spark.read.parquet(f"{FOLDER}/documents.parquet").count()
     counts = [before, *(d.count() for d in run_stages[:4])]

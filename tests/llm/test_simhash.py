@@ -91,6 +91,27 @@ def test_groups_nulls_repeats_and_columns(spark):
     assert simhash.drop_near(frame).columns == frame.columns
 
 
+def test_one_row_of_each_component_stays(spark):
+    long = "w " * 3000
+    near = [f"{long}{end}" for end in ("one", "two", "three", "four")]
+    prints = [brute.fingerprint(t) for t in near]
+    assert all((a ^ b).bit_count() <= 3 for a in prints for b in prints)
+    rows = [(None, t) for t in near for _ in range(3)] + [(4, "ab cd ef gh"), (4, "AB cd ef gh"), (6, "ab cd EF gh")]
+    rows += [(None, "ab cd ef GH"), (None, None), (None, ""), (None, " "), (7, "of its own, far from others")]
+    frame = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, content string")
+    kept = simhash.drop_near(frame, repeats=False)
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert len(found) == 4 and kept.columns == frame.columns
+    groups = [{(None, t) for t in near}, {(None, None), (None, ""), (None, " ")}]
+    groups += [{(4, "ab cd ef gh"), (4, "AB cd ef gh")}, {(7, "of its own, far from others")}]
+    assert all(len(group & set(found)) == 1 for group in groups)
+    again = simhash.drop_near(frame.repartition(5), repeats=False).collect()
+    assert [brute.fingerprint(r.text) for r in sorted(again, key=repr)] == [
+        brute.fingerprint(r.text) for r in sorted(kept.collect(), key=repr)
+    ]
+    assert simhash.drop_near(frame).filter("text LIKE 'w %'").count() == 3
+
+
 def test_empty_table(docs):
     assert simhash.near_groups(docs()).count() == 0
     assert simhash.drop_near(docs()).count() == 0

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import (
@@ -24,6 +24,7 @@ from tidemark.llm.common import (
     record_batch,
     same_row,
     slices,
+    whole_text,
     word_blocks,
     written,
 )
@@ -253,12 +254,17 @@ def near_groups(
     )
 
 
-def _labelled(prints: DataFrame, most: int, block_rows: int) -> DataFrame:
-    firsts = prints.groupBy("fp").agg(F.min("id").alias("first"))
+def _rooted(prints: DataFrame, most: int, block_rows: int, first: Column) -> DataFrame:
+    """Each fingerprint, the root of its component and the least ``first`` of its rows."""
+    firsts = prints.groupBy("fp").agg(F.min(first).alias("first"))
     roots = component_roots(near_links(prints, most, block_rows))
-    rooted = firsts.join(roots.withColumnRenamed("u", "fp"), "fp", "left").select(
+    return firsts.join(roots.withColumnRenamed("u", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
+
+
+def _labelled(prints: DataFrame, most: int, block_rows: int) -> DataFrame:
+    rooted = _rooted(prints, most, block_rows, F.col("id"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     members = rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
     return prints.join(written(members, "near-members"), "fp")
@@ -270,13 +276,20 @@ def drop_near(
     most: int = MAX_DISTANCE,
     id_column: str = "doc_id",
     text_column: str = "text",
+    repeats: bool = True,
 ) -> DataFrame:
     """The documents that stay, one of each component (that of the smallest id), with all columns.
 
-    Rows that repeat the id and text that stay all do; where no document of a
-    component has an id, all stay.
+    Of texts that share the smallest id, or where no document of a component has
+    an id, the text of the least hash stays. Rows that repeat the id and text that
+    stay all do; without ``repeats`` one of them does.
     """
-    labelled = _labelled(fingerprints(docs, words, id_column, text_column), most, BLOCK_ROWS)
-    stays = labelled.filter("id <=> component_id").select("id", "content").distinct()
+    prints = fingerprints(docs, words, id_column, text_column)
+    pair = F.struct(F.col("id").isNull().alias("no_id"), "id", "content")
+    least = _rooted(prints, most, BLOCK_ROWS, pair).groupBy("root").agg(F.min("first").alias("least"))
+    stays = written(least.select("least.id", "least.content").distinct(), "near-stays")
     rows, same = same_row(docs, id_column, text_column)
-    return rows.join(stays, same, "left_semi").select("row.*")
+    kept = rows.join(stays, same, "left_semi")
+    if not repeats and not prints.groupBy("id", "content").count().filter("count > 1").isEmpty():
+        kept = kept.withColumn("text", whole_text(f"row.{text_column}")).dropDuplicates(["row_id", "text"])
+    return kept.select("row.*")
