@@ -70,7 +70,7 @@ def test_odd_rows_ties_and_repeats(spark):
     assert [i for _, i, _ in got[140]][:2] == [100, 120]
 
 
-@pytest.mark.parametrize("options", [{}, {"block_rows": 37, "query_block_rows": 3}])
+@pytest.mark.parametrize("options", [{"least_parted": 5000}, {"least_parted": 5000, "block_rows": 37, "query_block_rows": 3}])
 def test_ids_repeated_often_leave_room_for_others(spark, options):
     rng = np.random.default_rng(6)
     rows = vectors(250)
@@ -127,6 +127,23 @@ def test_recall_with_parts(spark):
         assert all(-exact[q, i] == pytest.approx(s, abs=1e-12) for _, i, s in near if (q, i) in exact)
 
 
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.1"])
+def test_registered_query_routes_small_tables(spark, folder, monkeypatch):
+    from tidemark.llm.catalog import op4_nearest
+
+    routers, train = [], ann.train_router
+    monkeypatch.setattr(ann, "train_router", lambda *a: routers.append(train(*a)) or routers[-1])
+    got = {}
+    for r in op4_nearest(spark, f"/root/testdata/{folder}").collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert [r.parts for r in routers] == [ann.PARTS]
+    rows = duckdb.sql(f"SELECT vec_id, embedding FROM '/root/testdata/{folder}/embeddings.parquet'").fetchall()
+    want = brute(rows, 20, 20)
+    assert got.keys() == want.keys() and all(len(near) == 20 for near in got.values())
+    share = np.mean([len(got[q] & {i for _, i in want[q]}) / 20 for q in want])
+    assert share >= 0.93
+
+
 def test_a_learned_router_beats_chance():
     rng = np.random.default_rng(5)
     centres = rng.normal(size=(16, 16)) * 2

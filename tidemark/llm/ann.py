@@ -23,8 +23,8 @@ NEIGHBOURS = 20
 QUERY_EVERY = 20
 SAMPLE_ROWS = 8192
 PARTS = 32
-LEAST_PARTED = 4096
 GRAPH_DEGREE = 16
+LEAST_PARTED = 20 * GRAPH_DEGREE  # fewer cannot fill the parts with neighbourhoods
 TARGET_RECALL = 0.96
 BLOCK_ROWS = 1 << 15
 QUERY_BLOCK_ROWS = 2048
