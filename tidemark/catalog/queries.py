@@ -473,7 +473,8 @@ def publish_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def late_day_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Days summarised, then those again that late power readings (errors of a few days) came in for."""
+    """Days summarised, then those again that late power readings came in for: first the errors
+    of a few days, then all others."""
     source = feeds.events(spark, sf_dir)
     wire, root = new_folder(spark, "wire"), new_folder(spark, "late")
     checkpoint, table = new_folder(spark, "late-checkpoint"), new_folder(spark, "late-warehouse")
@@ -485,19 +486,21 @@ def late_day_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
         messages = spark.readStream.schema("value binary").parquet(f"{wire}/{feed}")
         _ingest(messages, schema, f"{root}/{feed}", f"{checkpoint}/{feed}").awaitTermination()
 
-    late = (F.col("event_type") == "error") & F.dayofmonth("ts").isin(LATE_DAYS)
+    late = F.coalesce(F.col("event_type") == "error", F.lit(False))
+    few = F.coalesce(F.dayofmonth("ts").isin(LATE_DAYS), F.lit(False))
     arrive("weather", feeds.weather_feed(source))
     arrive("power", feeds.power_feed(source.filter(~late)))
     ingest("weather", WEATHER_WITH_ID)
     ingest("power", POWER_WITH_ID)
     plans.write_range(spark, root, table, None, None, tie_break=ID)
-    since = {
-        "power": sources.last_change(spark, f"{root}/power", POWER_SCHEMA),
-        "weather": sources.last_change(spark, f"{root}/weather", WEATHER_SCHEMA),
-    }
-    arrive("power", feeds.power_feed(source.filter(late)))
-    ingest("power", POWER_WITH_ID)
-    plans.write_changed_days(spark, root, table, since, tie_break=ID)
+    for batch in (late & few, late & ~few):
+        since = {
+            "power": sources.last_change(spark, f"{root}/power", POWER_SCHEMA),
+            "weather": sources.last_change(spark, f"{root}/weather", WEATHER_SCHEMA),
+        }
+        arrive("power", feeds.power_feed(source.filter(batch)))
+        ingest("power", POWER_WITH_ID)
+        plans.write_changed_days(spark, root, table, since, tie_break=ID)
     return shown(sources.read_summary(spark, table))
 
 
