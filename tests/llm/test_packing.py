@@ -94,6 +94,22 @@ def test_repeats_null_ids_empty_and_columns(spark, docs):
         assert [o for o, _ in sorted(members)] == [0, *np.cumsum([n for _, n in sorted(members)])[:-1]]
 
 
+def test_repeats_are_numbered_in_no_single_task(spark):
+    rows = [(None, 5)] * 1000 + [(1, 5)] * 3 + [(2, 5), (2, 6), (None, 6)]
+    sized = spark.createDataFrame(rows, "doc_id long, size long").repartition(7)
+    numbered = packing._numbered(sized, 10)
+    found = sorted(map(tuple, numbered.collect()), key=repr)
+    want = [(None, 5, i) for i in range(1, 1001)] + [(1, 5, 1), (1, 5, 2), (1, 5, 3), (2, 5, 1), (2, 6, 1), (None, 6, 1)]
+    assert found == sorted(want, key=repr)
+    assert "Window" not in numbered._jdf.queryExecution().toString()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        dealt = packing._numbered(sized, 10).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(dealt) > 1 and max(r["count"] for r in dealt) < 700
+
+
 def test_documents_without_tokens_are_left_out(spark):
     frame = spark.createDataFrame([(1, 0), (2, 4), (3, None)], "doc_id long, n long")
     assert [r.doc_id for r in packing.pack_documents(frame, LENGTHS, F.col("n")).collect()] == [2]

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import whole_text, written
@@ -22,6 +22,7 @@ from tidemark.llm.common import whole_text, written
 LENGTHS = (2048, 4096, 8192, 16384, 32768)
 SHARD_TOKENS = 1 << 26
 SHARD_PIECES = 1 << 17
+REPEAT_RUN = 1 << 14
 # Cost of a sequence of n tokens: n, a fixed part, and a part for attention, n * n / ATTENTION.
 FIXED_COST = 64.0
 ATTENTION = 1 << 18
@@ -122,6 +123,20 @@ def byte_tokens(text_column: str = "text") -> Column:
     return F.octet_length(whole_text(text_column)).cast("long") + 1
 
 
+def _numbered(sized: DataFrame, run: int = REPEAT_RUN) -> DataFrame:
+    """The rows (doc_id, size) with a number, ``repeat`` from 1, among those that repeat both.
+
+    Such rows are alike, so they are counted, which each task does for its own
+    first, and made again with their numbers: in runs of bounded length, dealt
+    to the tasks by doc_id, size and the run's start.
+    """
+    counted = sized.groupBy("doc_id", "size").count()
+    starts = F.sequence(F.lit(1).cast("long"), F.col("count"), F.lit(run).cast("long"))
+    runs = counted.withColumn("start", F.explode(starts)).repartition("doc_id", "size", "start")
+    end = F.least("count", F.col("start") + run - 1)
+    return runs.select("doc_id", "size", F.explode(F.sequence("start", end)).alias("repeat"))
+
+
 def pack_documents(
     docs: DataFrame,
     lengths: Sequence[int] = LENGTHS,
@@ -144,9 +159,7 @@ def pack_documents(
     longest = lengths[-1]
     size = byte_tokens() if tokens is None else tokens.cast("long")
     sized = docs.select(F.col(id_column).cast("long").alias("doc_id"), size.alias("size")).filter("size > 0")
-    # Rows that repeat a document are told apart by a number; alike, any order does.
-    alike = Window.partitionBy("doc_id", "size").orderBy(F.lit(0))
-    sized = written(sized.withColumn("repeat", F.row_number().over(alike)), "document-lengths")
+    sized = written(_numbered(sized), "document-lengths")
     rest = F.col("size") % longest
     total = sized.agg(F.sum(rest), F.count_if(rest > 0)).first()
     shards = max(1, -(-(total[0] or 0) // shard_tokens), -(-(total[1] or 0) // shard_pieces))
