@@ -2,6 +2,9 @@
 
 import importlib.util
 import math
+import shutil
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -34,6 +37,19 @@ def test_every_query_has_sql():
     assert set(QUERIES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
+@pytest.mark.parametrize("gone", [["tidemark/llm", "tests/llm"], ["tidemark/llm", "corpus_pipeline.py"]])
+def test_the_entry_works_without_the_operators_for_training_data(tmp_path, gone):
+    copy = tmp_path / "copy"
+    left_out = shutil.ignore_patterns(".git", "__pycache__")
+    shutil.copytree(ENTRY.parent, copy, ignore=left_out)
+    for name in gone:
+        place = copy / name
+        shutil.rmtree(place) if place.is_dir() else place.unlink(missing_ok=True)
+    code = "import __spark_entry__ as e; print(*sorted(e.queries()))"
+    ran = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True)
+    assert ran.stdout.split() == sorted(QUERIES), ran.stderr
+
+
 def test_flagship(spark):
     assert entry.entry(spark).count() > 0
 
