@@ -10,6 +10,8 @@ TEXTS = [
     "12.3", " 12.3 ", "-4", "+4.5", "1e3", "1E-3", ".5", "5.", "1_000.5", "nan", "NaN", "inf",
     "-Infinity", "0", "007", "1.5d", "1.5f", "0x10", "0x1p3", "", " ", "1,5", "abc", "1 2", "1__0",
     "_1", "--1", "1e", "99999999999", "2147483648", "0.5", "강수없음", "1mm 미만", "1_0", "infinit",
+    "１２.5", "\u3000٧\u00a0", "\U0001d7cf", "1_2_3", "1_", "1._5", "1.5_", "1e1_0", "²", ".", "+", "1.e2", "\n5\t",
+    "1_" * 3000 + "1", "1_" * 3000 + "_1", "x" * 3000,
 ]
 
 

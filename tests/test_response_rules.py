@@ -127,6 +127,98 @@ def test_power_rules(spark):
     assert len(kinds) == 5
 
 
+ITEM = "<item><baseDatetime>20250101001000</baseDatetime><currPwrTot>1</currPwrTot></item>"
+MEGABYTE = 1 << 20
+
+
+def whole(items, before=""):
+    return f"{before}<r><h><resultCode>00</resultCode></h><b>{items}</b></r>"
+
+
+# Read or rejected just as xml.etree does, whatever their size.
+HOSTILE = [
+    "<html " + "a" * MEGABYTE,
+    "<html " + "a " * (MEGABYTE // 2),
+    "<!--" * (MEGABYTE // 4),
+    "</r><!--" * (MEGABYTE // 8),
+    "<r>" + "</r >" * (MEGABYTE // 5) + "x",
+    "<item>" * (MEGABYTE // 6),
+    "<item a='" * (MEGABYTE // 9),
+    "<!DOCTYPE r [" * (MEGABYTE // 13),
+    "<?" * (MEGABYTE // 2),
+    "<![CDATA[" * (MEGABYTE // 9),
+    whole("x" * MEGABYTE + ITEM),
+    whole("<y/>" * (MEGABYTE // 4) + ITEM),
+    whole("<!--" + "<item> " * (MEGABYTE // 7) + "-->" + ITEM),
+    whole("<x>" * 150 + ITEM + "</x>" * 150),
+    whole("<item>" * 100 + "</item>" * 100),
+    whole("<item><currPwrTot>" + "1_" * (MEGABYTE // 2) + "1</currPwrTot></item>"),
+    whole("<item><currPwrTot>" + "1" * MEGABYTE + "</currPwrTot></item>"),
+    whole(f"<item {' '.join(f'a{i}=\"x\"' for i in range(900))}>{ITEM[6:]}"),
+]
+ODD = [
+    whole("<![CDATA[<item><currPwrTot>9</currPwrTot></item>]]>" + ITEM),
+    whole("<?p <item><currPwrTot>9</currPwrTot></item>?>" + ITEM),
+    whole("<!-- <![CDATA[ -->" + ITEM + "<!-- ]]> -->"),
+    whole("<![CDATA[<!--]]>" + ITEM + "<![CDATA[-->]]>"),
+    whole("<item><currPwrTot><![CDATA[ 8 ]]></currPwrTot></item>"),
+    whole("<item><currPwrTot><![CDATA[a<b&c]]></currPwrTot></item>"),
+    whole("<item><item><currPwrTot>5</currPwrTot></item><w><item/></w><currPwrTot>7</currPwrTot></item>" + ITEM),
+    whole("<items><itemize/><item-x/></items>" + ITEM),
+    whole(ITEM, "\ufeff"),
+    whole(ITEM, "\ufeff<?xml version='1.0' encoding='utf-8'?>\n<!DOCTYPE r>"),
+    whole(ITEM, "<!DOCTYPE r [<!ENTITY x '7]>'><!-- ' ] --><?p ]>?>]>"),
+    whole(ITEM, "<!DOCTYPE r SYSTEM \"a>b\">"),
+    whole(ITEM, " <?xml version='1.0'?>"),
+    whole(ITEM, "<?xml version='1.0'?><?xml version='1.0'?>"),
+    whole("<!-- a -- b -->" + ITEM),
+    whole("<x a='<'/>" + ITEM),
+    whole("]]>" + ITEM),
+    whole("<item a='1' a='2'/>"),
+    whole(ITEM) + "<!DOCTYPE r>",
+    "<![CDATA[x]]>" + whole(ITEM),
+    "<resultCode>00</resultCode>",
+    whole("<item><currPwrTot>\uff11\uff12.5</currPwrTot></item>"),
+    whole("<item><currPwrTot>\u3000\u0667\u00a0</currPwrTot></item>"),
+    whole("<resultCode>30</resultCode>" + ITEM),
+    "<r><x><resultCode>0<y/>0</resultCode></x>" + ITEM + "</r>",
+]
+
+
+def test_no_payload_is_too_much(spark):
+    payloads = HOSTILE + ODD
+    found = parsed(spark, parse_power, payloads, ["base_datetime", "current_demand_mw", "reserve_power_mw"])
+    for i, payload in enumerate(payloads):
+        want, (reason, *reading, _) = plain_power(payload), found[i]
+        if isinstance(want, str):
+            assert reason == want, payload[:200]
+        else:
+            assert (reason, reading[0] or "", *reading[1:]) == (None, want[0] or "", *want[1:]), payload[:200]
+
+
+def test_beyond_the_parser_means_rejected(spark):
+    """Documents that xml.etree reads and the parser here does not: rejected, never misread."""
+    deep = whole("<x>" * 100_000 + ITEM + "</x>" * 100_000)
+    wide = whole(f"<item {' '.join(f'a{i}=\"x\"' for i in range(5000))}>{ITEM[6:]}")
+    entity = whole("<x>&e;</x>" + ITEM, "<!DOCTYPE r [<!ENTITY e '7'>]>")
+    inside = whole("<item><currPwrTot>7<b/>8</currPwrTot></item>")
+    found = parsed(spark, parse_power, [deep, wide, entity, inside], ["current_demand_mw"])
+    assert [found[i][0] for i in range(4)] == ["malformed"] * 3 + ["bad_value"]
+
+
+def test_no_json_payload_is_too_much(spark):
+    def listed(value):
+        return f'{{"response":{{"body":{{"items":{{"item":[{{"category":"T1H","obsrValue":{value}}}]}}}}}}}}'
+
+    ok = [listed('"' + "1_" * 9 + '1"'), listed('"' + "0_" * (MEGABYTE // 2) + '5"'), listed('"' + " " * MEGABYTE + '5"')]
+    bad = [listed('"' + "1_" * (MEGABYTE // 2) + '_1"'), "[" * MEGABYTE, '{"response":' * (MEGABYTE // 12)]
+    bad += ['{"response":{"body":{"items":' + "[" * MEGABYTE, listed("[" * MEGABYTE), listed('"' + "x" * MEGABYTE)]
+    bad += ["[" * 100_000 + "]" * 100_000, listed("1" * MEGABYTE + "x")]
+    found = parsed(spark, parse_weather, ok + bad, ["temperature_c"])
+    assert [found[i][:2] for i in range(len(ok))] == [(None, single(1111111111.0)), (None, 5.0), (None, 5.0)]
+    assert all(found[i][0] is not None for i in range(len(ok), len(ok) + len(bad)))
+
+
 def weather_payloads(n=400):
     rng = random.Random(8)
     values = ['"12.3"', '"강수없음"', '"1"', '"0.5"', '"x"', '""', '" 3 "', '"1_0"', '"nan"', "0.5", "-0.5", "3"]

@@ -12,6 +12,8 @@ from tidemark.schemas import POWER_TIME_FORMAT
 
 ID = "event_id"
 FILES_PER_BATCH = 5000
+# Of payloads that would try a parser's patience, one in so many repeats a part so often.
+LONG_EVERY, LONG_REPEATS = 100, 5_000
 IS_POWER = "event_type <> 'view'"
 IS_WEATHER = "event_type = 'view'"
 
@@ -59,6 +61,10 @@ def _temperature() -> Column:
     return -10 + F.col("value") / 10
 
 
+def _repeats() -> Column:
+    return F.when(F.col(ID) % LONG_EVERY == 0, LONG_REPEATS).otherwise(3)
+
+
 def with_kind(source: DataFrame) -> DataFrame:
     """Add the number in props, 0 to 99, that picks the kind of damage."""
     return source.withColumn("kind", F.regexp_extract("props", r"(\d+)", 1).try_cast("int"))
@@ -139,9 +145,11 @@ def weather_messages(source: DataFrame, *keep: str) -> DataFrame:
 
 def power_responses(source: DataFrame) -> DataFrame:
     """Raw XML responses, one per power reading, some of them errors."""
-    kind = F.col("kind")
-    demand = F.when(kind.between(30, 33), F.lit("n/a")).otherwise(
-        F.format_string("%.2f", _demand())
+    kind, often = F.col("kind"), _repeats()
+    demand = (
+        F.when(kind == 46, F.concat(F.repeat(F.lit("1_"), often), F.lit("_1")))
+        .when(kind.between(30, 33), F.lit("n/a"))
+        .otherwise(F.format_string("%.2f", _demand()))
     )
     reserve = F.format_string("<suppReservePwr>%.2f</suppReservePwr>", _reserve())
     reserve = (
@@ -175,6 +183,18 @@ def power_responses(source: DataFrame) -> DataFrame:
     whole = F.when(kind.between(34, 37), F.format_string(deeper, header, items)).otherwise(
         F.format_string(usual, header, items)
     )
+    aside = "<response><![CDATA[%s]]>" + usual[len("<response>") :]
+    whole = (
+        F.when(kind == 38, F.format_string(aside, F.lit(second), header, items))
+        .when(kind == 39, F.concat(F.lit("\ufeff"), whole))
+        .when(kind == 40, F.concat(F.lit('<!DOCTYPE response [<!ENTITY a "]>">]>'), whole))
+        .when(kind == 41, F.concat(F.lit("<!--"), F.repeat(F.lit("<item> "), often), F.lit("-->"), whole))
+        .when(kind == 42, F.format_string("<response><i%s/>%s</response>", F.repeat(F.lit(" "), often), whole))
+        .when(kind == 43, F.concat(F.lit("<html "), F.repeat(F.lit("ab "), often)))
+        .when(kind == 44, F.concat(whole, F.repeat(F.lit("</response><!--"), often)))
+        .when(kind == 45, F.repeat(F.lit("<item>"), often))
+        .otherwise(whole)
+    )
     gateway = F.concat(
         F.format_string("<html><title>gateway %d</title><p>", ID), F.repeat(F.lit("no reply "), 40)
     )
@@ -192,7 +212,7 @@ def power_responses(source: DataFrame) -> DataFrame:
 
 def weather_responses(source: DataFrame) -> DataFrame:
     """Raw JSON responses, one per weather reading, some of them errors."""
-    kind = F.col("kind")
+    kind, often = F.col("kind"), _repeats()
 
     def observation(category: str, value: Column, bare: Column | None = None) -> Column:
         quoted = F.format_string(f'{{"category":"{category}","obsrValue":"%s"}}', value)
@@ -202,11 +222,13 @@ def weather_responses(source: DataFrame) -> DataFrame:
         return F.when(kind == 15, unquoted).otherwise(quoted)
 
     rain = F.when(_rain_kind() == 0, F.lit("강수없음")).otherwise(
-        F.format_string("%.3f", _rain())
+        F.concat(F.when(kind == 17, F.repeat(F.lit("0_"), often)).otherwise(""), F.format_string("%.3f", _rain()))
     )
     rain = F.when(kind.between(9, 10), F.lit("1mm 미만")).otherwise(rain)
-    rain_kind = F.when(kind.between(11, 12), F.lit("0.5")).otherwise(
-        F.format_string("%d", _rain_kind())
+    rain_kind = (
+        F.when(kind.between(11, 12), F.lit("0.5"))
+        .when(kind == 16, F.concat(F.repeat(F.lit("1_"), often), F.lit("_1")))
+        .otherwise(F.format_string("%d", _rain_kind()))
     )
     degrees = observation("T1H", F.format_string("%.3f", _temperature()), F.lit("true"))
     degrees = (
@@ -239,6 +261,7 @@ def weather_responses(source: DataFrame) -> DataFrame:
         .when(kind == 2, F.concat(whole, F.lit('{"x":1}')))
         .when(kind < 5, F.lit(no_data))
         .when(kind == 14, F.lit('{"x":1}'))
+        .when(kind == 18, F.repeat(F.lit('{"response":['), often))
         .otherwise(whole)
     )
     return with_kind(source.filter(IS_WEATHER)).select(

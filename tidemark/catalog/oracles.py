@@ -112,15 +112,19 @@ READ_WEATHER = f"""{FEEDS}, readings AS (
          CASE WHEN kind IN (5, 6) THEN NULL ELSE rainfall_mm END AS rainfall_mm,
          CASE WHEN kind IN (5, 6, 13) THEN NULL WHEN kind = 15 THEN 1 ELSE temperature_c END
            AS temperature_c
-  FROM weather WHERE kind >= 5 AND kind NOT IN (9, 10, 11, 12, 14)
+  FROM weather WHERE kind >= 5 AND kind NOT IN (9, 10, 11, 12, 14, 16, 18)
 )"""
 
+# How often a part of a payload is repeated that would try a parser's patience.
+OFTEN = "CASE WHEN event_id % 100 = 0 THEN 5000 ELSE 3 END"
+
 # The raw responses as texts, and why those that give no reading are rejected.
 REJECTS = f"""
 WITH power_parts AS (
   SELECT event_id, ts, {KIND} AS kind,
          '<item><baseDatetime>' || {POWER_TIME} || '</baseDatetime><currPwrTot>'
-           || CASE WHEN kind BETWEEN 30 AND 33 THEN 'n/a' ELSE printf('%.2f', 60000 + 50 * value) END
+           || CASE WHEN kind BETWEEN 30 AND 33 THEN 'n/a'
+                WHEN kind = 46 THEN repeat('1_', {OFTEN}) || '_1' ELSE printf('%.2f', 60000 + 50 * value) END
            || '</currPwrTot>'
            || CASE WHEN kind BETWEEN 21 AND 25 THEN '<suppReservePwr></suppReservePwr>'
                 WHEN kind BETWEEN 26 AND 29 THEN ''
@@ -139,7 +143,8 @@ WITH power_parts AS (
 ), weather_parts AS (
   SELECT event_id, ts, {KIND} AS kind,
          '{{"category":"PTY","obsrValue":"'
-           || CASE WHEN kind BETWEEN 11 AND 12 THEN '0.5' ELSE CAST(user_id % 4 AS VARCHAR) END
+           || CASE WHEN kind BETWEEN 11 AND 12 THEN '0.5'
+                WHEN kind = 16 THEN repeat('1_', {OFTEN}) || '_1' ELSE CAST(user_id % 4 AS VARCHAR) END
            || '"}},{{"category":"REH","obsrValue":"55"}},{{"category":"RN1","obsrValue":"'
            || CASE WHEN kind BETWEEN 9 AND 10 THEN '1mm 미만' WHEN user_id % 4 = 0 THEN '강수없음'
                 ELSE printf('%.3f', value / 10) END
@@ -153,7 +158,8 @@ WITH power_parts AS (
 ), rejects AS (
   SELECT 'power' AS feed, event_id, ts,
          CASE WHEN kind < 5 THEN 'malformed' WHEN kind < 13 THEN 'api_error'
-              WHEN kind < 17 THEN 'no_item' WHEN kind BETWEEN 30 AND 33 THEN 'bad_value'
+              WHEN kind < 17 THEN 'no_item' WHEN kind BETWEEN 30 AND 33 OR kind = 46 THEN 'bad_value'
+              WHEN kind BETWEEN 43 AND 45 THEN 'malformed'
          END AS reject_reason,
          CASE WHEN kind BETWEEN 5 AND 9 THEN '30' END AS result_code,
          CASE WHEN kind BETWEEN 5 AND 9 THEN 'KEY ERROR' WHEN kind BETWEEN 10 AND 12 THEN 'NO CODE'
@@ -161,12 +167,14 @@ WITH power_parts AS (
          CASE WHEN kind < 2 THEN '<html><title>gateway ' || event_id || '</title><p>'
                 || repeat('no reply ', 40)
               WHEN kind = 2 THEN whole || 'junk' WHEN kind = 3 THEN whole || whole
-              WHEN kind = 4 THEN '<response><header>' ELSE whole END AS payload
+              WHEN kind = 4 THEN '<response><header>' WHEN kind = 43 THEN '<html ' || repeat('ab ', {OFTEN})
+              WHEN kind = 44 THEN whole || repeat('</response><!--', {OFTEN})
+              WHEN kind = 45 THEN repeat('<item>', {OFTEN}) ELSE whole END AS payload
   FROM power_whole
   UNION ALL
   SELECT 'weather' AS feed, event_id, ts,
-         CASE WHEN kind < 3 THEN 'malformed' WHEN kind < 5 THEN 'api_error'
-              WHEN kind BETWEEN 9 AND 12 THEN 'bad_value' WHEN kind = 14 THEN 'unknown_structure'
+         CASE WHEN kind < 3 OR kind = 18 THEN 'malformed' WHEN kind < 5 THEN 'api_error'
+              WHEN kind BETWEEN 9 AND 12 OR kind = 16 THEN 'bad_value' WHEN kind = 14 THEN 'unknown_structure'
          END AS reject_reason,
          CASE WHEN kind BETWEEN 3 AND 4 THEN '03' END AS result_code,
          CASE WHEN kind BETWEEN 3 AND 4 THEN 'NO DATA' END AS result_msg,
@@ -174,7 +182,8 @@ WITH power_parts AS (
               WHEN kind = 2 THEN whole || '{{"x":1}}'
               WHEN kind < 5 THEN '{{"response":{{"header":{{"resultCode":"03","resultMsg":"NO DATA"}},'
                 || '"body":{{"items":""}}}}}}'
-              WHEN kind = 14 THEN '{{"x":1}}' ELSE whole END AS payload
+              WHEN kind = 14 THEN '{{"x":1}}'
+              WHEN kind = 18 THEN repeat('{{"response":[', {OFTEN}) ELSE whole END AS payload
   FROM weather_whole
 )"""
 
@@ -201,7 +210,7 @@ WHERE substr(base_datetime, 1, 8) = '20240115'""",
     "power_from_xml": f"""{FEEDS}, readings AS (
   SELECT event_id, base_datetime, current_demand_mw,
          CASE WHEN kind BETWEEN 21 AND 29 THEN 0 ELSE reserve_power_mw END AS reserve_power_mw
-  FROM power WHERE kind >= 17 AND kind NOT BETWEEN 30 AND 33
+  FROM power WHERE kind >= 17 AND kind NOT BETWEEN 30 AND 33 AND kind NOT BETWEEN 43 AND 46
 )
 SELECT event_id, {POWER_SHOWN} FROM readings""",
     "weather_from_json": f"""{READ_WEATHER}
@@ -329,6 +338,7 @@ FROM texts WHERE kind < 6 OR kind IN (8, 9, 17)""",
          || CAST(CAST(CASE WHEN {KIND} BETWEEN 21 AND 29 THEN 0 ELSE 5000 + 10 * value END AS FLOAT)
               AS VARCHAR) || '}}' AS text
   FROM events WHERE event_type <> 'view' AND {KIND} >= 17 AND {KIND} NOT BETWEEN 30 AND 33
+    AND {KIND} NOT BETWEEN 43 AND 46
 )
 SELECT 'message' AS kind, text FROM read_power
 UNION ALL
