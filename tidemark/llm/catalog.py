@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm import (
     ann,
     bpe,
+    divergence,
     exact_dedup,
+    jaccard_join,
     lang_id,
     packing,
     quality,
@@ -19,6 +21,7 @@ from tidemark.llm import (
     simhash,
     token_files,
     warc,
+    whitening,
 )
 from tidemark.session import new_folder
 
@@ -77,6 +80,18 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_report(table(spark, sf_dir, "pages"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_groups(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -90,6 +105,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_byte_bpe,
         op9_language,
         op10_warc,
+        op11_source_divergence,
+        op12_jaccard_join,
+        op13_whitening,
     )
 }
 
@@ -121,4 +139,70 @@ ORACLES: dict[str, str] = {
                CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
         FROM digests
     """,
+    "op11_source_divergence": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents
+        ), postings AS (
+            SELECT lang, source, term, count(*) AS n, count(DISTINCT doc) AS docs
+            FROM (SELECT lang, source, doc, unnest(terms) AS term FROM docs) GROUP BY ALL
+        ), kept AS (
+            SELECT lang, term, sum(n)::BIGINT AS n FROM postings GROUP BY ALL HAVING sum(docs) >= 30
+        ), languages AS (
+            SELECT lang, count(*) AS v, sum(n)::BIGINT AS total FROM kept GROUP BY ALL
+        ), counts AS (
+            SELECT g.lang, g.source, k.term, coalesce(p.n, 0) AS n, k.n AS in_lang, l.v, l.total AS lang_total,
+                   sum(coalesce(p.n, 0)) OVER (PARTITION BY g.lang, g.source)::BIGINT AS total
+            FROM (SELECT DISTINCT lang, source FROM docs) g
+            JOIN kept k USING (lang) JOIN languages l USING (lang) LEFT JOIN postings p USING (lang, source, term)
+        ), shares AS (
+            SELECT lang, source, term, n,
+                   1 + (1000000000::HUGEINT * (n + 5) // (total + 5 * v))::BIGINT AS p,
+                   1 + (1000000000::HUGEINT * (in_lang + 5) // (lang_total + 5 * v))::BIGINT AS q
+            FROM counts
+        ), found AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(d.value, 0) AS value
+            FROM (SELECT DISTINCT lang, source FROM docs) a
+            JOIN (SELECT DISTINCT lang, source FROM docs) b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN (
+                SELECT x.lang, x.source, y.source AS other, sum(abs(x.p - y.p))::BIGINT AS value
+                FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term GROUP BY ALL
+            ) d ON d.lang = a.lang AND d.source = a.source AND d.other = b.source
+            UNION ALL
+            SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q
+        )
+        SELECT lang, source, part, item, value,
+               row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+        FROM found
+        QUALIFY part = 'pair' OR rank <= 50
+    """,
+    "op12_jaccard_join": r"""
+        WITH RECURSIVE words AS (
+            SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+            FROM documents
+        ), sets AS (
+            SELECT r, doc_id, list_distinct(CASE
+                WHEN len(w) = 0 THEN []
+                WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS shingles
+            FROM words
+        ), tokens AS (
+            SELECT r, len(shingles) AS n, unnest(shingles) AS token FROM sets
+        ), links AS (
+            SELECT a.r AS x, b.r AS y FROM tokens a JOIN tokens b ON a.token = b.token AND a.r <> b.r
+            GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+        ), reached AS (
+            SELECT r, r AS other FROM sets
+            UNION
+            SELECT reached.r, links.y FROM reached JOIN links ON reached.other = links.x
+        )
+        SELECT s.doc_id, len(s.shingles)::BIGINT AS n_shingles, min(o.doc_id) AS component_id
+        FROM sets s JOIN reached USING (r) JOIN sets o ON o.r = reached.other
+        GROUP BY s.r, s.doc_id, s.shingles
+    """,
 }
