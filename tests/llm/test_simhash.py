@@ -78,6 +78,20 @@ def test_long_chain(spark):
     assert found == {i: 0 for i in range(1, 201)} | {1001: 1000}
 
 
+@pytest.mark.parametrize(("most", "tasks"), [(3, 7), (50, 5), (1000, 1), (1000, 6)])
+def test_components_of_any_number_of_forests(spark, most, tasks):
+    rng = random.Random(most)
+    nodes = [rng.randrange(-(2**62), 2**62) for _ in range(150)]
+    links = [(rng.choice(nodes), rng.choice(nodes)) for _ in range(120)] + [(nodes[0], n) for n in nodes[1:30]]
+    label = {n: n for n in nodes}
+    for _ in range(len(nodes)):
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    frame = spark.createDataFrame(links, "u long, v long").repartition(tasks)
+    found = {r.u: r.root for r in component_roots(frame, most).collect()}
+    assert found == {n: r for n, r in label.items() if n != r}
+
+
 def test_groups_nulls_repeats_and_columns(spark):
     rows = [(5, "Some Words here now"), (3, "some words\there now"), (3, "some words\there now"), (9, None)]
     rows += [(8, ""), (None, "alone in this"), (None, " "), (2, "w " * 30000), (1, "w " * 29999)]

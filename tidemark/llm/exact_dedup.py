@@ -93,35 +93,22 @@ def drop_copies(
     text_column: str = "text",
     hashed: Callable[[Column], Column] = content_hash,
 ) -> DataFrame:
-    """The documents that stay, with all their columns; of rows that repeat an id and a
-    text, one."""
-    groups = text_groups(docs, keep, id_column, text_column, hashed)
-    text = whole_text(text_column)
+    """The documents that stay, one of each different text, with all their columns.
+
+    That of the smallest (or largest) id stays; a row without an id only where no
+    row of its text has one. Of rows that repeat that id and text one stays. The
+    bytes are a grouping key beside their hash, so texts that share a hash stay
+    apart; each task first reduces its own copies to one.
+    """
+    text, others = F.col(text_column), [c for c in docs.columns if c != text_column]
+    known = F.col(id_column).isNull() if keep == "smallest" else F.col(id_column).isNotNull()
+    order = F.struct(known.alias("known"), F.col(id_column).alias("id"))
+    row = F.struct(text.isNull().alias("no_text"), F.struct(*others).alias("others"))
     rows = docs.select(
-        F.struct("*").alias("row"), F.col(id_column).alias("id"), hashed(text).alias("hash")
+        hashed(whole_text(text_column)).alias("hash"), whole_text(text_column).alias("text"), order.alias("order"), row.alias("row")
     )
-    single = groups.filter("n_texts = 1")
-    kept = rows.join(
-        single.select("hash", F.col("keep_id").alias("id_kept")),
-        (F.col("id").eqNullSafe(F.col("id_kept"))) & (rows["hash"] == single["hash"]),
-        "left_semi",
-    ).select("row", "id", "hash")
-    collided = groups.filter("n_texts > 1").select("hash")
-    if not collided.isEmpty():
-        among = rows.join(collided, "hash", "left_semi").withColumn("text", whole_text(f"row.{text_column}"))
-        stays = _distinct(among, keep).select("hash", "text", F.col("keep_id").alias("id"))
-        kept = kept.unionByName(
-            among.alias("a")
-            .join(
-                stays.alias("b"),
-                F.expr("a.hash = b.hash AND a.text = b.text AND a.id <=> b.id"),
-                "left_semi",
-            )
-            .select("row", "id", "hash")
-        )
-    repeated = docs.groupBy(id_column).count().filter("count > 1")
-    if not repeated.isEmpty():
-        kept = kept.withColumn("text", whole_text(f"row.{text_column}")).dropDuplicates(
-            ["id", "hash", "text"]
-        )
-    return kept.select("row.*")
+    first = {"smallest": F.min_by, "largest": F.max_by}[keep]
+    kept = rows.groupBy("hash", "text").agg(first("row", "order").alias("row"))
+    columns = {c: F.col("row.others")[c] for c in others}
+    columns[text_column] = F.when(~F.col("row.no_text"), F.col("text"))
+    return kept.select(*[columns[c].alias(c) for c in docs.columns])

@@ -438,10 +438,10 @@ def _verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return pairs.filter(100 * common >= percent * whole).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
-def _roots(classes: DataFrame, links: DataFrame) -> DataFrame:
+def _with_roots(classes: DataFrame, roots: DataFrame) -> DataFrame:
     """Sets with the least set of their component: ref, root and the other columns."""
-    roots = component_roots(links).withColumnRenamed("u", "ref")
-    return classes.join(roots, "ref", "left").withColumn("root", F.coalesce("root", "ref"))
+    joined = classes.join(roots.withColumnRenamed("u", "ref"), "ref", "left")
+    return joined.withColumn("root", F.coalesce("root", "ref"))
 
 
 def similar_groups(
@@ -478,15 +478,16 @@ def similar_groups(
     leads = sets.select("ref", "shingles").mapInArrow(_to_leads(rarity, counters_log2, orders, leading), _ddl(_LEADS))
     chained = leads.repartitionByRange("key", "at", "ref").sortWithinPartitions("key", "at", "ref")
     neighbours = chained.mapInArrow(_neighbours(percent), _ddl(_PAIRS)).select("a", "b").distinct()
-    links = written(_verified(written(neighbours, "jaccard-neighbours"), sets, percent), "jaccard-links")
+    roots = component_roots(_verified(written(neighbours, "jaccard-neighbours"), sets, percent))
 
-    rooted = _roots(sets, links).select("ref", "root", "shingles")
+    rooted = _with_roots(sets, roots).select("ref", "root", "shingles")
     prefixes = rooted.mapInArrow(_to_prefixes(rarity, counters_log2, orders, percent), _ddl(_PREFIXES))
     candidates = written(_candidates(prefixes, orders, percent, block_rows), "jaccard-candidates")
-    further = written(_verified(candidates, sets, percent), "jaccard-links")
+    further = _verified(candidates, sets, percent)
+    roots = component_roots(roots.withColumnRenamed("root", "v").unionByName(further))
 
     firsts = rows.filter("n > 0").groupBy("lo", "hi").agg(F.min("id").alias("first"))
-    known = _roots(sets.select("ref", "lo", "hi"), links.unionByName(further)).join(firsts, ["lo", "hi"])
+    known = _with_roots(sets.select("ref", "lo", "hi"), roots).join(firsts, ["lo", "hi"])
     least = known.groupBy("root").agg(F.min("first").alias("component_id"))
     labels = written(known.select("lo", "hi", "root").join(least, "root").drop("root"), "jaccard-labels")
     classes.remove()

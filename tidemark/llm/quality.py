@@ -19,7 +19,6 @@ from tidemark.llm.common import (
     content,
     fold,
     record_batch,
-    same_row,
     slices,
     word_blocks,
     written,
@@ -102,8 +101,8 @@ def statistics(data: bytes) -> list[float]:
 
 
 def document_statistics(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Written table, a row per row: id, content (a hash of the text) and x, the statistics of the
-    whole text (null as empty)."""
+    """A row per row: id, content (a hash of the text) and x, the statistics of the whole text (null
+    as empty)."""
     kind = dict(docs.dtypes)[id_column]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,9 +116,7 @@ def document_statistics(docs: DataFrame, id_column: str = "doc_id", text_column:
     rows = docs.select(
         F.col(id_column).alias("id"), F.col(text_column).alias("text"), content(text_column).alias("content")
     )
-    return written(
-        rows.mapInArrow(run, f"id {kind}, content long, x array<double>"), "document-statistics"
-    )
+    return rows.mapInArrow(run, f"id {kind}, content long, x array<double>")
 
 
 @dataclass(frozen=True)
@@ -262,7 +259,7 @@ def _scored(
     text_column: str = "text",
     label_column: str = "quality",
 ) -> DataFrame:
-    features = document_statistics(docs, id_column, text_column)
+    features = written(document_statistics(docs, id_column, text_column), "document-statistics")
     model = train(features, labels, id_column, label_column, folds, held_out)
     kind = dict(docs.dtypes)[id_column]
 
@@ -283,9 +280,24 @@ def _scored(
     )
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The documents predicted good, with all their columns, each row by its own text."""
-    scored = _scored(docs, labels, id_column=id_column, text_column=text_column)
-    good = scored.filter("predicted = 1").select("id", "content").distinct()
-    rows, same = same_row(docs, id_column, text_column)
-    return rows.join(good, same, "left_semi").select("row.*")
+def keep_good(
+    docs: DataFrame,
+    labels: DataFrame,
+    threshold: float = THRESHOLD,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """The documents predicted good, with all their columns, each row by its own text.
+
+    The texts are read twice, once to train and once to judge, and are never shuffled.
+    """
+    model = train(document_statistics(docs, id_column, text_column), labels, id_column)
+    text = docs.columns.index(text_column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, text):
+            x = np.array([statistics(t or b"") for t in part.column(text).cast(pa.binary()).to_pylist()])
+            scores = np.full(len(x), model) if isinstance(model, float) else model.scores(x)
+            yield part.filter(pa.array(scores >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -235,7 +235,7 @@ def redact(
     is one, to the new length. Texts without findings stay untouched, null too.
     """
     found = scan(docs, ledger_path, rules, id_column, text_column).filter(F.size("spans") > 0)
-    marks = written(found.dropDuplicates(["path", "blob"]), "secret-findings")
+    marks = found.dropDuplicates(["path", "blob"])
     rows = docs.select(
         F.struct("*").alias("row"),
         F.col(id_column).alias("here"),
