@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm.divergence import _key, _parts, divergence, term_frequencies
+from tidemark.llm.divergence import _key, _pair_corrections, _parts, divergence, term_frequencies
 
 SCHEMA = "doc_id long, text string, lang string, source string"
 
@@ -94,6 +94,19 @@ def test_columns_types_and_counts(spark):
 
 
 def test_keys_order_like_their_parts():
-    values = [b"", b"a", b"a\0", b"a\0\0", b"a\0b", b"ab", b"b\1", b"\0\1"]
-    triples = [(a, b, c) for a in values for b in values for c in values]
-    assert [_parts(k) for k in sorted(_key(*t) for t in triples)] == [list(t) for t in sorted(triples)]
+    langs = [b"", b"a", b"a\0", b"a\0\0", b"a\0b", b"ab", b"b\1", b"\0\1"]
+    pairs = [(a, b) for a in langs for b in (b"a", b"ab", b"b")]
+    assert [_parts(k) for k in sorted(_key(*t) for t in pairs)] == sorted(pairs)
+
+
+def test_pairs_of_many_sources_go_out_in_parts(spark, monkeypatch):
+    rows = [(i, "one two two" if i % 3 else "one three", "en", f"s{i % 40}") for i in range(160)]
+    monkeypatch.setattr("tidemark.llm.divergence.PAIRS_HELD", 50)
+    frame = spark.createDataFrame([("en", [f"s{i}" for i in range(40)], [i * i for i in range(40)], [3] * 40)], "l string, s array<string>, p array<long>, b array<long>")
+    parts = [r for b in _pair_corrections(iter(frame.toArrow().to_batches())) for r in b.to_pylist()]
+    want = {(f"s{i}", f"s{j}"): abs(i * i - j * j) - abs(i * i - 3) - abs(j * j - 3) for i in range(40) for j in range(i + 1, 40)}
+    got = Counter()
+    for r in parts:
+        got[r["a"], r["b"]] += r["value"]
+    assert dict(got) == want
+    assert found(divergence(spark.createDataFrame(rows, SCHEMA), 1)) == plain(rows, 1)

@@ -11,7 +11,8 @@ corrections for the terms that they hold, streamed over the merged frequencies.
 from collections import Counter
 from collections.abc import Iterator
 from heapq import heappop, heappush, heapreplace
-from itertools import groupby
+from itertools import accumulate, chain, groupby
+from operator import itemgetter
 from zlib import crc32
 
 import numpy as np
@@ -27,7 +28,7 @@ UNIT = 1_000_000_000
 TOP_TERMS = 50
 
 # A block is spilled at so many postings, or after so many bytes of text.
-BLOCK_POSTINGS = 1 << 17
+BLOCK_POSTINGS = 1 << 19
 BLOCK_TEXT = 64 << 20
 CHUNK = 1 << 12
 PAIRS_HELD = 1 << 20
@@ -37,15 +38,21 @@ SALTS = 16
 # UTF-8, so that what is beyond ASCII stays as it is.
 _FOLD = bytes(c if c >= 0x80 or chr(c).islower() else ord(chr(c).lower()) if chr(c).isupper() else 0x20 for c in range(256))
 
+# A chunk of a run: keys of terms, in how many documents each is, and their postings one after the
+# other: how many a term has, and the source and the occurrences of each.
 _RUNS = pa.schema(
     [
         ("shard", pa.int32()),
         ("first", pa.binary()),
         ("keys", pa.list_(pa.binary())),
-        ("counts", pa.list_(pa.int64())),
         ("docs", pa.list_(pa.int64())),
+        ("ends", pa.list_(pa.int32())),
+        ("sources", pa.list_(pa.binary())),
+        ("counts", pa.list_(pa.int64())),
     ]
 )
+_RUNS_DDL = """shard int, first binary, keys array<binary>, docs array<long>, ends array<int>,
+    sources array<binary>, counts array<long>"""
 _SOURCE = pa.struct([("source", pa.binary()), ("count", pa.int64())])
 _FREQUENCIES = pa.schema(
     [("lang", pa.binary()), ("term", pa.binary()), ("count", pa.int64()), ("sources", pa.list_(_SOURCE))]
@@ -55,30 +62,33 @@ _CORRECTIONS = pa.schema([("lang", pa.string()), ("a", pa.string()), ("b", pa.st
 _END = b"\0\0"
 
 
-def _key(*parts: bytes) -> bytes:
-    """Parts as one key that orders like them; a zero byte within a part is no end of it."""
-    return _END.join(p.replace(b"\0", b"\0\1") for p in parts)
+def _key(lang: bytes, term: bytes) -> bytes:
+    """Language and term as one key that orders like them; a zero byte within a language is no end
+    of it, and terms hold none."""
+    return lang.replace(b"\0", b"\0\1") + _END + term
 
 
-def _parts(key: bytes) -> list[bytes]:
-    return [p.replace(b"\0\1", b"\0") for p in key.split(_END)]
+def _parts(key: bytes) -> tuple[bytes, bytes]:
+    lang, _, term = key.partition(_END)
+    return lang.replace(b"\0\1", b"\0"), term
 
 
 class _Block:
-    """Postings of a block of texts: for each language and source, occurrences and documents of
-    each term."""
+    """Postings of a block of texts: for each language and source, occurrences of each term, and for
+    each language documents of each term."""
 
     def __init__(self):
-        self._groups: dict[tuple[bytes, bytes], tuple[Counter, Counter]] = {}
+        self._counts: dict[bytes, dict[bytes, Counter]] = {}
+        self._docs: dict[bytes, Counter] = {}
         self._postings = self._bytes = 0
 
     def add(self, lang: bytes, source: bytes, text: bytes) -> None:
-        counts, docs = self._groups.setdefault((lang, source), (Counter(), Counter()))
+        counts = self._counts.setdefault(lang, {}).setdefault(source, Counter())
         before, seen = len(counts), set()
         for terms in word_blocks(text.translate(_FOLD)):
             counts.update(terms)
             seen.update(terms)
-        docs.update(seen)
+        self._docs.setdefault(lang, Counter()).update(seen)
         self._postings += len(counts) - before
         self._bytes += len(text)
 
@@ -86,22 +96,26 @@ class _Block:
         return self._postings >= postings or self._bytes >= BLOCK_TEXT
 
     def spill(self, shards: int, chunk: int) -> Iterator[pa.RecordBatch]:
-        """The run of the block: sorted postings in chunks of one shard each; empties the block."""
-        postings = [
-            (_key(lang, term, source), crc32(_key(lang, term)) % shards, n, docs[term])
-            for (lang, source), (counts, docs) in self._groups.items()
-            for term, n in counts.items()
-        ]
-        self.__init__()
-        postings.sort()
-        by_shard: dict[int, list] = {}
-        for posting in postings:
-            by_shard.setdefault(posting[1], []).append(posting)
+        """The run of the block: its terms in order, in chunks of one shard each; empties the block."""
         rows = []
-        for shard, own in by_shard.items():
-            for at in range(0, len(own), chunk):
-                keys, _, counts, docs = zip(*own[at : at + chunk], strict=True)
-                rows.append((shard, keys[0], keys, counts, docs))
+        for lang in sorted(self._counts):
+            postings: dict[bytes, list] = {}
+            for source, counts in self._counts[lang].items():
+                for term, n in counts.items():
+                    postings.setdefault(term, []).append((source, n))
+            by_shard: list[list[bytes]] = [[] for _ in range(shards)]
+            for term in sorted(postings):
+                by_shard[crc32(term) % shards].append(term)
+            docs = self._docs[lang]
+            for shard, terms in enumerate(by_shard):
+                for at in range(0, len(terms), chunk):
+                    own = terms[at : at + chunk]
+                    flat = [postings[t] for t in own]
+                    ends = list(accumulate(map(len, flat)))
+                    sources, counts = zip(*chain.from_iterable(flat), strict=True)
+                    keys = [_key(lang, t) for t in own]
+                    rows.append((shard, keys[0], keys, [docs[t] for t in own], ends, sources, counts))
+        self.__init__()
         if rows:
             yield record_batch(_RUNS, *map(list, zip(*rows, strict=True)))
 
@@ -119,27 +133,29 @@ def _to_runs(shards: int, postings: int, chunk: int):
     return run
 
 
-def _merge(chunks: Iterator[tuple]) -> Iterator[tuple[bytes, int, int]]:
-    """Postings of a shard in the order of their keys, from chunks in the order of their first keys.
+def _merge(chunks: Iterator[tuple]) -> Iterator[tuple[bytes, int, tuple]]:
+    """Terms of a shard in the order of their keys, from chunks in the order of their first keys:
+    key, place in the chunk, chunk.
 
     A heap holds the chunks that have begun; one whose first key comes later isn't opened yet.
     """
     heap: list[tuple] = []
 
-    def next_posting() -> tuple[bytes, int, int]:
-        key, serial, at, (keys, counts, docs) = heap[0]
+    def next_term() -> tuple[bytes, int, tuple]:
+        key, serial, at, chunk = heap[0]
+        keys = chunk[0]
         if at + 1 < len(keys):
-            heapreplace(heap, (keys[at + 1], serial, at + 1, (keys, counts, docs)))
+            heapreplace(heap, (keys[at + 1], serial, at + 1, chunk))
         else:
             heappop(heap)
-        return key, counts[at], docs[at]
+        return key, at, chunk
 
     for serial, (_, first, *chunk) in enumerate(chunks):
         while heap and heap[0][0] < first:
-            yield next_posting()
+            yield next_term()
         heappush(heap, (first, serial, 0, chunk))
     while heap:
-        yield next_posting()
+        yield next_term()
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -150,17 +166,17 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 
 def _to_frequencies(least: int):
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for _, chunks in groupby(_rows(batches), key=lambda row: row[0]):
-            postings = ((*_parts(key), count, docs) for key, count, docs in _merge(chunks))
-            for (lang, term), own in groupby(postings, key=lambda p: p[:2]):
-                sources, in_docs = [], 0
-                for source, same in groupby(own, key=lambda p: p[2]):
-                    count = 0
-                    for *_, n, docs in same:
-                        count, in_docs = count + n, in_docs + docs
-                    sources.append({"source": source, "count": count})
-                if in_docs >= least:
-                    yield lang, term, sum(s["count"] for s in sources), sources
+        for _, chunks in groupby(_rows(batches), key=itemgetter(0)):
+            for key, same in groupby(_merge(chunks), key=itemgetter(0)):
+                entries = [(at, chunk) for _, at, chunk in same]
+                if sum(docs[at] for at, (_, docs, *_) in entries) < least:
+                    continue
+                found: Counter = Counter()
+                for at, (_, _, ends, sources, counts) in entries:
+                    for i in range(ends[at - 1] if at else 0, ends[at]):
+                        found[sources[i]] += counts[i]
+                sources = [{"source": source, "count": n} for source, n in found.items()]
+                yield *_parts(key), found.total(), sources
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = []
@@ -189,8 +205,7 @@ def term_frequencies(
     shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     columns = [whole_text(c).cast("binary").alias(c) for c in (lang_column, source_column, text_column)]
     runs = docs.select(*columns).mapInArrow(
-        _to_runs(shards, block_postings, chunk),
-        "shard int, first binary, keys array<binary>, counts array<long>, docs array<long>",
+        _to_runs(shards, block_postings, chunk), _RUNS_DDL
     )
     sorted_runs = runs.repartition("shard").sortWithinPartitions("shard", "first")
     merged = sorted_runs.mapInArrow(
@@ -217,40 +232,45 @@ def _share(count: Column, total: Column, terms: Column) -> Column:
 
 
 def _pair_corrections(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For terms (lang, [(source, p, base)]): of each two sources that both hold a term, what their
-    difference there is beyond that of the terms' one-sided corrections; summed before they go out."""
+    """For terms (lang, sources, their shares, their bases): of each two sources that both hold a
+    term, what their difference there is beyond that of the terms' one-sided corrections; summed
+    before they go out."""
     names: dict[tuple[str, str], int] = {}
-    firsts, seconds, values, held = [], [], [], 0
+    held, count = [], 0
 
     def out() -> pa.RecordBatch:
         known = list(names)
-        pairs = np.stack([np.concatenate(firsts), np.concatenate(seconds)])
-        unique, inverse = np.unique(pairs, axis=1, return_inverse=True)
-        sums = np.zeros(unique.shape[1], np.int64)
-        np.add.at(sums, inverse.ravel(), np.concatenate(values))
-        a, b = ([known[i] for i in side] for side in unique)
-        return record_batch(_CORRECTIONS, [x[0] for x in a], [x[1] for x in a], [x[1] for x in b], sums)
+        a, b, values = np.concatenate(held, axis=1)
+        pairs, place = np.unique(a * len(known) + b, return_inverse=True)
+        sums = np.zeros(len(pairs), np.int64)
+        np.add.at(sums, place, values)
+        sides = [[known[i] for i in side] for side in np.divmod(pairs, len(known))]
+        return record_batch(
+            _CORRECTIONS, [x[0] for x in sides[0]], [x[1] for x in sides[0]], [x[1] for x in sides[1]], sums
+        )
 
     for batch in batches:
-        for lang, shares in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if len(shares) < 2:
-                continue
-            shares.sort(key=lambda s: s["source"])
-            codes = np.array([names.setdefault((lang, s["source"]), len(names)) for s in shares])
-            p, base = (np.array([s[c] for s in shares]) for c in ("p", "base"))
-            for i in range(len(codes) - 1):
-                rest = slice(i + 1, None)
-                firsts.append(np.full(len(codes) - i - 1, codes[i]))
-                seconds.append(codes[rest])
-                both = np.abs(p[i] - p[rest]) - np.abs(p[i] - base[rest])
-                values.append(both - np.abs(base[i] - p[rest]) + np.abs(base[i] - base[rest]))
-                held += len(codes) - i - 1
-                if held >= PAIRS_HELD:
+        langs, sources = (batch.column(i).to_pylist() for i in (0, 1))
+        p_all, base_all = (batch.column(i).flatten().to_numpy() for i in (2, 3))
+        ends = np.cumsum(batch.column(1).value_lengths().to_numpy())
+        for lang, own, end in zip(langs, sources, ends, strict=True):
+            k = len(own)
+            codes = np.array([names.setdefault((lang, source), len(names)) for source in own])
+            p, base = p_all[end - k : end], base_all[end - k : end]
+            # So many of the term's sources at a time that their pairs stay few.
+            step = max(1, PAIRS_HELD // k)
+            for start in range(0, k - 1, step):
+                i, j = np.triu_indices(min(step, k - start), 1, k - start)
+                i, j = i + start, j + start
+                both = np.abs(p[i] - p[j]) - np.abs(p[i] - base[j]) - np.abs(base[i] - p[j]) + np.abs(base[i] - base[j])
+                held.append(np.stack([codes[i], codes[j], both]))
+                count += len(i)
+                if count >= PAIRS_HELD:
                     yield out()
-                    firsts, seconds, values, held = [], [], [], 0
-            if not held:
+                    held, count = [], 0
+            if not count:
                 names = {}
-    if held:
+    if count:
         yield out()
 
 
@@ -322,8 +342,9 @@ def divergence(
             (F.col("n") * (F.abs(F.col("p") - F.col("other_base")) - F.abs(F.col("base") - F.col("other_base")))).alias("value"),
         )
     )
-    by_term = shares.groupBy("lang", "term").agg(F.collect_list(F.struct("source", "p", "base")).alias("shares"))
-    both = by_term.select("lang", "shares").mapInArrow(_pair_corrections, "lang string, a string, b string, value long")
+    own_shares = F.array_sort(F.collect_list(F.struct("source", "p", "base"))).alias("s")
+    by_term = shares.groupBy("lang", "term").agg(own_shares).select("lang", "s.source", "s.p", "s.base")
+    both = by_term.mapInArrow(_pair_corrections, "lang string, a string, b string, value long")
     corrected = one_sided.unionByName(both).groupBy("lang", "a", "b").agg(F.sum("value").alias("correction"))
 
     pairs = known.select("lang", "source", "v", "base").join(others, "lang").filter("source <> other")
