@@ -61,8 +61,8 @@ def found(frame):
 def test_equals_the_plain_version(spark, seed, least):
     rows = corpus(seed)
     docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
-    # Blocks of few postings and chunks of few keys, so that runs are many and get merged.
-    assert found(divergence(docs, least, 5, block_postings=7, chunk=3)) == plain(rows, least, 5)
+    # Blocks of little text and chunks of few keys, so that runs are many and get merged.
+    assert found(divergence(docs, least, 5, block_text=300, chunk=3)) == plain(rows, least, 5)
     assert found(divergence(docs, least)) == plain(rows, least)
 
 

@@ -11,25 +11,25 @@ corrections for the terms that they hold, streamed over the merged frequencies.
 from collections import Counter
 from collections.abc import Iterator
 from heapq import heappop, heappush, heapreplace
-from itertools import accumulate, chain, groupby
+from itertools import chain, groupby
 from operator import itemgetter
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import record_batch, slices, whole_text, word_blocks, written
+from tidemark.llm.common import SLICE_BYTES, record_batch, slices, whole_text, word_blocks, written
 
 LEAST_DOCUMENTS = 30
 SMOOTHING = 5
 UNIT = 1_000_000_000
 TOP_TERMS = 50
 
-# A block is spilled at so many postings, or after so many bytes of text.
-BLOCK_POSTINGS = 1 << 19
-BLOCK_TEXT = 64 << 20
+# A block is full at so many bytes of text; a longer text is a block of its own.
+BLOCK_TEXT = 16 << 20
 CHUNK = 1 << 12
 PAIRS_HELD = 1 << 20
 SALTS = 16
@@ -37,9 +37,10 @@ SALTS = 16
 # What is no letter of ASCII nor beyond it ends a term; only A-Z are lower-cased. As bytes of
 # UTF-8, so that what is beyond ASCII stays as it is.
 _FOLD = bytes(c if c >= 0x80 or chr(c).islower() else ord(chr(c).lower()) if chr(c).isupper() else 0x20 for c in range(256))
+_FOLDED = np.frombuffer(_FOLD, np.uint8)
 
 # A chunk of a run: keys of terms, in how many documents each is, and their postings one after the
-# other: how many a term has, and the source and the occurrences of each.
+# other: where a term's end, and the source, as a place in names, and the occurrences of each.
 _RUNS = pa.schema(
     [
         ("shard", pa.int32()),
@@ -47,12 +48,13 @@ _RUNS = pa.schema(
         ("keys", pa.list_(pa.binary())),
         ("docs", pa.list_(pa.int64())),
         ("ends", pa.list_(pa.int32())),
-        ("sources", pa.list_(pa.binary())),
+        ("names", pa.list_(pa.binary())),
+        ("sources", pa.list_(pa.int32())),
         ("counts", pa.list_(pa.int64())),
     ]
 )
 _RUNS_DDL = """shard int, first binary, keys array<binary>, docs array<long>, ends array<int>,
-    sources array<binary>, counts array<long>"""
+    names array<binary>, sources array<int>, counts array<long>"""
 _SOURCE = pa.struct([("source", pa.binary()), ("count", pa.int64())])
 _FREQUENCIES = pa.schema(
     [("lang", pa.binary()), ("term", pa.binary()), ("count", pa.int64()), ("sources", pa.list_(_SOURCE))]
@@ -73,108 +75,189 @@ def _parts(key: bytes) -> tuple[bytes, bytes]:
     return lang.replace(b"\0\1", b"\0"), term
 
 
+def _terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """The terms of texts (as binary): text and code of each occurrence, and the terms by code."""
+    n, offsets = len(texts), np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    starts = pa.py_buffer((offsets - offsets[0]).astype(np.int32))
+    folded = pa.Array.from_buffers(pa.string(), n, [None, starts, pa.py_buffer(_FOLDED[data])])
+    found = pc.ascii_split_whitespace(folded)
+    text = np.repeat(np.arange(n), found.value_lengths().to_numpy())
+    coded = found.flatten().dictionary_encode()
+    code, terms = coded.indices.to_numpy(), coded.dictionary
+    kept = pc.not_equal(terms, "").to_numpy(zero_copy_only=False)
+    if not kept.all():  # blanks at either end of a text leave an empty one
+        own = kept[code]
+        text, code = text[own], (np.cumsum(kept) - 1)[code[own]]
+        terms = terms.filter(pa.array(kept))
+    return text, code, terms.cast(pa.binary())
+
+
+def _counted(*keys: np.ndarray) -> list[np.ndarray]:
+    """Distinct rows of a first column, small, and a second; how often each occurs."""
+    width = int(keys[1].max(initial=0)) + 1
+    found, counts = np.unique(keys[0].astype(np.int64) * width + keys[1], return_counts=True)
+    return [*np.divmod(found, width), counts]
+
+
 class _Block:
-    """Postings of a block of texts: for each language and source, occurrences of each term, and for
-    each language documents of each term."""
+    """Texts of a block with their languages and sources, and the postings of their terms."""
 
     def __init__(self):
-        self._counts: dict[bytes, dict[bytes, Counter]] = {}
-        self._docs: dict[bytes, Counter] = {}
-        self._postings = self._bytes = 0
-
-    def add(self, lang: bytes, source: bytes, text: bytes) -> None:
-        counts = self._counts.setdefault(lang, {}).setdefault(source, Counter())
-        before, seen = len(counts), set()
-        for terms in word_blocks(text.translate(_FOLD)):
-            counts.update(terms)
-            seen.update(terms)
-        self._docs.setdefault(lang, Counter()).update(seen)
-        self._postings += len(counts) - before
-        self._bytes += len(text)
-
-    def full(self, postings: int) -> bool:
-        return self._postings >= postings or self._bytes >= BLOCK_TEXT
+        self._langs, self._sources, self._texts, self.bytes = [], [], [], 0
+
+    def add(self, langs: list[bytes], sources: list[bytes], texts: pa.Array) -> None:
+        self._langs += langs
+        self._sources += sources
+        self._texts.append(texts)
+        self.bytes += pc.sum(pc.binary_length(texts)).as_py() or 0
 
     def spill(self, shards: int, chunk: int) -> Iterator[pa.RecordBatch]:
-        """The run of the block: its terms in order, in chunks of one shard each; empties the block."""
-        rows = []
-        for lang in sorted(self._counts):
-            postings: dict[bytes, list] = {}
-            for source, counts in self._counts[lang].items():
-                for term, n in counts.items():
-                    postings.setdefault(term, []).append((source, n))
-            by_shard: list[list[bytes]] = [[] for _ in range(shards)]
-            for term in sorted(postings):
-                by_shard[crc32(term) % shards].append(term)
-            docs = self._docs[lang]
-            for shard, terms in enumerate(by_shard):
-                for at in range(0, len(terms), chunk):
-                    own = terms[at : at + chunk]
-                    flat = [postings[t] for t in own]
-                    ends = list(accumulate(map(len, flat)))
-                    sources, counts = zip(*chain.from_iterable(flat), strict=True)
-                    keys = [_key(lang, t) for t in own]
-                    rows.append((shard, keys[0], keys, [docs[t] for t in own], ends, sources, counts))
+        """The run of the block; empties it."""
+        if not self._langs:
+            return
+        groups = sorted(set(zip(self._langs, self._sources, strict=True)))
+        langs, sources = (sorted({g[i] for g in groups}) for i in (0, 1))
+        at = {g: i for i, g in enumerate(groups)}
+        group = np.array([at[g] for g in zip(self._langs, self._sources, strict=True)], np.int64)
+        lang_of = np.array([langs.index(g[0]) for g in groups], np.int64)
+        source_of = np.array([sources.index(g[1]) for g in groups], np.int64)
+        if len(self._texts) == 1 and len(self._langs) == 1:
+            text, code, terms, times = self._one_text()
+        else:
+            text, code, terms = _terms(pa.concat_arrays(self._texts))
+            times = None
         self.__init__()
-        if rows:
-            yield record_batch(_RUNS, *map(list, zip(*rows, strict=True)))
+        if not len(terms):
+            return
+        if times is None:
+            in_group, term, count = _counted(group[text], code)
+            in_text, held, _ = _counted(text, code)
+            lang, of, docs = _counted(lang_of[group[in_text]], held)
+        else:
+            in_group, term, count = group[text], code, times
+            lang, of, docs = lang_of[in_group], code, np.ones(len(code), np.int64)
+        yield from _run(langs, sources, terms, (lang_of[in_group], term, source_of[in_group], count), (lang, of, docs), shards, chunk)
+
+    def _one_text(self) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+        """The terms of a text that may be very long, block by block, each once with its number."""
+        counts: Counter = Counter()
+        for words in word_blocks(self._texts[0][0].as_py().translate(_FOLD)):
+            counts.update(words)
+        n = len(counts)
+        return np.zeros(n, np.int64), np.arange(n), pa.array(list(counts), pa.binary()), np.array(list(counts.values()), np.int64)
+
+
+def _run(langs, sources, terms: pa.Array, postings, documents, shards: int, chunk: int) -> Iterator[pa.RecordBatch]:
+    """A run, sorted by language, shard and term, in chunks of one of each: postings (language, term,
+    source, occurrences), each once, and documents of each (language, term)."""
+    lang, code, source, count = postings
+    width = len(terms)
+    rank = np.empty(width, np.int64)
+    rank[pc.array_sort_indices(terms).to_numpy()] = np.arange(width)
+    shard = np.array([crc32(t) % shards for t in terms.to_pylist()], np.int64)
+    order = np.lexsort((source, rank[code], shard[code], lang))
+    lang, code, source, count = lang[order], code[order], source[order], count[order]
+    # One entry for each language and term, from start to end among the postings.
+    starts = np.flatnonzero(np.concatenate([[True], (lang[1:] != lang[:-1]) | (code[1:] != code[:-1])]))
+    ends = np.append(starts[1:], len(code))
+    of_lang, of_code = lang[starts], code[starts]
+    known = documents[0] * width + documents[1]
+    by_key = np.argsort(known)
+    docs = documents[2][by_key][np.searchsorted(known[by_key], of_lang * width + of_code)]
+    # A chunk ends with its language or shard, or when it is full.
+    place = of_lang * shards + shard[of_code]
+    segment = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+    lengths = np.diff(np.append(segment, len(place)))
+    cuts = np.concatenate([np.arange(s, s + n, chunk) for s, n in zip(segment, lengths, strict=True)])
+    bounds = np.append(cuts, len(place)).astype(np.int32)
+    prefixes = pa.array([_key(name, b"") for name in langs], pa.binary())
+    keys = pc.binary_join_element_wise(prefixes.take(pa.array(of_lang)), terms.take(pa.array(of_code)), pa.scalar(b"", pa.binary()))
+    first_posting = starts[cuts]
+    within = (ends - np.repeat(first_posting, np.diff(bounds))).astype(np.int32)
+    posting_bounds = np.append(first_posting, len(code)).astype(np.int32)
+
+    def lists(values, at: np.ndarray) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(at), values if isinstance(values, pa.Array) else pa.array(values))
+
+    yield record_batch(
+        _RUNS,
+        shard[of_code[cuts]].astype(np.int32),
+        keys.take(pa.array(cuts)),
+        lists(keys, bounds),
+        lists(docs, bounds),
+        lists(within, bounds),
+        [sources] * len(cuts),
+        lists(source.astype(np.int32), posting_bounds),
+        lists(count, posting_bounds),
+    )
 
 
-def _to_runs(shards: int, postings: int, chunk: int):
+def _to_runs(shards: int, block_text: int, chunk: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = _Block()
-        for part in slices(batches, 2):
-            for lang, source, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                block.add(lang, source, text)
-                if block.full(postings):
-                    yield from block.spill(shards, chunk)
+        for part in slices(batches, 2, min(block_text, SLICE_BYTES)):
+            if part.num_rows == 1 and pc.binary_length(part.column(2))[0].as_py() >= block_text:
+                yield from block.spill(shards, chunk)
+            block.add(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2))
+            if block.bytes >= block_text:
+                yield from block.spill(shards, chunk)
         yield from block.spill(shards, chunk)
 
     return run
 
 
-def _merge(chunks: Iterator[tuple]) -> Iterator[tuple[bytes, int, tuple]]:
-    """Terms of a shard in the order of their keys, from chunks in the order of their first keys:
-    key, place in the chunk, chunk.
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Chunks as (shard, (first key, keys, documents, ends, names, sources, occurrences))."""
+    for batch in batches:
+        shards, firsts, names = (batch.column(c).to_pylist() for c in ("shard", "first", "names"))
+        for row in range(batch.num_rows):
+            keys, docs, ends, sources, counts = (
+                batch.column(c)[row].values for c in ("keys", "docs", "ends", "sources", "counts")
+            )
+            flat = (ends.to_numpy(), names[row], sources.to_numpy(), counts.to_numpy())
+            yield shards[row], (firsts[row], keys.to_pylist(), docs.to_numpy().tolist(), *flat)
+
+
+def _merge(chunks: Iterator[tuple], least: int) -> Iterator[tuple[bytes, list[tuple]]]:
+    """The terms of a shard that are in so many documents, in the order of their keys: key, and each
+    chunk that has it with its place there. The chunks come in the order of their first keys.
 
     A heap holds the chunks that have begun; one whose first key comes later isn't opened yet.
     """
     heap: list[tuple] = []
-
-    def next_term() -> tuple[bytes, int, tuple]:
-        key, serial, at, chunk = heap[0]
-        keys = chunk[0]
-        if at + 1 < len(keys):
-            heapreplace(heap, (keys[at + 1], serial, at + 1, chunk))
-        else:
-            heappop(heap)
-        return key, at, chunk
-
-    for serial, (_, first, *chunk) in enumerate(chunks):
-        while heap and heap[0][0] < first:
-            yield next_term()
-        heappush(heap, (first, serial, 0, chunk))
-    while heap:
-        yield next_term()
-
-
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, 64):
-            yield from zip(*(c.to_pylist() for c in batch.slice(at, 64).columns), strict=True)
+    at_hand, entries, total = None, [], 0
+    for serial, chunk in enumerate(chain(chunks, [None])):
+        first = chunk and chunk[0]
+        while heap and (first is None or heap[0][0] < first):
+            key, other, at, opened = heap[0]
+            keys = opened[1]
+            if at + 1 < len(keys):
+                heapreplace(heap, (keys[at + 1], other, at + 1, opened))
+            else:
+                heappop(heap)
+            if key == at_hand:
+                total += opened[2][at]
+                entries.append((at, opened))
+            else:
+                if total >= least:
+                    yield at_hand, entries
+                at_hand, entries, total = key, [(at, opened)], opened[2][at]
+        if chunk:
+            heappush(heap, (first, serial, 0, chunk))
+    if total >= least and entries:
+        yield at_hand, entries
 
 
 def _to_frequencies(least: int):
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for _, chunks in groupby(_rows(batches), key=itemgetter(0)):
-            for key, same in groupby(_merge(chunks), key=itemgetter(0)):
-                entries = [(at, chunk) for _, at, chunk in same]
-                if sum(docs[at] for at, (_, docs, *_) in entries) < least:
-                    continue
+        for _, own in groupby(_chunks(batches), key=itemgetter(0)):
+            for key, entries in _merge((chunk for _, chunk in own), least):
                 found: Counter = Counter()
-                for at, (_, _, ends, sources, counts) in entries:
-                    for i in range(ends[at - 1] if at else 0, ends[at]):
-                        found[sources[i]] += counts[i]
+                for at, (_, _, _, ends, names, sources, counts) in entries:
+                    postings = slice(ends[at - 1] if at else 0, ends[at])
+                    for source, n in zip(sources[postings].tolist(), counts[postings].tolist(), strict=True):
+                        found[names[source]] += n
                 sources = [{"source": source, "count": n} for source, n in found.items()]
                 yield *_parts(key), found.total(), sources
 
@@ -194,7 +277,7 @@ def _to_frequencies(least: int):
 def term_frequencies(
     docs: DataFrame,
     least_documents: int = LEAST_DOCUMENTS,
-    block_postings: int = BLOCK_POSTINGS,
+    block_text: int = BLOCK_TEXT,
     chunk: int = CHUNK,
     lang_column: str = "lang",
     source_column: str = "source",
@@ -205,7 +288,7 @@ def term_frequencies(
     shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     columns = [whole_text(c).cast("binary").alias(c) for c in (lang_column, source_column, text_column)]
     runs = docs.select(*columns).mapInArrow(
-        _to_runs(shards, block_postings, chunk), _RUNS_DDL
+        _to_runs(shards, block_text, chunk), _RUNS_DDL
     )
     sorted_runs = runs.repartition("shard").sortWithinPartitions("shard", "first")
     merged = sorted_runs.mapInArrow(
@@ -278,7 +361,7 @@ def divergence(
     docs: DataFrame,
     least_documents: int = LEAST_DOCUMENTS,
     top_terms: int = TOP_TERMS,
-    block_postings: int = BLOCK_POSTINGS,
+    block_text: int = BLOCK_TEXT,
     chunk: int = CHUNK,
     lang_column: str = "lang",
     source_column: str = "source",
@@ -300,7 +383,7 @@ def divergence(
     length; the terms of a block are bounded. Sources are few beside documents: every
     two of a language are a row of the result.
     """
-    arguments = (least_documents, block_postings, chunk, lang_column, source_column, text_column)
+    arguments = (least_documents, block_text, chunk, lang_column, source_column, text_column)
     terms = term_frequencies(docs, *arguments)
     groups = docs.select(whole_text(lang_column).alias("lang"), whole_text(source_column).alias("source")).distinct()
     counts = terms.select("lang", "term", F.col("count").alias("in_lang"), F.inline("sources"))
