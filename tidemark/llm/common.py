@@ -2,14 +2,16 @@
 
 import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import new_folder
 
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SLICE_BYTES = 4 << 20
 BLOCK_BYTES = 1 << 20
 _BLANK = re.compile(rb"[\x20\x09-\x0D]")
@@ -25,6 +27,18 @@ def written(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """While it lasts, shuffle files of a finished query go at once, where Spark can do that; what
+    is read again has been written as a table."""
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    try:
+        spark.conf.set(FREE_SHUFFLES, "true")
+        yield
+    finally:
+        spark.conf.unset(FREE_SHUFFLES) if before is None else spark.conf.set(FREE_SHUFFLES, before)
+
+
 def whole_text(column: str | Column) -> Column:
     """The text, null as empty."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

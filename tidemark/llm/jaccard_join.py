@@ -18,11 +18,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import BLOCK_BYTES, record_batch, slices, whole_text, word_blocks, written
+from tidemark.llm.common import (
+    BLOCK_BYTES,
+    freed_shuffles,
+    record_batch,
+    slices,
+    whole_text,
+    word_blocks,
+    written,
+)
 from tidemark.llm.components import component_roots
 from tidemark.session import new_folder, remove_folder
 
@@ -32,6 +41,7 @@ ORDERS = 2
 LEADING = 2
 COUNTERS_LOG2 = 20
 BLOCK_ROWS = 1 << 12
+LAGGED_ROWS = 64
 PAIRS_HELD = 1 << 20
 WORDS_KNOWN = 1 << 18
 SETS_SEEN = 1 << 16
@@ -42,10 +52,11 @@ _FACTORS = [xxhash.xxh64_intdigest(bytes([i]), 7) | 1 for i in range(64)]
 
 _SETS = pa.schema([("lo", pa.int64()), ("hi", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 _CLASSES = pa.schema(
-    [("ref", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64()), ("n", pa.int32()), ("shingles", pa.list_(pa.int64()))]
+    [("lo", pa.int64()), ("hi", pa.int64()), ("n", pa.int32()), ("shingles", pa.list_(pa.int64()))]
 )
 _LEADS = pa.schema([("key", pa.int64()), ("at", pa.int64()), ("ref", pa.int64()), ("n", pa.int32())])
-_PREFIXES = pa.schema([("key", pa.int64()), ("ref", pa.int64()), ("meta", pa.int64()), ("root", pa.int64())])
+# ``off`` is by how much the root of a set's component is less than its own number, mostly 0.
+_PREFIXES = pa.schema([("key", pa.int64()), ("ref", pa.int64()), ("meta", pa.int64()), ("off", pa.int64())])
 _FOUND = pa.schema([*((c, pa.int64()) for c in ("a", "b", "orders", "key", "block", "ref", "meta", "root"))])
 _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("orders", pa.int64())])
 
@@ -63,6 +74,9 @@ def _mixed(values: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> _U(32))
 
 
+_NO_WORD = xxhash.xxh3_64_intdigest(b"")
+
+
 class _Shingles:
     """Distinct shingles of texts, as ascending 64-bit hashes; hashes of words are kept, so many."""
 
@@ -92,10 +106,44 @@ class _Shingles:
             carried = held[max(0, len(held) - self._words + 1) :]
         if parts:
             return np.unique(np.concatenate(parts)) if len(parts) > 1 else parts[0]
-        if not len(carried):
-            return carried
-        factors = np.array(_FACTORS[10 : 10 + len(carried)], np.uint64)
-        return _mixed((carried * factors).sum(keepdims=True), 1 + len(carried) % 7)
+        return self._few(carried)
+
+    @staticmethod
+    def _few(hashes: np.ndarray) -> np.ndarray:
+        """The one shingle of a text of fewer words."""
+        if not len(hashes):
+            return hashes
+        factors = np.array(_FACTORS[10 : 10 + len(hashes)], np.uint64)
+        return _mixed((hashes * factors).sum(keepdims=True), 1 + len(hashes) % 7)
+
+    def of_all(self, texts: pa.Array) -> list[np.ndarray]:
+        """The same for each of some texts (as binary), all at once unless one is long."""
+        if (pc.max(pc.binary_length(texts)).as_py() or 0) > self._block:
+            return [self.of(text) for text in texts.to_pylist()]
+        found = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.string())))
+        lengths = found.value_lengths().to_numpy()
+        coded = found.flatten().dictionary_encode()
+        digests = [xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.cast(pa.binary()).to_pylist()]
+        code = coded.indices.to_numpy()
+        hashes = np.array(digests, np.uint64)[code] if digests else np.zeros(0, np.uint64)
+        # Blanks at either end of a text leave an empty word.
+        words = np.array([d != _NO_WORD for d in digests], bool)[code] if digests else np.zeros(0, bool)
+        ends = np.cumsum(lengths)
+        if not words.all():
+            ends = np.concatenate([[0], np.cumsum(words)])[ends]
+            hashes = hashes[words]
+        total = np.zeros(max(0, len(hashes) - self._words + 1), np.uint64)
+        for i in range(self._words):
+            total += hashes[i : i + len(total)] * _U(_FACTORS[10 + i])
+        total = _mixed(total)
+        sets, start = [], 0
+        for end in ends.tolist():
+            if end - start >= self._words:
+                sets.append(np.unique(total[start : end - self._words + 1]))
+            else:
+                sets.append(self._few(hashes[start:end]))
+            start = end
+        return sets
 
 
 def _address(shingles: np.ndarray) -> np.ndarray:
@@ -131,7 +179,7 @@ def members(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = _Shingles(words)
         for part in slices(batches, 1):
-            sets = [shingles.of(text) for text in part.column(1).to_pylist()]
+            sets = shingles.of_all(part.column(1))
             found = [_address(s).tolist() if len(s) else (None, None) for s in sets]
             schema = pa.schema([part.schema.field(0), ("n", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64())])
             lo, hi = ([f[i] for f in found] for i in (0, 1))
@@ -148,8 +196,7 @@ def _to_sets(words: int):
         shingles, seen = _Shingles(words), set()
         for part in slices(batches, 0):
             found = {}
-            for text in part.column(0).to_pylist():
-                own = shingles.of(text)
+            for own in shingles.of_all(part.column(0)):
                 address = tuple(_address(own).tolist())
                 if len(own) and address not in seen:
                     found[address] = own
@@ -164,25 +211,22 @@ def _to_sets(words: int):
 
 
 def _once_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sets sorted by address, each once, with a number of its own: lo, or the next where two
-    addresses share it."""
-    last, ref = None, None
+    """Sets sorted by address, each once."""
+    last = None
     for batch in batches:
-        rows, refs = [], []
-        for row, address in enumerate(zip(*(batch.column(c).to_pylist() for c in ("lo", "hi")), strict=True)):
-            if address != last:
-                ref = address[0] if ref is None else max(address[0], ref + 1)
-                rows.append(row)
-                refs.append(ref)
-            last = address
-        if rows:
-            kept = batch.take(pa.array(rows))
-            n = kept.column("shingles").value_lengths()
-            yield record_batch(_CLASSES, refs, kept.column("lo"), kept.column("hi"), n, kept.column("shingles"))
+        if not batch.num_rows:
+            continue
+        lo, hi = (batch.column(c).to_numpy() for c in ("lo", "hi"))
+        new = np.concatenate([[last != (lo[0], hi[0])], (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])])
+        last = (lo[-1], hi[-1])
+        kept = batch.filter(pa.array(new))
+        n = kept.column("shingles").value_lengths()
+        yield record_batch(_CLASSES, kept.column("lo"), kept.column("hi"), n, kept.column("shingles"))
 
 
 class _Classes:
-    """The distinct sets as a table in buckets of their number, which joins on it needn't shuffle."""
+    """The distinct sets as a table, numbered (ref), in buckets of lo, half of their address, which
+    joins on it needn't shuffle."""
 
     def __init__(self, docs: DataFrame, words: int, text_column: str):
         self._spark = docs.sparkSession
@@ -191,7 +235,8 @@ class _Classes:
         texts = docs.select(whole_text(text_column).cast("binary").alias("text"))
         sets = texts.mapInArrow(_to_sets(words), _ddl(_SETS))
         once = sets.repartition(tasks, "lo").sortWithinPartitions("lo", "hi").mapInArrow(_once_each, _ddl(_CLASSES))
-        once.write.bucketBy(tasks, "ref").option("path", self._path).saveAsTable(self._name)
+        numbered = once.withColumn("ref", F.monotonically_increasing_id())
+        numbered.write.bucketBy(tasks, "lo").option("path", self._path).saveAsTable(self._name)
 
     def table(self) -> DataFrame:
         return self._spark.table(self._name)
@@ -305,7 +350,7 @@ def _to_prefixes(rarity, log2: int, orders: int, percent: int):
                 for order in range(orders):
                     found = _first_tokens(own, order, prefix_length(n, percent), rarity.value, log2)
                     meta = np.arange(len(found)) | n << PLACE_BITS | order << 2 * PLACE_BITS
-                    parts = (_signed(found), np.full(len(found), refs[row]), meta, np.full(len(found), roots[row]))
+                    parts = (_signed(found), np.full(len(found), refs[row]), meta, np.full(len(found), refs[row] - roots[row]))
                     for column, part in zip(columns, parts, strict=True):
                         column.append(part)
             if columns[0]:
@@ -314,21 +359,41 @@ def _to_prefixes(rarity, log2: int, orders: int, percent: int):
     return run
 
 
-def _crossing(one: list[np.ndarray], other: list[np.ndarray], percent: int, within: bool) -> Iterator[np.ndarray]:
-    """Pairs (a, b, orders) of rows (ref, meta, root) that share a key, of different components, of
-    similar sizes, and with places in their prefixes that still allow the overlap it takes."""
+def _fits(one: list[np.ndarray], other: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which rows (ref, meta, root) that share a key are of different components, of similar sizes,
+    and at places in their prefixes that still allow the overlap it takes."""
     mask = (1 << PLACE_BITS) - 1
-    ref, meta, root = other
-    n, place = meta >> PLACE_BITS & mask, meta & mask
+    (n, at), (m, place) = ((meta >> PLACE_BITS & mask, meta & mask) for meta in (one[1], other[1]))
+    reach = np.minimum(at, place) + np.minimum(n - at, m - place)
+    return (one[2] != other[2]) & _similar_sizes(n, m, percent) & ((100 + percent) * reach >= percent * (n + m))
+
+
+def _pairs_of(one: list[np.ndarray], other: list[np.ndarray], percent: int) -> np.ndarray:
+    """Pairs (a, b, orders) of the rows of both sides that fit."""
+    fits = _fits(one, other, percent)
+    ref, meta = (np.broadcast_to(c, fits.shape)[fits] for c in one[:2])
+    a, b = np.minimum(ref, other[0][fits]), np.maximum(ref, other[0][fits])
+    return np.stack([a, b, np.int64(1) << (meta >> 2 * PLACE_BITS)])
+
+
+def _crossing(one: list[np.ndarray], other: list[np.ndarray], percent: int, within: bool) -> Iterator[np.ndarray]:
+    """Pairs of rows that share a key, each row of one side with those of the other."""
     for i in range(len(one[0])):
         rest = slice(i + 1 if within else 0, None)
-        m, at = int(one[1][i]) >> PLACE_BITS & mask, int(one[1][i]) & mask
-        reach = np.minimum(at, place[rest]) + 1 + np.minimum(m - at, n[rest] - place[rest]) - 1
-        fits = (root[rest] != one[2][i]) & _similar_sizes(n[rest], m, percent) & ((100 + percent) * reach >= percent * (n[rest] + m))
-        found = ref[rest][fits]
-        if len(found):
-            bit = np.full(len(found), 1 << (int(one[1][i]) >> 2 * PLACE_BITS))
-            yield np.stack([np.minimum(found, one[0][i]), np.maximum(found, one[0][i]), bit])
+        found = _pairs_of([c[i : i + 1] for c in one], [c[rest] for c in other], percent)
+        if found.shape[1]:
+            yield found
+
+
+def _lagged(rows: list[np.ndarray], group: np.ndarray, percent: int) -> Iterator[np.ndarray]:
+    """Pairs within groups of rows that stand one after the other, all groups at once."""
+    for lag in range(1, len(group)):
+        first = np.flatnonzero(group[:-lag] == group[lag:])
+        if not len(first):
+            break
+        found = _pairs_of([c[first] for c in rows], [c[first + lag] for c in rows], percent)
+        if found.shape[1]:
+            yield found
 
 
 class _Pairs:
@@ -374,12 +439,21 @@ def _within_keys(percent: int, block_rows: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, *columns = (c.to_numpy() for c in batch.columns)
+            key, ref, meta, off = (c.to_numpy() for c in batch.columns)
+            columns = [ref, meta, ref - off]
             starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             ends = np.append(starts[1:], len(key))
-            # A key of one row that can't go on in the next batch has no pairs.
-            alone = (ends - starts == 1) & (starts > 0) & (ends < len(key))
-            for start, end in zip(starts[~alone].tolist(), ends[~alone].tolist(), strict=True):
+            sizes = ends - starts
+            # Keys that began in the batch before or may go on in the next, and large ones.
+            apart = sizes > LAGGED_ROWS
+            apart[[0, -1]] = True
+            roots = columns[2]
+            mixed = (np.minimum.reduceat(roots, starts) != np.maximum.reduceat(roots, starts)) & ~apart
+            if mixed.any():
+                inner = np.repeat(mixed, sizes)
+                group = np.repeat(np.arange(len(starts)), sizes)[inner]
+                yield from map(pair_rows, pairs.add(_lagged([c[inner] for c in columns], group, percent)))
+            for start, end in zip(starts[apart].tolist(), ends[apart].tolist(), strict=True):
                 if key[start] != key_at_hand:
                     yield from close(True)
                     key_at_hand, held, block = int(key[start]), [], 0
@@ -429,10 +503,18 @@ def _candidates(prefixes: DataFrame, orders: int, percent: int, block_rows: int)
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose whole sets are similar enough, as links (u, v)."""
+    """The pairs whose whole sets are similar enough, as links (u, v).
+
+    Pairs first learn their sets' addresses, by which the table of sets is in buckets.
+    """
+    for side in ("a", "b"):
+        places = classes.select(F.col("ref").alias(side), F.col("lo").alias(f"lo_{side}"))
+        pairs = pairs.join(places, side)
+    pairs = written(pairs, "jaccard-pairs")
     for side in ("a", "b"):
-        sets = classes.select(F.col("ref").alias(side), F.col("shingles").alias(f"of_{side}"))
-        pairs = pairs.join(sets, side)
+        sets = classes.select("ref", F.col("lo").alias(f"lo_{side}"), F.col("shingles").alias(f"of_{side}"))
+        # Sets that share half an address are told apart; not as a key, which would shuffle the sets.
+        pairs = pairs.join(sets, f"lo_{side}").filter(F.col("ref") - F.col(side) == 0).drop("ref", f"lo_{side}")
     common = F.size(F.array_intersect("of_a", "of_b"))
     whole = F.size("of_a") + F.size("of_b") - common
     return pairs.filter(100 * common >= percent * whole).select(F.col("a").alias("u"), F.col("b").alias("v"))
@@ -469,6 +551,15 @@ def similar_groups(
     compared in blocks of ``block_rows``, and blocks of a key two by two in tasks of
     their own. The driver gets 2^counters_log2 counters, whatever the input.
     """
+    with freed_shuffles(docs.sparkSession):
+        return _similar_groups(
+            docs, words, percent, orders, leading, counters_log2, block_rows, id_column, text_column
+        )
+
+
+def _similar_groups(
+    docs, words, percent, orders, leading, counters_log2, block_rows, id_column, text_column
+) -> DataFrame:
     spark = docs.sparkSession
     rows = members(docs, words, id_column, text_column)
     classes = _Classes(docs, words, text_column)
