@@ -1,0 +1,208 @@
+"""Logged runs, batches landed with a log, and ordered messages."""
+
+import datetime as dt
+import glob
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import messages, power, rows, weather
+from tidemark.functions import date_parts
+from tidemark.jobs import ingest, summarise
+from tidemark.plans import (
+    days_done,
+    failure_messages,
+    read_run_log,
+    run_range,
+    summary_range,
+    write_range,
+    write_touched_days,
+)
+from tidemark.schemas import POWER_SCHEMA, WEATHER_SCHEMA
+from tidemark.sources import encode, read_raw, read_set_aside, read_summary, write_days
+from tidemark.sources.lake import days_touched, last_batch, read_state
+from tidemark.streaming import start_landing
+
+ONCE = {"availableNow": True}
+START, END = dt.date(2024, 1, 1), dt.date(2024, 1, 9)
+
+
+def day(n):
+    return dt.date(2024, 1, n)
+
+
+@pytest.fixture
+def lake(spark, folder):
+    p = power(spark, *[(f"202401{d:02d}100000", float(d), 1.0) for d in range(1, 10)])
+    w = weather(spark, *[(f"202401{d:02d}1000", 0, 0.5, -3.0) for d in range(1, 10)])
+    for name, frame in (("power", p), ("weather", w)):
+        write_days(frame.withColumns(date_parts(F.col("base_datetime"))), f"{folder}/{name}")
+    return folder
+
+
+def files(table):
+    return {f: os.path.getmtime(f) for f in glob.glob(f"{table.removeprefix('file:')}/*/*/*/*.parquet")}
+
+
+class Failing:
+    """Writes a range, but fails so many times where it holds a day."""
+
+    def __init__(self, bad, times):
+        self.bad, self.times, self.calls = bad, times, []
+
+    def __call__(self, spark, lake, warehouse, start, end, **options):
+        self.calls.append((start.day, end.day))
+        if start <= self.bad <= end and self.times:
+            self.times -= 1
+            raise OSError("disk gone")
+        write_range(spark, lake, warehouse, start, end, **options)
+
+
+def test_one_retry_makes_good_one_failure(spark, lake):
+    write = Failing(day(5), 1)
+    done = run_range(spark, lake, f"{lake}/w", START, END, f"{lake}/runs", "r", days_per_step=3, write=write)
+    assert done == [day(n) for n in range(1, 10)]
+    assert write.calls == [(1, 3), (4, 6), (4, 6), (7, 9)]
+    log = read_run_log(spark, f"{lake}/runs")
+    failed = rows(log.filter("error IS NOT NULL").select("day", "attempt", "error", "detail"))
+    assert failed == [(day(n), 1, "OSError", "disk gone") for n in (4, 5, 6)]
+    assert rows(read_summary(spark, f"{lake}/w")) == rows(summary_range(spark, lake, START, END))
+
+
+def test_a_run_goes_on_where_it_stopped(spark, lake):
+    where = (spark, lake, f"{lake}/w", START, END, f"{lake}/runs", "r")
+    with pytest.raises(OSError, match="disk gone"):
+        run_range(*where, days_per_step=3, write=Failing(day(5), 2))
+    # The other steps have been written all the same.
+    assert days_done(spark, f"{lake}/runs", "r") == {day(n) for n in (1, 2, 3, 7, 8, 9)}
+    before = files(f"{lake}/w")
+    again = Failing(day(5), 0)
+    assert run_range(*where, days_per_step=3, write=again) == [day(4), day(5), day(6)]
+    assert again.calls == [(4, 6)]
+    after = files(f"{lake}/w")
+    assert len(before) == 6 and len(after) == 9 and before.items() <= after.items()
+    assert rows(read_summary(spark, f"{lake}/w")) == rows(summary_range(spark, lake, START, END))
+    assert run_range(*where) == [] and files(f"{lake}/w") == after
+    # Another run takes all days again.
+    assert len(run_range(*where[:-1], "other")) == 9
+
+
+def test_failure_messages_come_from_the_log(spark, lake):
+    with pytest.raises(OSError):
+        run_range(spark, lake, f"{lake}/w", day(5), day(5), f"{lake}/runs", "r", retries=0, write=Failing(day(5), 1))
+    told = failure_messages(read_run_log(spark, f"{lake}/runs")).first()
+    assert [line.strip() for line in told.message.splitlines()[2:6]] == [
+        "*DAG*: daily_summary", "*Task*: write_range", "*Date*: 2024-01-05", "*Error*: OSError",
+    ]
+    assert told.started <= told.ended and read_run_log(spark, f"{lake}/none").count() == 0
+
+
+def test_the_job_logs_and_resumes(spark, lake, capsys, monkeypatch):
+    where = ["--lake", lake, "--warehouse", f"{lake}/w", "--time-zone", "UTC", "--run-log", f"{lake}/runs"]
+    argv = [*where, "--run", "r", "--start", "2024-01-01", "--end", "2024-01-09", "--days-per-step", "4"]
+    failing = Failing(day(2), 2)
+    monkeypatch.setattr(summarise, "run_range", lambda *a, **b: run_range(*a, write=failing, **b))
+    with pytest.raises(OSError):
+        summarise.main(argv)
+    assert capsys.readouterr().out.count("Task Failed") == 4
+    summarise.main(argv)
+    assert rows(read_summary(spark, f"{lake}/w")) == rows(summary_range(spark, lake, START, END))
+
+
+@pytest.mark.parametrize(
+    "extra", [["--changed"], ["--run", "r"], ["--changed", "--state", "s", "--run-date", "2024-01-01"], ["--run-log", "l", "--mode", "append"]]
+)
+def test_options_that_do_not_go_together(extra):
+    with pytest.raises(SystemExit):
+        summarise.arguments(["--lake", "l", "--warehouse", "w", "--time-zone", "UTC", *extra])
+
+
+# Landing with a log
+
+
+def land(spark, folder, feed, schema, aside=None):
+    stream = spark.readStream.schema("value binary").parquet(f"{folder}/wire/{feed}")
+    start_landing(
+        stream, schema, f"{folder}/{feed}", f"{folder}/checkpoint/{feed}", f"{folder}/log/{feed}", aside, ONCE
+    ).awaitTermination()
+
+
+def arrive(folder, feed, readings):
+    encode(readings).coalesce(1).write.mode("append").parquet(f"{folder}/wire/{feed}")
+
+
+def test_files_of_one_time_lose_no_day(spark, folder):
+    where = (spark, folder, f"{folder}/w", f"{folder}/log", f"{folder}/state")
+    assert write_touched_days(*where) == []
+    arrive(folder, "weather", weather(spark, *[(f"202401{d:02d}1000", 0, 0.5, 1.0) for d in range(1, 6)]))
+    land(spark, folder, "weather", WEATHER_SCHEMA)
+    arrive(folder, "power", power(spark, ("20240101100000", 1.0, 1.0)))
+    land(spark, folder, "power", POWER_SCHEMA)
+    assert write_touched_days(*where) == [day(n) for n in range(1, 6)]
+    assert read_state(spark, f"{folder}/state") == {"power": 0, "weather": 0}
+    # Two batches whose files all have the time of the files before.
+    for d in (3, 4):
+        arrive(folder, "power", power(spark, (f"202401{d:02d}100000", 1.0, 1.0), ("bad", 1.0, 1.0)))
+        land(spark, folder, "power", POWER_SCHEMA)
+    for f in glob.glob(f"{folder.removeprefix('file:')}/power/**/*.parquet", recursive=True):
+        os.utime(f, (1e9, 1e9))
+    assert last_batch(spark, f"{folder}/log/power") == 2
+    assert write_touched_days(*where) == [day(3), day(4)]
+    assert write_touched_days(*where) == []
+    assert rows(read_summary(spark, f"{folder}/w")) == rows(summary_range(spark, folder, None, None))
+    assert days_touched(spark, f"{folder}/log/power", -1, 1) == {("2024", "01", "01"), ("2024", "01", "03"), ("bad", "", "")}
+
+
+def test_a_batch_that_is_repeated_replaces_itself(spark, folder):
+    texts = ['{"base_datetime":"20240101100000","current_demand_mw":1.0}', "no json", '{"base_datetime":5,"reserve_power_mw":"x"}', None, ""]
+    messages(spark, *texts).coalesce(1).write.parquet(f"{folder}/wire/power")
+    land(spark, folder, "power", POWER_SCHEMA, f"{folder}/aside")
+    wanted = rows(read_raw(spark, f"{folder}/power", POWER_SCHEMA))
+    aside = rows(read_set_aside(spark, f"{folder}/aside"))
+    assert len(wanted) + len(aside) == len(texts) and aside == [("no json",), (texts[2],)]
+    # The batch's commit is lost, as if the job had died before it: the batch runs again.
+    commits = glob.glob(f"{folder.removeprefix('file:')}/checkpoint/power/commits/*")
+    assert commits
+    for commit in commits:
+        os.unlink(commit)
+    for crc in glob.glob(f"{folder.removeprefix('file:')}/checkpoint/power/commits/.*"):
+        os.unlink(crc)
+    land(spark, folder, "power", POWER_SCHEMA, f"{folder}/aside")
+    assert rows(read_raw(spark, f"{folder}/power", POWER_SCHEMA)) == wanted
+    assert rows(read_set_aside(spark, f"{folder}/aside")) == aside
+    assert last_batch(spark, f"{folder}/log/power") == 0
+
+
+def test_the_job_summarises_what_changed(spark, folder):
+    arrive(folder, "weather", weather(spark, ("202401011000", 0, 0.5, 1.0)))
+    arrive(folder, "power", power(spark, ("20240101100000", 1.0, 1.0)))
+    land(spark, folder, "weather", WEATHER_SCHEMA)
+    land(spark, folder, "power", POWER_SCHEMA)
+    summarise.main(["--lake", folder, "--warehouse", f"{folder}/w", "--time-zone", "UTC", "--changed", "--state", f"{folder}/s"])
+    assert read_summary(spark, f"{folder}/w").count() == 1
+    args = ["--servers", "s", "--power-topic", "p", "--weather-topic", "w", "--lake", "l", "--checkpoints", "c"]
+    assert ingest.arguments(args).log is None
+
+
+# Messages of a key in order
+
+
+def test_messages_of_a_key_are_sent_in_order(spark, folder):
+    times = [f"20240101{h:02d}{m:02d}00" for h in (9, 10, 11) for m in range(50)]
+    frame = power(spark, *[(t, 1.0, 2.0) for t in reversed(times)], *[(times[0], 5.0, 2.0)] * 2).repartition(7)
+    sent = encode(frame, POWER_SCHEMA.names, F.substring("base_datetime", 9, 2), ["base_datetime"])
+    sent.write.parquet(f"{folder}/sent")
+    parts = {}
+    for row in spark.read.parquet(f"{folder}/sent").select("*", "_metadata.file_path", "_metadata.row_index").collect():
+        parts.setdefault(bytes(row.key), []).append((row.file_path, row.row_index, bytes(row.value)))
+    assert len(parts) == 3
+    for found in parts.values():
+        assert len({p for p, _, _ in found}) == 1
+        values = [v for _, _, v in sorted(found)]
+        assert values == sorted(values) and len(values) in (50, 52)
+
+
+def test_without_an_order_nothing_is_shuffled(spark):
+    plain = encode(power(spark, ("20240101100000", 1.0, 1.0)), None, F.lit("k"))
+    assert "Exchange" not in plain._jdf.queryExecution().executedPlan().toString()

@@ -345,4 +345,27 @@ UNION ALL
 SELECT reject_reason, payload FROM rejects WHERE feed = 'power' AND reject_reason IS NOT NULL""",
     "stream_alerts": ALERTS,
     "late_day_rerun": DAILY,
+    "publish_ordered": f"""{FEEDS}, sent AS (
+  SELECT substr({POWER_TIME}, 9, 2) AS key, {POWER_TIME} AS time,
+         '{{"base_datetime":"' || {POWER_TIME} || '","current_demand_mw":'
+         || CAST(CAST(60000 + 50 * value AS FLOAT) AS VARCHAR) || ',"reserve_power_mw":'
+         || CAST(CAST(CASE WHEN {KIND} BETWEEN 21 AND 29 THEN 0 ELSE 5000 + 10 * value END AS FLOAT)
+              AS VARCHAR) || '}}' AS text
+  FROM events WHERE event_type <> 'view' AND {KIND} >= 17 AND {KIND} NOT BETWEEN 30 AND 33
+    AND {KIND} NOT BETWEEN 43 AND 46
+)
+SELECT key, text, CAST(row_number() OVER (PARTITION BY key ORDER BY time, text) AS INTEGER) AS place,
+       1 AS parts FROM sent""",
+    "summary_resumed": f"""
+WITH daily AS ({DAILY} AND CAST(hour_timestamp AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-21')
+SELECT *, CASE WHEN day BETWEEN '12' AND '15' THEN 3 ELSE 1 END AS attempts,
+       CASE WHEN day BETWEEN '12' AND '15' THEN 2 ELSE 0 END AS failures
+FROM daily""",
+    "failed_run_messages": r"""
+SELECT 'backfill' AS run, CAST(attempt AS INTEGER) AS attempt,
+       concat(E'\n    :red_circle: **Task Failed** :red_circle:', E'\n    *DAG*: daily_summary',
+         E'\n    *Task*: write_range', E'\n    *Date*: 2024-01-', day,
+         E'\n    *Error*: FAILED_READ_FILE.NO_HINT', E'\n    ') AS message
+FROM (SELECT DISTINCT strftime(ts, '%d') AS day FROM events
+      WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-12' AND DATE '2024-01-15'), range(1, 3) t(attempt)""",
 }

@@ -4,11 +4,13 @@ Each runs over the whole table ``events``. Times are shown as text and floats
 as doubles rounded to four digits, so that results compare across engines.
 """
 
+import contextlib
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -26,13 +28,14 @@ from tidemark.schemas import (
     WEATHER_TIME_FORMAT,
     with_id,
 )
-from tidemark.session import new_folder, remove_folder
+from tidemark.session import new_folder, remove_files, remove_folder
 
 RUN_DATE = dt.date(2024, 1, 16)
 RANGE_START, RANGE_END = dt.date(2024, 1, 8), dt.date(2024, 1, 21)
 POWER_OUTAGE_DAYS = ["07", "14", "21", "28"]
 WEATHER_OUTAGE_DAYS = ["05", "10", "15", "20", "25", "30"]
 LATE_DAYS = [5, 6]
+BROKEN_DAY, STEP_DAYS = dt.date(2024, 1, 12), 4
 TIME_SHOWN = "yyyy-MM-dd HH:mm:ss"
 
 POWER_WITH_ID = with_id(POWER_SCHEMA, ID)
@@ -434,20 +437,16 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Power messages: readings of those that fit, and the texts of those that don't."""
-    messages = feeds.power_messages(feeds.events_stream(spark, sf_dir))
-    path, aside = new_folder(spark, "fitting"), new_folder(spark, "quarantine")
-    checkpoint = new_folder(spark, "quarantine-checkpoint")
-    running = [
-        streaming.start_ingest(
-            messages, POWER_SCHEMA, path, f"{checkpoint}/fitting", ONCE, fitting_only=True
-        ),
-        streaming.start_quarantine(messages, POWER_SCHEMA, aside, f"{checkpoint}/aside", ONCE),
-    ]
-    for query in running:
-        query.awaitTermination()
-    readings = shown(sources.read_raw(spark, path, POWER_SCHEMA).drop(*DAY_COLUMNS))
-    return readings.unionByName(spark.read.schema("text string").parquet(aside), True)
+    """Power messages, read once: readings of those that fit, and the texts of those that don't.
+    The query run again adds nothing."""
+    root = new_folder(spark, "landing")
+    for _ in range(2):
+        messages = feeds.power_messages(feeds.events_stream(spark, sf_dir))
+        streaming.start_landing(
+            messages, POWER_SCHEMA, f"{root}/power", f"{root}/checkpoint", f"{root}/log", f"{root}/aside", ONCE
+        ).awaitTermination()
+    readings = shown(sources.read_raw(spark, f"{root}/power", POWER_SCHEMA).drop(*DAY_COLUMNS))
+    return readings.unionByName(sources.read_set_aside(spark, f"{root}/aside"), True)
 
 
 def publish_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -472,9 +471,36 @@ def publish_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).unionAll(rejects.select("reject_reason", "payload"))
 
 
+def publish_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Power responses sent with a key for each hour of the day: the messages as they stand in the
+    parts that were sent, and how many parts of the batch hold the key."""
+    raw, out = new_folder(spark, "responses"), new_folder(spark, "ordered")
+    feeds.power_responses(feeds.events(spark, sf_dir)).drop(ID).write.parquet(raw)
+    streaming.start_publish(
+        spark.readStream.schema("fetched_at timestamp, payload string").parquet(raw),
+        sources.parse_power,
+        POWER_SCHEMA,
+        streaming.to_folder(f"{out}/messages"),
+        f"{out}/checkpoint",
+        key=F.substring("base_datetime", 9, 2),
+        order=["base_datetime"],
+        trigger=ONCE,
+    ).awaitTermination()
+    sent = spark.read.schema("key binary, value binary").parquet(f"{out}/messages")
+    sent = sent.select(
+        F.col("key").cast("string").alias("key"),
+        F.col("value").cast("string").alias("text"),
+        F.col("_metadata.file_path").alias("part"),
+        F.col("_metadata.row_index").alias("at"),
+    )
+    parts = sent.groupBy("key").agg(F.count_distinct("part").alias("parts"))
+    place = F.row_number().over(Window.partitionBy("key").orderBy("part", "at"))
+    return sent.withColumn("place", place).join(parts, "key").select("key", "text", "place", "parts")
+
+
 def late_day_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Days summarised, then those again that late power readings came in for: first the errors
-    of a few days, then all others."""
+    """Days summarised, then those again that late power readings came in for, as the log of landed
+    batches tells: first the errors of a few days, then all others."""
     source = feeds.events(spark, sf_dir)
     wire, root = new_folder(spark, "wire"), new_folder(spark, "late")
     checkpoint, table = new_folder(spark, "late-checkpoint"), new_folder(spark, "late-warehouse")
@@ -484,26 +510,64 @@ def late_day_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def ingest(feed: str, schema: StructType) -> None:
         messages = spark.readStream.schema("value binary").parquet(f"{wire}/{feed}")
-        _ingest(messages, schema, f"{root}/{feed}", f"{checkpoint}/{feed}").awaitTermination()
+        streaming.start_landing(
+            messages, schema, f"{root}/{feed}", f"{checkpoint}/{feed}", f"{root}/log/{feed}", trigger=ONCE, gather_days=True
+        ).awaitTermination()
 
     late = F.coalesce(F.col("event_type") == "error", F.lit(False))
     few = F.coalesce(F.dayofmonth("ts").isin(LATE_DAYS), F.lit(False))
     arrive("weather", feeds.weather_feed(source))
-    arrive("power", feeds.power_feed(source.filter(~late)))
     ingest("weather", WEATHER_WITH_ID)
-    ingest("power", POWER_WITH_ID)
-    plans.write_range(spark, root, table, None, None, tie_break=ID)
-    for batch in (late & few, late & ~few):
-        since = {
-            "power": sources.last_change(spark, f"{root}/power", POWER_SCHEMA),
-            "weather": sources.last_change(spark, f"{root}/weather", WEATHER_SCHEMA),
-        }
+    for batch in (~late, late & few, late & ~few):
         arrive("power", feeds.power_feed(source.filter(batch)))
         ingest("power", POWER_WITH_ID)
-        plans.write_changed_days(spark, root, table, since, tie_break=ID)
+        plans.write_touched_days(spark, root, table, f"{root}/log", f"{root}/state", tie_break=ID)
     return shown(sources.read_summary(spark, table))
 
 
+# Runs: one with a day that can't be read, and again once it can
+
+
+def _broken_run(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+    """Lake, warehouse and run log after a run over a range in which what one day holds is no
+    Parquet, so that its step fails, twice."""
+    root = new_folder(spark, "broken")
+    power, weather = _feeds(spark, sf_dir)
+    for feed, readings, schema in (("power", power, POWER_WITH_ID), ("weather", weather, WEATHER_WITH_ID)):
+        sources.write_days(streaming.land(sources.encode(readings), schema), f"{root}/lake/{feed}")
+    year, month, day = BROKEN_DAY.strftime("%Y %m %d").split()
+    junk = f"{root}/lake/power/year={year}/month={month}/day={day}"
+    spark.createDataFrame([("no Parquet",)], "text string").coalesce(1).write.mode("append").text(junk)
+    with contextlib.suppress(PySparkException, Py4JJavaError):
+        _run(spark, root)
+    return root, junk, f"{root}/runs"
+
+
+def _run(spark: SparkSession, root: str) -> list[dt.date]:
+    return plans.run_range(
+        spark, f"{root}/lake", f"{root}/warehouse", RANGE_START, RANGE_END, f"{root}/runs", "backfill",
+        days_per_step=STEP_DAYS, tie_break=ID,
+    )
+
+
+def summary_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range of days, one step of which fails at first; the run, started again once its day can be
+    read, writes that step alone. Each day with how many attempts it took and how many failed."""
+    root, junk, log = _broken_run(spark, sf_dir)
+    remove_files(spark, junk, ".txt")
+    _run(spark, root)
+    attempts = plans.read_run_log(spark, log).groupBy(F.date_format("day", "dd").alias("day")).agg(
+        F.count("*").alias("attempts"), F.count("error").alias("failures")
+    )
+    return shown(sources.read_summary(spark, f"{root}/warehouse")).join(attempts, "day")
+
+
+def failed_run_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The message of every attempt that failed, from the log the run has written itself."""
+    _, _, log = _broken_run(spark, sf_dir)
+    return plans.failure_messages(plans.read_run_log(spark, log)).select("run", "attempt", "message")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -543,7 +607,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         ingest_both,
         ingest_quarantine,
         publish_stream,
+        publish_ordered,
         stream_alerts,
         late_day_rerun,
+        summary_resumed,
+        failed_run_messages,
     )
 }

@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 from tidemark.schemas import POWER_SCHEMA, WEATHER_SCHEMA
 from tidemark.sources import kafka_messages
-from tidemark.streaming import run_until_any_ends, start_ingest, start_quarantine
+from tidemark.streaming import run_until_any_ends, start_landing
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -29,6 +29,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument(
         "--quarantine", help="root of tables for messages that do not fit, instead of rows of NULLs"
     )
+    parser.add_argument(
+        "--log", help="root of the logs of days that batches touched (default: log below the lake)"
+    )
     parser.add_argument("--accept-data-loss", action="store_true")
     return parser.parse_args(argv)
 
@@ -51,28 +54,18 @@ def main(argv: list[str] | None = None) -> None:
             min_partitions=args.min_partitions,
         )
         queries.append(
-            start_ingest(
+            start_landing(
                 messages,
                 schema,
                 path=f"{args.lake}/{feed}",
                 checkpoint=f"{args.checkpoints}/{feed}",
+                log=f"{args.log or f'{args.lake}/log'}/{feed}",
+                aside=f"{args.quarantine}/{feed}" if args.quarantine else None,
                 trigger={"processingTime": args.every} if args.every else None,
                 name=f"ingest-{feed}",
                 gather_days=args.gather_days,
-                fitting_only=bool(args.quarantine),
             )
         )
-        if args.quarantine:
-            queries.append(
-                start_quarantine(
-                    messages,
-                    schema,
-                    path=f"{args.quarantine}/{feed}",
-                    checkpoint=f"{args.checkpoints}/{feed}-quarantine",
-                    trigger={"processingTime": args.every} if args.every else None,
-                    name=f"quarantine-{feed}",
-                )
-            )
     run_until_any_ends(spark, queries)
 
 

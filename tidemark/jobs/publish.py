@@ -26,7 +26,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--servers", required=True, help="Kafka bootstrap servers")
     parser.add_argument("--topic", required=True)
     parser.add_argument("--time-zone", required=True, help="zone of the sources' wall clock")
-    parser.add_argument("--key", help="message key; equal keys keep their order")
+    parser.add_argument("--key", help="message key; its messages are sent in order of event time")
     parser.add_argument("--rejects", help="set rejected responses aside below this folder")
     parser.add_argument("--every", help="keep running with this trigger interval")
     parser.add_argument("--max-files", type=int, help="new files per batch")
@@ -59,6 +59,7 @@ def main(argv: list[str] | None = None) -> None:
         checkpoint=args.checkpoint,
         key=F.lit(args.key) if args.key is not None else None,
         rejects=args.rejects,
+        order=["base_datetime"] if args.key is not None else None,
         trigger={"processingTime": args.every} if args.every else {"availableNow": True},
         name=f"publish-{args.feed}",
     )

@@ -8,7 +8,19 @@ from pyspark.sql.types import StructType
 
 from tidemark.operators.hourly import hourly_summary, summarise_days
 from tidemark.schemas import DAY_COLUMNS, POWER_SCHEMA, WEATHER_SCHEMA, with_id
-from tidemark.sources.lake import days_since, read_days, read_raw, within, write_days
+from tidemark.sources.lake import (
+    append_state,
+    days_since,
+    days_touched,
+    last_batch,
+    read_days,
+    read_raw,
+    read_state,
+    within,
+    write_days,
+)
+
+FEEDS = ("power", "weather")
 
 
 def summary_range(
@@ -79,25 +91,66 @@ def write_changed_days(
     require_both: bool = True,
     tie_break: str | None = None,
 ) -> list[dt.date]:
-    """Summarise again the days that either raw table got files for after a time; those days.
+    """Summarise again the days that either raw table got files for since a time; those days.
 
     ``since`` has a time for each feed, as ``last_change`` gave it before; None
-    takes all days. Only the folders of the days are read and written.
+    takes all days. Only the folders of the days are read and written. Days of files
+    of that very time are written again. For tables without a log of batches; with
+    one ``write_touched_days`` takes each batch once.
     """
-    schemas = dict(zip(("power", "weather"), _schemas(tie_break), strict=True))
+    schemas = dict(zip(FEEDS, _schemas(tie_break), strict=True))
     always = dt.datetime(1, 1, 2)
     changed = {
         day
         for feed, schema in schemas.items()
         for day in days_since(spark, f"{lake}/{feed}", schema, since.get(feed) or always)
     }
-    if not changed:
+    return _write_days_again(spark, lake, warehouse, changed, require_both, tie_break)
+
+
+def write_touched_days(
+    spark: SparkSession,
+    lake: str,
+    warehouse: str,
+    log: str,
+    state: str,
+    require_both: bool = True,
+    tie_break: str | None = None,
+) -> list[dt.date]:
+    """Summarise again the days that batches landed since the last time have touched; those days.
+
+    ``log`` has a log of batches for each feed, ``state`` remembers up to which one
+    has been summarised. That is written last, so a run that fails is made good by
+    the next. Batches that land meanwhile are left to the next run, too.
+    """
+    done = read_state(spark, state)
+    upto = {feed: last_batch(spark, f"{log}/{feed}") for feed in FEEDS}
+    touched = {
+        day for feed in FEEDS for day in days_touched(spark, f"{log}/{feed}", done.get(feed, -1), upto[feed])
+    }
+    days = _write_days_again(spark, lake, warehouse, touched, require_both, tie_break)
+    if any(upto[feed] > done.get(feed, -1) for feed in FEEDS):
+        append_state(spark, state, upto)
+    return days
+
+
+def _write_days_again(
+    spark: SparkSession,
+    lake: str,
+    warehouse: str,
+    chosen: set[tuple],
+    require_both: bool,
+    tie_break: str | None,
+) -> list[dt.date]:
+    """Summarise some days of the raw tables, given as their column values, and replace them."""
+    days = {day for day in map(_date, chosen) if day is not None}
+    if not days:
         return []
-    chosen = F.struct(*DAY_COLUMNS).isin([F.struct(*map(F.lit, day)) for day in sorted(changed)])
+    wanted = F.struct(*DAY_COLUMNS).isin([F.struct(*map(F.lit, day)) for day in sorted(chosen)])
     power, weather = (
-        read_raw(spark, f"{lake}/{feed}", schema).filter(chosen) for feed, schema in schemas.items()
+        read_raw(spark, f"{lake}/{feed}", schema).filter(wanted)
+        for feed, schema in zip(FEEDS, _schemas(tie_break), strict=True)
     )
-    days = {day for day in map(_date, changed) if day is not None}
     summary = summarise_days(power, weather, tie_break, require_both)
     write_days(summary, warehouse, stands_for=days.__contains__)
     return sorted(days)

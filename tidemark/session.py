@@ -67,3 +67,13 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     system.delete(place, True)
+
+
+def remove_files(spark: SparkSession, path: str, ending: str) -> None:
+    """Delete the files with that ending right below a folder that ``new_folder`` named or holds."""
+    if not path.startswith(_application_folder(spark) + "/"):
+        raise ValueError(f"not a folder of this application: {path}")
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/*{ending}")
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in system.globStatus(place) or []:
+        system.delete(status.getPath(), False)

@@ -8,6 +8,7 @@ from tidemark.sources.lake import (
     last_change,
     read_days,
     read_raw,
+    read_set_aside,
     read_summary,
     within,
     write_days,
@@ -41,6 +42,7 @@ __all__ = [
     "quarantine_split",
     "read_days",
     "read_raw",
+    "read_set_aside",
     "read_summary",
     "reject_report",
     "rejected",

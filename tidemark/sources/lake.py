@@ -35,9 +35,63 @@ def within(start: dt.date | None, end: dt.date | None) -> Callable[[dt.date], bo
     return lambda day: (start is None or day >= start) and (end is None or day <= end)
 
 
+# Below its days a table landed with a log has a folder for each batch.
+BATCH = "batch"
+LOG_SCHEMA = "year string, month string, day string, n long, batch long"
+STATE_SCHEMA = "feed string, batch long"
+
+
 def read_raw(spark: SparkSession, root: str, message: StructType) -> DataFrame:
     """A raw table as a whole, undated rows included."""
-    return spark.read.schema(raw_schema(message)).parquet(root)
+    schema = raw_schema(message)
+    found = spark.read.schema(schema).parquet(root)
+    return found.select(*schema.names) if BATCH in found.columns else found
+
+
+def read_set_aside(spark: SparkSession, path: str) -> DataFrame:
+    """The texts of messages that landing has set aside."""
+    return spark.read.schema("text string").parquet(path).select("text")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at the path."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
+def batch_log(log: str, number: int) -> str:
+    """Where a batch logs the days it touched."""
+    return f"{log}/{BATCH}={number}"
+
+
+def last_batch(spark: SparkSession, log: str) -> int:
+    """The last batch that the log of a raw table has; -1 if it has none."""
+    if not exists(spark, log):
+        return -1
+    found = spark.read.schema(LOG_SCHEMA).parquet(log).agg(F.max(BATCH)).first()[0]
+    return -1 if found is None else found
+
+
+def days_touched(spark: SparkSession, log: str, after: int, upto: int) -> set[tuple]:
+    """The days, as their column values, that batches after one and up to another have touched; at
+    most a row per day comes to the driver."""
+    if not exists(spark, log):
+        return set()
+    entries = spark.read.schema(LOG_SCHEMA).parquet(log).filter(F.col(BATCH).between(after + 1, upto))
+    return {tuple(row) for row in entries.select(*DAY_COLUMNS).distinct().dropna().collect()}
+
+
+def read_state(spark: SparkSession, state: str) -> dict[str, int]:
+    """For each feed the last batch that has been taken over."""
+    if not exists(spark, state):
+        return {}
+    found = spark.read.schema(STATE_SCHEMA).parquet(state).groupBy("feed").agg(F.max(BATCH).alias(BATCH))
+    return {row["feed"]: row[BATCH] for row in found.collect()}
+
+
+def append_state(spark: SparkSession, state: str, batches: dict[str, int]) -> None:
+    """Remember the last batch taken over of each feed."""
+    spark.createDataFrame(list(batches.items()), STATE_SCHEMA).coalesce(1).write.mode("append").parquet(state)
 
 
 def read_days(
@@ -57,20 +111,21 @@ def read_summary(spark: SparkSession, root: str) -> DataFrame:
 
 
 def days_since(spark: SparkSession, root: str, message: StructType, since: dt.datetime) -> list[tuple]:
-    """The days of a raw table, as their column values, that got files after a point in time.
+    """The days of a raw table, as their column values, that got files at a point in time or after.
 
-    Times are those the store gives files; no data column is read. At most one
-    row per day comes to the driver.
+    Times are those the store gives files, which may be whole seconds, so files of
+    the very time count, too; no data column is read. At most one row per day comes
+    to the driver. Tables landed with a log have an exact answer, ``days_touched``.
     """
-    changed = F.col("_metadata.file_modification_time") > F.lit(since)
-    days = read_raw(spark, root, message).filter(changed).select(*DAY_COLUMNS).distinct()
+    changed = F.col("_metadata.file_modification_time") >= F.lit(since)
+    days = spark.read.schema(raw_schema(message)).parquet(root).filter(changed).select(*DAY_COLUMNS).distinct()
     return sorted(tuple(r) for r in days.dropna().collect())
 
 
 def last_change(spark: SparkSession, root: str, message: StructType) -> dt.datetime | None:
     """When the newest file of a raw table was written; None if it has none."""
     newest = F.max("_metadata.file_modification_time").alias("newest")
-    return read_raw(spark, root, message).agg(newest).first()["newest"]
+    return spark.read.schema(raw_schema(message)).parquet(root).agg(newest).first()["newest"]
 
 
 def _day_files(spark: SparkSession, root: str) -> dict[dt.date, tuple[str, frozenset[str]]]:

@@ -49,9 +49,18 @@ def quarantine_split(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def encode(
-    readings: DataFrame, fields: list[str] | None = None, key: Column | None = None
+    readings: DataFrame,
+    fields: list[str] | None = None,
+    key: Column | None = None,
+    order: list[str] | None = None,
 ) -> DataFrame:
-    """Messages for a topic; equal keys keep their order within it."""
+    """Messages for a topic.
+
+    With a key and an ``order``, columns of the readings, all messages of a key come
+    from one task and in that order (equal ones by their text), so that a topic,
+    which keeps what a task sends of a key in order, has them so. Without it tasks
+    send side by side.
+    """
     names = fields or readings.columns
     # A field that is present but NULL is written as null, as a reader would
     # see it in the record, rather than left out.
@@ -59,4 +68,7 @@ def encode(
     columns = [value.alias("value")]
     if key is not None:
         columns.insert(0, key.cast("binary").alias("key"))
-    return readings.select(*columns)
+    if key is None or not order:
+        return readings.select(*columns)
+    ranked = readings.select(*columns, F.struct(*order).alias("_order"))
+    return ranked.repartition("key").sortWithinPartitions("key", "_order", "value").drop("_order")

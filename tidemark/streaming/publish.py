@@ -30,18 +30,21 @@ def start_publish(
     rejects: str | None = None,
     trigger: dict | None = None,
     name: str | None = None,
+    order: list[str] | None = None,
 ) -> StreamingQuery:
     """Send the reading of each new response, and set rejected responses aside whole.
 
     Restarted with its checkpoint the query goes on where it stopped, so nothing
     is sent again; only a batch that failed halfway is repeated, as a whole. A
     response is parsed once. ``rejects`` is a folder with one folder per batch.
+    With ``order`` a batch's messages of a key are sent in that order of the
+    readings' columns; batches follow one another.
     """
 
     def publish_batch(batch: DataFrame, number: int) -> None:
         parsed = parse(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            send(encode(accepted(parsed), schema.names, key), number)
+            send(encode(accepted(parsed), schema.names, key, order), number)
             if rejects:
                 kept = rejected(parsed, "fetched_at")
                 kept.write.mode("overwrite").parquet(f"{rejects}/batch={number}")
