@@ -2,8 +2,8 @@
 
 Two sets with a Jaccard similarity of at least t share a token among the first
 n - ceil(t n) + 1 of each, whatever order all tokens of the corpus are put in. So
-candidates are the pairs that share such a prefix token under every one of several
-orders; only those are verified by their whole sets. All orders put rare tokens
+candidates are the pairs that share such prefix tokens under every one of several
+orders, as many as it takes; only those are verified by their whole sets. All orders put rare tokens
 first, as a table of hashed counts tells, and differ in how they order equally rare
 ones. Equal sets meet as one before that.
 
@@ -57,8 +57,8 @@ _CLASSES = pa.schema(
 _LEADS = pa.schema([("key", pa.int64()), ("at", pa.int64()), ("ref", pa.int64()), ("n", pa.int32())])
 # ``off`` is by how much the root of a set's component is less than its own number, mostly 0.
 _PREFIXES = pa.schema([("key", pa.int64()), ("ref", pa.int64()), ("meta", pa.int64()), ("off", pa.int64())])
-_FOUND = pa.schema([*((c, pa.int64()) for c in ("a", "b", "orders", "key", "block", "ref", "meta", "root"))])
-_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("orders", pa.int64())])
+_FOUND = pa.schema([*((c, pa.int64()) for c in ("a", "b", "order", "shared", "key", "block", "ref", "meta", "root"))])
+_PAIRS = pa.schema([(c, pa.int64()) for c in ("a", "b", "order", "shared")])
 
 
 def _ddl(schema: pa.Schema) -> str:
@@ -335,7 +335,8 @@ def _neighbours(percent: int):
             last = [c[-1] for c in columns]
             near = (key[1:] == key[:-1]) & (ref[1:] != ref[:-1]) & _similar_sizes(n[1:].astype(np.int64), n[:-1].astype(np.int64), percent)
             a, b = ref[:-1][near], ref[1:][near]
-            yield record_batch(_PAIRS, np.minimum(a, b), np.maximum(a, b), np.zeros(len(a), np.int64))
+            nothing = np.zeros(len(a), np.int64)
+            yield record_batch(_PAIRS, np.minimum(a, b), np.maximum(a, b), nothing, nothing)
 
     return run
 
@@ -369,11 +370,11 @@ def _fits(one: list[np.ndarray], other: list[np.ndarray], percent: int) -> np.nd
 
 
 def _pairs_of(one: list[np.ndarray], other: list[np.ndarray], percent: int) -> np.ndarray:
-    """Pairs (a, b, orders) of the rows of both sides that fit."""
+    """Pairs (a, b, order) of the rows of both sides that fit."""
     fits = _fits(one, other, percent)
     ref, meta = (np.broadcast_to(c, fits.shape)[fits] for c in one[:2])
     a, b = np.minimum(ref, other[0][fits]), np.maximum(ref, other[0][fits])
-    return np.stack([a, b, np.int64(1) << (meta >> 2 * PLACE_BITS)])
+    return np.stack([a, b, meta >> 2 * PLACE_BITS])
 
 
 def _crossing(one: list[np.ndarray], other: list[np.ndarray], percent: int, within: bool) -> Iterator[np.ndarray]:
@@ -397,7 +398,7 @@ def _lagged(rows: list[np.ndarray], group: np.ndarray, percent: int) -> Iterator
 
 
 class _Pairs:
-    """Pairs found so far, each once; handed on when there are many."""
+    """Pairs found so far with the number of tokens they share; handed on when there are many."""
 
     def __init__(self):
         self._held, self._count = [], 0
@@ -411,7 +412,10 @@ class _Pairs:
 
     def out(self) -> Iterator[np.ndarray]:
         if self._held:
-            yield np.unique(np.concatenate(self._held, axis=1), axis=1)
+            found = np.concatenate(self._held, axis=1)
+            found = found[:, np.lexsort(found[::-1])]
+            starts = np.flatnonzero(np.concatenate([[True], (found[:, 1:] != found[:, :-1]).any(axis=0)]))
+            yield np.vstack([found[:, starts], np.diff(np.append(starts, found.shape[1]))])
         self._held, self._count = [], 0
 
 
@@ -434,7 +438,7 @@ def _within_keys(percent: int, block_rows: int):
                 if block or not last:
                     count = len(rows[0])
                     nothing = pa.nulls(count, pa.int64())
-                    yield record_batch(_FOUND, *[nothing] * 3, np.full(count, key_at_hand), np.full(count, block), *rows)
+                    yield record_batch(_FOUND, *[nothing] * 4, np.full(count, key_at_hand), np.full(count, block), *rows)
 
         for batch in batches:
             if not batch.num_rows:
@@ -477,17 +481,18 @@ def _between_blocks(percent: int):
         second = (table["block"].to_numpy() != table["i"].to_numpy()).nonzero()[0]
         pairs = _Pairs()
         found = [*pairs.add(_crossing([c[first] for c in rows], [c[second] for c in rows], percent, False)), *pairs.out()]
-        both = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
+        both = np.concatenate(found, axis=1) if found else np.zeros((4, 0), np.int64)
         return pa.Table.from_batches([record_batch(_PAIRS, *both)])
 
     return run
 
 
 def _candidates(prefixes: DataFrame, orders: int, percent: int, block_rows: int) -> DataFrame:
-    """Pairs (a, b) of different components that share a prefix token under every order."""
+    """Pairs (a, b) of different components that share prefix tokens under every order, and of how
+    many tokens that is under the order with fewest."""
     grouped = prefixes.repartition("key").sortWithinPartitions("key")
     found = written(grouped.mapInArrow(_within_keys(percent, block_rows), _ddl(_FOUND)), "jaccard-found")
-    pairs = found.filter("a IS NOT NULL").select("a", "b", "orders")
+    pairs = found.filter("a IS NOT NULL").select("a", "b", "order", "shared")
     large = found.filter("key IS NOT NULL").select("key", "block", "ref", "meta", "root")
     blocks = large.groupBy("key").agg(F.max("block").alias("last"), F.min("root").alias("r"), F.max("root").alias("s"))
     blocks = written(blocks.filter("r <> s").select("key", "last"), "jaccard-blocks")
@@ -498,19 +503,31 @@ def _candidates(prefixes: DataFrame, orders: int, percent: int, block_rows: int)
         )
         between = sides.groupBy("key", "i", "j").applyInArrow(_between_blocks(percent), _ddl(_PAIRS))
         pairs = pairs.unionByName(between)
-    shared = pairs.groupBy("a", "b").agg(F.bit_or("orders").alias("orders"))
-    return shared.filter(F.col("orders") == (1 << orders) - 1).select("a", "b")
+    under = [F.coalesce(F.sum(F.when(F.col("order") == k, F.col("shared"))), F.lit(0)) for k in range(orders)]
+    shared = pairs.groupBy("a", "b").agg(*[s.alias(f"under_{k}") for k, s in enumerate(under)])
+    fewest = F.least(*[F.col(f"under_{k}") for k in range(orders)]) if orders > 1 else F.col("under_0")
+    return shared.select("a", "b", fewest.alias("shared")).filter("shared > 0")
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs whose whole sets are similar enough, as links (u, v).
 
-    Pairs first learn their sets' addresses, by which the table of sets is in buckets.
+    Pairs first learn their sets' sizes and addresses, by which the table of sets is
+    in buckets. Tokens that two sets have in common are in both prefixes, or else
+    beyond the prefix of the one whose prefix ends first; so where it is known how many
+    are in both prefixes, pairs that fall short even so need not be looked at.
     """
     for side in ("a", "b"):
-        places = classes.select(F.col("ref").alias(side), F.col("lo").alias(f"lo_{side}"))
+        places = classes.select(
+            F.col("ref").alias(side), F.col("lo").alias(f"lo_{side}"), F.col("n").cast("long").alias(f"n_{side}")
+        )
         pairs = pairs.join(places, side)
-    pairs = written(pairs, "jaccard-pairs")
+    if "shared" in pairs.columns:
+        # Beyond a prefix of n - ceil(percent n / 100) + 1 are so many tokens.
+        beyond = [F.floor((percent * F.col(n) + 99) / 100) - 1 for n in ("n_a", "n_b")]
+        most = F.col("shared") + F.greatest(*beyond)
+        pairs = pairs.filter((100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b")))
+    pairs = written(pairs.select("a", "b", "lo_a", "lo_b"), "jaccard-pairs")
     for side in ("a", "b"):
         sets = classes.select("ref", F.col("lo").alias(f"lo_{side}"), F.col("shingles").alias(f"of_{side}"))
         # Sets that share half an address are told apart; not as a key, which would shuffle the sets.
