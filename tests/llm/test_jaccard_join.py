@@ -75,7 +75,7 @@ def test_equals_all_pairs(spark, docs, seed):
 def test_pairs_not_found_by_neighbours_are_found_by_prefixes(spark, docs):
     """With no leading tokens nothing is linked beforehand."""
     rows = corpus(4)
-    assert found(similar_groups(docs(*rows), leading=0, block_rows=2)) == plain(rows)
+    assert found(similar_groups(docs(*rows), leading=0, rounds=1, block_rows=2)) == plain(rows)
 
 
 def test_a_large_group_of_near_copies_and_a_common_passage(spark, docs):

@@ -7,14 +7,16 @@ orders, as many as it takes; only those are verified by their whole sets. All or
 first, as a table of hashed counts tells, and differ in how they order equally rare
 ones. Equal sets meet as one before that.
 
-Sets that neighbour one another under their first tokens are verified first; most
-of what is linked is connected by then, and what a component holds already is not
-paired again, so that a large group of near copies costs links in proportion to its
-members.
+Sets that neighbour one another under their first tokens are verified first, in a
+few rounds, each with other neighbours and only where these are of different
+components. Most of what is linked is connected by then, and what a component holds
+already is not paired again, so that a large group of near copies costs links in
+proportion to its members.
 """
 
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,7 @@ SHINGLE_WORDS = 5
 PERCENT = 80
 ORDERS = 2
 LEADING = 2
+ROUNDS = 4
 COUNTERS_LOG2 = 20
 BLOCK_ROWS = 1 << 12
 LAGGED_ROWS = 64
@@ -54,7 +57,7 @@ _SETS = pa.schema([("lo", pa.int64()), ("hi", pa.int64()), ("shingles", pa.list_
 _CLASSES = pa.schema(
     [("lo", pa.int64()), ("hi", pa.int64()), ("n", pa.int32()), ("shingles", pa.list_(pa.int64()))]
 )
-_LEADS = pa.schema([("key", pa.int64()), ("at", pa.int64()), ("ref", pa.int64()), ("n", pa.int32())])
+_LEADS = pa.schema([("key", pa.int64()), ("ref", pa.int64()), ("n", pa.int32())])
 # ``off`` is by how much the root of a set's component is less than its own number, mostly 0.
 _PREFIXES = pa.schema([("key", pa.int64()), ("ref", pa.int64()), ("meta", pa.int64()), ("off", pa.int64())])
 _FOUND = pa.schema([*((c, pa.int64()) for c in ("a", "b", "order", "shared", "key", "block", "ref", "meta", "root"))])
@@ -299,19 +302,16 @@ def _first_tokens(shingles: np.ndarray, order: int, length: int, rarity: np.ndar
 def _to_leads(rarity, log2: int, orders: int, leading: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            refs, keys, owners, places = batch.column(0).to_numpy(), [], [], []
+            refs, keys, owners = batch.column(0).to_numpy(), [], []
             ns = batch.column(1).value_lengths().to_numpy()
             for row, own in enumerate(_sets_of(batch, "shingles")):
                 for order in range(orders):
                     found = _first_tokens(own, order, min(leading, len(own)), rarity.value, log2)
                     keys.append(found)
                     owners.append(np.full(len(found), row))
-                    places.append(np.arange(len(found)))
             if keys:
-                key, owner, place = (np.concatenate(c) for c in (keys, owners, places))
-                chance = _mixed(refs[owner].view(np.uint64) ^ key, 40)
-                at = np.where(place % 2 == 0, ns[owner].astype(np.int64), _signed(chance))
-                yield record_batch(_LEADS, _signed(key), at, refs[owner], ns[owner])
+                key, owner = (np.concatenate(c) for c in (keys, owners))
+                yield record_batch(_LEADS, _signed(key), refs[owner], ns[owner])
 
     return run
 
@@ -321,7 +321,7 @@ def _similar_sizes(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _neighbours(percent: int):
-    """Pairs of sets that stand next to each other under a key."""
+    """Pairs of sets of different components that stand next to each other under a key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
@@ -331,9 +331,9 @@ def _neighbours(percent: int):
                 continue
             if last is not None:
                 columns = [np.concatenate([x[None], c]) for x, c in zip(last, columns, strict=True)]
-            key, _, ref, n = columns
+            key, ref, n, root = columns
             last = [c[-1] for c in columns]
-            near = (key[1:] == key[:-1]) & (ref[1:] != ref[:-1]) & _similar_sizes(n[1:].astype(np.int64), n[:-1].astype(np.int64), percent)
+            near = (key[1:] == key[:-1]) & (root[1:] != root[:-1]) & _similar_sizes(n[1:].astype(np.int64), n[:-1].astype(np.int64), percent)
             a, b = ref[:-1][near], ref[1:][near]
             nothing = np.zeros(len(a), np.int64)
             yield record_batch(_PAIRS, np.minimum(a, b), np.maximum(a, b), nothing, nothing)
@@ -543,12 +543,26 @@ def _with_roots(classes: DataFrame, roots: DataFrame) -> DataFrame:
     return joined.withColumn("root", F.coalesce("root", "ref"))
 
 
+def _chained(leads: DataFrame, roots: DataFrame | None, turn: int, percent: int) -> DataFrame:
+    """Pairs of sets of different components that are next to each other under a leading token, in
+    an order of chance, another in each turn; written.
+
+    The sets of a token are dealt by range, so many may share one.
+    """
+    labelled = leads.withColumn("root", F.col("ref")) if roots is None else _with_roots(leads, roots)
+    chained = labelled.select("key", "ref", "n", "root", F.xxhash64("key", "ref", F.lit(turn)).alias("at"))
+    chained = chained.repartitionByRange("key", "at").sortWithinPartitions("key", "at").drop("at")
+    pairs = chained.mapInArrow(_neighbours(percent), _ddl(_PAIRS)).select("a", "b").distinct()
+    return written(pairs, "jaccard-neighbours")
+
+
 def similar_groups(
     docs: DataFrame,
     words: int = SHINGLE_WORDS,
     percent: int = PERCENT,
     orders: int = ORDERS,
     leading: int = LEADING,
+    rounds: int = ROUNDS,
     counters_log2: int = COUNTERS_LOG2,
     block_rows: int = BLOCK_ROWS,
     id_column: str = "doc_id",
@@ -570,12 +584,12 @@ def similar_groups(
     """
     with freed_shuffles(docs.sparkSession):
         return _similar_groups(
-            docs, words, percent, orders, leading, counters_log2, block_rows, id_column, text_column
+            docs, words, percent, orders, leading, rounds, counters_log2, block_rows, id_column, text_column
         )
 
 
 def _similar_groups(
-    docs, words, percent, orders, leading, counters_log2, block_rows, id_column, text_column
+    docs, words, percent, orders, leading, rounds, counters_log2, block_rows, id_column, text_column
 ) -> DataFrame:
     spark = docs.sparkSession
     rows = members(docs, words, id_column, text_column)
@@ -584,9 +598,14 @@ def _similar_groups(
     rarity = spark.sparkContext.broadcast(_rarity(sets, counters_log2))
 
     leads = sets.select("ref", "shingles").mapInArrow(_to_leads(rarity, counters_log2, orders, leading), _ddl(_LEADS))
-    chained = leads.repartitionByRange("key", "at", "ref").sortWithinPartitions("key", "at", "ref")
-    neighbours = chained.mapInArrow(_neighbours(percent), _ddl(_PAIRS)).select("a", "b").distinct()
-    roots = component_roots(_verified(written(neighbours, "jaccard-neighbours"), sets, percent))
+    leads, roots = written(leads, "jaccard-leads"), None
+    for turn in range(rounds):
+        pairs = _chained(leads, roots, turn, percent)
+        if roots is not None and pairs.isEmpty():
+            break
+        links = _verified(pairs, sets, percent)
+        known = [] if roots is None else [roots.withColumnRenamed("root", "v")]
+        roots = component_roots(reduce(DataFrame.unionByName, known, links))
 
     rooted = _with_roots(sets, roots).select("ref", "root", "shingles")
     prefixes = rooted.mapInArrow(_to_prefixes(rarity, counters_log2, orders, percent), _ddl(_PREFIXES))
