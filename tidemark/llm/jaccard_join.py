@@ -41,9 +41,9 @@ SHINGLE_WORDS = 5
 PERCENT = 80
 ORDERS = 2
 LEADING = 2
-ROUNDS = 4
+ROUNDS = 2
 COUNTERS_LOG2 = 20
-BLOCK_ROWS = 1 << 12
+BLOCK_ROWS = 1 << 10
 LAGGED_ROWS = 64
 PAIRS_HELD = 1 << 20
 WORDS_KNOWN = 1 << 18
@@ -544,14 +544,15 @@ def _with_roots(classes: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _chained(leads: DataFrame, roots: DataFrame | None, turn: int, percent: int) -> DataFrame:
-    """Pairs of sets of different components that are next to each other under a leading token, in
-    an order of chance, another in each turn; written.
+    """Pairs of sets of different components that are next to each other under a leading token, at
+    first by size and then in an order of chance, another in each turn; written.
 
     The sets of a token are dealt by range, so many may share one.
     """
     labelled = leads.withColumn("root", F.col("ref")) if roots is None else _with_roots(leads, roots)
-    chained = labelled.select("key", "ref", "n", "root", F.xxhash64("key", "ref", F.lit(turn)).alias("at"))
-    chained = chained.repartitionByRange("key", "at").sortWithinPartitions("key", "at").drop("at")
+    at = F.xxhash64("key", "ref", F.lit(turn)) if turn else F.col("n").cast("long")
+    chained = labelled.select("key", "ref", "n", "root", at.alias("at"))
+    chained = chained.repartitionByRange("key", "at", "ref").sortWithinPartitions("key", "at", "ref").drop("at")
     pairs = chained.mapInArrow(_neighbours(percent), _ddl(_PAIRS)).select("a", "b").distinct()
     return written(pairs, "jaccard-neighbours")
 
