@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from helpers import plan, power, rows, weather
 from tidemark.functions import date_parts
-from tidemark.operators import dedup
+from tidemark.operators import dedup, dedup_wide
 
 READINGS = [
     ("a", 1.0, 10.0, 5), ("a", 2.0, 20.0, 3), ("a", None, 30.0, 4),
@@ -102,3 +102,51 @@ def test_against_brute_force(spark, pairs):
         expected.setdefault(reading[0], reading)
     found = rows(dedup(power(spark, *readings, id_column=True), tie_break="id"))
     assert found == sorted(expected.values(), key=repr)
+
+
+WIDE = "base_datetime string, id long, text string, n long, tags array<string>"
+
+
+def wide(spark, readings, tasks=3):
+    return spark.createDataFrame(readings, WIDE).repartition(tasks)
+
+
+def test_wide_rows_against_brute_force(spark):
+    drawn = random.Random(5)
+    readings = [
+        (drawn.choice(["a", "b", "c", None]), drawn.choice([1, 2, 3, i, None]), drawn.choice(["", "x" * 5000, None, str(i)]),
+         drawn.choice([None, i % 3]), drawn.choice([None, [], ["t", None]]))
+        for i in range(200)
+    ]
+    found = rows(dedup_wide(wide(spark, readings * 2), tie_break="id"))
+    assert [r[0] for r in found] == sorted(["a", "b", "c", None], key=lambda k: repr((k,)))
+    given_rows = rows(wide(spark, readings))
+    least = {k: min(r[1] for r in readings if r[0] == k and r[1] is not None) for k in {r[0] for r in readings}}
+    assert all(r in given_rows and r[1] == least[r[0]] for r in found)
+    for tasks in (1, 7):
+        drawn.shuffle(readings)
+        assert rows(dedup_wide(wide(spark, readings, tasks), tie_break="id")) == found
+
+
+def test_wide_rows_without_ids_or_rows(spark):
+    readings = [("a", None, text, 1, None) for text in ("x", "y", None, "x")] + [(None, None, None, None, None)] * 3
+    for tie_break in ("id", None):
+        found = rows(dedup_wide(wide(spark, readings), tie_break=tie_break))
+        assert len(found) == 2 and set(map(repr, found)) <= {repr(r) for r in readings}
+    assert rows(dedup_wide(wide(spark, []), tie_break="id")) == []
+    only = spark.createDataFrame([("a", 2), ("a", 1), ("a", 1)], "base_datetime string, id long")
+    assert rows(dedup_wide(only, tie_break="id")) == [("a", 1)]
+
+
+def test_wide_rows_are_not_sorted_and_a_hot_key_is_spread(spark):
+    frame = spark.range(0, 30000, 1, 8).select(
+        F.lit("hot").alias("base_datetime"), F.col("id"), F.sha2(F.col("id").cast("string"), 512).alias("text"), F.lit(0).alias("n")
+    )
+    found = dedup_wide(frame, tie_break="id")
+    text = plan(found, "simple")
+    assert "Sort" not in text and "Window" not in text and "Python" not in text
+    assert [r[1] for r in found.collect()] == [0]
+    told = [part for c in ("text", "n") for part in (F.col(c), F.col(c).isNull())]
+    parts = frame.withColumn("h", F.xxhash64(F.lit(2), *told)).repartition(8, "base_datetime", "id", "h")
+    sizes = [r["count"] for r in parts.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 2 * 30000 / 8

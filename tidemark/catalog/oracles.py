@@ -282,6 +282,9 @@ FROM events""",
 SELECT event_id, {POWER_SHOWN} FROM told
 QUALIFY row_number() OVER (PARTITION BY base_datetime ORDER BY event_id NULLS LAST) = 1""",
     "dedup_weather": f"{DEDUP} SELECT event_id, base_datetime, {WEATHER_MEASURES} FROM w",
+    "dedup_wide": f"""
+SELECT {WEATHER_TIME} AS base_datetime, event_id, event_type, props, {_double('value')} FROM events
+QUALIFY row_number() OVER (PARTITION BY base_datetime ORDER BY event_id) = 1""",
     "hourly_join": f"""{JOINED}
 SELECT strftime(hour_timestamp, {SHOWN_TIME}) AS hour_timestamp, {POWER_SHOWN},
        {WEATHER_MEASURES} FROM joined""",
@@ -301,6 +304,16 @@ AND CAST(hour_timestamp AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-21'
 AND CAST(hour_timestamp AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-21'""",
     "full_scan_summary": f"{SUMMARY} SELECT {SUMMARY_SHOWN} FROM summary",
     "summary_write_roundtrip": DAILY,
+    "summary_seen_whole": f"""
+WITH daily AS ({DAILY}), few AS (
+  SELECT * REPLACE (CAST(NULL AS DOUBLE) AS max_demand_mw) FROM daily
+  WHERE hour_timestamp BETWEEN '2024-01-08' AND '2024-01-22'
+)
+SELECT *, 'before' AS state FROM few
+UNION ALL
+SELECT * REPLACE (2023 AS year, '12' AS month, '31' AS day), 'before' FROM few
+UNION ALL
+SELECT *, unnest(['ordered', 'moved']) FROM daily""",
     "ingest_power_lake": INGESTED_POWER,
     "ingest_weather_lake": f"""{DECODED_WEATHER}
 SELECT base_datetime, {WEATHER_MEASURES}, {DAY_PARTS} FROM decoded""",

@@ -293,6 +293,13 @@ def dedup_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(ops.dedup(_feeds(spark, sf_dir)[1], tie_break=ID))
 
 
+def dedup_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with their texts, one per hour; every third of them comes twice."""
+    time = F.date_format("ts", "yyyyMMddHH'00'").alias("base_datetime")
+    told = feeds.events(spark, sf_dir).select(time, ID, "event_type", "props", "value")
+    return shown(ops.dedup_wide(told.unionAll(told.filter(F.col(ID) % 3 == 0)), tie_break=ID))
+
+
 def hourly_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     power, weather = _feeds(spark, sf_dir)
     joined = ops.hourly_join(
@@ -358,6 +365,29 @@ def summary_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(sources.read_summary(spark, table))
 
 
+def summary_seen_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of some days and one that is gone, all without demand, as readers see it before every
+    day is written, once that is ordered but nothing moved, and when all is moved."""
+    lake, root = _lake(spark, sf_dir), new_folder(spark, "seen")
+    table, seen = f"{root}/table", f"{root}/seen"
+    some = plans.summary_range(spark, lake, RANGE_START, RANGE_END, tie_break=ID)
+    some = some.withColumn("max_demand_mw", F.lit(None).cast("float"))
+    gone = {"year": F.lit(2023), "month": F.lit("12"), "day": F.lit("31")}
+    for days in (some, some.withColumns(gone)):
+        sources.write_days(days, table)
+
+    def look(state: str) -> None:
+        rows = sources.read_summary(spark, table).withColumn("state", F.lit(state))
+        rows.write.mode("append").parquet(seen)
+
+    look("before")
+    sources.stage_days(plans.summary_range(spark, lake, None, None, tie_break=ID), table, lambda day: True)
+    look("ordered")
+    sources.settle(spark, table)
+    look("moved")
+    return shown(spark.read.parquet(seen))
+
+
 # Streams: the tables come as one backlog, in whatever order their files are
 
 
@@ -592,6 +622,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         dedup_power,
         dedup_power_no_id,
         dedup_weather,
+        dedup_wide,
         hourly_join,
         temp_demand_corr,
         days_with_both_feeds,
@@ -601,6 +632,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         full_scan_summary,
         summary_write_roundtrip,
         summary_overwrite,
+        summary_seen_whole,
         ingest_power_lake,
         ingest_weather_lake,
         ingest_restart,

@@ -1,5 +1,5 @@
 from tidemark.operators.alerts import RESERVE_THRESHOLD_MW, reserve_alerts
-from tidemark.operators.dedup import dedup
+from tidemark.operators.dedup import dedup, dedup_wide
 from tidemark.operators.hourly import (
     hour_bucket,
     hourly_join,
@@ -15,6 +15,7 @@ __all__ = [
     "days_skipped",
     "days_with_both",
     "dedup",
+    "dedup_wide",
     "hour_bucket",
     "hourly_join",
     "hourly_summary",

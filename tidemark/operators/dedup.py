@@ -47,6 +47,30 @@ def dedup(
     return survivors if survivors.columns == columns else survivors.select(*columns)
 
 
+def dedup_wide(readings: DataFrame, key: str = "base_datetime", tie_break: str | None = None) -> DataFrame:
+    """Keep one whole row per key, as ``dedup`` does, of rows with texts or other columns of any length.
+
+    Columns of any length make an aggregate sort whole rows, so only numbers are
+    aggregated: the lowest rank of each key, and a second hash of the row that has
+    it. The rows are then met by key and both numbers, which spreads a key's rows over
+    the tasks by what they hold; rows that repeat one another whole meet as one
+    before that, within tasks first. Nothing is sorted. The join holds a partition of
+    the keys with their two numbers in memory, no row: set the number of shuffle
+    partitions for the distinct keys. Rows with a NULL key count as one key.
+    """
+    rest = [c for c in readings.columns if c not in (key, tie_break)]
+    told = [part for c in rest for part in (F.col(c), F.col(c).isNull())]
+    first = F.xxhash64(F.lit(1), *told)
+    if tie_break is not None:
+        first = _before(F.coalesce(F.col(tie_break).cast("long"), F.lit(LAST)), first)
+    numbers = {"_first": first, "_second": F.xxhash64(F.lit(2), *told)}
+    lowest = readings.withColumns(numbers).groupBy(F.col(key).alias("_key"))
+    lowest = lowest.agg(F.min("_first").alias("_lowest"), F.min_by("_second", "_first").alias("_other"))
+    met = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_first") == F.col("_lowest")) & (F.col("_second") == F.col("_other"))
+    met_rows = readings.distinct().withColumns(numbers).join(lowest.hint("shuffle_hash"), met, "left_semi")
+    return met_rows.select(*readings.columns)
+
+
 def _before(first: Column, second: Column) -> Column:
     """A number that orders by the first long and then by the second's lower bits.
 

@@ -15,6 +15,7 @@ from tidemark.sources.lake import (
 )
 from tidemark.sources.messages import file_messages, kafka_messages, publish
 from tidemark.sources.responses import accepted, reject_report, rejected
+from tidemark.sources.staged import IncompleteError, read_committed, settle, stage_days
 from tidemark.sources.wire import (
     decode,
     decode_once,
@@ -25,6 +26,7 @@ from tidemark.sources.wire import (
 from tidemark.sources.xml_responses import parse_power
 
 __all__ = [
+    "IncompleteError",
     "accepted",
     "days_since",
     "decode",
@@ -40,12 +42,15 @@ __all__ = [
     "pivot_observations",
     "publish",
     "quarantine_split",
+    "read_committed",
     "read_days",
     "read_raw",
     "read_set_aside",
     "read_summary",
     "reject_report",
     "rejected",
+    "settle",
+    "stage_days",
     "within",
     "write_days",
 ]

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.schemas import DAY_COLUMNS, SUMMARY_SCHEMA, raw_schema
+from tidemark.sources.staged import read_committed, settle, stage_days
 
 
 def within_days(start: dt.date | None, end: dt.date | None) -> Column:
@@ -106,8 +107,8 @@ def read_days(
 
 
 def read_summary(spark: SparkSession, root: str) -> DataFrame:
-    """The hourly summary table."""
-    return spark.read.schema(SUMMARY_SCHEMA).parquet(root)
+    """The hourly summary table, as the last range written to it left or is to leave it."""
+    return read_committed(spark, root, SUMMARY_SCHEMA)
 
 
 def days_since(spark: SparkSession, root: str, message: StructType, since: dt.datetime) -> list[tuple]:
@@ -128,30 +129,12 @@ def last_change(spark: SparkSession, root: str, message: StructType) -> dt.datet
     return spark.read.schema(raw_schema(message)).parquet(root).agg(newest).first()["newest"]
 
 
-def _day_files(spark: SparkSession, root: str) -> dict[dt.date, tuple[str, frozenset[str]]]:
-    """Folder and file names of each dated day of a table; empty if there is no table."""
-    context = spark.sparkContext
-    hadoop = context._jvm.org.apache.hadoop.fs
-    pattern = hadoop.Path(f"{root}/year=*/month=*/day=*")
-    system = pattern.getFileSystem(context._jsc.hadoopConfiguration())
-    found = {}
-    for status in system.globStatus(pattern) or []:
-        folder = status.getPath()
-        parts = [part.split("=")[1] for part in folder.toString().split("/")[-3:]]
-        try:
-            day = dt.date(*map(int, parts))
-        except ValueError:
-            continue
-        names = frozenset(f.getPath().getName() for f in system.listStatus(folder))
-        found[day] = (folder.toString(), names)
-    return found
-
-
-def _drop_days(spark: SparkSession, folders: list[str]) -> None:
-    context = spark.sparkContext
-    for folder in folders:
-        path = context._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+def _date(parts: tuple[str, ...]) -> dt.date | None:
+    """The day that folder names stand for, if they do."""
+    try:
+        return dt.date(*map(int, parts))
+    except ValueError:
+        return None
 
 
 def write_days(
@@ -165,14 +148,18 @@ def write_days(
     ``replace`` overwrites exactly the days the frame holds, so writing a day
     again changes nothing; the frame must hold such days whole. With
     ``stands_for`` the frame is also all there is of the days it is true of:
-    those of them that the table holds and the frame doesn't are removed.
+    those of them that the table holds and the frame doesn't are removed, and
+    ``read_summary`` sees all of it or nothing, also if the writer fails on the way.
     ``append`` adds rows, ``overwrite`` replaces the table.
 
     The rebalance gathers each day into few files and splits a day that holds
     far more rows than others, which hashing on the day would send to one task.
     """
     spark = frame.sparkSession
-    before = _day_files(spark, root) if mode == "replace" and stands_for else {}
+    if mode == "replace" and stands_for:
+        stage_days(frame, root, lambda parts: (day := _date(parts)) is not None and stands_for(day))
+        settle(spark, root)
+        return
     writer = frame.hint("rebalance", *DAY_COLUMNS).write.partitionBy(*DAY_COLUMNS)
     if mode == "replace":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -182,9 +169,5 @@ def write_days(
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "static")
     else:
         raise ValueError(f"unknown mode: {mode}")
+    settle(spark, root)
     writer.parquet(root)
-    if before:
-        after = _day_files(spark, root)
-        # A day that was written has new files; one with its old files got no rows.
-        kept = [day for day in before if stands_for(day) and after.get(day) == before[day]]
-        _drop_days(spark, [before[day][0] for day in kept])
