@@ -2,10 +2,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm.jaccard_join import _Shingles, prefix_length, similar_groups
+from tidemark.llm.jaccard_join import SKETCH_MOST, _Shingles, _neighbours, _sketched, prefix_length, similar_groups
 
 
 def shingles(text, words=5):
@@ -73,9 +74,9 @@ def test_equals_all_pairs(spark, docs, seed):
 
 
 def test_pairs_not_found_by_neighbours_are_found_by_prefixes(spark, docs):
-    """With no leading tokens nothing is linked beforehand."""
+    """With no leading tokens and no minima nothing is linked beforehand."""
     rows = corpus(4)
-    assert found(similar_groups(docs(*rows), leading=0, rounds=1, block_rows=2)) == plain(rows)
+    assert found(similar_groups(docs(*rows), leading=0, minima=0, rounds=1, block_rows=2)) == plain(rows)
 
 
 def test_a_large_group_of_near_copies_and_a_common_passage(spark, docs):
@@ -115,5 +116,34 @@ def test_blocks_of_a_text_make_no_difference():
         assert all(np.array_equal(_Shingles(5, block).of(text), whole) for block in (1, 7, 40))
 
 
+def test_neighbours_and_heads_however_rows_come():
+    rng = np.random.default_rng(8)
+    key = np.sort(rng.integers(0, 9, 60))
+    columns = [key, np.arange(60), rng.integers(8, 12, 60), rng.integers(0, 2, 60), rng.integers(0, 30, 60)]
+    whole = pa.record_batch(columns, names=["key", "ref", "n", "sketch", "root"])
+    expected, head = set(), 0
+    for i in range(1, 60):
+        head = head if key[i] == key[head] else i
+        for j in {i - 1, head} - {i}:
+            n, m = sorted(int(columns[2][x]) for x in (i, j))
+            if key[i] == key[j] and columns[4][i] != columns[4][j] and 100 * n >= 80 * m:
+                expected.add((j, i))
+    for size in (1, 2, 7, 60):
+        batches = [whole.slice(at, size) for at in range(0, 60, size)] + [whole.slice(0, 0)]
+        pairs = [b for b in _neighbours(80)(iter(batches))]
+        assert {(r["a"], r["b"]) for b in pairs for r in b.to_pylist()} == expected
+
+
+def test_a_sketch_agrees_as_sets_do():
+    rng = np.random.default_rng(9)
+    tokens = np.unique(rng.integers(0, 2**63, 1200).astype(np.uint64) * np.uint64(2))
+    one, other = (np.sort(rng.permutation(tokens)[:1100]) for _ in range(2))
+    (a, keys), (b, others) = (_sketched(s, 16) for s in (one, other))
+    similarity = len(np.intersect1d(one, other)) / len(np.union1d(one, other))
+    differing = int(np.bitwise_count((a ^ b).view(np.uint64))[0])
+    assert similarity > 0.8 and differing <= SKETCH_MOST and len(np.intersect1d(keys, others)) > 8
+    assert _sketched(tokens[:1], 4)[1].shape == (4,)
+
+
 def test_prefix_lengths():
     assert [prefix_length(n, 80) for n in (1, 4, 5, 6, 10, 11)] == [1, 1, 2, 2, 3, 3]

@@ -7,11 +7,14 @@ orders, as many as it takes; only those are verified by their whole sets. All or
 first, as a table of hashed counts tells, and differ in how they order equally rare
 ones. Equal sets meet as one before that.
 
-Sets that neighbour one another under their first tokens are verified first, in a
-few rounds, each with other neighbours and only where these are of different
-components. Most of what is linked is connected by then, and what a component holds
-already is not paired again, so that a large group of near copies costs links in
-proportion to its members.
+Sets that neighbour one another under their first tokens, or under the least of a range
+of tokens, rare or not, and whose sketches agree are verified first, in a few rounds,
+each with other neighbours and only where these are of different components; so are the
+sets of a key with its first one, which is in one round the set of the commonest tokens,
+in a group of near copies the one that differs least from all. Most of
+what is linked is connected by then, and what a component holds already is not paired
+again, so that a large group of near copies costs links in proportion to its members.
+What the rounds miss is found by the prefixes.
 """
 
 import uuid
@@ -41,7 +44,10 @@ SHINGLE_WORDS = 5
 PERCENT = 80
 ORDERS = 2
 LEADING = 2
+MINIMA = 4
 ROUNDS = 2
+SKETCH_BITS = 64
+SKETCH_MOST = 14
 COUNTERS_LOG2 = 20
 BLOCK_ROWS = 1 << 10
 LAGGED_ROWS = 64
@@ -57,7 +63,9 @@ _SETS = pa.schema([("lo", pa.int64()), ("hi", pa.int64()), ("shingles", pa.list_
 _CLASSES = pa.schema(
     [("lo", pa.int64()), ("hi", pa.int64()), ("n", pa.int32()), ("shingles", pa.list_(pa.int64()))]
 )
-_LEADS = pa.schema([("key", pa.int64()), ("ref", pa.int64()), ("n", pa.int32())])
+# ``sketch`` has a bit of the least token of each of 64 ranges of tokens, ``common`` how common the
+# set's tokens are.
+_LEADS = pa.schema([(c, pa.int64()) for c in ("key", "ref", "n", "sketch", "common")])
 # ``off`` is by how much the root of a set's component is less than its own number, mostly 0.
 _PREFIXES = pa.schema([("key", pa.int64()), ("ref", pa.int64()), ("meta", pa.int64()), ("off", pa.int64())])
 _FOUND = pa.schema([*((c, pa.int64()) for c in ("a", "b", "order", "shared", "key", "block", "ref", "meta", "root"))])
@@ -299,19 +307,39 @@ def _first_tokens(shingles: np.ndarray, order: int, length: int, rarity: np.ndar
     return _mixed(shingles[first], 32 + order)
 
 
-def _to_leads(rarity, log2: int, orders: int, leading: int):
+_RANGES = np.arange(SKETCH_BITS, dtype=np.uint64) << _U(58)
+
+
+def _sketched(own: np.ndarray, minima: int) -> tuple[np.ndarray, np.ndarray]:
+    """A sketch of an ascending set, and the least tokens from the starts of some ranges on, as keys.
+
+    Two sets of similarity s share such a token with probability s, and a bit with
+    (1 + s) / 2; the tokens are hashes, so the ranges hold any of them alike.
+    """
+    at = np.searchsorted(own, _RANGES)
+    least = _mixed(own[np.minimum(at, len(own) - 1)], 40)
+    sketch = np.packbits((least & _U(1)).astype(np.uint8)).view(np.int64)
+    chosen = np.arange(minima) * (SKETCH_BITS // max(1, minima))
+    return sketch, _mixed(least[chosen] + chosen.astype(np.uint64), 41)
+
+
+def _to_leads(rarity, log2: int, orders: int, leading: int, minima: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            refs, keys, owners = batch.column(0).to_numpy(), [], []
+            refs, keys, owners, known = batch.column(0).to_numpy(), [], [], []
             ns = batch.column(1).value_lengths().to_numpy()
             for row, own in enumerate(_sets_of(batch, "shingles")):
+                sketch, found = _sketched(own, minima)
                 for order in range(orders):
-                    found = _first_tokens(own, order, min(leading, len(own)), rarity.value, log2)
-                    keys.append(found)
-                    owners.append(np.full(len(found), row))
+                    found = np.append(found, _first_tokens(own, order, min(leading, len(own)), rarity.value, log2))
+                keys.append(found)
+                owners.append(np.full(len(found), row))
+                rare = rarity.value[(own >> _U(64 - log2)).astype(np.int64)]
+                known.append((sketch[0], int(rare.sum(dtype=np.int64)) * 1024 // len(own)))
             if keys:
                 key, owner = (np.concatenate(c) for c in (keys, owners))
-                yield record_batch(_LEADS, _signed(key), refs[owner], ns[owner])
+                sketch, common = np.array(known, np.int64).T
+                yield record_batch(_LEADS, _signed(key), refs[owner], ns[owner].astype(np.int64), sketch[owner], common[owner])
 
     return run
 
@@ -321,26 +349,40 @@ def _similar_sizes(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _neighbours(percent: int):
-    """Pairs of sets of different components that stand next to each other under a key."""
+    """Pairs of sets of different components with similar sketches, each set with the one before it
+    under a key and with the first of the key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
+        last = first = None
         for batch in batches:
-            columns = [c.to_numpy() for c in batch.columns]
-            if not len(columns[0]):
+            rows = np.stack([c.to_numpy() for c in batch.columns])
+            if not rows.shape[1]:
                 continue
-            if last is not None:
-                columns = [np.concatenate([x[None], c]) for x, c in zip(last, columns, strict=True)]
-            key, ref, n, root = columns
-            last = [c[-1] for c in columns]
-            near = (key[1:] == key[:-1]) & (root[1:] != root[:-1]) & _similar_sizes(n[1:].astype(np.int64), n[:-1].astype(np.int64), percent)
-            a, b = ref[:-1][near], ref[1:][near]
-            nothing = np.zeros(len(a), np.int64)
-            yield record_batch(_PAIRS, np.minimum(a, b), np.maximum(a, b), nothing, nothing)
+            if last is None:
+                last = first = rows[:, :1]
+            key = rows[0]
+            starts = np.concatenate([first[0] != key[:1], key[1:] != key[:-1]])
+            # The first row of each row's key; keys that began in the batch before have theirs from there.
+            heads = np.concatenate([first, rows], axis=1)
+            at = np.maximum.accumulate(np.where(starts, np.arange(1, len(key) + 1), 0))
+            before = np.concatenate([last, rows[:, :-1]], axis=1)
+            others = np.concatenate([before, heads[:, at]], axis=1)
+            found = _alike(np.concatenate([rows, rows], axis=1), others, percent)
+            last, first = rows[:, -1:], heads[:, at[-1:]]
+            if found.shape[1]:
+                nothing = np.zeros(found.shape[1], np.int64)
+                yield record_batch(_PAIRS, found.min(axis=0), found.max(axis=0), nothing, nothing)
 
     return run
 
 
+def _alike(one: np.ndarray, other: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the rows (key, ref, n, sketch, root) may be linked, by their sketches: pairs of refs."""
+    near = (one[0] == other[0]) & (one[4] != other[4]) & _similar_sizes(one[2], other[2], percent)
+    near[near] = np.bitwise_count((one[3] ^ other[3])[near].view(np.uint64)) <= SKETCH_MOST
+    return np.stack([one[1][near], other[1][near]])
+
+
 def _to_prefixes(rarity, log2: int, orders: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -544,14 +586,15 @@ def _with_roots(classes: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _chained(leads: DataFrame, roots: DataFrame | None, turn: int, percent: int) -> DataFrame:
-    """Pairs of sets of different components that are next to each other under a leading token, at
-    first by size and then in an order of chance, another in each turn; written.
+    """Pairs of sets of different components that are next to each other under a key, or of which
+    one is the key's first: at first by how common their tokens are, then by size, then in
+    orders of chance; written.
 
-    The sets of a token are dealt by range, so many may share one.
+    The sets of a token are dealt by range, so many may share one; then each task has a first.
     """
     labelled = leads.withColumn("root", F.col("ref")) if roots is None else _with_roots(leads, roots)
-    at = F.xxhash64("key", "ref", F.lit(turn)) if turn else F.col("n").cast("long")
-    chained = labelled.select("key", "ref", "n", "root", at.alias("at"))
+    at = {0: -F.col("common"), 1: F.col("n")}.get(turn, F.xxhash64("key", "ref", F.lit(turn)))
+    chained = labelled.select("key", "ref", "n", "sketch", "root", at.alias("at"))
     chained = chained.repartitionByRange("key", "at", "ref").sortWithinPartitions("key", "at", "ref").drop("at")
     pairs = chained.mapInArrow(_neighbours(percent), _ddl(_PAIRS)).select("a", "b").distinct()
     return written(pairs, "jaccard-neighbours")
@@ -563,6 +606,7 @@ def similar_groups(
     percent: int = PERCENT,
     orders: int = ORDERS,
     leading: int = LEADING,
+    minima: int = MINIMA,
     rounds: int = ROUNDS,
     counters_log2: int = COUNTERS_LOG2,
     block_rows: int = BLOCK_ROWS,
@@ -585,12 +629,12 @@ def similar_groups(
     """
     with freed_shuffles(docs.sparkSession):
         return _similar_groups(
-            docs, words, percent, orders, leading, rounds, counters_log2, block_rows, id_column, text_column
+            docs, words, percent, orders, leading, minima, rounds, counters_log2, block_rows, id_column, text_column
         )
 
 
 def _similar_groups(
-    docs, words, percent, orders, leading, rounds, counters_log2, block_rows, id_column, text_column
+    docs, words, percent, orders, leading, minima, rounds, counters_log2, block_rows, id_column, text_column
 ) -> DataFrame:
     spark = docs.sparkSession
     rows = members(docs, words, id_column, text_column)
@@ -598,7 +642,7 @@ def _similar_groups(
     sets = classes.table()
     rarity = spark.sparkContext.broadcast(_rarity(sets, counters_log2))
 
-    leads = sets.select("ref", "shingles").mapInArrow(_to_leads(rarity, counters_log2, orders, leading), _ddl(_LEADS))
+    leads = sets.select("ref", "shingles").mapInArrow(_to_leads(rarity, counters_log2, orders, leading, minima), _ddl(_LEADS))
     leads, roots = written(leads, "jaccard-leads"), None
     for turn in range(rounds):
         pairs = _chained(leads, roots, turn, percent)
