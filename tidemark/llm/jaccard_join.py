@@ -412,11 +412,14 @@ def _fits(one: list[np.ndarray], other: list[np.ndarray], percent: int) -> np.nd
 
 
 def _pairs_of(one: list[np.ndarray], other: list[np.ndarray], percent: int) -> np.ndarray:
-    """Pairs (a, b, order) of the rows of both sides that fit."""
-    fits = _fits(one, other, percent)
+    """Pairs (a, b, order) of the rows of both sides that fit; order holds the sizes, too, as
+    order, size of a, size of b."""
+    fits, mask = _fits(one, other, percent), (1 << PLACE_BITS) - 1
     ref, meta = (np.broadcast_to(c, fits.shape)[fits] for c in one[:2])
-    a, b = np.minimum(ref, other[0][fits]), np.maximum(ref, other[0][fits])
-    return np.stack([a, b, meta >> 2 * PLACE_BITS])
+    partner, n, m = other[0][fits], meta >> PLACE_BITS & mask, other[1][fits] >> PLACE_BITS & mask
+    turned = ref > partner
+    sizes = np.where(turned, m, n) << PLACE_BITS | np.where(turned, n, m)
+    return np.stack([np.minimum(ref, partner), np.maximum(ref, partner), meta >> 2 * PLACE_BITS << 2 * PLACE_BITS | sizes])
 
 
 def _crossing(one: list[np.ndarray], other: list[np.ndarray], percent: int, within: bool) -> Iterator[np.ndarray]:
@@ -530,8 +533,13 @@ def _between_blocks(percent: int):
 
 
 def _candidates(prefixes: DataFrame, orders: int, percent: int, block_rows: int) -> DataFrame:
-    """Pairs (a, b) of different components that share prefix tokens under every order, and of how
-    many tokens that is under the order with fewest."""
+    """Pairs (a, b) of different components that share prefix tokens under every order, and so many
+    under each that their sets may be similar enough.
+
+    Tokens that two sets have in common are in both prefixes, or else beyond the prefix of
+    the one whose prefix ends first; so pairs whose shared prefix tokens fall short even so
+    need not be looked at.
+    """
     grouped = prefixes.repartition("key").sortWithinPartitions("key")
     found = written(grouped.mapInArrow(_within_keys(percent, block_rows), _ddl(_FOUND)), "jaccard-found")
     pairs = found.filter("a IS NOT NULL").select("a", "b", "order", "shared")
@@ -545,30 +553,27 @@ def _candidates(prefixes: DataFrame, orders: int, percent: int, block_rows: int)
         )
         between = sides.groupBy("key", "i", "j").applyInArrow(_between_blocks(percent), _ddl(_PAIRS))
         pairs = pairs.unionByName(between)
-    under = [F.coalesce(F.sum(F.when(F.col("order") == k, F.col("shared"))), F.lit(0)) for k in range(orders)]
-    shared = pairs.groupBy("a", "b").agg(*[s.alias(f"under_{k}") for k, s in enumerate(under)])
+    mask = F.lit((1 << PLACE_BITS) - 1).cast("long")
+    order, sizes = F.shiftright("order", 2 * PLACE_BITS), F.lit((1 << 2 * PLACE_BITS) - 1).bitwiseAND(F.col("order"))
+    under = [F.coalesce(F.sum(F.when(order == k, F.col("shared"))), F.lit(0)).alias(f"under_{k}") for k in range(orders)]
+    shared = pairs.groupBy("a", "b").agg(F.max(sizes).alias("sizes"), *under)
     fewest = F.least(*[F.col(f"under_{k}") for k in range(orders)]) if orders > 1 else F.col("under_0")
-    return shared.select("a", "b", fewest.alias("shared")).filter("shared > 0")
+    n, m = F.shiftright("sizes", PLACE_BITS), F.col("sizes").bitwiseAND(mask)
+    shared = shared.select("a", "b", fewest.alias("shared"), n.alias("n"), m.alias("m")).filter("shared > 0")
+    # Beyond a prefix of n - ceil(percent n / 100) + 1 are so many tokens.
+    beyond = F.greatest(*[F.floor((percent * F.col(c) + 99) / 100) - 1 for c in ("n", "m")])
+    enough = (100 + percent) * (F.col("shared") + beyond) >= percent * (F.col("n") + F.col("m"))
+    return shared.filter(enough).select("a", "b")
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs whose whole sets are similar enough, as links (u, v).
 
-    Pairs first learn their sets' sizes and addresses, by which the table of sets is
-    in buckets. Tokens that two sets have in common are in both prefixes, or else
-    beyond the prefix of the one whose prefix ends first; so where it is known how many
-    are in both prefixes, pairs that fall short even so need not be looked at.
+    Pairs first learn their sets' addresses, by which the table of sets is in buckets.
     """
     for side in ("a", "b"):
-        places = classes.select(
-            F.col("ref").alias(side), F.col("lo").alias(f"lo_{side}"), F.col("n").cast("long").alias(f"n_{side}")
-        )
+        places = classes.select(F.col("ref").alias(side), F.col("lo").alias(f"lo_{side}"))
         pairs = pairs.join(places, side)
-    if "shared" in pairs.columns:
-        # Beyond a prefix of n - ceil(percent n / 100) + 1 are so many tokens.
-        beyond = [F.floor((percent * F.col(n) + 99) / 100) - 1 for n in ("n_a", "n_b")]
-        most = F.col("shared") + F.greatest(*beyond)
-        pairs = pairs.filter((100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b")))
     pairs = written(pairs.select("a", "b", "lo_a", "lo_b"), "jaccard-pairs")
     for side in ("a", "b"):
         sets = classes.select("ref", F.col("lo").alias(f"lo_{side}"), F.col("shingles").alias(f"of_{side}"))
