@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.session import new_folder
 
 FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 SLICE_BYTES = 4 << 20
 BLOCK_BYTES = 1 << 20
 _BLANK = re.compile(rb"[\x20\x09-\x0D]")
@@ -28,15 +29,24 @@ def written(frame: DataFrame, label: str) -> DataFrame:
 
 
 @contextmanager
-def freed_shuffles(spark: SparkSession) -> Iterator[None]:
-    """While it lasts, shuffle files of a finished query go at once, where Spark can do that; what
-    is read again has been written as a table."""
-    before = spark.conf.get(FREE_SHUFFLES, None)
+def _set_while(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key, None)
     try:
-        spark.conf.set(FREE_SHUFFLES, "true")
+        spark.conf.set(key, value)
         yield
     finally:
-        spark.conf.unset(FREE_SHUFFLES) if before is None else spark.conf.set(FREE_SHUFFLES, before)
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def freed_shuffles(spark: SparkSession):
+    """While it lasts, shuffle files of a finished query go at once, where Spark can do that; what
+    is read again has been written as a table."""
+    return _set_while(spark, FREE_SHUFFLES, "true")
+
+
+def small_batches(spark: SparkSession):
+    """While it lasts, a batch that tasks hand to Python ends at SLICE_BYTES, also where rows are wide."""
+    return _set_while(spark, BATCH_BYTES, str(SLICE_BYTES))
 
 
 def whole_text(column: str | Column) -> Column:

@@ -33,6 +33,7 @@ from tidemark.llm.common import (
     freed_shuffles,
     record_batch,
     slices,
+    small_batches,
     whole_text,
     word_blocks,
     written,
@@ -632,7 +633,7 @@ def similar_groups(
     compared in blocks of ``block_rows``, and blocks of a key two by two in tasks of
     their own. The driver gets 2^counters_log2 counters, whatever the input.
     """
-    with freed_shuffles(docs.sparkSession):
+    with freed_shuffles(docs.sparkSession), small_batches(docs.sparkSession):
         return _similar_groups(
             docs, words, percent, orders, leading, minima, rounds, counters_log2, block_rows, id_column, text_column
         )
