@@ -66,6 +66,35 @@ def test_only_unseen_pairs_are_scanned(spark, docs):
     assert result(secret_scan.scan_report(docs((9, "deadbeef01")), path))[9][2] == 0
 
 
+def test_rows_that_arrive_in_parts_are_scanned_once(spark, docs, monkeypatch):
+    rows = [(i, TEXTS[i % len(TEXTS)]) for i in range(200)] + [(None, TEXTS[3]), (7, TEXTS[3])]
+    scanned, scan_blobs = [], secret_scan.scan_blobs
+
+    def counted(docs, todo, *rest):
+        scanned.append(todo.selectExpr("explode(kinds)").count())
+        return scan_blobs(docs, todo, *rest)
+
+    monkeypatch.setattr(secret_scan, "scan_blobs", counted)
+    path = new_folder(spark, "ledger")
+    found = sorted((str(r.doc_id), r.spans) for r in secret_scan.scan_report(docs(*rows), path, arrivals=3).collect())
+    assert found == sorted((str(i), brute.spans_text(brute.secrets(t))) for i, t in rows)
+    # Null and empty are one blob; a text is scanned where it is first met, and the ledger has it once.
+    blobs = len({t or "" for _, t in rows})
+    ledger = secret_scan.read_ledger(spark, path)
+    assert len(scanned) == 3 and sum(scanned) == blobs * len(BASE_RULES) == ledger.count()
+    assert scanned[0] > 0 and scanned[2] == 0
+    assert ledger.select("blob", "kind", "version").distinct().count() == ledger.count()
+
+
+def test_report_reads_no_clashing_columns(spark):
+    schema = "doc_id long, text string, path string, blob binary, spans string, kinds int, n_hex string"
+    frame = spark.createDataFrame([(i, t, "p", b"b", "s", 1, "n") for i, t in enumerate(TEXTS)], schema)
+    for arrivals in (1, 2):
+        report = secret_scan.scan_report(frame, arrivals=arrivals)
+        assert report.columns == ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]
+        assert result(report) == {i: expected(t) for i, t in enumerate(TEXTS)}
+
+
 def test_a_path_with_several_versions(docs):
     found = secret_scan.scan_report(docs((1, "a"), (1, TEXTS[3]), (None, TEXTS[7]), (None, "b"))).collect()
     spans = sorted((str(r.doc_id), r.spans) for r in found)

@@ -63,7 +63,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_scan.scan_report(table(spark, sf_dir, "documents"))
+    return secret_scan.scan_report(table(spark, sf_dir, "documents"), arrivals=2)
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
