@@ -70,6 +70,16 @@ def test_odd_rows_ties_and_repeats(spark):
     assert [i for _, i, _ in got[140]][:2] == [100, 120]
 
 
+@pytest.mark.parametrize("options", [{}, {"parts": 4, "least_parted": 100, "sample_rows": 300, "target_recall": 1.0}])
+def test_clashing_columns_are_not_read(spark, options):
+    rows = vectors(400)
+    names = ("id", "v", "part", "rank", "query_id", "score", "block")
+    wide = spark.createDataFrame([(*r, *[0] * len(names)) for r in rows], SCHEMA + "".join(f", {n} int" for n in names))
+    frame = ann.nearest(wide, **options)
+    assert frame.columns == ["query_id", "rank", "vec_id", "score"]
+    assert found(wide, **options) == found(spark.createDataFrame(rows, SCHEMA), **options)
+
+
 @pytest.mark.parametrize("options", [{"least_parted": 5000}, {"least_parted": 5000, "block_rows": 37, "query_block_rows": 3}])
 def test_ids_repeated_often_leave_room_for_others(spark, options):
     rng = np.random.default_rng(6)

@@ -45,6 +45,15 @@ def test_repeated_rows_count_and_one_stays(docs, hashed):
     assert sorted(tuple(r) for r in kept) == [(1, "a"), (1, "b")]
 
 
+def test_very_long_texts_are_compared_whole(docs):
+    long = "some words " * 500_000
+    table = docs((1, long + "a"), (2, long + "b"), (3, long + "a"), (4, "a" + long))
+    found = marked(exact_dedup.mark_copies(table))
+    assert found == {1: (1, 2, True), 2: (2, 1, True), 3: (1, 2, False), 4: (4, 1, True)}
+    kept = exact_dedup.drop_copies(table).select("doc_id", F.length("text")).collect()
+    assert sorted(tuple(r) for r in kept) == [(i, len(long) + 1) for i in (1, 2, 4)]
+
+
 def test_null_ids(docs):
     table = docs((None, "a"), (3, "a"), (None, "b"), (None, "b"))
     found = {(r.doc_id, r.keep_id, r.kept) for r in exact_dedup.mark_copies(table).collect()}

@@ -1,4 +1,7 @@
+import math
 import zlib
+from collections import Counter
+from functools import cache
 
 import duckdb
 import numpy as np
@@ -40,6 +43,79 @@ def test_query_on_held_out_documents(spark):
     assert len(held) > 150 and np.mean(held) > 0.95
 
 
+def plain(rows):
+    """Language, score and ambiguity by the same method, one n-gram and one bit at a time."""
+
+    @cache
+    def grams(text):
+        data = [ord(" ")] + [b if 97 <= b <= 122 or b >= 0x80 else ord(" ") for b in text.lower().encode()] + [ord(" ")]
+        counts = Counter()
+        for order in (1, 2, 3):
+            for i in range(len(data) - order + 1):
+                number = int.from_bytes(bytes(data[i : i + order]), "big")
+                counts[(number * 2654435761 + order * 0x9E3779B9) % 2**32 // 2**19] += 1
+        return counts
+
+    trained = [(text, lang) for i, text, lang in rows if lang is not None and fold(i) != 2]
+    langs = sorted({lang for _, lang in trained})
+    totals = {lang: Counter() for lang in langs}
+    for text, lang in trained:
+        totals[lang].update(grams(text) if text else {})
+    share = {lang: {g: n / counts.total() for g, n in counts.items()} for lang, counts in totals.items()}
+    bits = range(1, 2 ** (len(langs) - 1))
+    word = {lang: [bit >> place & 1 for bit in bits] for place, lang in enumerate(langs)}
+
+    @cache
+    def odds(gram, b):
+        sides = [[share[lang].get(gram, 0) for lang in langs if word[lang][b] == side] for side in (1, 0)]
+        one, zero = (sum(side) / len(side) + 0.1 / 8192 for side in sides)
+        return math.log(one) - math.log(zero)
+
+    @cache
+    def margins(text):
+        counts = grams(text)
+        return [sum(n * odds(g, b) for g, n in counts.items()) / counts.total() for b in range(len(bits))]
+
+    def lettered(text):
+        return text is not None and any(map(str.isalpha, text))
+
+    weight = {}
+    for lang in langs:
+        own = [margins(text) for text, its in trained if its == lang and lettered(text)]
+        right = [sum((m[b] > 0) == word[lang][b] for m in own) / len(own) for b in range(len(bits))]
+        right = [max(r, 0.001) for r in right]
+        weight[lang] = [r / sum(right) for r in right]
+    out = {}
+    for i, text, _ in rows:
+        if not lettered(text):
+            out[i] = ("und", 0.0, None)
+            continue
+        loss = {
+            lang: sum(
+                w * math.log1p(math.exp(-3 * m * (1 if bit else -1)))
+                for w, m, bit in zip(weight[lang], margins(text), word[lang], strict=True)
+            )
+            for lang in langs
+        }
+        p = {lang: math.exp(-len(bits) * (x - min(loss.values()))) for lang, x in loss.items()}
+        first, second = sorted((x / sum(p.values()) for x in p.values()), reverse=True)[:2]
+        out[i] = (max(p, key=p.get), first, first - second < 0.1)
+    return out
+
+
+def test_query_equals_plain_version(spark):
+    from tidemark.llm.catalog import op9_language
+
+    folder = "/root/testdata/sf0.001"
+    want = plain(duckdb.sql(f"SELECT doc_id, text, lang FROM '{folder}/documents.parquet'").fetchall())
+    rows = op9_language(spark, folder).collect()
+    assert len(rows) == len(want) and len({r.lang_pred for r in rows}) > 2
+    for r in rows:
+        lang, score, ambiguous = want[r.doc_id]
+        assert r.lang_pred == lang and r.score == pytest.approx(score, abs=1e-9)
+        assert lang == "und" or r.ambiguous == ambiguous
+
+
 SCHEMA = "doc_id long, text string, lang string"
 
 

@@ -68,6 +68,41 @@ def test_best_fit():
     assert len(final) == len(room)
 
 
+def plain_packing(sizes, lengths):
+    """Best fit over bins of several lengths; each opens where its cost a token it may hold is least."""
+
+    def cost(i, length):
+        to_come = sum(s for s in sizes[i + 1 :] if s <= length - sizes[i])
+        tokens = sizes[i] + min(length - sizes[i], to_come)
+        return (64 + length + length * length / 2**18) / tokens, length
+
+    rooms, since, filled, out = [], [], [], []
+    for i, size in enumerate(sizes):
+        fits = [b for b, room in enumerate(rooms) if room >= size]
+        if fits:
+            own = min(fits, key=lambda b: (rooms[b], since[b]))
+        else:
+            own = len(rooms)
+            rooms.append(min((n for n in lengths if n >= size), key=lambda n: cost(i, n)))
+            since.append(i)
+            filled.append(0)
+        out.append((own, filled[own]))
+        rooms[own], since[own], filled[own] = rooms[own] - size, i, filled[own] + size
+    return out, [min(n for n in lengths if n >= total) for total in filled]
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_several_lengths_equal_plain_best_fit(seed):
+    rng = np.random.default_rng(seed)
+    lengths = [(8, 16, 32), (100, 700, 1000), (2048, 4096, 8192, 16384, 32768), (5, 6, 7)][seed % 4]
+    chance = min(0.9, [0.4, 4 / max(lengths), 20 / max(lengths)][seed % 3])
+    sizes = np.minimum(rng.geometric(chance, 400), max(lengths))
+    sizes = np.sort(sizes)[::-1]
+    bins, offsets, final = packing.pack(sizes, lengths)
+    placed, shortest = plain_packing(sizes.tolist(), lengths)
+    assert list(zip(bins.tolist(), offsets.tolist(), strict=True)) == placed and final == shortest
+
+
 def test_bins_open_by_cost_and_shrink():
     assert packing.pack(np.array([5]), LENGTHS)[2] == [8]
     bins, _, final = packing.pack(np.array([20, 7, 5]), LENGTHS)

@@ -216,13 +216,13 @@ def nearest(
     Queries are the rows whose id is divisible by ``query_every``; candidates are
     all rows with another id. Ties go to the smaller id; a query with fewer
     candidates gets all of them. Rows that repeat an id count as one, as near as the
-    nearest of them, however many they are. Vectors null, zero, of an unusual length or with a null or
+    nearest of them, however many they are; of a score that several ids share, the smaller ids come first. Vectors null, zero, of an unusual length or with a null or
     non-finite component take no part, nor do rows without an id. Tables of fewer
     than ``least_parted`` rows are one part, which makes the search exact.
     The model is fitted on ``sample_rows`` rows at most, those of the least hashes;
     the index holds every row. The rows of a part meet only the queries sent to it,
     block by block; more ``parts``, with a larger sample, suit larger tables whose
-    vectors have neighbourhoods.
+    vectors have neighbourhoods. An empty table gives no rows. Other columns are not read.
     """
     vectors = usable_vectors(table, id_column, vector_column)
     counted, n_ids = vectors.groupBy("id").count().agg(F.sum("count"), F.count("*")).first()

@@ -210,7 +210,9 @@ def encode_digests(
     little-endian unsigned 32-bit integers) and decoded_sha256 (of the decoded bytes).
 
     A null text is empty and gives no ids. Special tokens' strings are ordinary
-    text. Other columns are not read.
+    text. Rows that repeat an id or a text each have their row; an empty table gives
+    none. Very long texts are encoded piece by piece, in stretches that end where a
+    piece does. Other columns are not read.
     """
     content = shared_file(docs.sparkSession, vocabulary_path)
 

@@ -62,7 +62,8 @@ def mark_copies(
     row with the smallest (or largest) id stays. Rows that repeat both the id and
     the text all count in group_size and share one verdict. A null id is never
     the one that stays unless its group has no other: then keep_id is null and
-    every row of the group is kept. Other columns are not read.
+    every row of the group is kept. An empty table gives no rows. Texts of any length
+    are hashed and compared whole. Other columns are not read.
     """
     arguments = (docs, id_column, text_column, hashed)
     groups = text_groups(docs, keep, id_column, text_column, hashed)
@@ -98,7 +99,8 @@ def drop_copies(
     That of the smallest (or largest) id stays; a row without an id only where no
     row of its text has one. Of rows that repeat that id and text one stays. The
     bytes are a grouping key beside their hash, so texts that share a hash stay
-    apart; each task first reduces its own copies to one.
+    apart; each task first reduces its own copies to one. An empty table stays empty,
+    very long texts count whole, and other columns may have any names.
     """
     text, others = F.col(text_column), [c for c in docs.columns if c != text_column]
     known = F.col(id_column).isNull() if keep == "smallest" else F.col(id_column).isNotNull()

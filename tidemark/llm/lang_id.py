@@ -224,7 +224,10 @@ def identify(
     of them; a prediction depends on the whole text alone. A text that is null
     or has no letter is ``und`` with score 0. With one language to learn from
     every other text is predicted that with score 1, with none ``und``. A row
-    without an id is never held out.
+    without an id is never held out. Rows that repeat an id or a text each have their
+    row, and each counts in training. Of languages that lose alike the first by name
+    is taken. Very long texts are counted block by block, whole. An empty table gives
+    no rows. Other columns are not read.
     """
     codes = fit_bits(gram_sums(_trained_on(docs, folds, held_out, id_column, lang_column), lang_column, text_column))
     margins = bit_margins(docs, codes, id_column, text_column, lang_column, folds, held_out)

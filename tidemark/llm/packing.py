@@ -153,7 +153,9 @@ def pack_documents(
     to place. Rows that repeat an id are documents of their own. The number of
     shards follows the tokens and the pieces, so no task holds more than a shard;
     a document is dealt to one by a hash of its id, its length and its number
-    among the rows that repeat both. Other columns are not read.
+    among the rows that repeat both. A document of any length is cut into pieces of the
+    longest bin, the last one as long as what is left. An empty table gives no rows.
+    Other columns are not read.
     """
     lengths = tuple(sorted(lengths))
     longest = lengths[-1]

@@ -243,7 +243,10 @@ def score_documents(
     """A row per row: id, held_out, score (0 to 1) and predicted (1 if score >= threshold).
 
     The score depends on the whole text alone; null is scored like an empty text.
-    Rows without an id are never held out and never trained on.
+    Rows without an id are never held out and never trained on. Rows that repeat an id
+    or a text each have their row; one whose id is labelled is trained on as often as it
+    is there. Very long texts are measured whole, block by block. An empty table gives
+    no rows. Other columns are not read, whatever their names.
     """
     scored = _scored(docs, labels, threshold, folds, held_out, id_column, text_column, label_column)
     return scored.drop("content").withColumnRenamed("id", id_column)
@@ -290,6 +293,8 @@ def keep_good(
     """The documents predicted good, with all their columns, each row by its own text.
 
     The texts are read twice, once to train and once to judge, and are never shuffled.
+    Nulls, repeats and long texts count as in ``score_documents``; an empty table stays
+    empty, and other columns may have any names.
     """
     model = train(document_statistics(docs, id_column, text_column), labels, id_column)
     text = docs.columns.index(text_column)

@@ -244,7 +244,9 @@ def near_groups(
 
     Texts without a word, null or empty, have fingerprint zero and are linked
     like any other. Copies share a fingerprint, so they meet as one. A component
-    without any id has component_id null. Other columns are not read.
+    without any id has component_id null. Rows that repeat an id or a text each have
+    their row. Very long texts are hashed block by block, whole. An empty table gives no
+    rows. Other columns are not read.
     """
     prints = fingerprints(docs, words, id_column, text_column)
     return _labelled(prints, most, block_rows).select(
@@ -282,7 +284,8 @@ def drop_near(
 
     Of texts that share the smallest id, or where no document of a component has
     an id, the text of the least hash stays. Rows that repeat the id and text that
-    stay all do; without ``repeats`` one of them does.
+    stay all do; without ``repeats`` one of them does. An empty table stays empty, very
+    long texts count whole, and other columns may have any names.
     """
     prints = fingerprints(docs, words, id_column, text_column)
     pair = F.struct(F.col("id").isNull().alias("no_id"), "id", "content")

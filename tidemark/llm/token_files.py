@@ -124,7 +124,8 @@ def write_tokens(
 
     Each document's ids end with ``end_id``; a null text is empty, so has that id
     alone. Documents without an id come first. Rows that repeat an id all stay,
-    in any order among themselves. Other columns are not read.
+    in any order among themselves. A very long text is encoded whole and lies in one
+    part. An empty table gives no parts. Other columns are not read.
     """
     spark = docs.sparkSession
     content = shared_file(spark, tokenizer_path)

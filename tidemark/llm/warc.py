@@ -370,7 +370,13 @@ def _ddl(schema: pa.Schema) -> str:
 
 def archive_report(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """Pages written to archives in the shared folder and read back, a row per page:
-    page_id, payload_bytes, payload_digest, record_type, refers_to (a page id)."""
+    page_id, payload_bytes, payload_digest, record_type, refers_to (a page id).
+
+    A null payload is empty. Of equal payloads the rows of the smallest page id are responses
+    and the others revisit it, also those without an id; without any id all are responses.
+    Rows that repeat a page id each have their record. Long payloads are written in segments
+    and put together again. An empty table gives no rows. Other columns are not read.
+    """
     spark = pages.sparkSession
     folder = new_folder(spark, "warc")
     manifest = write_archives(pages, folder, min_bytes)
