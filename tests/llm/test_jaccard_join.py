@@ -6,7 +6,15 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm.jaccard_join import SKETCH_MOST, _Shingles, _neighbours, _sketched, prefix_length, similar_groups
+from tidemark.llm.jaccard_join import (
+    SKETCH_MOST,
+    _neighbours,
+    _parities,
+    _Shingles,
+    _sketched,
+    prefix_length,
+    similar_groups,
+)
 
 
 def shingles(text, words=5):
@@ -145,5 +153,17 @@ def test_a_sketch_agrees_as_sets_do():
     assert _sketched(tokens[:1], 4)[1].shape == (4,)
 
 
+@pytest.mark.parametrize("n", [1, 7, 150, 3000])
+def test_sets_differ_by_at_least_their_parities(n):
+    rng = np.random.default_rng(n)
+    for changed in {0, 1, n // 9, n // 4, n}:
+        one = rng.integers(0, 2**64, n, np.uint64)
+        other = np.concatenate([one[changed:], rng.integers(0, 2**64, changed + changed // 3, np.uint64)])
+        apart = np.bitwise_count((_parities(one) ^ _parities(other)).view(np.uint64)).sum()
+        assert apart <= len(np.setxor1d(one, other)) and (changed or not apart)
+        # Such a set of few tokens is told apart by nearly all that differ.
+        assert n > 150 or changed > n // 4 or apart >= 0.6 * len(np.setxor1d(one, other)) - 1
+
+
 def test_prefix_lengths():
     assert [prefix_length(n, 80) for n in (1, 4, 5, 6, 10, 11)] == [1, 1, 2, 2, 3, 3]

@@ -7,6 +7,11 @@ orders, as many as it takes; only those are verified by their whole sets. All or
 first, as a table of hashed counts tells, and differ in how they order equally rare
 ones. Equal sets meet as one before that.
 
+Pairs are formed under the first order, and those left are held against the other
+orders. A row of a prefix carries the parity of its set's tokens in each of 256 ranges:
+two sets differ by at least as many tokens as parities, so that pairs of sets that are
+alike, but not alike enough, mostly go where they meet.
+
 Sets that neighbour one another under their first tokens, or under the least of a range
 of tokens, rare or not, and whose sketches agree are verified first, in a few rounds,
 each with other neighbours and only where these are of different components; so are the
@@ -56,6 +61,7 @@ PAIRS_HELD = 1 << 20
 WORDS_KNOWN = 1 << 18
 SETS_SEEN = 1 << 16
 PLACE_BITS = 30
+PARITIES = ("p0", "p1", "p2", "p3")
 
 _U = np.uint64
 _FACTORS = [xxhash.xxh64_intdigest(bytes([i]), 7) | 1 for i in range(64)]
@@ -68,9 +74,10 @@ _CLASSES = pa.schema(
 # set's tokens are.
 _LEADS = pa.schema([(c, pa.int64()) for c in ("key", "ref", "n", "sketch", "common")])
 # ``off`` is by how much the root of a set's component is less than its own number, mostly 0.
-_PREFIXES = pa.schema([("key", pa.int64()), ("ref", pa.int64()), ("meta", pa.int64()), ("off", pa.int64())])
-_FOUND = pa.schema([*((c, pa.int64()) for c in ("a", "b", "order", "shared", "key", "block", "ref", "meta", "root"))])
-_PAIRS = pa.schema([(c, pa.int64()) for c in ("a", "b", "order", "shared")])
+_PREFIXES = pa.schema([(c, pa.int64()) for c in ("key", "ref", "meta", "off", *PARITIES)])
+_FOUND = pa.schema([(c, pa.int64()) for c in ("a", "b", "sizes", "shared", "key", "block", "ref", "meta", "root", *PARITIES)])
+_PAIRS = pa.schema([(c, pa.int64()) for c in ("a", "b", "sizes", "shared")])
+_FETCHED = pa.schema([("a", pa.int64()), ("b", pa.int64()), *((c, pa.list_(pa.int64())) for c in ("of_a", "of_b"))])
 
 
 def _ddl(schema: pa.Schema) -> str:
@@ -384,43 +391,55 @@ def _alike(one: np.ndarray, other: np.ndarray, percent: int) -> np.ndarray:
     return np.stack([one[1][near], other[1][near]])
 
 
-def _to_prefixes(rarity, log2: int, orders: int, percent: int):
+def _parities(own: np.ndarray) -> np.ndarray:
+    """Whether the set has an odd number of tokens in each of 256 ranges of their hashes."""
+    odd = np.bincount((own & _U(255)).astype(np.int64), minlength=64 * len(PARITIES)) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _to_prefixes(rarity, log2: int, percent: int):
+    """A row for each prefix token under the first order."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             refs, roots = (batch.column(c).to_numpy() for c in ("ref", "root"))
-            columns: list[list] = [[], [], [], []]
+            keys, metas, owners, parities = [], [], [], []
             for row, own in enumerate(_sets_of(batch, "shingles")):
-                n = len(own)
-                for order in range(orders):
-                    found = _first_tokens(own, order, prefix_length(n, percent), rarity.value, log2)
-                    meta = np.arange(len(found)) | n << PLACE_BITS | order << 2 * PLACE_BITS
-                    parts = (_signed(found), np.full(len(found), refs[row]), meta, np.full(len(found), refs[row] - roots[row]))
-                    for column, part in zip(columns, parts, strict=True):
-                        column.append(part)
-            if columns[0]:
-                yield record_batch(_PREFIXES, *map(np.concatenate, columns))
+                found = _first_tokens(own, 0, prefix_length(len(own), percent), rarity.value, log2)
+                keys.append(found)
+                metas.append(np.arange(len(found)) | len(own) << PLACE_BITS)
+                owners.append(np.full(len(found), row))
+                parities.append(_parities(own))
+            if keys:
+                key, meta, owner = map(np.concatenate, (keys, metas, owners))
+                bits = np.stack(parities)[owner]
+                yield record_batch(_PREFIXES, _signed(key), refs[owner], meta, (refs - roots)[owner], *bits.T)
 
     return run
 
 
 def _fits(one: list[np.ndarray], other: list[np.ndarray], percent: int) -> np.ndarray:
-    """Which rows (ref, meta, root) that share a key are of different components, of similar sizes,
-    and at places in their prefixes that still allow the overlap it takes."""
+    """Which rows (ref, meta, root, parities) that share a key are of different components, of
+    similar sizes, at places in their prefixes that still allow the overlap it takes, and of
+    sets whose parities differ no more than such sets' may."""
     mask = (1 << PLACE_BITS) - 1
     (n, at), (m, place) = ((meta >> PLACE_BITS & mask, meta & mask) for meta in (one[1], other[1]))
     reach = np.minimum(at, place) + np.minimum(n - at, m - place)
-    return (one[2] != other[2]) & _similar_sizes(n, m, percent) & ((100 + percent) * reach >= percent * (n + m))
+    fits = (one[2] != other[2]) & _similar_sizes(n, m, percent) & ((100 + percent) * reach >= percent * (n + m))
+    bits, others = (np.broadcast_to(side[3], (*fits.shape, len(PARITIES)))[fits] for side in (one, other))
+    apart = np.bitwise_count((bits ^ others).view(np.uint64)).sum(axis=1, dtype=np.int64)
+    fits[fits] = (100 + percent) * apart <= (100 - percent) * np.broadcast_to(n + m, fits.shape)[fits]
+    return fits
 
 
 def _pairs_of(one: list[np.ndarray], other: list[np.ndarray], percent: int) -> np.ndarray:
-    """Pairs (a, b, order) of the rows of both sides that fit; order holds the sizes, too, as
-    order, size of a, size of b."""
+    """Pairs (a, b, sizes) of the rows of both sides that fit; sizes are that of a and that of b."""
     fits, mask = _fits(one, other, percent), (1 << PLACE_BITS) - 1
     ref, meta = (np.broadcast_to(c, fits.shape)[fits] for c in one[:2])
     partner, n, m = other[0][fits], meta >> PLACE_BITS & mask, other[1][fits] >> PLACE_BITS & mask
     turned = ref > partner
     sizes = np.where(turned, m, n) << PLACE_BITS | np.where(turned, n, m)
-    return np.stack([np.minimum(ref, partner), np.maximum(ref, partner), meta >> 2 * PLACE_BITS << 2 * PLACE_BITS | sizes])
+    return np.stack([np.minimum(ref, partner), np.maximum(ref, partner), sizes])
 
 
 def _crossing(one: list[np.ndarray], other: list[np.ndarray], percent: int, within: bool) -> Iterator[np.ndarray]:
@@ -471,7 +490,7 @@ def _within_keys(percent: int, block_rows: int):
 
     def pair_rows(found: np.ndarray) -> pa.RecordBatch:
         nothing = pa.nulls(found.shape[1], pa.int64())
-        return record_batch(_FOUND, *found, *[nothing] * 5)
+        return record_batch(_FOUND, *found, *[nothing] * (len(_FOUND) - 4))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, key_at_hand, held, block = _Pairs(), None, [], 0
@@ -484,13 +503,15 @@ def _within_keys(percent: int, block_rows: int):
                 if block or not last:
                     count = len(rows[0])
                     nothing = pa.nulls(count, pa.int64())
-                    yield record_batch(_FOUND, *[nothing] * 4, np.full(count, key_at_hand), np.full(count, block), *rows)
+                    yield record_batch(
+                        _FOUND, *[nothing] * 4, np.full(count, key_at_hand), np.full(count, block), *rows[:3], *rows[3].T
+                    )
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, ref, meta, off = (c.to_numpy() for c in batch.columns)
-            columns = [ref, meta, ref - off]
+            key, ref, meta, off, *parities = (c.to_numpy() for c in batch.columns)
+            columns = [ref, meta, ref - off, np.stack(parities, axis=1)]
             starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             ends = np.append(starts[1:], len(key))
             sizes = ends - starts
@@ -523,6 +544,7 @@ def _within_keys(percent: int, block_rows: int):
 def _between_blocks(percent: int):
     def run(table: pa.Table) -> pa.Table:
         rows = [table[c].to_numpy() for c in ("ref", "meta", "root")]
+        rows.append(np.stack([table[c].to_numpy() for c in PARITIES], axis=1))
         first = (table["block"].to_numpy() == table["i"].to_numpy()).nonzero()[0]
         second = (table["block"].to_numpy() != table["i"].to_numpy()).nonzero()[0]
         pairs = _Pairs()
@@ -533,18 +555,13 @@ def _between_blocks(percent: int):
     return run
 
 
-def _candidates(prefixes: DataFrame, orders: int, percent: int, block_rows: int) -> DataFrame:
-    """Pairs (a, b) of different components that share prefix tokens under every order, and so many
-    under each that their sets may be similar enough.
-
-    Tokens that two sets have in common are in both prefixes, or else beyond the prefix of
-    the one whose prefix ends first; so pairs whose shared prefix tokens fall short even so
-    need not be looked at.
-    """
+def _candidates(prefixes: DataFrame, percent: int, block_rows: int) -> DataFrame:
+    """Pairs (a, b) of different components that share prefix tokens under the first order, and so
+    many that their sets may be similar enough."""
     grouped = prefixes.repartition("key").sortWithinPartitions("key")
     found = written(grouped.mapInArrow(_within_keys(percent, block_rows), _ddl(_FOUND)), "jaccard-found")
-    pairs = found.filter("a IS NOT NULL").select("a", "b", "order", "shared")
-    large = found.filter("key IS NOT NULL").select("key", "block", "ref", "meta", "root")
+    pairs = found.filter("a IS NOT NULL").select("a", "b", "sizes", "shared")
+    large = found.filter("key IS NOT NULL").select("key", "block", "ref", "meta", "root", *PARITIES)
     blocks = large.groupBy("key").agg(F.max("block").alias("last"), F.min("root").alias("r"), F.max("root").alias("s"))
     blocks = written(blocks.filter("r <> s").select("key", "last"), "jaccard-blocks")
     if not blocks.isEmpty():
@@ -554,23 +571,52 @@ def _candidates(prefixes: DataFrame, orders: int, percent: int, block_rows: int)
         )
         between = sides.groupBy("key", "i", "j").applyInArrow(_between_blocks(percent), _ddl(_PAIRS))
         pairs = pairs.unionByName(between)
-    mask = F.lit((1 << PLACE_BITS) - 1).cast("long")
-    order, sizes = F.shiftright("order", 2 * PLACE_BITS), F.lit((1 << 2 * PLACE_BITS) - 1).bitwiseAND(F.col("order"))
-    under = [F.coalesce(F.sum(F.when(order == k, F.col("shared"))), F.lit(0)).alias(f"under_{k}") for k in range(orders)]
-    shared = pairs.groupBy("a", "b").agg(F.max(sizes).alias("sizes"), *under)
-    fewest = F.least(*[F.col(f"under_{k}") for k in range(orders)]) if orders > 1 else F.col("under_0")
-    n, m = F.shiftright("sizes", PLACE_BITS), F.col("sizes").bitwiseAND(mask)
-    shared = shared.select("a", "b", fewest.alias("shared"), n.alias("n"), m.alias("m")).filter("shared > 0")
+    shared = pairs.groupBy("a", "b").agg(F.max("sizes").alias("sizes"), F.sum("shared").alias("shared"))
+    n, m = F.shiftright("sizes", PLACE_BITS), F.col("sizes").bitwiseAND(F.lit((1 << PLACE_BITS) - 1).cast("long"))
     # Beyond a prefix of n - ceil(percent n / 100) + 1 are so many tokens.
-    beyond = F.greatest(*[F.floor((percent * F.col(c) + 99) / 100) - 1 for c in ("n", "m")])
-    enough = (100 + percent) * (F.col("shared") + beyond) >= percent * (F.col("n") + F.col("m"))
-    return shared.filter(enough).select("a", "b")
+    beyond = F.greatest(*[F.floor((percent * size + 99) / 100) - 1 for size in (n, m)])
+    return shared.filter(_enough(F.col("shared"), beyond, n + m, percent)).select("a", "b")
+
+
+def _enough(shared, beyond, total, percent: int):
+    """Whether two sets that share so many tokens of their prefixes may be similar enough.
+
+    Tokens that two sets have in common are in both prefixes, or else beyond the prefix of
+    the one whose prefix ends first: ``beyond`` is the larger number of those, and ``total``
+    both sets' tokens.
+    """
+    return (100 + percent) * (shared + beyond) >= percent * total
+
+
+def _agreeing(rarity, log2: int, orders: int, percent: int):
+    """Of pairs with their sets, those that share enough prefix tokens under the further orders, too."""
+
+    def agree(one: np.ndarray, other: np.ndarray) -> bool:
+        lengths = [prefix_length(len(s), percent) for s in (one, other)]
+        beyond, total = max(len(one) - lengths[0], len(other) - lengths[1]), len(one) + len(other)
+        for order in range(1, orders):
+            firsts = (
+                _first_tokens(s, order, length, rarity.value, log2)
+                for s, length in zip((one, other), lengths, strict=True)
+            )
+            shared = len(np.intersect1d(*firsts, assume_unique=True))
+            if not shared or not _enough(shared, beyond, total, percent):
+                return False
+        return True
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = (_sets_of(batch, c) for c in ("of_a", "of_b"))
+            yield batch.filter(pa.array([agree(one, other) for one, other in zip(*sides, strict=True)], pa.bool_()))
+
+    return run
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, classes: DataFrame, percent: int, before=None) -> DataFrame:
     """The pairs whose whole sets are similar enough, as links (u, v).
 
     Pairs first learn their sets' addresses, by which the table of sets is in buckets.
+    ``before`` is a filter on pairs with their sets.
     """
     for side in ("a", "b"):
         places = classes.select(F.col("ref").alias(side), F.col("lo").alias(f"lo_{side}"))
@@ -580,6 +626,8 @@ def _verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         sets = classes.select("ref", F.col("lo").alias(f"lo_{side}"), F.col("shingles").alias(f"of_{side}"))
         # Sets that share half an address are told apart; not as a key, which would shuffle the sets.
         pairs = pairs.join(sets, f"lo_{side}").filter(F.col("ref") - F.col(side) == 0).drop("ref", f"lo_{side}")
+    if before is not None:
+        pairs = pairs.select("a", "b", "of_a", "of_b").mapInArrow(before, _ddl(_FETCHED))
     common = F.size(F.array_intersect("of_a", "of_b"))
     whole = F.size("of_a") + F.size("of_b") - common
     return pairs.filter(100 * common >= percent * whole).select(F.col("a").alias("u"), F.col("b").alias("v"))
@@ -659,9 +707,9 @@ def _similar_groups(
         roots = component_roots(reduce(DataFrame.unionByName, known, links))
 
     rooted = _with_roots(sets, roots).select("ref", "root", "shingles")
-    prefixes = rooted.mapInArrow(_to_prefixes(rarity, counters_log2, orders, percent), _ddl(_PREFIXES))
-    candidates = written(_candidates(prefixes, orders, percent, block_rows), "jaccard-candidates")
-    further = _verified(candidates, sets, percent)
+    prefixes = rooted.mapInArrow(_to_prefixes(rarity, counters_log2, percent), _ddl(_PREFIXES))
+    candidates = written(_candidates(prefixes, percent, block_rows), "jaccard-candidates")
+    further = _verified(candidates, sets, percent, _agreeing(rarity, counters_log2, orders, percent))
     roots = component_roots(roots.withColumnRenamed("root", "v").unionByName(further))
 
     firsts = rows.filter("n > 0").groupBy("lo", "hi").agg(F.min("id").alias("first"))
