@@ -1,5 +1,7 @@
 import random
 import re
+from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -9,9 +11,13 @@ from pyspark.sql import functions as F
 from tidemark.llm.jaccard_join import (
     SKETCH_MOST,
     _neighbours,
+    _odd_apart,
+    _odd_bits,
     _parities,
     _Shingles,
     _sketched,
+    _to_prefixes,
+    _within_keys,
     prefix_length,
     similar_groups,
 )
@@ -165,5 +171,68 @@ def test_sets_differ_by_at_least_their_parities(n):
         assert n > 150 or changed > n // 4 or apart >= 0.6 * len(np.setxor1d(one, other)) - 1
 
 
+def formed(sets, task_of):
+    """How often each pair of the sets, each of its own component, is formed when keys are dealt to tasks."""
+    lists = pa.array([s.view(np.int64).tolist() for s in sets], pa.list_(pa.int64()))
+    refs = pa.array(range(len(sets)), pa.int64())
+    batch = pa.record_batch([refs, refs, lists], names=["ref", "root", "shingles"])
+    rarity = SimpleNamespace(value=np.zeros(1 << 8, np.uint8))
+    rows = pa.Table.from_batches(_to_prefixes(rarity, 8, 80)(iter([batch]))).sort_by("key")
+    tasks, out = np.array([task_of(key) for key in rows["key"].to_pylist()]), Counter()
+    for task in np.unique(tasks):
+        own = rows.filter(pa.array(tasks == task)).combine_chunks()
+        for found in _within_keys(80, 1 << 10)(iter(own.to_batches())):
+            out.update((r["a"], r["b"]) for r in found.to_pylist() if r["a"] is not None)
+    return out
+
+
+def changed_sets(seed, size, count, changed):
+    rng = np.random.default_rng(seed)
+    base, sets = rng.integers(0, 2**64, size, np.uint64), []
+    for _ in range(count):
+        kept = rng.permutation(base)[: size - changed]
+        sets.append(np.unique(np.concatenate([kept, rng.integers(0, 2**64, changed, np.uint64)])))
+    return sets
+
+
+@pytest.mark.parametrize("size, changed", [(1500, 170), (300, 28), (300, 20)])
+def test_a_pair_is_formed_a_few_times_in_however_many_tasks(size, changed):
+    """Sets that are alike share most of their prefix tokens; were a pair formed in each task that
+    holds one, its rows would be nearly as many as those."""
+    sets = changed_sets(11, size, 12, changed)
+    pairs = [(i, j) for j in range(12) for i in range(j)]
+    for tasks in (1, 2**62):
+        times = formed(sets, lambda key, tasks=tasks: key % tasks)
+        linked = {(i, j) for i, j in pairs if len(np.intersect1d(sets[i], sets[j])) * 180 >= 80 * (len(sets[i]) + len(sets[j]))}
+        assert linked <= set(times)
+        assert sum(times.values()) <= (1 + prefix_length(size, 80) // 20) * len(pairs)
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 9, 40, 700])
+def test_every_link_is_formed_at_the_limit_of_similarity(n):
+    """Sets of sizes n and m with just the overlap that it takes, also one within the other."""
+    rng = np.random.default_rng(n)
+    for m in {n, n + n // 8, n + n // 4}:
+        for _ in range(20):
+            common = -(-80 * (n + m) // 180)
+            tokens = rng.integers(0, 2**64, n + m - common, np.uint64)
+            one, other = np.unique(tokens[:n]), np.unique(tokens[n - common :])
+            assert len(one) == n and len(other) == m
+            assert (0, 1) in formed([one, other], lambda key: key)
+
+
+def test_parities_in_as_many_ranges_as_tokens_tell_large_sets_apart():
+    rng = np.random.default_rng(12)
+    assert [_odd_bits(n) for n in (1, 256, 257, 5000, 10**7)] == [256, 256, 512, 8192, 65536]
+    for n, m in ((1200, 1000), (5000, 4000), (90_000, 80_000)):
+        tokens = rng.integers(0, 2**64, n + m, np.uint64)
+        for common in (0, m // 2, m):
+            one, other = tokens[:n], tokens[n - common : n - common + m]
+            apart = _odd_apart(*(_parities(s, _odd_bits(len(s))).tobytes() for s in (one, other)))
+            assert apart <= n + m - 2 * common
+            assert n > 50_000 or common == m or 180 * apart > 20 * (n + m)
+    assert _odd_apart(*[_parities(tokens, 1024).tobytes()] * 2) == 0
+
+
 def test_prefix_lengths():
     assert [prefix_length(n, 80) for n in (1, 4, 5, 6, 10, 11)] == [1, 1, 2, 2, 3, 3]

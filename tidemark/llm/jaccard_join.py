@@ -8,9 +8,15 @@ first, as a table of hashed counts tells, and differ in how they order equally r
 ones. Equal sets meet as one before that.
 
 Pairs are formed under the first order, and those left are held against the other
-orders. A row of a prefix carries the parity of its set's tokens in each of 256 ranges:
-two sets differ by at least as many tokens as parities, so that pairs of sets that are
-alike, but not alike enough, mostly go where they meet.
+orders. A pair belongs to the first token that its sets share: none before it is shared,
+which says how many tokens differ at least. A row of a prefix carries the tokens just
+before its own, and where sets share one of those the pair is left to an earlier token;
+so it is formed about once, in however many tasks its sets meet.
+
+A row of a prefix of a smaller set also carries the parity of its tokens in each of 256 ranges: two
+sets differ by at least as many tokens as parities, so that pairs of sets that are
+alike, but not alike enough, mostly go where they meet. Pairs are then held against
+their sets' parities in about as many ranges as a set has tokens.
 
 Sets that neighbour one another under their first tokens, or under the least of a range
 of tokens, rare or not, and whose sketches agree are verified first, in a few rounds,
@@ -60,28 +66,36 @@ LAGGED_ROWS = 64
 PAIRS_HELD = 1 << 20
 WORDS_KNOWN = 1 << 18
 SETS_SEEN = 1 << 16
+TEXT_BYTES = 1 << 20
 PLACE_BITS = 30
 PARITIES = ("p0", "p1", "p2", "p3")
+# Sets of more tokens may differ by more tokens than such parities ever show.
+PARITIES_MOST = 640
+BEFORE = ("t0", "t1")
+ODD_BITS_MOST = 1 << 16
 
 _U = np.uint64
 _FACTORS = [xxhash.xxh64_intdigest(bytes([i]), 7) | 1 for i in range(64)]
 
 _SETS = pa.schema([("lo", pa.int64()), ("hi", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+# ``odd`` are the set's parities, in as many ranges as it takes.
 _CLASSES = pa.schema(
-    [("lo", pa.int64()), ("hi", pa.int64()), ("n", pa.int32()), ("shingles", pa.list_(pa.int64()))]
+    [("lo", pa.int64()), ("hi", pa.int64()), ("n", pa.int32()), ("odd", pa.binary()), ("shingles", pa.list_(pa.int64()))]
 )
 # ``sketch`` has a bit of the least token of each of 64 ranges of tokens, ``common`` how common the
 # set's tokens are.
 _LEADS = pa.schema([(c, pa.int64()) for c in ("key", "ref", "n", "sketch", "common")])
-# ``off`` is by how much the root of a set's component is less than its own number, mostly 0.
-_PREFIXES = pa.schema([(c, pa.int64()) for c in ("key", "ref", "meta", "off", *PARITIES)])
-_FOUND = pa.schema([(c, pa.int64()) for c in ("a", "b", "sizes", "shared", "key", "block", "ref", "meta", "root", *PARITIES)])
-_PAIRS = pa.schema([(c, pa.int64()) for c in ("a", "b", "sizes", "shared")])
+# ``off`` is by how much the root of a set's component is less than its own number, mostly 0;
+# BEFORE are the keys just before, the last one first, 0 where none is told.
+_PREFIXES = pa.schema([(c, pa.int64()) for c in ("key", "ref", "meta", "off", *PARITIES, *BEFORE)])
+_FOUND = pa.schema([(c, pa.int64()) for c in ("a", "b", "key", "block", "ref", "meta", "root", *PARITIES, *BEFORE)])
+_PAIRS = pa.schema([(c, pa.int64()) for c in ("a", "b")])
+_PLACED = pa.schema([(c, pa.int64()) for c in ("a", "b", "lo_a", "lo_b")])
 _FETCHED = pa.schema([("a", pa.int64()), ("b", pa.int64()), *((c, pa.list_(pa.int64())) for c in ("of_a", "of_b"))])
 
 
 def _ddl(schema: pa.Schema) -> str:
-    kinds = {pa.int64(): "long", pa.int32(): "int", pa.list_(pa.int64()): "array<long>"}
+    kinds = {pa.int64(): "long", pa.int32(): "int", pa.binary(): "binary", pa.list_(pa.int64()): "array<long>"}
     return ", ".join(f"{field.name} {kinds[field.type]}" for field in schema)
 
 
@@ -197,7 +211,7 @@ def members(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = _Shingles(words)
-        for part in slices(batches, 1):
+        for part in slices(batches, 1, TEXT_BYTES):
             sets = shingles.of_all(part.column(1))
             found = [_address(s).tolist() if len(s) else (None, None) for s in sets]
             schema = pa.schema([part.schema.field(0), ("n", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64())])
@@ -213,7 +227,7 @@ def _to_sets(words: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, seen = _Shingles(words), set()
-        for part in slices(batches, 0):
+        for part in slices(batches, 0, TEXT_BYTES):
             found = {}
             for own in shingles.of_all(part.column(0)):
                 address = tuple(_address(own).tolist())
@@ -240,7 +254,8 @@ def _once_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = (lo[-1], hi[-1])
         kept = batch.filter(pa.array(new))
         n = kept.column("shingles").value_lengths()
-        yield record_batch(_CLASSES, kept.column("lo"), kept.column("hi"), n, kept.column("shingles"))
+        odd = [_parities(own, _odd_bits(len(own))).tobytes() for own in _sets_of(kept, "shingles")]
+        yield record_batch(_CLASSES, kept.column("lo"), kept.column("hi"), n, odd, kept.column("shingles"))
 
 
 class _Classes:
@@ -378,8 +393,7 @@ def _neighbours(percent: int):
             found = _alike(np.concatenate([rows, rows], axis=1), others, percent)
             last, first = rows[:, -1:], heads[:, at[-1:]]
             if found.shape[1]:
-                nothing = np.zeros(found.shape[1], np.int64)
-                yield record_batch(_PAIRS, found.min(axis=0), found.max(axis=0), nothing, nothing)
+                yield record_batch(_PAIRS, found.min(axis=0), found.max(axis=0))
 
     return run
 
@@ -391,55 +405,95 @@ def _alike(one: np.ndarray, other: np.ndarray, percent: int) -> np.ndarray:
     return np.stack([one[1][near], other[1][near]])
 
 
-def _parities(own: np.ndarray) -> np.ndarray:
-    """Whether the set has an odd number of tokens in each of 256 ranges of their hashes."""
-    odd = np.bincount((own & _U(255)).astype(np.int64), minlength=64 * len(PARITIES)) & 1
+def _parities(own: np.ndarray, bits: int = 64 * len(PARITIES)) -> np.ndarray:
+    """Whether the set has an odd number of tokens in each of so many ranges of their hashes, a power of two."""
+    odd = np.bincount((own & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def _odd_bits(n: int) -> int:
+    return min(ODD_BITS_MOST, max(64 * len(PARITIES), 1 << (n - 1).bit_length()))
+
+
+def _odd_apart(one: bytes, other: bytes) -> int:
+    """How many parities of two sets differ, those of more ranges folded to the other's."""
+    a, b = (np.frombuffer(side, np.uint64) for side in (one, other))
+    least = min(len(a), len(b))
+    a, b = (np.bitwise_xor.reduce(side.reshape(-1, least), axis=0) for side in (a, b))
+    return int(np.bitwise_count(a ^ b).sum())
+
+
+def _keys_before(found: np.ndarray, n: int, percent: int) -> list[np.ndarray]:
+    """For each key of a set's prefix the one before it, the one before that, and so on; only the
+    first of them beyond the places where sets of one size may meet first."""
+    told = [np.concatenate([np.zeros(i, np.uint64), found])[: len(found)] for i in range(1, len(BEFORE) + 1)]
+    for further in told[1:]:
+        further[(100 + percent) * (n - np.arange(len(found))) < 2 * percent * n] = 0
+    return told
+
+
 def _to_prefixes(rarity, log2: int, percent: int):
     """A row for each prefix token under the first order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             refs, roots = (batch.column(c).to_numpy() for c in ("ref", "root"))
-            keys, metas, owners, parities = [], [], [], []
+            keys, metas, owners, parities, before = [], [], [], [], []
             for row, own in enumerate(_sets_of(batch, "shingles")):
                 found = _first_tokens(own, 0, prefix_length(len(own), percent), rarity.value, log2)
                 keys.append(found)
                 metas.append(np.arange(len(found)) | len(own) << PLACE_BITS)
                 owners.append(np.full(len(found), row))
-                parities.append(_parities(own))
+                told = own if len(own) <= PARITIES_MOST else own[:0]
+                parities.append(_parities(told))
+                before.append(_keys_before(found, len(own), percent))
             if keys:
                 key, meta, owner = map(np.concatenate, (keys, metas, owners))
                 bits = np.stack(parities)[owner]
-                yield record_batch(_PREFIXES, _signed(key), refs[owner], meta, (refs - roots)[owner], *bits.T)
+                last = [_signed(np.concatenate(c)) for c in zip(*before, strict=True)]
+                yield record_batch(_PREFIXES, _signed(key), refs[owner], meta, (refs - roots)[owner], *bits.T, *last)
 
     return run
 
 
 def _fits(one: list[np.ndarray], other: list[np.ndarray], percent: int) -> np.ndarray:
-    """Which rows (ref, meta, root, parities) that share a key are of different components, of
-    similar sizes, at places in their prefixes that still allow the overlap it takes, and of
-    sets whose parities differ no more than such sets' may."""
+    """Which rows (ref, meta, root, parities, before) that share a key are of different components,
+    of similar sizes, at places in their prefixes that allow the overlap it takes if this is
+    the first token they share, of sets that share none of the tokens just before, and whose
+    parities differ no more than such sets' may."""
     mask = (1 << PLACE_BITS) - 1
     (n, at), (m, place) = ((meta >> PLACE_BITS & mask, meta & mask) for meta in (one[1], other[1]))
-    reach = np.minimum(at, place) + np.minimum(n - at, m - place)
+    reach = np.minimum(n - at, m - place)
     fits = (one[2] != other[2]) & _similar_sizes(n, m, percent) & ((100 + percent) * reach >= percent * (n + m))
-    bits, others = (np.broadcast_to(side[3], (*fits.shape, len(PARITIES)))[fits] for side in (one, other))
+    if not fits.any():
+        return fits
+    fits[fits] = ~_met_before(*(_those(side[4], fits) for side in (one, other)))
+    bits, others = (_those(side[3], fits) for side in (one, other))
     apart = np.bitwise_count((bits ^ others).view(np.uint64)).sum(axis=1, dtype=np.int64)
-    fits[fits] = (100 + percent) * apart <= (100 - percent) * np.broadcast_to(n + m, fits.shape)[fits]
+    untold = np.maximum(n, m) > PARITIES_MOST
+    fits[fits] = _those(untold, fits) | ((100 + percent) * apart <= (100 - percent) * _those(n + m, fits))
     return fits
 
 
+def _those(column: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The chosen rows of a column that has as many, or one row for all."""
+    return np.broadcast_to(column, (*chosen.shape, *column.shape[1:]))[chosen]
+
+
+def _met_before(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Which sets share one of the tokens told before the one where they meet."""
+    met = np.zeros(len(one), bool)
+    for i in range(len(BEFORE)):
+        for j in range(len(BEFORE)):
+            met |= (one[:, i] == other[:, j]) & (one[:, i] != 0)
+    return met
+
+
 def _pairs_of(one: list[np.ndarray], other: list[np.ndarray], percent: int) -> np.ndarray:
-    """Pairs (a, b, sizes) of the rows of both sides that fit; sizes are that of a and that of b."""
-    fits, mask = _fits(one, other, percent), (1 << PLACE_BITS) - 1
-    ref, meta = (np.broadcast_to(c, fits.shape)[fits] for c in one[:2])
-    partner, n, m = other[0][fits], meta >> PLACE_BITS & mask, other[1][fits] >> PLACE_BITS & mask
-    turned = ref > partner
-    sizes = np.where(turned, m, n) << PLACE_BITS | np.where(turned, n, m)
-    return np.stack([np.minimum(ref, partner), np.maximum(ref, partner), sizes])
+    """Pairs (a, b) of the rows of both sides that fit."""
+    fits = _fits(one, other, percent)
+    ref, partner = _those(one[0], fits), other[0][fits]
+    return np.stack([np.minimum(ref, partner), np.maximum(ref, partner)])
 
 
 def _crossing(one: list[np.ndarray], other: list[np.ndarray], percent: int, within: bool) -> Iterator[np.ndarray]:
@@ -463,7 +517,7 @@ def _lagged(rows: list[np.ndarray], group: np.ndarray, percent: int) -> Iterator
 
 
 class _Pairs:
-    """Pairs found so far with the number of tokens they share; handed on when there are many."""
+    """Pairs found so far, each once; handed on when there are many."""
 
     def __init__(self):
         self._held, self._count = [], 0
@@ -478,19 +532,22 @@ class _Pairs:
     def out(self) -> Iterator[np.ndarray]:
         if self._held:
             found = np.concatenate(self._held, axis=1)
-            found = found[:, np.lexsort(found[::-1])]
-            starts = np.flatnonzero(np.concatenate([[True], (found[:, 1:] != found[:, :-1]).any(axis=0)]))
-            yield np.vstack([found[:, starts], np.diff(np.append(starts, found.shape[1]))])
+            found = found[:, np.lexsort(found)]
+            yield found[:, np.concatenate([[True], (found[:, 1:] != found[:, :-1]).any(axis=0)])]
         self._held, self._count = [], 0
 
 
+def _matrix(rows: pa.RecordBatch | pa.Table, columns: tuple[str, ...]) -> np.ndarray:
+    return np.stack([rows.column(c).to_numpy() for c in columns], axis=1)
+
+
 def _within_keys(percent: int, block_rows: int):
     """Pairs within each key's rows, which come one after the other; of a key with several blocks of
     rows the rows go on, too, by block."""
 
     def pair_rows(found: np.ndarray) -> pa.RecordBatch:
         nothing = pa.nulls(found.shape[1], pa.int64())
-        return record_batch(_FOUND, *found, *[nothing] * (len(_FOUND) - 4))
+        return record_batch(_FOUND, *found, *[nothing] * (len(_FOUND) - len(_PAIRS)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, key_at_hand, held, block = _Pairs(), None, [], 0
@@ -503,15 +560,14 @@ def _within_keys(percent: int, block_rows: int):
                 if block or not last:
                     count = len(rows[0])
                     nothing = pa.nulls(count, pa.int64())
-                    yield record_batch(
-                        _FOUND, *[nothing] * 4, np.full(count, key_at_hand), np.full(count, block), *rows[:3], *rows[3].T
-                    )
+                    told = [np.full(count, key_at_hand), np.full(count, block), *rows[:3], *rows[3].T, *rows[4].T]
+                    yield record_batch(_FOUND, *[nothing] * len(_PAIRS), *told)
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, ref, meta, off, *parities = (c.to_numpy() for c in batch.columns)
-            columns = [ref, meta, ref - off, np.stack(parities, axis=1)]
+            key, ref, meta, off = (c.to_numpy() for c in batch.columns[:4])
+            columns = [ref, meta, ref - off, _matrix(batch, PARITIES), _matrix(batch, BEFORE)]
             starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             ends = np.append(starts[1:], len(key))
             sizes = ends - starts
@@ -544,24 +600,24 @@ def _within_keys(percent: int, block_rows: int):
 def _between_blocks(percent: int):
     def run(table: pa.Table) -> pa.Table:
         rows = [table[c].to_numpy() for c in ("ref", "meta", "root")]
-        rows.append(np.stack([table[c].to_numpy() for c in PARITIES], axis=1))
+        rows += [_matrix(table, PARITIES), _matrix(table, BEFORE)]
         first = (table["block"].to_numpy() == table["i"].to_numpy()).nonzero()[0]
         second = (table["block"].to_numpy() != table["i"].to_numpy()).nonzero()[0]
         pairs = _Pairs()
         found = [*pairs.add(_crossing([c[first] for c in rows], [c[second] for c in rows], percent, False)), *pairs.out()]
-        both = np.concatenate(found, axis=1) if found else np.zeros((4, 0), np.int64)
+        both = np.concatenate(found, axis=1) if found else np.zeros((len(_PAIRS), 0), np.int64)
         return pa.Table.from_batches([record_batch(_PAIRS, *both)])
 
     return run
 
 
 def _candidates(prefixes: DataFrame, percent: int, block_rows: int) -> DataFrame:
-    """Pairs (a, b) of different components that share prefix tokens under the first order, and so
-    many that their sets may be similar enough."""
+    """Pairs (a, b) of different components that meet under the first order where their sets may be
+    similar enough; each once."""
     grouped = prefixes.repartition("key").sortWithinPartitions("key")
     found = written(grouped.mapInArrow(_within_keys(percent, block_rows), _ddl(_FOUND)), "jaccard-found")
-    pairs = found.filter("a IS NOT NULL").select("a", "b", "sizes", "shared")
-    large = found.filter("key IS NOT NULL").select("key", "block", "ref", "meta", "root", *PARITIES)
+    pairs = found.filter("a IS NOT NULL").select("a", "b")
+    large = found.filter("key IS NOT NULL").select("key", "block", "ref", "meta", "root", *PARITIES, *BEFORE)
     blocks = large.groupBy("key").agg(F.max("block").alias("last"), F.min("root").alias("r"), F.max("root").alias("s"))
     blocks = written(blocks.filter("r <> s").select("key", "last"), "jaccard-blocks")
     if not blocks.isEmpty():
@@ -571,11 +627,7 @@ def _candidates(prefixes: DataFrame, percent: int, block_rows: int) -> DataFrame
         )
         between = sides.groupBy("key", "i", "j").applyInArrow(_between_blocks(percent), _ddl(_PAIRS))
         pairs = pairs.unionByName(between)
-    shared = pairs.groupBy("a", "b").agg(F.max("sizes").alias("sizes"), F.sum("shared").alias("shared"))
-    n, m = F.shiftright("sizes", PLACE_BITS), F.col("sizes").bitwiseAND(F.lit((1 << PLACE_BITS) - 1).cast("long"))
-    # Beyond a prefix of n - ceil(percent n / 100) + 1 are so many tokens.
-    beyond = F.greatest(*[F.floor((percent * size + 99) / 100) - 1 for size in (n, m)])
-    return shared.filter(_enough(F.col("shared"), beyond, n + m, percent)).select("a", "b")
+    return pairs.distinct()
 
 
 def _enough(shared, beyond, total, percent: int):
@@ -612,16 +664,34 @@ def _agreeing(rarity, log2: int, orders: int, percent: int):
     return run
 
 
+def _not_apart(percent: int):
+    """Of pairs with their sets' sizes and parities, those whose parities differ no more than such sets' may."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total = (batch.column(c).to_numpy().astype(np.int64) for c in ("n_a", "n_b"))
+            sides = (batch.column(c).to_pylist() for c in ("odd_a", "odd_b"))
+            apart = np.array([_odd_apart(one, other) for one, other in zip(*sides, strict=True)], np.int64)
+            near = pa.array((100 + percent) * apart <= (100 - percent) * sum(total))
+            yield batch.select(_PLACED.names).filter(near)
+
+    return run
+
+
 def _verified(pairs: DataFrame, classes: DataFrame, percent: int, before=None) -> DataFrame:
     """The pairs whose whole sets are similar enough, as links (u, v).
 
     Pairs first learn their sets' addresses, by which the table of sets is in buckets.
-    ``before`` is a filter on pairs with their sets.
+    ``before`` is a filter on pairs with their sets; with it, pairs are first held against
+    their sets' parities.
     """
+    told = ["lo"] if before is None else ["lo", "n", "odd"]
     for side in ("a", "b"):
-        places = classes.select(F.col("ref").alias(side), F.col("lo").alias(f"lo_{side}"))
+        places = classes.select(F.col("ref").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in told])
         pairs = pairs.join(places, side)
-    pairs = written(pairs.select("a", "b", "lo_a", "lo_b"), "jaccard-pairs")
+    if before is not None:
+        pairs = pairs.mapInArrow(_not_apart(percent), _ddl(_PLACED))
+    pairs = written(pairs.select(*_PLACED.names), "jaccard-pairs")
     for side in ("a", "b"):
         sets = classes.select("ref", F.col("lo").alias(f"lo_{side}"), F.col("shingles").alias(f"of_{side}"))
         # Sets that share half an address are told apart; not as a key, which would shuffle the sets.
@@ -697,7 +767,9 @@ def _similar_groups(
     rarity = spark.sparkContext.broadcast(_rarity(sets, counters_log2))
 
     leads = sets.select("ref", "shingles").mapInArrow(_to_leads(rarity, counters_log2, orders, leading, minima), _ddl(_LEADS))
-    leads, roots = written(leads, "jaccard-leads"), None
+    path, roots = new_folder(spark, "jaccard-leads"), None
+    leads.write.parquet(path)
+    leads = spark.read.schema(leads.schema).parquet(path)
     for turn in range(rounds):
         pairs = _chained(leads, roots, turn, percent)
         if roots is not None and pairs.isEmpty():
@@ -705,6 +777,7 @@ def _similar_groups(
         links = _verified(pairs, sets, percent)
         known = [] if roots is None else [roots.withColumnRenamed("root", "v")]
         roots = component_roots(reduce(DataFrame.unionByName, known, links))
+    remove_folder(spark, path)
 
     rooted = _with_roots(sets, roots).select("ref", "root", "shingles")
     prefixes = rooted.mapInArrow(_to_prefixes(rarity, counters_log2, percent), _ddl(_PREFIXES))
